@@ -192,20 +192,23 @@ def generate_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def critique_revise(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship, C1/U4/U5 + L1: last user message → critique → rewrite → preference pair + split."""
+    """Flagship, C1/U4/U5 + L1: last user message → critique → rewrite → preference pair + split.
+
+    The split depends on the key only, so it is decided before any model call.
+    """
     lt = _last_turns(spark, sf).select(
         F.col("conv_id").alias("question_id"), F.col("last_user").alias("prompt"),
         F.col("last_assistant").alias("initial_response"))
+    lt = exact_split(lt, ["question_id"], SPLIT_TEST_SIZE, SPLIT_SEED)
     lt = lt.withColumn("_hist", F.array(P.message("user", F.col("prompt"))))
     cfg = GenerationConfig(num_revisions=FLAGSHIP_ROUNDS, seed=GEN_SEED)
     out = critique_revise_op(lt, "_hist", "initial_response", MODEL, cfg)
-    out = out.select(
+    return out.select(
         "question_id", "prompt", F.col("revised_response").alias("chosen"),
         F.col("initial_response").alias("rejected"),
         _digest(F.col("critique_requests")).alias("critique_requests_md5"),
         _digest(F.col("critiques")).alias("critiques_md5"),
-        _digest(F.col("revisions")).alias("revisions_md5"))
-    return exact_split(out, ["question_id"], SPLIT_TEST_SIZE, SPLIT_SEED)
+        _digest(F.col("revisions")).alias("revisions_md5"), "split")
 
 
 def _conversation_questions(spark: SparkSession, sf: str) -> DataFrame:
