@@ -24,8 +24,8 @@ def _last(arr: Column) -> Column:
 
 
 def clamp(score: Column, lo: float = SCORE_MIN, hi: float = SCORE_MAX) -> Column:
-    """``max(lo, min(hi, s))``; null stays null."""
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), score))
+    """``max(lo, min(hi, s))``; null stays null (``least``/``greatest`` skip nulls)."""
+    return F.when(score.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), score)))
 
 
 def _text(text) -> Column:
