@@ -53,6 +53,7 @@ MULTI_TURNS, MULTI_ROUNDS = 3, 2
 JOBS = 3
 EVAL_STEPS = [200, 400, 600]
 PAIR_PROMPT = "Write a short passage in the language with code "
+PAIR_SEED = 11
 SAMPLE_ROUNDS = 3
 # ---------------------------------------------------------------------------------
 
@@ -188,7 +189,7 @@ def sample_principle_q(spark: SparkSession, sf: str) -> DataFrame:
 def generate_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The model column over teacher prompts of every history."""
     h = assemble_history(read_table(spark, sf, "conversations"))
-    return h.select("conv_id", generate_text(P.teacher_prompt("messages"), MODEL).alias("reply"))
+    return h.select("conv_id", generate_text(P.teacher_prompt_parts("messages"), MODEL).alias("reply"))
 
 
 def critique_revise(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,7 +370,7 @@ def best_step(spark: SparkSession, sf: str) -> DataFrame:
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     d = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
     lab = read_table(spark, sf, "labels").select("doc_id", "quality")
-    p = gold_pairs(d.join(lab, "doc_id"))
+    p = gold_pairs(d.join(lab, "doc_id"), seed=PAIR_SEED)
     return p.withColumn("prompt", F.concat(F.lit(PAIR_PROMPT), F.col("lang")))
 
 

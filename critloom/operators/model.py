@@ -21,6 +21,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.prompts import Prompt
 from ..schemas import GENERATED
 from ..session import ship_package
 
@@ -188,13 +189,24 @@ def run_chunk(backend: Backend, rows: list, blank_batch: bool) -> list[tuple[str
         return [r for row in rows for r in run_chunk(backend, [row], True)]
 
 
-def generate(messages: Column, backend: Backend, blank_batch: bool = False) -> Column:
-    """``struct<text, error>`` produced by the backend for each message list."""
+def generate(messages, backend: Backend, blank_batch: bool = False) -> Column:
+    """``struct<text, error>`` produced by the backend for each message list.
+
+    ``messages`` is an ``array<struct<role,content>>`` column or a ``prompts.Prompt``; for a
+    Prompt only the per-row suffix crosses into Python and the constant prefix (system
+    prompt, few-shot examples) is prepended there, so it is not serialized once per row.
+    """
     size = max(1, int(backend.batch_size))
+    prefix: list[dict] = []
+    if isinstance(messages, Prompt):
+        prefix = [{"role": r, "content": c} for r, c in messages.prefix]
+        messages = messages.suffix
 
     def _udf(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in it:
             rows = arr.to_pylist()
+            if prefix:
+                rows = [prefix + (r or []) for r in rows]
             texts: list[str] = []
             errors: list[str | None] = []
             for i in range(0, len(rows), size):
@@ -212,7 +224,7 @@ def generate(messages: Column, backend: Backend, blank_batch: bool = False) -> C
     return fn(messages)
 
 
-def generate_text(messages: Column, backend: Backend, blank_batch: bool = False) -> Column:
+def generate_text(messages, backend: Backend, blank_batch: bool = False) -> Column:
     return generate(messages, backend, blank_batch).getField("text")
 
 

@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prompts import message
+from ..functions.prompts import Prompt, message
 from .model import Backend, Scorer, generate_text, score
 from .ranking import group_rank
 from .sampling import pick_index, sample_principle
 
 
 def gold_pairs(items: DataFrame, label: str = "quality", group: str = "lang", order: str = "doc_id",
-               text: str = "text") -> DataFrame:
-    """Pair the i-th good item with the i-th bad item of the same group (ranked by ``order``).
+               text: str = "text", seed: int | str = 11) -> DataFrame:
+    """Pair the i-th good item with the i-th bad item of the same group.
 
-    Ranks are skew-safe (``group_rank``); the pairing is an equi-join on (group, rank),
-    unique on both sides, so a hot group does not concentrate in one task.
+    Items are ranked within their group by ``md5(seed:order)`` (a seeded shuffle, tie-broken
+    by ``order``) with the skew-safe ``group_rank``; the pairing is an equi-join on
+    (group, rank), unique on both sides, so a hot group does not concentrate in one task.
     """
-    good = group_rank(items.filter(F.col(label) == 1).select(group, order, text), [group], order)
-    bad = group_rank(items.filter(F.col(label) == 0).select(group, order, text), [group], order)
+    good = group_rank(items.filter(F.col(label) == 1).select(group, order, text), [group], order, seed=seed)
+    bad = group_rank(items.filter(F.col(label) == 0).select(group, order, text), [group], order, seed=seed)
     return (good.select(group, "rank", F.col(order).alias("chosen_id"), F.col(text).alias("chosen"))
             .join(bad.select(group, "rank", F.col(order).alias("rejected_id"), F.col(text).alias("rejected")),
                   [group, "rank"]))
@@ -57,11 +58,12 @@ def group_advantage(df: DataFrame, group_cols: list[str], reward: str = "reward"
 PREFERENCE_SYSTEM_PROMPT = "You compare two tutor replies under a stated principle and name the better one."
 
 
-def preference_prompt(principle: Column, prompt: Column, a: Column, b: Column) -> Column:
+def preference_prompt(principle: Column, prompt: Column, a: Column, b: Column):
+    """The pairwise question as a ``Prompt`` (constant system message, per-row user message)."""
     user = F.concat(principle, F.lit("\n\nQUESTION:\n"), F.coalesce(prompt, F.lit("")),
                     F.lit("\n\n(A) "), F.coalesce(a, F.lit("")), F.lit("\n\n(B) "), F.coalesce(b, F.lit("")),
                     F.lit("\n\nEnd with 'Answer: A' or 'Answer: B'."))
-    return F.array(message("system", PREFERENCE_SYSTEM_PROMPT), message("user", user))
+    return Prompt((("system", PREFERENCE_SYSTEM_PROMPT),), F.array(message("user", user)))
 
 
 VERDICT_PATTERN = r"(?i)answer:\s*\(?([AB])\)?"

@@ -19,7 +19,7 @@ HASH_BUCKET_CHARS = 4  # 16^4 = 65,536 buckets at most: the count table's size b
 
 
 def _boundaries(df: DataFrame, bucket: Column, order: Sequence[Column],
-                positions: Column | Sequence[int]) -> list[dict]:
+                positions: Column | Sequence[int], bucket_filter=None) -> list[dict]:
     """Values of ``order`` at 1-based ``positions`` (literal ints, or one column expression
     over ``_total``) of the total order. ``bucket`` must be non-decreasing in that order."""
     counts = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
@@ -43,8 +43,10 @@ def _boundaries(df: DataFrame, bucket: Column, order: Sequence[Column],
     names = [f"_o{i}" for i in range(len(order))]
     tb = df.sparkSession.createDataFrame([(t["_b"], int(t["_k"]), int(t["_p"])) for t in targets],
                                          ["_b", "_k", "_p"])
-    inside = df.select(bucket.alias("_b"), *[o.alias(n) for o, n in zip(order, names)]) \
-        .filter(F.col("_b").isin([t["_b"] for t in targets]))
+    wanted_b = sorted({t["_b"] for t in targets})
+    src = df.filter(bucket_filter(wanted_b)) if bucket_filter is not None else df
+    inside = src.select(bucket.alias("_b"), *[o.alias(n) for o, n in zip(order, names)]) \
+        .filter(F.col("_b").isin(wanted_b))
     ranked = inside.withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy(*names)))
     found = ranked.join(F.broadcast(tb), "_b").filter(F.col("_rn") == F.col("_k")).collect()
     out = []
@@ -104,22 +106,41 @@ def exact_split(df: DataFrame, key_cols: Sequence[str], test_size: float | int =
 
 # ---- S2 positional slice and job ranges --------------------------------------------------
 
-def _range_bucket(df: DataFrame, order_col: str, n_buckets: int) -> Column | None:
+class _RangeBuckets:
+    """Equal-width buckets of an integer key; bucket b covers ``[lo + b·w, lo + (b+1)·w)``."""
+
+    def __init__(self, col: str, lo: int, width: int):
+        self.col_name, self.lo, self.width = col, lo, width
+
+    def column(self) -> Column:
+        return F.floor((F.col(self.col_name).cast("long") - F.lit(self.lo)) / F.lit(self.width)).cast("long")
+
+    def filter(self, buckets: Sequence[int]) -> Column:
+        """The same buckets as key ranges: a predicate the parquet scan can apply."""
+        c = F.col(self.col_name)
+        conds = [(c >= F.lit(self.lo + b * self.width)) & (c < F.lit(self.lo + (b + 1) * self.width))
+                 for b in buckets]
+        out = conds[0]
+        for x in conds[1:]:
+            out = out | x
+        return out
+
+
+def _range_buckets(df: DataFrame, order_col: str, n_buckets: int) -> _RangeBuckets | None:
     mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     if mm is None or mm["lo"] is None:
         return None
     lo, hi = int(mm["lo"]), int(mm["hi"])
-    width = max(1, -(-(hi - lo + 1) // n_buckets))
-    return F.floor((F.col(order_col).cast("long") - F.lit(lo)) / F.lit(width)).cast("long")
+    return _RangeBuckets(order_col, lo, max(1, -(-(hi - lo + 1) // n_buckets)))
 
 
 def order_values_at(df: DataFrame, order_col: str, positions: Sequence[int],
                     n_buckets: int = 65536) -> dict[int, int]:
     """Values of an integer key at 1-based positions of its ascending order (key unique)."""
-    b = _range_bucket(df, order_col, n_buckets)
-    if b is None:
+    rb = _range_buckets(df, order_col, n_buckets)
+    if rb is None:
         return {}
-    return {d["_p"]: d["_o0"] for d in _boundaries(df, b, [F.col(order_col)], positions)}
+    return {d["_p"]: d["_o0"] for d in _boundaries(df, rb.column(), [F.col(order_col)], positions, rb.filter)}
 
 
 def slice_rows(df: DataFrame, order_col: str, start: int, length: int) -> DataFrame:
@@ -159,18 +180,28 @@ def assign_jobs(df: DataFrame, order_col: str, rows_per_job: int, column: str =
 # ---- skew-safe rank within groups -------------------------------------------------------
 
 def group_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, column: str = "rank",
-               n_buckets: int = 1024) -> DataFrame:
-    """``row_number()`` over ``(partition by group order by order_col)`` that survives a hot group.
+               n_buckets: int = 1024, seed: int | str | None = None) -> DataFrame:
+    """``row_number()`` over ``(partition by group order by …)`` that survives a hot group.
+
+    The order is cut into buckets that are monotone in it; a count table (at most groups ×
+    buckets rows) gives each (group, bucket) its offset, and rows are numbered inside
+    (group, bucket) only, so a group holding a third of all rows is spread over many tasks.
 
-    The order key is cut into range buckets; a count table (at most groups × buckets rows)
-    gives each (group, bucket) its offset; rows are numbered inside (group, bucket) only, so
-    a group holding a third of all rows is spread over up to ``n_buckets`` tasks. The order
-    key must be unique within a group.
+    With ``seed`` the order is ``md5(seed:key)`` then the key, bucketed by the first three hex
+    digits (4,096 buckets that are uniform within every group, whatever the key
+    distribution). Without it the order is the key itself in equal-width ranges. The key must
+    be unique within a group.
     """
-    b = _range_bucket(df, order_col, n_buckets)
-    if b is None:
-        return df.withColumn(column, F.lit(None).cast("long"))
-    keyed = df.withColumn("_b", b)
+    if seed is not None:
+        h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(order_col).cast("string")))
+        keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 3))
+        order = [F.col("_h"), F.col(order_col)]
+    else:
+        rb = _range_buckets(df, order_col, n_buckets)
+        if rb is None:
+            return df.withColumn(column, F.lit(None).cast("long"))
+        keyed = df.withColumn("_b", rb.column())
+        order = [F.col(order_col)]
     counts = keyed.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         *group_cols, "_b",
@@ -178,5 +209,5 @@ def group_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, column:
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_lo"),
     )
     ranked = keyed.join(offsets, [*group_cols, "_b"])
-    rn = F.row_number().over(Window.partitionBy(*group_cols, "_b").orderBy(order_col))
-    return ranked.withColumn(column, (F.col("_lo") + rn).cast("long")).drop("_b", "_lo")
+    rn = F.row_number().over(Window.partitionBy(*group_cols, "_b").orderBy(*order))
+    return ranked.withColumn(column, (F.col("_lo") + rn).cast("long")).drop("_b", "_lo", "_h")

@@ -6,7 +6,7 @@ the Spark result (computed through the Arrow model column) can be checked value
 
 from __future__ import annotations
 
-from .catalog import (EVAL_STEPS, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT,
+from .catalog import (EVAL_STEPS, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT, PAIR_SEED,
                       SAMPLE_ROUNDS, SLICE_LENGTH, SLICE_START, SPLIT_SEED, SPLIT_TEST_SIZE)
 from .functions import prompts as P
 from .functions import texts as X
@@ -295,9 +295,10 @@ def _metrics(details: str) -> str:
 
 def _pairs() -> str:
     lab = "SELECT d.doc_id, d.text, d.lang, l.quality FROM documents d JOIN labels l USING (doc_id)"
-    return (f"WITH lab AS ({lab}), g AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rank, "
+    order = f"md5('{PAIR_SEED}:' || CAST(doc_id AS VARCHAR)), doc_id"
+    return (f"WITH lab AS ({lab}), g AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY {order}) AS rank, "
             f"doc_id AS chosen_id, text AS chosen FROM lab WHERE quality = 1), b AS (SELECT lang, row_number() OVER "
-            f"(PARTITION BY lang ORDER BY doc_id) AS rank, doc_id AS rejected_id, text AS rejected FROM lab WHERE "
+            f"(PARTITION BY lang ORDER BY {order}) AS rank, doc_id AS rejected_id, text AS rejected FROM lab WHERE "
             f"quality = 0), pairs AS (SELECT g.lang, g.rank, chosen_id, chosen, rejected_id, rejected, "
             f"{q(PAIR_PROMPT)} || g.lang AS prompt FROM g JOIN b USING (lang, rank))")
 

@@ -37,7 +37,7 @@ class GenerationConfig:
     model_partitions: int | None = None   # spread rows over this many tasks before the first model call
 
 
-def _gen(messages: Column, backend: Backend, cfg: GenerationConfig) -> Column:
+def _gen(messages, backend: Backend, cfg: GenerationConfig) -> Column:
     """One model stage as a ``struct<text, error>`` column."""
     return generate(messages, backend, cfg.blank_batch)
 
@@ -66,9 +66,9 @@ def critique_revise(df: DataFrame, history_col: str, initial_col: str, backend:
         base = F.coalesce(F.col("revised_response"), F.col(initial_col)) if cfg.chain else F.col(initial_col)
         df = df.withColumns({"_p": sample_principle(cfg.seed, *key_cols, t, F.lit(r), stage=cfg.stage),
                              "_base": base})
-        df = df.withColumn("_crit", _gen(P.critique_prompt(history_col, F.col("_base"), F.col("_p.critique")),
+        df = df.withColumn("_crit", _gen(P.critique_prompt_parts(history_col, F.col("_base"), F.col("_p.critique")),
                                          backend, cfg))
-        df = df.withColumn("_rev", _gen(P.revision_prompt(history_col, F.col("_base"), F.col("_p.critique"),
+        df = df.withColumn("_rev", _gen(P.revision_prompt_parts(history_col, F.col("_base"), F.col("_p.critique"),
                                                           F.col("_crit.text"), F.col("_p.revision")),
                                         backend, cfg))
         df = df.withColumns({
@@ -110,11 +110,11 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
         if t == 0:
             df = df.withColumns({"_q": F.col("_q0"), "_q_error": F.lit(None).cast("string")})
         else:
-            df = df.withColumn("_sq", _gen(P.student_prompt("_hist"), student, cfg))
+            df = df.withColumn("_sq", _gen(P.student_prompt_parts("_hist"), student, cfg))
             df = df.withColumns({"_q": default_if_empty(F.col("_sq.text")), "_q_error": F.col("_sq.error")}) \
                    .drop("_sq")
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("user", F.col("_q")))))
-        df = df.withColumn("_init", _gen(P.teacher_prompt("_hist"), backend, cfg))
+        df = df.withColumn("_init", _gen(P.teacher_prompt_parts("_hist"), backend, cfg))
         df = critique_revise(df, "_hist", "_init.text", backend, cfg, turn=t)
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("assistant", F.col("revised_response")))))
         row = F.struct(

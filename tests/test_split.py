@@ -35,6 +35,26 @@ def test_matches_global_rank(spark):
     assert got == want
 
 
+def test_group_rank_hashed_hot_group(spark):
+    import hashlib
+    df = spark.range(3000).select(F.when(F.col("id") < 2500, F.lit("hot")).otherwise(F.lit("cold")).alias("g"),
+                                  F.col("id").alias("o"))
+    got = {r["o"]: r["rank"] for r in group_rank(df, ["g"], "o", seed=5).collect()}
+    for g, ids in (("hot", range(2500)), ("cold", range(2500, 3000))):
+        ranked = sorted(ids, key=lambda i: (hashlib.md5(f"5:{i}".encode()).hexdigest(), i))
+        assert all(got[i] == k for k, i in enumerate(ranked, start=1))
+
+
+def test_slice_lookup_is_pushed_to_scan(spark, tmp_dir):
+    import os
+    path = os.path.join(tmp_dir, "t")
+    spark.range(1000).withColumnRenamed("id", "k").write.parquet(path)
+    out = slice_rows(spark.read.parquet(path), "k", 10, 5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k,10), LessThanOrEqual(k,14)]" in plan
+    assert [r["k"] for r in out.orderBy("k").collect()] == [10, 11, 12, 13, 14]
+
+
 def test_split_plan_has_no_exchange(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     plan = exact_split(df, ["k"], 0.1, 42)._jdf.queryExecution().executedPlan().toString()
