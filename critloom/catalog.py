@@ -16,7 +16,7 @@ from .functions.scoring import extract_score, score_source
 from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo
 from .operators.aggregate import best_step as best_step_op
 from .operators.aggregate import rounded
-from .operators.history import assemble_history, history_snapshots, last_by_role
+from .operators.history import assemble_history, history_snapshots, last_by_role, last_message
 from .operators.model import StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, generate_text, score
 from .operators.preference import gold_pairs, group_advantage as group_advantage_op
 from .operators.preference import pair_rewards, principle_preference as principle_preference_op
@@ -166,10 +166,14 @@ def student_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reply_extract(spark: SparkSession, sf: str) -> DataFrame:
-    """The assistant reply ending a history, else '' (and the student default)."""
-    h = assemble_history(read_table(spark, sf, "conversations"))
-    r = reply_text("messages")
-    return h.select("conv_id", r.alias("reply"), default_if_empty(r).alias("reply_or_default"))
+    """The assistant reply ending a history, else '' (and the student default).
+
+    Only the last message is needed, so it is found with a partial ``max_by`` aggregation
+    instead of assembling whole histories.
+    """
+    lm = last_message(read_table(spark, sf, "conversations"))
+    r = reply_text(F.array(F.col("last_message")))
+    return lm.select("conv_id", r.alias("reply"), default_if_empty(r).alias("reply_or_default"))
 
 
 def sample_principle_q(spark: SparkSession, sf: str) -> DataFrame:

@@ -58,6 +58,14 @@ def last_by_role(turns: DataFrame, key: str = "conv_id", order: str = "turn", ro
     return turns.groupBy(key).agg(*aggs)
 
 
+def last_message(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
+                 content: str = "text") -> DataFrame:
+    """The last message of each conversation as ``struct<role, content>`` (partial aggregation)."""
+    m = F.struct(F.col(role).alias("role"), F.col(content).alias("content"))
+    return turns.groupBy(key).agg(F.max_by(m, F.col(order)).alias("last_message"),
+                                  F.count(F.lit(1)).alias("n_messages"))
+
+
 def first_by_role(turns: DataFrame, role_value: str = "user", key: str = "conv_id", order: str = "turn",
                   role: str = "role", content: str = "text") -> DataFrame:
     """The first message of a given role per conversation (partial aggregation)."""

@@ -1,0 +1,53 @@
+"""A chat-completions backend over HTTP (U6): remote judge or model calls from executors.
+
+Each chunk of prompts is sent with bounded concurrency (a small thread pool per task) and
+a per-call timeout; the failure rule of the model column applies on top. Only the
+standard library is used; the transport is injectable for tests.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import urllib.request
+from concurrent.futures import ThreadPoolExecutor
+
+from .model import Backend
+
+
+class HttpChatBackend(Backend):
+    """POST ``{"model", "messages", "temperature", "max_tokens"}`` to an OpenAI-style
+    ``/chat/completions`` endpoint and read ``choices[0].message.content``."""
+
+    def __init__(self, url: str, model: str, temperature: float = 0.0, max_tokens: int = 512,
+                 timeout: float = 60.0, concurrency: int = 4, batch_size: int = 16,
+                 token_env: str | None = None, transport=None):
+        self.url, self.model, self.temperature, self.max_tokens = url, model, temperature, max_tokens
+        self.timeout, self.concurrency, self.batch_size = timeout, concurrency, batch_size
+        self.token_env, self.transport = token_env, transport
+
+    def cache_key(self) -> str:
+        return f"http:{self.url}:{self.model}"
+
+    def _post(self, messages: list[dict]) -> str:
+        body = json.dumps({"model": self.model, "messages": messages, "temperature": self.temperature,
+                           "max_tokens": self.max_tokens}).encode("utf-8")
+        headers = {"Content-Type": "application/json"}
+        token = os.environ.get(self.token_env) if self.token_env else None
+        if token:
+            headers["Authorization"] = f"Bearer {token}"
+        if self.transport is not None:
+            payload = self.transport(self.url, body, headers, self.timeout)
+        else:  # pragma: no cover - needs a reachable endpoint
+            req = urllib.request.Request(self.url, data=body, headers=headers, method="POST")
+            with urllib.request.urlopen(req, timeout=self.timeout) as resp:
+                payload = resp.read()
+        data = json.loads(payload)
+        return data["choices"][0]["message"]["content"] or ""
+
+    def generate_batch(self, messages_list):
+        msgs = [[{"role": m.get("role"), "content": m.get("content") or ""} for m in ms] for ms in messages_list]
+        if self.concurrency <= 1 or len(msgs) == 1:
+            return [self._post(m) for m in msgs]
+        with ThreadPoolExecutor(max_workers=min(self.concurrency, len(msgs))) as pool:
+            return list(pool.map(self._post, msgs))

@@ -60,3 +60,21 @@ def eval_history(answers: DataFrame, judge_backend: Backend, details_path: str |
         append_metrics(metrics, metrics_path)
         metrics = details.sparkSession.read.parquet(metrics_path).select("step", "category", "metric", "value")
     return metrics, written
+
+
+def details_record(details: DataFrame, by: tuple[str, ...] = ("step",), order: str = "ord") -> DataFrame:
+    """The graded examples of each step as parallel lists (prompts, responses, judgments,
+    scores) in example order — the record form of the original callback.
+
+    A step's examples meet in one row, so use it for evaluation-sized sets only; the detail
+    rows themselves stay the primary output.
+    """
+    entry = F.struct(F.col(order).alias("o"), "prompt", "response", "judgment", "score")
+    g = details.groupBy(*by).agg(F.sort_array(F.collect_list(entry)).alias("_d"))
+
+    def field(name: str):
+        return lambda e: e.getField(name)
+
+    return g.select(*by, *[F.transform("_d", field(f)).alias(a) for f, a in
+                           (("prompt", "prompts"), ("response", "responses"), ("judgment", "judgments"),
+                            ("score", "scores"))])

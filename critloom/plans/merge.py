@@ -14,13 +14,15 @@ DEFAULT_KEY = ("question_id", "turn", "job_id")
 
 
 def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.StructType,
-               key_cols: Sequence[str] = DEFAULT_KEY, idempotent: bool = True) -> dict:
+               key_cols: Sequence[str] = DEFAULT_KEY, idempotent: bool = True,
+               count_published: bool = False) -> dict:
     """Append every job output under ``jobs_root`` to the table at ``target``.
 
     ``idempotent`` (default) adds only rows whose key is not published yet, so re-running
     the merge adds nothing; ``idempotent=False`` appends everything (a re-run doubles rows,
     as the original merge did). The anti-join reads only the published partitions of the
-    job ids being merged. Returns the counts of the merge (A5).
+    job ids being merged. Returns the counts of the merge (A5); the size of the published
+    table before the merge only if ``count_published`` (it reads every published footer).
     """
     new = read_job_outputs(spark, jobs_root, schema)
     if new is None:
@@ -29,7 +31,7 @@ def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.Struc
     before = None
     to_add: DataFrame = new
     if existing is not None:
-        before = existing.count()
+        before = existing.count() if count_published else None
         if idempotent:
             job_ids = [r[0] for r in new.select("job_id").distinct().collect()]  # one row per job
             seen = existing.filter(F.col("job_id").isin(job_ids)).select(*key_cols)
