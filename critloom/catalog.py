@@ -29,7 +29,7 @@ from .plans.merge import merge_jobs as merge_jobs_plan
 from .plans.views import preference_view as preference_view_op
 from .plans.views import sft_view as sft_view_op
 from .schemas import PREFERENCES
-from .session import scratch_path
+from .session import materialize, scratch_path
 from .sources.jobs import read_published, write_job
 from .sources.tables import (eval_examples_from_benchmark, questions, questions_from_conversations,
                              questions_from_documents, read_table)
@@ -65,7 +65,7 @@ def _digest(arr: Column) -> Column:
     return F.md5(F.array_join(F.transform(arr, lambda x: F.coalesce(x, F.lit(""))), SEP))
 
 
-def _pref_out(df: DataFrame) -> DataFrame:
+def _pref_out(df: DataFrame, *extra: Column) -> DataFrame:
     """Scalar projection of preference rows."""
     return df.select(
         "question_id", F.col("turn").cast("bigint").alias("turn"), "conversation_id", "category", "question",
@@ -77,7 +77,7 @@ def _pref_out(df: DataFrame) -> DataFrame:
         _digest(F.col("revision_requests")).alias("revision_requests_md5"),
         _digest(F.col("revisions")).alias("revisions_md5"),
         F.size("revisions").cast("bigint").alias("n_revisions"),
-        "chosen", "rejected",
+        "chosen", "rejected", *extra,
     )
 
 
@@ -144,10 +144,7 @@ def critique_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def revision_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
     """revision prompt; the critique slot holds the first user message."""
-    conv = read_table(spark, sf, "conversations")
-    lt = last_by_role(conv).join(
-        questions_from_conversations(conv).withColumnRenamed("question_id", "conv_id")
-        .withColumnRenamed("text", "first_user"), "conv_id", "left")
+    lt = last_by_role(read_table(spark, sf, "conversations"), first_roles=("user",))
     lt = lt.withColumn("_p", sample_principle_op(GEN_SEED, "conv_id"))
     hist = F.array(P.message("user", F.col("last_user")))
     rp = P.revision_prompt(hist, F.col("last_assistant"), F.col("_p.critique"), F.col("first_user"),
@@ -234,8 +231,7 @@ def generation_job(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "generation")
     generation_job_plan(jobs, out, MODEL, GenerationConfig(seed=GEN_SEED))
     written = spark.read.parquet(out)
-    return _pref_out(written).join(written.select("question_id", "turn", "job_id"),
-                                   ["question_id", "turn"]).withColumn("job_id", F.col("job_id").cast("bigint"))
+    return _pref_out(written, F.col("job_id").cast("bigint").alias("job_id"))
 
 
 def _job_rows(docs: DataFrame) -> DataFrame:
@@ -287,7 +283,8 @@ def split_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _preferences(spark: SparkSession, sf: str) -> DataFrame:
-    return generate_preferences(_conversation_questions(spark, sf), MODEL, GenerationConfig(seed=GEN_SEED))
+    """The preference table the training views load (S4): generated once and materialized."""
+    return materialize(generate_preferences(_conversation_questions(spark, sf), MODEL, GenerationConfig(seed=GEN_SEED)))
 
 
 def sft_view(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,7 +385,7 @@ def pair_reward(spark: SparkSession, sf: str) -> DataFrame:
 def group_advantage(spark: SparkSession, sf: str) -> DataFrame:
     """Group-relative advantage of documents' rewards within their source."""
     d = read_table(spark, sf, "documents").select("doc_id", "source", "text")
-    d = d.withColumn("reward", score(F.col("source"), F.col("text"), SCORER))
+    d = materialize(d.select("doc_id", "source", score(F.col("source"), F.col("text"), SCORER).alias("reward")))
     a = group_advantage_op(d, ["source"])
     return rounded(a.select("doc_id", "source", "reward", "group_mean", "group_std",
                             F.col("group_size").cast("bigint").alias("group_size"), "advantage"),

@@ -44,18 +44,19 @@ def eval_metrics(details: DataFrame, step: str = "step", category: str = "catego
     g = (details.groupingSets([[step, category], [step]], step, category)
          .agg(F.avg(s).alias("_mean"), F.stddev_pop(s).alias("_std"), F.min(s).alias("_min"),
               F.max(s).alias("_max"), F.grouping_id().alias("_gid")))
-    overall = g.filter(F.col("_gid") == 1).select(
-        F.col(step).cast("bigint").alias("step"), F.lit(None).cast("string").alias("category"),
-        F.explode(F.array(*[
-            F.struct(F.lit(X.METRIC_PREFIX + name).alias("metric"), F.col(c).cast("double").alias("value"))
-            for name, c in (("score", "_mean"), ("std", "_std"), ("min", "_min"), ("max", "_max"))
-        ])).alias("_m"))
-    per_cat = g.filter((F.col("_gid") == 0) & has_category(category)).select(
-        F.col(step).cast("bigint").alias("step"), F.col(category).alias("category"),
-        F.struct(F.concat(F.lit(X.METRIC_PREFIX), F.col(category)).alias("metric"),
-                 F.col("_mean").cast("double").alias("value")).alias("_m"))
-    return overall.unionByName(per_cat).select(
-        "step", "category", F.col("_m.metric").alias("metric"), F.col("_m.value").alias("value"))
+    overall = F.array(*[
+        F.struct(F.lit(None).cast("string").alias("category"), F.lit(X.METRIC_PREFIX + name).alias("metric"),
+                 F.col(c).cast("double").alias("value"))
+        for name, c in (("score", "_mean"), ("std", "_std"), ("min", "_min"), ("max", "_max"))])
+    per_cat = F.array(F.struct(F.col(category).alias("category"),
+                               F.concat(F.lit(X.METRIC_PREFIX), F.col(category)).alias("metric"),
+                               F.col("_mean").cast("double").alias("value")))
+    # One pass over the aggregate: overall rows expand to four metrics, category rows to one.
+    keep = (F.col("_gid") == 1) | has_category(category)
+    return (g.filter(keep)
+            .select(F.col(step).cast("bigint").alias("step"),
+                    F.explode(F.when(F.col("_gid") == 1, overall).otherwise(per_cat)).alias("_m"))
+            .select("step", "_m.category", "_m.metric", "_m.value"))
 
 
 def best_step(metrics: DataFrame, metric: str = X.METRIC_PREFIX + "score", mode: str = "max",

@@ -43,8 +43,10 @@ def history_snapshots(turns: DataFrame, key: str = "conv_id", order: str = "turn
 
 
 def last_by_role(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
-                 content: str = "text", roles: tuple[str, ...] = ("user", "assistant")) -> DataFrame:
-    """The last message of each role per conversation, without assembling the history.
+                 content: str = "text", roles: tuple[str, ...] = ("user", "assistant"),
+                 first_roles: tuple[str, ...] = ()) -> DataFrame:
+    """The last message of each role (and the first of ``first_roles``) per conversation,
+    without assembling the history.
 
     ``max_by`` aggregates partially on the map side, so a conversation with very many
     messages never has to meet in one task.
@@ -55,6 +57,10 @@ def last_by_role(turns: DataFrame, key: str = "conv_id", order: str = "turn", ro
         aggs.append(F.max_by(F.when(hit, F.coalesce(F.col(content), F.lit(""))),
                              F.when(hit, F.col(order))).alias(f"last_{r}"))
         aggs.append(F.max(F.when(hit, F.col(order))).alias(f"last_{r}_turn"))
+    for r in first_roles:
+        hit = F.col(role) == r
+        aggs.append(F.min_by(F.when(hit, F.coalesce(F.col(content), F.lit(""))),
+                             F.when(hit, F.col(order))).alias(f"first_{r}"))
     return turns.groupBy(key).agg(*aggs)
 
 

@@ -19,11 +19,15 @@ def gold_pairs(items: DataFrame, label: str = "quality", group: str = "lang", or
     by ``order``) with the skew-safe ``group_rank``; the pairing is an equi-join on
     (group, rank), unique on both sides, so a hot group does not concentrate in one task.
     """
-    good = group_rank(items.filter(F.col(label) == 1).select(group, order, text), [group], order, seed=seed)
-    bad = group_rank(items.filter(F.col(label) == 0).select(group, order, text), [group], order, seed=seed)
-    return (good.select(group, "rank", F.col(order).alias("chosen_id"), F.col(text).alias("chosen"))
-            .join(bad.select(group, "rank", F.col(order).alias("rejected_id"), F.col(text).alias("rejected")),
-                  [group, "rank"]))
+    ranked = group_rank(items.filter(F.col(label).isin(0, 1)).select(group, label, order, text),
+                        [group, label], order, seed=seed)
+    # Each (group, rank) holds at most one good and one bad item: pair them with one
+    # aggregation instead of a self-join (the ranked rows are computed once).
+    good, bad = F.col(label) == 1, F.col(label) == 0
+    pairs = ranked.groupBy(group, "rank").agg(
+        F.max(F.when(good, F.col(order))).alias("chosen_id"), F.max(F.when(good, F.col(text))).alias("chosen"),
+        F.max(F.when(bad, F.col(order))).alias("rejected_id"), F.max(F.when(bad, F.col(text))).alias("rejected"))
+    return pairs.filter(F.col("chosen_id").isNotNull() & F.col("rejected_id").isNotNull())
 
 
 def pair_rewards(pairs: DataFrame, scorer: Scorer, prompt: str = "prompt") -> DataFrame:
@@ -45,7 +49,8 @@ def group_advantage(df: DataFrame, group_cols: list[str], reward: str = "reward"
     """``(r - mean) / (std + eps)`` over the answers of each prompt (sample std; 0 for one answer).
 
     Group statistics come from a partial aggregation (one row per group) joined back on
-    the group key; AQE splits a hot group on the large side of that join.
+    the group key; AQE splits a hot group on the large side of that join. ``df`` is read
+    twice, so a model-made reward must be materialized first (``session.materialize``).
     """
     stats = df.groupBy(*group_cols).agg(F.avg(reward).alias("group_mean"),
                                         F.coalesce(F.stddev_samp(reward), F.lit(0.0)).alias("group_std"),

@@ -56,6 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df, eager: bool = True):
+    """Write ``df`` to the shared stage folder and continue from there (a reliable checkpoint).
+
+    Use after a model stage whose output is read more than once: later reads see the same
+    values, and lineage (and the plan) is cut.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the shared stage folder."""
     base = checkpoint_dir(spark)
