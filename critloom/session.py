@@ -16,9 +16,21 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows per Arrow batch sent to a model column: whole documents can be ~100 KB each.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
 }
 
 
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a cluster run: scan splits of about ``target_partition_bytes``
+    (smaller if that would leave cores idle) and enough shuffle partitions for the input to
+    spill-free fit, at least three per core. AQE coalesces the excess at run time."""
+    split = max(16 << 20, min(target_partition_bytes, input_bytes // max(1, 2 * total_cores)))
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(shuffle),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 128 << 20))}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "critloom",
                   event_log_dir: str | None = None) -> SparkSession:
     """A local session for tests and benches; the UI stays off."""

@@ -64,3 +64,20 @@ def test_generation_job_summary_and_dirs(spark, tmp_dir):
     dirs = list_dirs(spark, out + "/job=*")
     assert [d.rsplit("/", 1)[1] for d in dirs] == ["job=0", "job=1"]
     assert spark.read.parquet(dirs[0]).select("job_id").distinct().first()[0] == 0
+
+
+def test_step_tables_are_idempotent(spark, tmp_dir):
+    from critloom.sources.jobs import append_metrics
+    path = os.path.join(tmp_dir, "m")
+    a = spark.createDataFrame([(200, None, "x", 1.0), (400, None, "x", 2.0)], "step long, category string, metric string, value double")
+    append_metrics(a, path)
+    append_metrics(a.filter("step = 400"), path)            # re-run of step 400 replaces it
+    append_metrics(a.filter("step = 200").selectExpr("600 AS step", "category", "metric", "value"), path)
+    got = sorted((r["step"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert got == [(200, 1.0), (400, 2.0), (600, 1.0)]
+
+
+def test_recommended_conf():
+    from critloom.session import recommended_conf
+    c = recommended_conf(100 << 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 400_000 and int(c["spark.sql.files.maxPartitionBytes"]) == 256 << 20
