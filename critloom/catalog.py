@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .functions import prompts as P
 from .functions import texts as X
-from .functions.scoring import extract_score, score_source
+from .functions.scoring import with_score
 from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo
 from .operators.aggregate import best_step as best_step_op
 from .operators.aggregate import rounded
@@ -336,8 +336,7 @@ def extract_score_q(spark: SparkSession, sf: str) -> DataFrame:
                                                   "text")
     c = read_table(spark, sf, "conversations").select(
         F.lit("conversations").alias("src"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
-    u = d.unionByName(c)
-    return u.select("src", "id", extract_score("text").alias("score"), score_source("text").alias("score_source"))
+    return with_score(d.unionByName(c), "text").select("src", "id", "score", "score_source")
 
 
 def judged_eval(spark: SparkSession, sf: str) -> DataFrame:

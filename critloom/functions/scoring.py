@@ -55,3 +55,14 @@ def score_source(text) -> Column:
     return (F.when(tag_score(text).isNotNull(), F.lit("tag"))
             .when(fallback_score(text).isNotNull(), F.lit("fallback"))
             .otherwise(F.lit("default")))
+
+
+def with_score(df, text: str, score: str = "score", source: str | None = "score_source", strict: bool = False):
+    """Add the score (and its source) evaluating each pattern once per row."""
+    df = df.withColumns({"_t1": tag_score(text), "_t2": fallback_score(text)})
+    found = F.coalesce(F.col("_t1"), F.col("_t2"))
+    cols = {score: clamp(found) if strict else clamp(F.coalesce(found, F.lit(DEFAULT_SCORE)))}
+    if source:
+        cols[source] = (F.when(F.col("_t1").isNotNull(), F.lit("tag"))
+                        .when(F.col("_t2").isNotNull(), F.lit("fallback")).otherwise(F.lit("default")))
+    return df.withColumns(cols).drop("_t1", "_t2")

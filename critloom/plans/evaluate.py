@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prompts import judge_prompt_parts, message
-from ..functions.scoring import extract_score, score_source
+from ..functions.scoring import with_score
 from ..functions.text import strip_echo
 from ..operators.aggregate import eval_metrics
 from ..operators.model import Backend, generate_text
@@ -28,9 +28,8 @@ def answer(prompt: Column, backend: Backend, context: Column | None = None) -> C
 def judge(details: DataFrame, judge_backend: Backend, prompt: str = "prompt",
           response: str = "response") -> DataFrame:
     """F13 + U6 + F14: judgment text, score and where the score came from."""
-    return (details.withColumn("judgment", generate_text(judge_prompt_parts(prompt, response), judge_backend))
-            .withColumn("score", extract_score("judgment"))
-            .withColumn("score_source", score_source("judgment")))
+    judged = details.withColumn("judgment", generate_text(judge_prompt_parts(prompt, response), judge_backend))
+    return with_score(judged, "judgment")
 
 
 def judged_eval(examples: DataFrame, answer_backend: Backend, judge_backend: Backend,

@@ -21,6 +21,7 @@ from ..functions.text import content_id, default_if_empty
 from ..operators.model import Backend, generate
 from ..operators.sampling import sample_principle
 from ..schemas import MESSAGES
+from ..session import materialize
 
 _STR_ARRAY = "array<string>"
 
@@ -33,7 +34,11 @@ class GenerationConfig:
     stage: str = "sl"
     chain: bool = False            # later rounds critique the previous rewrite (default: the first answer)
     blank_batch: bool = False      # a failing chunk blanks every row of it
-    checkpoint_turns: bool | None = None  # cut lineage after each turn (default: model not deterministic)
+    # Materialize after every model stage (default: when the model is not deterministic). Each
+    # job then holds one Python stage per task, so one worker per core keeps the model loaded
+    # (chained stages would each start their own worker and load their own copy), and no
+    # sampled answer is ever recomputed.
+    checkpoint_stages: bool | None = None
     model_partitions: int | None = None   # spread rows over this many tasks before the first model call
 
 
@@ -42,6 +47,13 @@ def _gen(messages, backend: Backend, cfg: GenerationConfig) -> Column:
     return generate(messages, backend, cfg.blank_batch)
 
 
+def _stage(df: DataFrame, name: str, messages, backend: Backend, cfg: GenerationConfig) -> DataFrame:
+    """Add one model stage as column ``name``; materialize it if the config asks for it."""
+    df = df.withColumn(name, _gen(messages, backend, cfg))
+    ckpt = cfg.checkpoint_stages if cfg.checkpoint_stages is not None else not backend.deterministic
+    return materialize(df) if ckpt else df
+
+
 def _errors(*gens: str) -> Column:
     return F.array_compact(F.array(*[F.col(f"{g}.error") for g in gens]))
 
@@ -66,11 +78,10 @@ def critique_revise(df: DataFrame, history_col: str, initial_col: str, backend:
         base = F.coalesce(F.col("revised_response"), F.col(initial_col)) if cfg.chain else F.col(initial_col)
         df = df.withColumns({"_p": sample_principle(cfg.seed, *key_cols, t, F.lit(r), stage=cfg.stage),
                              "_base": base})
-        df = df.withColumn("_crit", _gen(P.critique_prompt_parts(history_col, F.col("_base"), F.col("_p.critique")),
-                                         backend, cfg))
-        df = df.withColumn("_rev", _gen(P.revision_prompt_parts(history_col, F.col("_base"), F.col("_p.critique"),
-                                                          F.col("_crit.text"), F.col("_p.revision")),
-                                        backend, cfg))
+        df = _stage(df, "_crit", P.critique_prompt_parts(history_col, F.col("_base"), F.col("_p.critique")),
+                    backend, cfg)
+        df = _stage(df, "_rev", P.revision_prompt_parts(history_col, F.col("_base"), F.col("_p.critique"),
+                                                        F.col("_crit.text"), F.col("_p.revision")), backend, cfg)
         df = df.withColumns({
             "critique_requests": F.array_append("critique_requests", F.col("_p.critique")),
             "critiques": F.array_append("critiques", F.col("_crit.text")),
@@ -105,16 +116,15 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
     )
     if cfg.model_partitions:
         df = df.repartition(cfg.model_partitions)
-    ckpt = cfg.checkpoint_turns if cfg.checkpoint_turns is not None else not backend.deterministic
     for t in range(cfg.num_turns):
         if t == 0:
             df = df.withColumns({"_q": F.col("_q0"), "_q_error": F.lit(None).cast("string")})
         else:
-            df = df.withColumn("_sq", _gen(P.student_prompt_parts("_hist"), student, cfg))
+            df = _stage(df, "_sq", P.student_prompt_parts("_hist"), student, cfg)
             df = df.withColumns({"_q": default_if_empty(F.col("_sq.text")), "_q_error": F.col("_sq.error")}) \
                    .drop("_sq")
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("user", F.col("_q")))))
-        df = df.withColumn("_init", _gen(P.teacher_prompt_parts("_hist"), backend, cfg))
+        df = _stage(df, "_init", P.teacher_prompt_parts("_hist"), backend, cfg)
         df = critique_revise(df, "_hist", "_init.text", backend, cfg, turn=t)
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("assistant", F.col("revised_response")))))
         row = F.struct(
@@ -128,8 +138,6 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
         df = df.withColumn("_turns", F.array_append("_turns", row)).drop(
             "_q", "_q_error", "_init", "critique_requests", "critiques", "revision_requests",
             "revisions", "revised_response", "_errors")
-        if ckpt:
-            df = df.checkpoint()
     out = df.select("question_id", *keep, "conversation_id", "category", F.explode("_turns").alias("_t"))
     return out.select(
         "question_id", F.col("_t.turn").alias("turn"), "conversation_id",

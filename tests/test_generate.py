@@ -54,9 +54,11 @@ def test_second_round_starts_from_initial_answer(spark):
         assert b[k]["critiques"][1] != c[k]["critiques"][1]
 
 
-def test_checkpointed_turns_equal_lazy(spark):
+def test_checkpointed_stages_equal_lazy(spark):
     lazy = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=2))
-    ck = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=2, checkpoint_turns=True))
+    ck = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=2, checkpoint_stages=True))
+    plan = ck._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 0  # every model stage already materialized
     cols = ["question_id", "turn", "chosen", "rejected"]
     assert sorted(lazy.select(cols).collect()) == sorted(ck.select(cols).collect())
 

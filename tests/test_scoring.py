@@ -33,3 +33,11 @@ def test_clamp_range(spark):
     df = spark.range(-5, 20).select(clamp(F.col("id").cast("double")).alias("c"))
     vals = [r["c"] for r in df.collect()]
     assert min(vals) == 1.0 and max(vals) == 10.0
+
+
+def test_with_score_equals_separate_columns(spark):
+    from critloom.functions.scoring import with_score
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "i int, t string")
+    a = with_score(df, "t").select("i", "score", "score_source").collect()
+    b = df.select("i", extract_score("t").alias("score"), score_source("t").alias("score_source")).collect()
+    assert sorted(a) == sorted(b)
