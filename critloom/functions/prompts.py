@@ -45,9 +45,19 @@ def history(col: Column | str) -> Column:
     return F.coalesce(_c(col), messages_literal([]))
 
 
+def last_element(arr: Column) -> Column:
+    """Last element of an array, null when it is empty or null.
+
+    ``get(arr, size - 1)`` rather than ``try_element_at(arr, -1)``: same result, but the
+    latter fails whole-stage code generation in some plans (the stage then falls back to the
+    slower interpreted path).
+    """
+    return F.get(arr, F.size(arr) - 1)
+
+
 def last_content(hist: Column | str) -> Column:
     """Content of the last message ('' for an empty history)."""
-    return _s(F.try_element_at(history(hist), F.lit(-1)).getField("content"))
+    return _s(last_element(history(hist)).getField("content"))
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .prompts import last_element
+
 # ---------------------------------------------------------------------------------
 # The score patterns and the default score.
 #   tier 1: a "SCORE:" tag (any case) followed by a number not followed by a slash
@@ -20,7 +22,7 @@ SCORE_MIN, SCORE_MAX = 1.0, 10.0
 
 
 def _last(arr: Column) -> Column:
-    return F.try_element_at(arr, F.lit(-1))
+    return last_element(arr)
 
 
 def clamp(score: Column, lo: float = SCORE_MIN, hi: float = SCORE_MAX) -> Column:

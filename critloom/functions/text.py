@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import texts as X
-from .prompts import _c, _s, history
+from .prompts import _c, _s, history, last_element
 
 
 def content_id(text) -> Column:
@@ -16,7 +16,7 @@ def content_id(text) -> Column:
 
 def reply_text(messages) -> Column:
     """content of the last message if its role is ``assistant``, else ''."""
-    last = F.try_element_at(history(messages), F.lit(-1))
+    last = last_element(history(messages))
     return F.when(last.getField("role") == "assistant", _s(last.getField("content"))).otherwise(F.lit(""))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prompts import Prompt, message
+from ..functions.prompts import Prompt, last_element, message
 from .model import Backend, Scorer, generate_text, score
 from .ranking import group_rank
 from .sampling import pick_index, sample_principle
@@ -85,7 +85,7 @@ def principle_preference(pairs: DataFrame, judge_backend: Backend, seed: int = 0
     b = F.when(F.col("swapped"), F.col("chosen")).otherwise(F.col("rejected"))
     df = df.withColumn("verdict", generate_text(preference_prompt(F.col("principle"), F.col(prompt), a, b),
                                                 judge_backend))
-    pick = F.upper(F.try_element_at(F.regexp_extract_all("verdict", F.lit(VERDICT_PATTERN), 1), F.lit(-1)))
+    pick = F.upper(last_element(F.regexp_extract_all("verdict", F.lit(VERDICT_PATTERN), 1)))
     first_is_chosen = ~F.col("swapped")
     return df.withColumn("preferred", F.when(pick == "A", F.when(first_is_chosen, "chosen").otherwise("rejected"))
                          .when(pick == "B", F.when(first_is_chosen, "rejected").otherwise("chosen")))
