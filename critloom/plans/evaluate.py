@@ -9,7 +9,7 @@ from ..functions.prompts import judge_prompt_parts, message
 from ..functions.scoring import with_score
 from ..functions.text import strip_echo
 from ..operators.aggregate import eval_metrics
-from ..operators.model import Backend, generate_text
+from ..operators.model import Backend, generate, generate_text
 from ..operators.ranking import slice_rows
 from ..sources.jobs import append_details, append_metrics
 
@@ -27,9 +27,15 @@ def answer(prompt: Column, backend: Backend, context: Column | None = None) -> C
 
 def judge(details: DataFrame, judge_backend: Backend, prompt: str = "prompt",
           response: str = "response") -> DataFrame:
-    """F13 + U6 + F14: judgment text, score and where the score came from."""
-    judged = details.withColumn("judgment", generate_text(judge_prompt_parts(prompt, response), judge_backend))
-    return with_score(judged, "judgment")
+    """F13 + U6 + F14: judgment text, score, where the score came from, and ``judge_error``.
+
+    A judge call that failed has a null score (it does not enter the means as a default 5);
+    a judgment without a score pattern still scores 5.
+    """
+    judged = (details.withColumn("_j", generate(judge_prompt_parts(prompt, response), judge_backend))
+              .withColumns({"judgment": F.col("_j.text"), "judge_error": F.col("_j.error")}).drop("_j"))
+    scored = with_score(judged, "judgment")
+    return scored.withColumn("score", F.when(F.col("judge_error").isNull(), F.col("score")))
 
 
 def judged_eval(examples: DataFrame, answer_backend: Backend, judge_backend: Backend,

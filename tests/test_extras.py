@@ -81,3 +81,32 @@ def test_recommended_conf():
     from critloom.session import recommended_conf
     c = recommended_conf(100 << 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) >= 400_000 and int(c["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+
+
+def _judge_or_fail(batch):
+    out = []
+    for msgs in batch:
+        if "explode" in msgs[-1]["content"]:
+            raise RuntimeError("judge down")
+        out.append("fine. SCORE: 8")
+    return out
+
+
+def test_failed_judge_calls_do_not_count(spark):
+    from critloom.operators.model import FunctionBackend
+    from critloom.plans.evaluate import eval_history
+    rows = [(200, 1, "p1", "math", "ok"), (200, 2, "p2", "math", "explode"), (400, 1, "p1", "math", "ok")]
+    answers = spark.createDataFrame(rows, "step long, ord long, prompt string, category string, response string")
+    metrics, details = eval_history(answers, FunctionBackend(_judge_or_fail, batch_size=4))
+    d = {(r["step"], r["ord"]): (r["score"], r["judge_error"]) for r in details.collect()}
+    assert d[(200, 1)] == (8.0, None) and d[(200, 2)][0] is None and d[(200, 2)][1].startswith("RuntimeError")
+    m = {(r["step"], r["metric"]): r["value"] for r in metrics.collect()}
+    assert m[(200, "teaching_quality_score")] == 8.0 and m[(200, "teaching_quality_math")] == 8.0
+
+
+def test_reward_accuracy(spark):
+    from critloom.operators.preference import reward_accuracy
+    df = spark.createDataFrame([("en", 0.5, True), ("en", -0.1, False), ("fr", 0.2, True)],
+                               "lang string, margin double, correct boolean")
+    r = {x["lang"]: x for x in reward_accuracy(df, ["lang"]).collect()}
+    assert r["en"]["accuracy"] == 0.5 and r["en"]["n_pairs"] == 2 and r["fr"]["mean_margin"] == 0.2
