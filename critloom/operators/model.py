@@ -264,3 +264,46 @@ def score(prompt: Column, response: Column, scorer: Scorer) -> Column:
     ship_package()
     fn = F.arrow_udf(_udf, T.DoubleType()).asNondeterministic()
     return fn(prompt, response)
+
+
+# ---- pluggable token counter (F19) ----------------------------------------------------------
+
+class TokenCounter:
+    """Counts tokens of a batch of texts; ``WhitespaceCounter`` needs no vocabulary."""
+
+    batch_size: int = 1024
+
+    def count_batch(self, texts: Sequence[str | None]) -> list[int]:
+        raise NotImplementedError
+
+
+class WhitespaceCounter(TokenCounter):
+    def count_batch(self, texts):
+        return [len((t or "").split()) for t in texts]
+
+
+class CallableCounter(TokenCounter):
+    """Wrap any tokenizer callable ``str -> list`` (e.g. a loaded ``tokenizers`` or
+    ``tiktoken`` encoder's ``encode``); the encoder is pickled to the workers once."""
+
+    def __init__(self, encode, batch_size: int = 1024):
+        self.encode, self.batch_size = encode, batch_size
+
+    def count_batch(self, texts):
+        return [len(self.encode(t or "")) for t in texts]
+
+
+def token_count(text: Column, counter: TokenCounter) -> Column:
+    """Token count of a text column from a pluggable counter, Arrow-batched."""
+    size = max(1, int(counter.batch_size))
+
+    def _udf(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for arr in it:
+            ts = arr.to_pylist()
+            out: list[int] = []
+            for i in range(0, len(ts), size):
+                out.extend(counter.count_batch(ts[i:i + size]))
+            yield pa.array(out, pa.int64())
+
+    ship_package()
+    return F.arrow_udf(_udf, T.LongType())(text)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.jobs import publish_batch, read_job_outputs, read_published
+from ..sources.jobs import list_dirs, publish_batch, read_job_outputs, read_published
 
 DEFAULT_KEY = ("question_id", "turn", "job_id")
+_JOB = re.compile(r"job=(\d+)$")
 
 
 def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.StructType,
@@ -24,21 +26,27 @@ def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.Struc
     job ids being merged. Returns the counts of the merge (A5); the size of the published
     table before the merge only if ``count_published`` (it reads every published footer).
     """
+    dirs = list_dirs(spark, f"{jobs_root.rstrip('/')}/job=*")
+    job_ids = sorted({int(m.group(1)) for d in dirs if (m := _JOB.search(d))})
     new = read_job_outputs(spark, jobs_root, schema)
     if new is None:
         return {"jobs_found": 0, "written": 0, "published_before": None}
+    # Rows loaded per job and rows written, observed on the one publishing job (no extra scans).
+    loaded = Observation("merge_loaded")
+    new = new.observe(loaded, F.count(F.lit(1)).alias("_all"),
+                      *[F.count_if(F.col("job_id") == j).alias(str(j)) for j in job_ids])
     existing = read_published(spark, target, schema)
     before = None
     to_add: DataFrame = new
     if existing is not None:
         before = existing.count() if count_published else None
         if idempotent:
-            job_ids = [r[0] for r in new.select("job_id").distinct().collect()]  # one row per job
+            # Only the published rows of the jobs being merged can collide.
             seen = existing.filter(F.col("job_id").isin(job_ids)).select(*key_cols)
             to_add = new.join(seen, list(key_cols), "left_anti")
-    obs = Observation("merge")
-    per_job = to_add.observe(obs, F.count(F.lit(1)).alias("written"))
-    publish_batch(per_job.select(*schema.fieldNames()), target)
-    loaded = {str(r["job_id"]): int(r["count"]) for r in new.groupBy("job_id").count().collect()}
-    return {"jobs_found": len(loaded), "loaded_per_job": loaded, "written": int(obs.get.get("written") or 0),
+    written = Observation("merge_written")
+    publish_batch(to_add.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
+    counts = loaded.get
+    return {"jobs_found": len(dirs), "loaded_per_job": {str(j): int(counts.get(str(j)) or 0) for j in job_ids},
+            "loaded": int(counts.get("_all") or 0), "written": int(written.get.get("n") or 0),
             "published_before": before}

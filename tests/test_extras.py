@@ -110,3 +110,11 @@ def test_reward_accuracy(spark):
                                "lang string, margin double, correct boolean")
     r = {x["lang"]: x for x in reward_accuracy(df, ["lang"]).collect()}
     assert r["en"]["accuracy"] == 0.5 and r["en"]["n_pairs"] == 2 and r["fr"]["mean_margin"] == 0.2
+
+
+def test_token_count(spark):
+    from critloom.operators.model import CallableCounter, WhitespaceCounter, token_count
+    df = spark.createDataFrame([(" a b  c ",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(token_count(F.col("t"), WhitespaceCounter())).collect()] == [3, 0, 0]
+    chars = CallableCounter(lambda s: list(s))
+    assert [r[0] for r in df.select(token_count(F.col("t"), chars)).collect()] == [8, 0, 0]

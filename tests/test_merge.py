@@ -31,7 +31,8 @@ def test_merge_runs(spark, tmp_dir):
     with open(os.path.join(bad, "part-0.parquet"), "wb") as fh:                   # unreadable: skipped
         fh.write(b"not parquet")
     s = merge_jobs(spark, jobs, target, PREFERENCES)
-    assert s["written"] == 5 and s["published_before"] is None
+    assert s["written"] == 5 and s["published_before"] is None and s["jobs_found"] == 4
+    assert s["loaded_per_job"] == {"0": 2, "1": 2, "2": 1, "3": 0}
     t = read_published(spark, target, PREFERENCES)
     assert t.count() == 5 and t.filter("question_id = 5").first()["chosen"] is None
     s = merge_jobs(spark, jobs, target, PREFERENCES)                                # idempotent rerun
