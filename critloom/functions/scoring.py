@@ -40,7 +40,10 @@ def tag_score(text) -> Column:
 
 
 def fallback_score(text) -> Column:
-    return _last(F.regexp_extract_all(_text(text), F.lit(FALLBACK_PATTERN), 1)).try_cast("double")
+    """Tier 2 value or null. The look-around pattern only runs on texts holding a digit."""
+    t = _text(text)
+    hit = _last(F.regexp_extract_all(t, F.lit(FALLBACK_PATTERN), 1)).try_cast("double")
+    return F.when(t.rlike("[0-9]"), hit)
 
 
 def extract_score(text, strict: bool = False) -> Column:

@@ -39,7 +39,11 @@ class GenerationConfig:
     # (chained stages would each start their own worker and load their own copy), and no
     # sampled answer is ever recomputed.
     checkpoint_stages: bool | None = None
-    model_partitions: int | None = None   # spread rows over this many tasks before the first model call
+    # Spread rows over this many tasks before the first model call. Rows are small but each
+    # carries many model calls, so byte-based partition sizing (AQE) would leave too few
+    # tasks; an explicit repartition is kept as asked. None: 2 × default parallelism for a
+    # real (non-deterministic) model, nothing for a stub; 0: never.
+    model_partitions: int | None = None
 
 
 def _gen(messages, backend: Backend, cfg: GenerationConfig) -> Column:
@@ -114,8 +118,11 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
                        f"revision_requests:{_STR_ARRAY},revisions:{_STR_ARRAY},chosen:string,"
                        f"rejected:string,errors:{_STR_ARRAY}>>").alias("_turns"),
     )
-    if cfg.model_partitions:
-        df = df.repartition(cfg.model_partitions)
+    parts = cfg.model_partitions
+    if parts is None and not backend.deterministic:
+        parts = 2 * questions.sparkSession.sparkContext.defaultParallelism
+    if parts:
+        df = df.repartition(parts)
     for t in range(cfg.num_turns):
         if t == 0:
             df = df.withColumns({"_q": F.col("_q0"), "_q_error": F.lit(None).cast("string")})
