@@ -53,19 +53,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared stage folder named by ``spark.checkpoint.dir``.
+    """The shared stage folder: the context's checkpoint directory, else ``spark.checkpoint.dir``.
 
-    On a cluster this must be set to a shared file system; only when it is unset (tests,
-    local benches) do we create one under the local temp folder.
+    On a cluster this names a shared file system and is only read here. Only when neither
+    is set (tests, local benches) is a folder under the local temp directory created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="critloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    d = configured or tempfile.mkdtemp(prefix="critloom-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def materialize(df, eager: bool = True):

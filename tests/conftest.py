@@ -20,8 +20,9 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="critloom-test-ckpt-"))
+    from critloom.session import checkpoint_dir
+
+    checkpoint_dir(s)  # the session's own setting if it has one, else a temp folder
     yield s
 
 

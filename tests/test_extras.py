@@ -1,6 +1,7 @@
 """Remote backend, detail records, literal tables, first-n examples, job summary."""
 
 import json
+import tempfile
 import os
 import sys
 
@@ -118,3 +119,35 @@ def test_token_count(spark):
     assert [r[0] for r in df.select(token_count(F.col("t"), WhitespaceCounter())).collect()] == [3, 0, 0]
     chars = CallableCounter(lambda s: list(s))
     assert [r[0] for r in df.select(token_count(F.col("t"), chars)).collect()] == [8, 0, 0]
+
+
+def test_checkpoint_dir_only_set_when_unset():
+    from critloom.session import checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+    class SC:
+        def __init__(self, current, conf):
+            self.current, self.conf, self.set_to = current, Conf(conf), None
+
+        def getCheckpointDir(self):
+            return self.current
+
+        def getConf(self):
+            return self.conf
+
+        def setCheckpointDir(self, d):
+            self.set_to = self.current = d
+
+    class S:
+        def __init__(self, sc):
+            self.sparkContext = sc
+
+    sc = SC("hdfs://shared/ckpt/abc", {})
+    assert checkpoint_dir(S(sc)) == "hdfs://shared/ckpt/abc" and sc.set_to is None   # cluster: only read
+    sc = SC(None, {"spark.checkpoint.dir": "hdfs://shared/ckpt"})
+    assert checkpoint_dir(S(sc)) == "hdfs://shared/ckpt"                             # named, not yet applied
+    sc = SC(None, {})
+    assert checkpoint_dir(S(sc)).startswith(tempfile.gettempdir())                  # unset: tests only
