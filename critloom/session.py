@@ -95,7 +95,7 @@ def ship_package(spark: SparkSession | None = None) -> None:
     """
     import zipfile  # noqa: PLC0415
 
-    spark = spark or SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession() or getattr(SparkSession, "_instantiatedSession", None)
     if spark is None:
         return
     sc = spark.sparkContext

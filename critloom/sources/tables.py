@@ -11,9 +11,11 @@ from ..functions import texts as X
 from ..functions.text import category_or_default
 from ..operators.history import first_by_role
 from ..schemas import EVAL_EXAMPLES
+from ..session import ship_package
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)  # model columns built on this table run code from this package
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
