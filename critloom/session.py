@@ -28,7 +28,8 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
     split = max(16 << 20, min(target_partition_bytes, input_bytes // max(1, 2 * total_cores)))
     shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(shuffle),
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 128 << 20))}
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 128 << 20)),
+            "spark.sql.execution.arrow.maxRecordsPerBatch": JOB_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"]}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "critloom",
