@@ -34,6 +34,7 @@ from .sources.jobs import read_published, write_job
 from .sources.tables import (eval_examples_from_benchmark, questions, questions_from_conversations,
                              questions_from_documents, read_table)
 from .streaming.merge import incremental_merge as incremental_merge_stream
+from .streaming.evaluate import eval_history_stream
 from .streaming.merge import read_merged
 
 MODEL = StubModel()
@@ -359,6 +360,16 @@ def eval_history(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics, ["value"])
 
 
+def eval_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """C8 as a stream: each step's answers land as one directory and are judged on arrival."""
+    answers = _step_answers(spark, sf)
+    root, det, met, ck = (scratch_path(spark, n) for n in ("answers", "details", "metrics", "eval-ckpt"))
+    for s in EVAL_STEPS:
+        answers.filter(F.col("step") == s).write.parquet(f"{root}/step={s}")
+        eval_history_stream(spark, root, JUDGE, det, met, ck)
+    return rounded(spark.read.parquet(met).select("step", "category", "metric", "value"), ["value"])
+
+
 def best_step(spark: SparkSession, sf: str) -> DataFrame:
     """The step with the best mean score (ties to the lowest step)."""
     metrics, _ = eval_history_plan(_step_answers(spark, sf), JUDGE)
@@ -424,6 +435,7 @@ QUERIES = {
     "extract_score": extract_score_q,
     "judged_eval": judged_eval,
     "eval_history": eval_history,
+    "eval_stream": eval_stream,
     "best_step": best_step,
     "pair_reward": pair_reward,
     "group_advantage": group_advantage,

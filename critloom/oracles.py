@@ -378,6 +378,7 @@ def oracle_sql() -> dict[str, str]:
     o["extract_score"] = f"SELECT src, id, {score('text')} AS score, {score_source('text')} AS score_source FROM ({texts})"
     o["judged_eval"] = _metrics(_judged(f"SELECT 0 AS step, * FROM ({ans})"))
     o["eval_history"] = _metrics(_judged(_step_answers()))
+    o["eval_stream"] = o["eval_history"]
     o["best_step"] = (
         f"WITH d AS ({_judged(_step_answers())}), o AS (SELECT step, avg(score) AS v FROM d GROUP BY step) "
         f"SELECT '{X.METRIC_PREFIX}score' AS metric, CAST(step AS BIGINT) AS best_step, round(v, 6) AS best_value, "

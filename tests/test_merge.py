@@ -53,3 +53,24 @@ def test_incremental_merge(spark, tmp_dir):
     incremental_merge(spark, jobs, target, ck, PREFERENCES)
     out = read_merged(spark, target, PREFERENCES)
     assert out.count() == 9 and sorted(r["job_id"] for r in out.select("job_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_streaming_eval_history(spark, tmp_dir):
+    from critloom.operators.model import StubJudge
+    from critloom.plans.evaluate import eval_history
+    from critloom.streaming.evaluate import ANSWERS, eval_history_stream
+
+    root, det, met, ck = (os.path.join(tmp_dir, d) for d in ("answers", "details", "metrics", "ck"))
+    rows = [(s, i, f"q{i}", ["a", "b", None][i % 3], f"answer {s} {i}") for s in (200, 400) for i in range(6)]
+    answers = spark.createDataFrame(rows, ANSWERS)
+    answers.filter("step = 200").write.parquet(os.path.join(root, "step=200"))
+    eval_history_stream(spark, root, StubJudge(), det, met, ck)
+    answers.filter("step = 400").write.parquet(os.path.join(root, "step=400"))
+    eval_history_stream(spark, root, StubJudge(), det, met, ck)
+    eval_history_stream(spark, root, StubJudge(), det, met, ck)          # nothing new
+    got = sorted((r["step"], r["category"] or "", r["metric"], round(r["value"], 9))
+                 for r in spark.read.parquet(met).collect())
+    want_m, _ = eval_history(answers, StubJudge())
+    want = sorted((r["step"], r["category"] or "", r["metric"], round(r["value"], 9)) for r in want_m.collect())
+    assert got == want
+    assert spark.read.parquet(det).count() == 12
