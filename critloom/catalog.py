@@ -367,7 +367,8 @@ def eval_stream(spark: SparkSession, sf: str) -> DataFrame:
     for s in EVAL_STEPS:
         answers.filter(F.col("step") == s).write.parquet(f"{root}/step={s}")
         eval_history_stream(spark, root, JUDGE, det, met, ck)
-    return rounded(spark.read.parquet(met).select("step", "category", "metric", "value"), ["value"])
+    return rounded(spark.read.parquet(met).select(F.col("step").cast("bigint").alias("step"), "category", "metric",
+                                                  "value"), ["value"])
 
 
 def best_step(spark: SparkSession, sf: str) -> DataFrame:

@@ -59,11 +59,13 @@ def eval_history(answers: DataFrame, judge_backend: Backend, details_path: str |
     if details_path is None:
         return eval_metrics(details), details
     append_details(details, details_path)
-    written = details.sparkSession.read.parquet(details_path)
+    # Partition discovery reads ``step`` back as int: restore the declared bigint.
+    written = details.sparkSession.read.parquet(details_path).withColumn("step", F.col("step").cast("bigint"))
     metrics = eval_metrics(written)
     if metrics_path is not None:
         append_metrics(metrics, metrics_path)
-        metrics = details.sparkSession.read.parquet(metrics_path).select("step", "category", "metric", "value")
+        metrics = details.sparkSession.read.parquet(metrics_path).select(
+            F.col("step").cast("bigint").alias("step"), "category", "metric", "value")
     return metrics, written
 
 
