@@ -12,6 +12,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, (float, decimal.Decimal)) and not isinstance(v, bool):
         return round(float(v), 6)
@@ -42,6 +45,8 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(E.oracle_sql()[name])
     ocols = rel.columns
     assert sorted(ocols) == cols
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(ocols, rel.types)}
     order = sorted(range(len(ocols)), key=lambda i: ocols[i])
     want = sorted((tuple(_norm(r[i]) for i in order) for r in rel.fetchall()), key=_key)
     assert got == want
