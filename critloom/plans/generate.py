@@ -168,14 +168,8 @@ def generation_job(questions: DataFrame, out_dir: str, backend: Backend,
     observed = prefs.observe(obs, F.count(F.lit(1)).alias("datapoints"),
                              F.count(F.when(F.col("turn") == 0, F.lit(1))).alias("conversations"),
                              F.sum(F.size("errors")).alias("errors"))
-    spark = questions.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (observed.withColumn("job", F.col("job_id")).write.mode("overwrite")
-         .partitionBy("job").parquet(out_dir))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (observed.withColumn("job", F.col("job_id")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("job").parquet(out_dir))
     m = obs.get
     return {"datapoints": int(m.get("datapoints") or 0), "conversations": int(m.get("conversations") or 0),
             "errors": int(m.get("errors") or 0), "rounds_per_conversation": cfg.num_turns,

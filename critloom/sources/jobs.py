@@ -101,13 +101,8 @@ def _write_steps(df: DataFrame, path: str) -> None:
     Dynamic partition overwrite makes the write idempotent per step, so re-running a failed
     evaluation never duplicates its rows, while other steps stay untouched.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("step").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("step").parquet(path))
 
 
 def append_details(details: DataFrame, path: str) -> None:

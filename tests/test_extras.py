@@ -65,6 +65,9 @@ def test_generation_job_summary_and_dirs(spark, tmp_dir):
     dirs = list_dirs(spark, out + "/job=*")
     assert [d.rsplit("/", 1)[1] for d in dirs] == ["job=0", "job=1"]
     assert spark.read.parquet(dirs[0]).select("job_id").distinct().first()[0] == 0
+    # re-running job 1 alone replaces its directory and leaves job 0 untouched
+    generation_job(q.filter("job_id = 1 AND question_id = 1"), out, StubModel(), GenerationConfig())
+    assert spark.read.parquet(dirs[0]).count() == 6 and spark.read.parquet(dirs[1]).count() == 1
 
 
 def test_step_tables_are_idempotent(spark, tmp_dir):
