@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import prompts as P
-from .functions import texts as X
 from .functions.scoring import with_score
 from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo
 from .operators.aggregate import best_step as best_step_op
