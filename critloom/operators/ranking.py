@@ -9,7 +9,6 @@ push into the scan.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -67,13 +66,6 @@ def split_hash(seed: int | str, key_cols: Sequence[str]) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), _key_string(key_cols)))
 
 
-def test_count(n: int, test_size: float | int) -> int:
-    """Test rows for ``n`` rows: an int is a count, a float a fraction rounded up."""
-    if isinstance(test_size, int) and not isinstance(test_size, bool) and test_size >= 1:
-        return min(n, test_size)
-    return int(math.ceil(float(test_size) * n))
-
-
 def split_boundary(df: DataFrame, key_cols: Sequence[str], test_size: float | int = 0.1,
                    seed: int | str = 42) -> tuple[str, str] | None:
     """The largest ``(hash, key)`` that is still in the test part, or None if it is empty."""
@@ -93,8 +85,9 @@ def exact_split(df: DataFrame, key_cols: Sequence[str], test_size: float | int =
                 seed: int | str = 42, column: str = "split") -> DataFrame:
     """L1: seeded, disjoint, complete, exact-size split (``ceil(test_size·n)`` test rows).
 
-    Rows are ordered by ``md5(seed:key)`` then the key; the first part is ``test``. Keys must
-    be unique. The test flag is a comparison with one boundary, so no row is shuffled.
+    Rows are ordered by ``md5(seed:key)`` then the key; the first part is ``test``. The key
+    columns must identify a row. The test flag is a comparison with one boundary, so no row is
+    shuffled. ``test_size`` ≥ 1 (an int) is a row count, otherwise a fraction rounded up.
     """
     b = split_boundary(df, key_cols, test_size, seed)
     if b is None:
@@ -136,7 +129,11 @@ def _range_buckets(df: DataFrame, order_col: str, n_buckets: int) -> _RangeBucke
 
 def order_values_at(df: DataFrame, order_col: str, positions: Sequence[int],
                     n_buckets: int = 65536) -> dict[int, int]:
-    """Values of an integer key at 1-based positions of its ascending order (key unique)."""
+    """Values of an integer key at 1-based positions of its ascending order (key unique).
+
+    Rows with a null key have no place in the order and are not counted.
+    """
+    df = df.filter(F.col(order_col).isNotNull())
     rb = _range_buckets(df, order_col, n_buckets)
     if rb is None:
         return {}
@@ -146,7 +143,7 @@ def order_values_at(df: DataFrame, order_col: str, positions: Sequence[int],
 def slice_rows(df: DataFrame, order_col: str, start: int, length: int) -> DataFrame:
     """Rows ``[start, start+length)`` of the ascending order of a unique integer key.
 
-    A short table yields fewer rows (no error past the end).
+    A short table yields fewer rows (no error past the end); null keys are never selected.
     """
     if length <= 0:
         return df.limit(0)
@@ -162,8 +159,8 @@ def slice_rows(df: DataFrame, order_col: str, start: int, length: int) -> DataFr
 def assign_jobs(df: DataFrame, order_col: str, rows_per_job: int, column: str = "job_id",
                 offset: int = 0) -> DataFrame:
     """Job ``j`` gets rows ``[offset + j·w, offset + (j+1)·w)`` of the key order; earlier rows
-    are dropped (already generated), every later row gets a job."""
-    n = df.count()
+    are dropped (already generated), every later row gets a job (null keys get none)."""
+    n = df.filter(F.col(order_col).isNotNull()).count()
     cuts = [offset + j * rows_per_job for j in range(0, max(0, -(-(n - offset) // rows_per_job)) + 1)]
     vals = order_values_at(df, order_col, [c + 1 for c in cuts if c < n])
     starts = [(j, vals[c + 1]) for j, c in enumerate(cuts) if c + 1 in vals]

@@ -85,3 +85,10 @@ def test_group_rank_hot_group(spark):
     ref = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     want = {(r["g"], r["o"]): r["rank"] for r in ref.collect()}
     assert got == want
+
+
+def test_null_keys_have_no_position(spark):
+    df = spark.createDataFrame([(None,), (None,)] + [(i,) for i in range(10)], "k long")
+    assert [r["k"] for r in slice_rows(df, "k", 0, 3).orderBy("k").collect()] == [0, 1, 2]
+    jobs = assign_jobs(df, "k", 5)
+    assert jobs.count() == 10 and jobs.filter("k IS NULL").count() == 0
