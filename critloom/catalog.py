@@ -34,7 +34,7 @@ from .sources.tables import (eval_examples_from_benchmark, questions, questions_
                              questions_from_documents, read_table)
 from .streaming.merge import incremental_merge as incremental_merge_stream
 from .streaming.evaluate import eval_history_stream
-from .streaming.merge import read_merged
+from .streaming.merge import incremental_merge_by_key, read_merged
 
 MODEL = StubModel()
 JUDGE = StubJudge()
@@ -274,6 +274,20 @@ def incremental_merge(spark: SparkSession, sf: str) -> DataFrame:
     return _merge_out(read_merged(spark, target, PREFERENCES))
 
 
+def incremental_merge_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """X1 by key: jobs land one after another and job 0 is generated twice; each row key is
+    published exactly once."""
+    rows = _job_rows(read_table(spark, sf, "documents"))
+    jobs_root, target, ckpt = (scratch_path(spark, "jobs"), scratch_path(spark, "published"),
+                               scratch_path(spark, "merge-ckpt"))
+    for j in range(JOBS):
+        write_job(rows.filter(F.col("job_id") == j).drop("job_id"), jobs_root, j)
+        if j == 1:
+            write_job(rows.filter(F.col("job_id") == 0).drop("job_id"), jobs_root, 0)  # job 0 again
+        incremental_merge_by_key(spark, jobs_root, target, ckpt, PREFERENCES)
+    return _merge_out(read_published(spark, target, PREFERENCES))
+
+
 # ---- split and training views ---------------------------------------------------------------
 
 def split_exact(spark: SparkSession, sf: str) -> DataFrame:
@@ -426,6 +440,7 @@ QUERIES = {
     "generation_job": generation_job,
     "merge_jobs": merge_jobs,
     "incremental_merge": incremental_merge,
+    "incremental_merge_keys": incremental_merge_keys,
     "split_exact": split_exact,
     "sft_view": sft_view,
     "preference_view": preference_view,

@@ -357,6 +357,7 @@ def oracle_sql() -> dict[str, str]:
               f"md5(text) AS rejected, CAST(doc_id % {JOBS} AS BIGINT) AS job_id FROM documents")
     o["merge_jobs"] = merged
     o["incremental_merge"] = merged
+    o["incremental_merge_keys"] = merged
     o["split_exact"] = f"SELECT doc_id, {split_case('CAST(doc_id AS VARCHAR)')} AS split FROM documents"
     pv = _prefs_sql(CONV_QUESTIONS, 1, 1)
     key = "CAST(question_id AS VARCHAR) || chr(31) || CAST(turn AS VARCHAR)"

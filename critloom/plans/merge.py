@@ -15,6 +15,26 @@ DEFAULT_KEY = ("question_id", "turn", "job_id")
 _JOB = re.compile(r"job=(\d+)$")
 
 
+def publish_new_rows(new: DataFrame, target: str, schema: T.StructType,
+                     key_cols: Sequence[str] = DEFAULT_KEY, job_ids: Sequence[int] | None = None) -> int:
+    """Publish the rows of ``new`` whose key is not published yet; returns the rows written.
+
+    Only the published rows of ``job_ids`` (read from ``new`` when not given; one row per job)
+    are read for the anti-join.
+    """
+    spark = new.sparkSession
+    existing = read_published(spark, target, schema)
+    to_add = new
+    if existing is not None:
+        if job_ids is None:
+            job_ids = [r[0] for r in new.select("job_id").distinct().collect()]
+        seen = existing.filter(F.col("job_id").isin(list(job_ids))).select(*key_cols)
+        to_add = new.join(seen, list(key_cols), "left_anti")
+    written = Observation("publish_new_rows")
+    publish_batch(to_add.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
+    return int(written.get.get("n") or 0)
+
+
 def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.StructType,
                key_cols: Sequence[str] = DEFAULT_KEY, idempotent: bool = True,
                count_published: bool = False) -> dict:
@@ -35,18 +55,17 @@ def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.Struc
     loaded = Observation("merge_loaded")
     new = new.observe(loaded, F.count(F.lit(1)).alias("_all"),
                       *[F.count_if(F.col("job_id") == j).alias(str(j)) for j in job_ids])
-    existing = read_published(spark, target, schema)
     before = None
-    to_add: DataFrame = new
-    if existing is not None:
-        before = existing.count() if count_published else None
-        if idempotent:
-            # Only the published rows of the jobs being merged can collide.
-            seen = existing.filter(F.col("job_id").isin(job_ids)).select(*key_cols)
-            to_add = new.join(seen, list(key_cols), "left_anti")
-    written = Observation("merge_written")
-    publish_batch(to_add.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
+    if count_published:
+        existing = read_published(spark, target, schema)
+        before = existing.count() if existing is not None else 0
+    if idempotent:
+        n_written = publish_new_rows(new, target, schema, key_cols, job_ids)
+    else:
+        written = Observation("merge_written")
+        publish_batch(new.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
+        n_written = int(written.get.get("n") or 0)
     counts = loaded.get
     return {"jobs_found": len(dirs), "loaded_per_job": {str(j): int(counts.get(str(j)) or 0) for j in job_ids},
-            "loaded": int(counts.get("_all") or 0), "written": int(written.get.get("n") or 0),
+            "loaded": int(counts.get("_all") or 0), "written": n_written,
             "published_before": before}

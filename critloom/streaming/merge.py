@@ -1,16 +1,27 @@
 """Incremental merge (X1): each finished job directory is appended exactly once.
 
 A file-stream source over the job directories remembers which files it has read in its
-checkpoint; the file sink commits each micro-batch atomically through its own log. Run it
-with ``availableNow`` after every job (or continuously): a re-run adds nothing, a new job
-directory adds only its own rows.
+checkpoint. Two sinks:
+
+* ``incremental_merge``: the file sink, which commits each micro-batch atomically through
+  its own log. Exactly once per *file*: a re-run adds nothing, a new job directory adds only
+  its own rows.
+* ``incremental_merge_by_key``: ``foreachBatch`` publishing only rows whose key is new
+  (the batch merge's rule). Exactly once per *row key*: a job directory generated again, or
+  a micro-batch replayed after a failure, adds nothing.
+
+Run either with ``availableNow`` after every job, or continuously.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..plans.merge import DEFAULT_KEY, publish_new_rows
+
 
 def incremental_merge(spark: SparkSession, jobs_root: str, target: str, checkpoint: str,
                       schema: T.StructType) -> int:
@@ -26,3 +37,22 @@ def incremental_merge(spark: SparkSession, jobs_root: str, target: str, checkpoi
 def read_merged(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """The merged table as committed by the sink (files listed in its log only)."""
     return spark.read.schema(schema).parquet(target)
+
+
+def incremental_merge_by_key(spark: SparkSession, jobs_root: str, target: str, checkpoint: str,
+                             schema: T.StructType, key_cols: Sequence[str] = DEFAULT_KEY) -> int:
+    """Publish new job files, keeping only rows whose key is not published; returns batches run.
+
+    The published table is the same append-only ``batch=<n>`` layout as the batch merge
+    (read it with ``sources.jobs.read_published``).
+    """
+
+    def per_batch(batch: DataFrame, _batch_id: int) -> None:
+        publish_new_rows(batch, target, schema, key_cols)
+
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
+              .parquet(f"{jobs_root.rstrip('/')}/job=*"))
+    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return len(q.recentProgress)

@@ -74,3 +74,16 @@ def test_streaming_eval_history(spark, tmp_dir):
     want = sorted((r["step"], r["category"] or "", r["metric"], round(r["value"], 9)) for r in want_m.collect())
     assert got == want
     assert spark.read.parquet(det).count() == 12
+
+
+def test_incremental_merge_by_key_survives_regenerated_jobs(spark, tmp_dir):
+    from critloom.streaming.merge import incremental_merge_by_key
+    jobs, target, ck = (os.path.join(tmp_dir, d) for d in ("jobs", "pub", "ck"))
+    write_job(_rows(spark, [1, 2, 3]), jobs, 0)
+    incremental_merge_by_key(spark, jobs, target, ck, PREFERENCES)
+    write_job(_rows(spark, [1, 2, 3]), jobs, 0)          # job 0 generated again: new files, same keys
+    write_job(_rows(spark, [4, 5]), jobs, 1)
+    incremental_merge_by_key(spark, jobs, target, ck, PREFERENCES)
+    incremental_merge_by_key(spark, jobs, target, ck, PREFERENCES)
+    out = read_published(spark, target, PREFERENCES)
+    assert out.count() == 5 and out.select("question_id").distinct().count() == 5
