@@ -235,15 +235,17 @@ def generation_job(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _job_rows(docs: DataFrame) -> DataFrame:
-    """Preference-shaped rows derived from documents (used as job outputs to merge)."""
-    return docs.select(
+    """Preference-shaped rows derived from documents, cut into ``JOBS`` contiguous id ranges
+    of equal size (the job slices); used as job outputs to merge."""
+    n = docs.count()
+    sliced = assign_jobs(docs, "doc_id", max(1, -(-n // JOBS)))
+    return sliced.select(
         F.col("doc_id").alias("question_id"), F.lit(0).alias("turn"), content_id("text").alias("conversation_id"),
         F.col("text").alias("question"), F.lit(None).cast(PREFERENCES["messages"].dataType).alias("messages"),
         F.col("lang").alias("category"), F.md5("text").alias("initial_response"),
         *[F.array().cast("array<string>").alias(c) for c in
           ("critique_requests", "critiques", "revision_requests", "revisions")],
-        F.col("text").alias("chosen"), F.md5("text").alias("rejected"),
-        F.pmod(F.col("doc_id"), F.lit(JOBS)).cast("int").alias("job_id"))
+        F.col("text").alias("chosen"), F.md5("text").alias("rejected"), F.col("job_id").cast("int").alias("job_id"))
 
 
 def _merge_out(df: DataFrame) -> DataFrame:

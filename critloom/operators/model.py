@@ -139,9 +139,10 @@ class TransformersBackend(Backend):
     """A Hugging Face text-generation pipeline; only usable where ``transformers`` is installed."""
 
     def __init__(self, model_name: str, max_new_tokens: int = 512, temperature: float = 0.5,
-                 batch_size: int = 8):
+                 batch_size: int = 8, dtype: str | None = "float16", do_sample: bool = True):
         self.model_name, self.max_new_tokens = model_name, max_new_tokens
         self.temperature, self.batch_size = temperature, batch_size
+        self.dtype, self.do_sample = dtype, do_sample
 
     def cache_key(self) -> str:
         return f"hf:{self.model_name}:{self.max_new_tokens}:{self.temperature}"
@@ -151,9 +152,13 @@ class TransformersBackend(Backend):
         tok = AutoTokenizer.from_pretrained(self.model_name)
         tok.pad_token = tok.eos_token
         tok.padding_side = "left"
+        kwargs = {}
+        if self.dtype:
+            import torch  # noqa: PLC0415
+            kwargs["dtype"] = getattr(torch, self.dtype)
         return pipeline("text-generation", model=self.model_name, tokenizer=tok,
-                        max_new_tokens=self.max_new_tokens, do_sample=True,
-                        temperature=self.temperature, model_kwargs={"device_map": "auto"})
+                        max_new_tokens=self.max_new_tokens, do_sample=self.do_sample,
+                        temperature=self.temperature, model_kwargs={"device_map": "auto"}, **kwargs)
 
     def generate_batch(self, messages_list):  # pragma: no cover
         pipe = _resource(self)

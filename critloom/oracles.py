@@ -354,7 +354,8 @@ def oracle_sql() -> dict[str, str]:
                 f"ceil(count(*) OVER () / {JOBS})) AS BIGINT) AS job_id FROM ({DOC_QUESTIONS})")
     o["generation_job"] = f"{_prefs_sql(jobs_src, 1, 1, ['job_id'])} SELECT {PREF_COLS}, job_id FROM prefs"
     merged = (f"SELECT doc_id AS question_id, CAST(0 AS BIGINT) AS turn, lang AS category, text AS chosen, "
-              f"md5(text) AS rejected, CAST(doc_id % {JOBS} AS BIGINT) AS job_id FROM documents")
+              f"md5(text) AS rejected, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / "
+              f"ceil(count(*) OVER () / {JOBS})) AS BIGINT) AS job_id FROM documents")
     o["merge_jobs"] = merged
     o["incremental_merge"] = merged
     o["incremental_merge_keys"] = merged
