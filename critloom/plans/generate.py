@@ -113,7 +113,7 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
         F.col("category").cast("string").alias("category"),
         F.col("text").alias("_q0"),
         F.array().cast(MESSAGES).alias("_hist"),
-        F.array().cast(f"array<struct<turn:int,question:string,messages:{MESSAGES.simpleString()},"
+        F.array().cast(f"array<struct<turn:int,question:string,"
                        f"initial_response:string,critique_requests:{_STR_ARRAY},critiques:{_STR_ARRAY},"
                        f"revision_requests:{_STR_ARRAY},revisions:{_STR_ARRAY},chosen:string,"
                        f"rejected:string,errors:{_STR_ARRAY}>>").alias("_turns"),
@@ -135,7 +135,7 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
         df = critique_revise(df, "_hist", "_init.text", backend, cfg, turn=t)
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("assistant", F.col("revised_response")))))
         row = F.struct(
-            F.lit(t).alias("turn"), F.col("_q").alias("question"), F.col("_hist").alias("messages"),
+            F.lit(t).alias("turn"), F.col("_q").alias("question"),
             F.col("_init.text").alias("initial_response"), F.col("critique_requests"), F.col("critiques"),
             F.col("revision_requests"), F.col("revisions"), F.col("revised_response").alias("chosen"),
             F.col("_init.text").alias("rejected"),
@@ -145,10 +145,14 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
         df = df.withColumn("_turns", F.array_append("_turns", row)).drop(
             "_q", "_q_error", "_init", "critique_requests", "critiques", "revision_requests",
             "revisions", "revised_response", "_errors")
-    out = df.select("question_id", *keep, "conversation_id", "category", F.explode("_turns").alias("_t"))
+    # The history of turn t is the first 2·(t+1) messages of the final history, so the row
+    # carries one history instead of one snapshot per turn.
+    out = df.select("question_id", *keep, "conversation_id", "category", "_hist",
+                    F.explode("_turns").alias("_t"))
     return out.select(
         "question_id", F.col("_t.turn").alias("turn"), "conversation_id",
-        F.col("_t.question").alias("question"), F.col("_t.messages").alias("messages"), "category",
+        F.col("_t.question").alias("question"),
+        F.slice("_hist", 1, (F.col("_t.turn") + 1) * 2).alias("messages"), "category",
         F.col("_t.initial_response").alias("initial_response"),
         F.col("_t.critique_requests").alias("critique_requests"), F.col("_t.critiques").alias("critiques"),
         F.col("_t.revision_requests").alias("revision_requests"), F.col("_t.revisions").alias("revisions"),
