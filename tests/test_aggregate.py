@@ -36,3 +36,12 @@ def test_best_step_ties_to_lowest(spark):
     r = best_step(df).first()
     assert (r["best_step"], r["best_value"]) == (400, 8.0)
     assert best_step(df, mode="min").first()["best_step"] == 200
+
+
+def test_fixture_t2_exact(spark):
+    df = spark.createDataFrame([(200, "a", 1.0), (200, "a", 2.0), (200, "b", 4.0), (200, None, 9.0)],
+                               "step long, category string, score double")
+    m = {(r["category"], r["metric"]): r["value"] for r in eval_metrics(df).collect()}
+    assert m[(None, "teaching_quality_score")] == 4.0
+    assert m[("a", "teaching_quality_a")] == 1.5 and m[("b", "teaching_quality_b")] == 4.0
+    assert not any(k[1] == "teaching_quality_None" for k in m) and len(m) == 6
