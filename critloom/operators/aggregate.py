@@ -59,6 +59,19 @@ def eval_metrics(details: DataFrame, step: str = "step", category: str = "catego
             .select("step", "_m.category", "_m.metric", "_m.value"))
 
 
+def metrics_record(metrics: DataFrame) -> DataFrame:
+    """The flat record of each step, ``(step, metrics map<string,double>)``, for the edge only.
+
+    Names can collide (a category called ``score``); as in the flat record this replaces,
+    the category value wins in the map while the long table keeps both. A step holds a
+    handful of metrics, so its map is small.
+    """
+    one = (metrics.groupBy("step", "metric")
+           .agg(F.max_by("value", F.col("category").isNotNull().cast("int")).alias("value")))
+    return one.groupBy("step").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", "value")))).alias("metrics"))
+
+
 def best_step(metrics: DataFrame, metric: str = X.METRIC_PREFIX + "score", mode: str = "max",
               by: list[str] | None = None) -> DataFrame:
     """The step with the best value of ``metric``; ties go to the lowest step.

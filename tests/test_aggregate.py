@@ -45,3 +45,11 @@ def test_fixture_t2_exact(spark):
     assert m[(None, "teaching_quality_score")] == 4.0
     assert m[("a", "teaching_quality_a")] == 1.5 and m[("b", "teaching_quality_b")] == 4.0
     assert not any(k[1] == "teaching_quality_None" for k in m) and len(m) == 6
+
+
+def test_metrics_record_edge(spark):
+    from critloom.operators.aggregate import metrics_record
+    df = spark.createDataFrame([(1, "score", 2.0), (1, "x", 4.0)], "step long, category string, score double")
+    rec = metrics_record(eval_metrics(df)).first()
+    assert rec["metrics"]["teaching_quality_score"] == 2.0     # the category called "score" wins
+    assert rec["metrics"]["teaching_quality_x"] == 4.0 and rec["metrics"]["teaching_quality_max"] == 4.0
