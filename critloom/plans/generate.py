@@ -40,9 +40,12 @@ class GenerationConfig:
     # sampled answer is ever recomputed.
     checkpoint_stages: bool | None = None
     # Spread rows over this many tasks before the first model call. Rows are small but each
-    # carries many model calls, so byte-based partition sizing (AQE) would leave too few
-    # tasks; an explicit repartition is kept as asked. None: 2 × default parallelism for a
-    # real (non-deterministic) model, nothing for a stub; 0: never.
+    # carries many model calls, so byte-based partition sizing (AQE) would coalesce them into
+    # a few tasks (one, for a small input) and uneven scan splits would leave stragglers; an
+    # explicit repartition is kept as asked. None: 2 × default parallelism for a real model
+    # (its stages are materialized, so a task holds one Python worker). A deterministic stub
+    # keeps the natural partitioning: there the calls are cheap and chained stages would
+    # each start a Python worker per extra task (measured slower). 0: never.
     model_partitions: int | None = None
 
 
@@ -122,7 +125,8 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
     if parts is None and not backend.deterministic:
         parts = 2 * questions.sparkSession.sparkContext.defaultParallelism
     if parts:
-        df = df.repartition(parts)
+        # Hash of the unique question id: balanced, and the same assignment on a retry.
+        df = df.repartition(parts, "question_id")
     for t in range(cfg.num_turns):
         if t == 0:
             df = df.withColumns({"_q": F.col("_q0"), "_q_error": F.lit(None).cast("string")})
