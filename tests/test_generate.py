@@ -73,3 +73,23 @@ def test_model_stage_count(spark):
 def test_filter_before_model_is_pushed(spark):
     q = _questions(spark).filter(F.col("question_id") == 1)
     assert generate_preferences(q, StubModel()).count() == 1
+
+
+class _SampledStub(StubModel):
+    deterministic = False  # planned like a real model: spread rows, materialize every stage
+
+    def cache_key(self):
+        return "sampled-stub"
+
+
+def test_real_model_path_equals_fused_path(spark):
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    cfg = GenerationConfig(num_turns=2, num_revisions=1)
+    cols = ["question_id", "turn", "chosen", "rejected", "question"]
+    real = generate_preferences(_questions(spark), _SampledStub(), cfg)
+    assert real._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 0
+    fused = generate_preferences(_questions(spark), StubModel(), cfg)
+    assert sorted(real.select(cols).collect()) == sorted(fused.select(cols).collect())
