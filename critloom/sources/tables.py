@@ -19,6 +19,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def read_split(spark: SparkSession, path: str, split: str | None = "train") -> DataFrame:
+    """A dataset and one of its splits. A ``split`` partition column (``…/split=train/``)
+    is pruned at the scan; a dataset without one is a single split and is returned whole."""
+    df = spark.read.parquet(path)
+    if split is not None and "split" in df.columns:
+        df = df.filter(F.col("split") == split).drop("split")
+    return df
+
+
 def questions(df: DataFrame, id_col: str = "question_id", text_col: str = "text",
               label_col: str = "label_text") -> DataFrame:
     """``(question_id, text, category)``; ``general`` only if the label column is missing."""

@@ -154,3 +154,16 @@ def test_checkpoint_dir_only_set_when_unset():
     assert checkpoint_dir(S(sc)) == "hdfs://shared/ckpt"                             # named, not yet applied
     sc = SC(None, {})
     assert checkpoint_dir(S(sc)).startswith(tempfile.gettempdir())                  # unset: tests only
+
+
+def test_read_split_prunes_partition(spark, tmp_dir):
+    from critloom.sources.tables import read_split
+    path = os.path.join(tmp_dir, "ds")
+    df = spark.createDataFrame([(1, "a", "train"), (2, "b", "test"), (3, "c", "train")], "id long, text string, split string")
+    df.write.partitionBy("split").parquet(path)
+    tr = read_split(spark, path)
+    assert sorted(r["id"] for r in tr.collect()) == [1, 3] and "split" not in tr.columns
+    assert "PartitionFilters: [isnotnull(split" in tr._jdf.queryExecution().executedPlan().toString()
+    single = os.path.join(tmp_dir, "single")
+    df.drop("split").write.parquet(single)
+    assert read_split(spark, single).count() == 3
