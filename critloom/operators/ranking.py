@@ -188,6 +188,10 @@ def group_rank(df: DataFrame, group_cols: Sequence[str], order_col: str, column:
     digits (4,096 buckets that are uniform within every group, whatever the key
     distribution). Without it the order is the key itself in equal-width ranges. The key must
     be unique within a group.
+
+    Built for few, possibly hot groups (languages, labels, sources). With very many tiny
+    groups the offset table approaches the size of the data and a plain
+    ``row_number().over(Window.partitionBy(group))`` is the cheaper plan.
     """
     if seed is not None:
         h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(order_col).cast("string")))
