@@ -198,7 +198,7 @@ FEW_SHOT_DIALOGUES = [
 # Default evaluation questions: (prompt, category).
 DEFAULT_EVAL_EXAMPLES = [
     ("Why is it hot in summer and cold in winter? Can you help me work it out?", "conceptual"),
-    ("I'm stuck: if g(x) = 3x - 4, what is g(6)?", "math"),
+    ("Given g(x) = 3x - 4, how do I work out g(6)?", "math"),
     ("How do plants make their own food?", "science"),
     ("What is the difference between classification and clustering?", "technical"),
     ("What led to the start of the First World War?", "history"),

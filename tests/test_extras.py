@@ -42,7 +42,7 @@ def test_details_record_and_first_n(spark):
     rec = details_record(details).first()
     assert rec["step"] == 200 and len(rec["prompts"]) == 3
     assert rec["prompts"] == [p for p, _ in [("Why is it hot in summer and cold in winter? Can you help me work it out?", 0),
-                                             ("I'm stuck: if g(x) = 3x - 4, what is g(6)?", 1),
+                                             ("Given g(x) = 3x - 4, how do I work out g(6)?", 1),
                                              ("How do plants make their own food?", 2)]]
     names = {r["metric"] for r in metrics.collect()}
     assert {"teaching_quality_score", "teaching_quality_conceptual", "teaching_quality_math"} <= names
