@@ -194,6 +194,30 @@ def run_chunk(backend: Backend, rows: list, blank_batch: bool) -> list[tuple[str
         return [r for row in rows for r in run_chunk(backend, [row], True)]
 
 
+def _split_prompt(messages) -> tuple[list[dict], Column]:
+    if isinstance(messages, Prompt):
+        return [{"role": r, "content": c} for r, c in messages.prefix], messages.suffix
+    return [], messages
+
+
+def _run_rows(backend: Backend, rows: list, prefix: list[dict], blank_batch: bool) -> tuple[list, list]:
+    """Model replies (and errors) for a batch of message lists, in chunks of ``batch_size``."""
+    size = max(1, int(backend.batch_size))
+    full = [prefix + (r or []) for r in rows] if prefix else [r or [] for r in rows]
+    texts: list[str] = []
+    errors: list[str | None] = []
+    for i in range(0, len(full), size):
+        for t, e in run_chunk(backend, full[i:i + size], blank_batch):
+            texts.append(t)
+            errors.append(e)
+    return texts, errors
+
+
+def _generated_array(texts: list, errors: list) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(errors, pa.string())],
+                                      names=["text", "error"])
+
+
 def generate(messages, backend: Backend, blank_batch: bool = False) -> Column:
     """``struct<text, error>`` produced by the backend for each message list.
 
@@ -201,32 +225,43 @@ def generate(messages, backend: Backend, blank_batch: bool = False) -> Column:
     Prompt only the per-row suffix crosses into Python and the constant prefix (system
     prompt, few-shot examples) is prepended there, so it is not serialized once per row.
     """
-    size = max(1, int(backend.batch_size))
-    prefix: list[dict] = []
-    if isinstance(messages, Prompt):
-        prefix = [{"role": r, "content": c} for r, c in messages.prefix]
-        messages = messages.suffix
+    prefix, suffix = _split_prompt(messages)
 
     def _udf(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in it:
-            rows = arr.to_pylist()
-            if prefix:
-                rows = [prefix + (r or []) for r in rows]
-            texts: list[str] = []
-            errors: list[str | None] = []
-            for i in range(0, len(rows), size):
-                for t, e in run_chunk(backend, [r or [] for r in rows[i:i + size]], blank_batch):
-                    texts.append(t)
-                    errors.append(e)
-            yield pa.StructArray.from_arrays(
-                [pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=["text", "error"])
+            yield _generated_array(*_run_rows(backend, arr.to_pylist(), prefix, blank_batch))
 
     ship_package()
     # Always non-deterministic for the optimizer: a model call is expensive and must run
     # exactly once per row and stage; a deterministic UDF may be inlined into several
     # consumers (e.g. the text and the error field) and evaluated more than once.
     fn = F.arrow_udf(_udf, GENERATED).asNondeterministic()
-    return fn(messages)
+    return fn(suffix)
+
+
+def generate_map(df, messages, name: str, backend: Backend, blank_batch: bool = False, profile=None):
+    """U1 as a map stage: ``df`` plus column ``name`` (``struct<text, error>``).
+
+    Same replies as ``generate``, computed with ``mapInArrow``, which can carry a Spark
+    ``ResourceProfile``: with one, only the model stage is scheduled on executors with
+    accelerators (stage-level scheduling) while scans and shuffles stay on the others.
+    """
+    from pyspark.sql import types as TT  # noqa: PLC0415
+
+    prefix, suffix = _split_prompt(messages)
+    tmp = f"_prompt_{name}"
+    src = df.withColumn(tmp, suffix)
+    out_schema = TT.StructType(list(src.schema.fields) + [TT.StructField(name, GENERATED)])
+
+    def _map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = _generated_array(*_run_rows(backend, b.column(tmp).to_pylist(), prefix, blank_batch))
+            yield pa.RecordBatch.from_arrays(list(b.columns) + [out], names=list(b.schema.names) + [name])
+
+    ship_package()
+    mapped = src.mapInArrow(_map, out_schema, profile=profile) if profile is not None \
+        else src.mapInArrow(_map, out_schema)
+    return mapped.drop(tmp)
 
 
 def generate_text(messages, backend: Backend, blank_batch: bool = False) -> Column:

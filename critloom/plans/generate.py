@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import prompts as P
 from ..functions.text import content_id, default_if_empty
-from ..operators.model import Backend, generate
+from ..operators.model import Backend, generate, generate_map
 from ..operators.sampling import sample_principle
 from ..schemas import MESSAGES
 from ..session import materialize
@@ -47,6 +47,11 @@ class GenerationConfig:
     # keeps the natural partitioning: there the calls are cheap and chained stages would
     # each start a Python worker per extra task (measured slower). 0: never.
     model_partitions: int | None = None
+    # Run model stages as map stages (``mapInArrow``) instead of expression columns; with a
+    # Spark ``ResourceProfile`` they are scheduled on accelerator executors only (stage-level
+    # scheduling: YARN, Kubernetes, or Standalone with dynamic allocation; not local mode).
+    map_stages: bool = False
+    resource_profile: object | None = None
 
 
 def _gen(messages, backend: Backend, cfg: GenerationConfig) -> Column:
@@ -56,7 +61,10 @@ def _gen(messages, backend: Backend, cfg: GenerationConfig) -> Column:
 
 def _stage(df: DataFrame, name: str, messages, backend: Backend, cfg: GenerationConfig) -> DataFrame:
     """Add one model stage as column ``name``; materialize it if the config asks for it."""
-    df = df.withColumn(name, _gen(messages, backend, cfg))
+    if cfg.map_stages or cfg.resource_profile is not None:
+        df = generate_map(df, messages, name, backend, cfg.blank_batch, cfg.resource_profile)
+    else:
+        df = df.withColumn(name, _gen(messages, backend, cfg))
     ckpt = cfg.checkpoint_stages if cfg.checkpoint_stages is not None else not backend.deterministic
     return materialize(df) if ckpt else df
 

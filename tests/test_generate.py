@@ -93,3 +93,13 @@ def test_real_model_path_equals_fused_path(spark):
     assert real._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 0
     fused = generate_preferences(_questions(spark), StubModel(), cfg)
     assert sorted(real.select(cols).collect()) == sorted(fused.select(cols).collect())
+
+
+def test_map_stages_equal_column_stages(spark):
+    cfg_map = GenerationConfig(num_turns=2, num_revisions=2, map_stages=True)
+    cols = ["question_id", "turn", "chosen", "rejected", "question", "critiques"]
+    mapped = generate_preferences(_questions(spark), StubModel(), cfg_map)
+    plan = mapped._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    col = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=2, num_revisions=2))
+    assert sorted(mapped.select(cols).collect()) == sorted(col.select(cols).collect())
