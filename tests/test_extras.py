@@ -167,3 +167,24 @@ def test_read_split_prunes_partition(spark, tmp_dir):
     single = os.path.join(tmp_dir, "single")
     df.drop("split").write.parquet(single)
     assert read_split(spark, single).count() == 3
+
+
+def test_http_backend_bounds_concurrency_and_keeps_order():
+    import threading
+    import time as _t
+    state = {"now": 0, "peak": 0}
+    lock = threading.Lock()
+
+    def transport(url, body, headers, timeout):
+        with lock:
+            state["now"] += 1
+            state["peak"] = max(state["peak"], state["now"])
+        _t.sleep(0.02)
+        with lock:
+            state["now"] -= 1
+        last = json.loads(body)["messages"][-1]["content"]
+        return json.dumps({"choices": [{"message": {"content": last.upper()}}]})
+
+    be = HttpChatBackend("http://x.invalid", "m", concurrency=3, transport=transport)
+    out = be.generate_batch([[{"role": "user", "content": f"q{i}"}] for i in range(12)])
+    assert out == [f"Q{i}" for i in range(12)] and state["peak"] <= 3
