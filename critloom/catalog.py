@@ -19,6 +19,7 @@ from .operators.history import assemble_history, history_snapshots, last_by_role
 from .operators.model import StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, generate_text, score
 from .operators.preference import gold_pairs, group_advantage as group_advantage_op
 from .operators.preference import pair_rewards, principle_preference as principle_preference_op
+from .operators.preference import reward_accuracy
 from .operators.ranking import assign_jobs, exact_split, slice_rows
 from .operators.sampling import pick_index, sample_principle as sample_principle_op
 from .plans.evaluate import answer, eval_history as eval_history_plan, judged_eval as judged_eval_plan
@@ -408,6 +409,12 @@ def pair_reward(spark: SparkSession, sf: str) -> DataFrame:
                             "margin", "correct"), ["reward_chosen", "reward_rejected", "margin"])
 
 
+def reward_accuracy_q(spark: SparkSession, sf: str) -> DataFrame:
+    """C9 summary: per language, how often the reward prefers the gold chosen answer."""
+    s = reward_accuracy(pair_rewards(_pairs(spark, sf), SCORER), ["lang"])
+    return rounded(s.withColumn("n_pairs", F.col("n_pairs").cast("bigint")), ["accuracy", "mean_margin"])
+
+
 def group_advantage(spark: SparkSession, sf: str) -> DataFrame:
     """Group-relative advantage of documents' rewards within their source."""
     d = read_table(spark, sf, "documents").select("doc_id", "source", "text")
@@ -455,6 +462,7 @@ QUERIES = {
     "eval_stream": eval_stream,
     "best_step": best_step,
     "pair_reward": pair_reward,
+    "reward_accuracy": reward_accuracy_q,
     "group_advantage": group_advantage,
     "principle_preference": principle_preference,
 }

@@ -389,6 +389,10 @@ def oracle_sql() -> dict[str, str]:
         f"{_pairs()}, r AS (SELECT *, {reward('prompt', 'chosen')} AS rc, {reward('prompt', 'rejected')} AS rr FROM "
         f"pairs) SELECT lang, CAST(rank AS BIGINT) AS rank, chosen_id, rejected_id, round(rc, 6) AS reward_chosen, "
         f"round(rr, 6) AS reward_rejected, round(rc - rr, 6) AS margin, (rc - rr) > 0 AS correct FROM r")
+    o["reward_accuracy"] = (
+        f"{_pairs()}, r AS (SELECT *, {reward('prompt', 'chosen')} - {reward('prompt', 'rejected')} AS margin FROM "
+        f"pairs) SELECT lang, CAST(count(*) AS BIGINT) AS n_pairs, round(avg(CASE WHEN margin > 0 THEN 1.0 ELSE 0.0 "
+        f"END), 6) AS accuracy, round(avg(margin), 6) AS mean_margin FROM r GROUP BY lang")
     o["group_advantage"] = (
         f"WITH d AS (SELECT doc_id, source, {reward('source', 'text')} AS reward FROM documents), st AS (SELECT source,"
         f" avg(reward) AS m, coalesce(stddev_samp(reward), 0.0) AS sd, count(*) AS n FROM d GROUP BY source) "
