@@ -51,6 +51,7 @@ SPLIT_SEED, SPLIT_TEST_SIZE = 42, 0.1
 GEN_SEED = 7
 FLAGSHIP_ROUNDS = 2
 MULTI_TURNS, MULTI_ROUNDS = 3, 2
+CHAIN_ROUNDS = 3
 JOBS = 3
 EVAL_STEPS = [200, 400, 600]
 PAIR_PROMPT = "Write a short passage in the language with code "
@@ -224,6 +225,12 @@ def multi_turn(spark: SparkSession, sf: str) -> DataFrame:
     return _pref_out(generate_preferences(_conversation_questions(spark, sf), MODEL, cfg))
 
 
+def chained_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 with ``chain=True``: each of three rounds critiques the previous rewrite."""
+    cfg = GenerationConfig(num_revisions=CHAIN_ROUNDS, seed=GEN_SEED, chain=True)
+    return _pref_out(generate_preferences(_conversation_questions(spark, sf), MODEL, cfg))
+
+
 def generation_job(spark: SparkSession, sf: str) -> DataFrame:
     """Every document in three job slices, written per job and read back."""
     qs = questions(questions_from_documents(read_table(spark, sf, "documents")))
@@ -446,6 +453,7 @@ QUERIES = {
     "reply_extract": reply_extract,
     "generate_batch": generate_batch,
     "multi_turn": multi_turn,
+    "chained_rounds": chained_rounds,
     "generation_job": generation_job,
     "merge_jobs": merge_jobs,
     "incremental_merge": incremental_merge,

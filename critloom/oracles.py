@@ -6,7 +6,7 @@ the Spark result (computed through the Arrow model column) can be checked value
 
 from __future__ import annotations
 
-from .catalog import (EVAL_STEPS, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT, PAIR_SEED,
+from .catalog import (CHAIN_ROUNDS, EVAL_STEPS, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT, PAIR_SEED,
                       SAMPLE_ROUNDS, SLICE_LENGTH, SLICE_START, SPLIT_SEED, SPLIT_TEST_SIZE)
 from .functions import prompts as P
 from .functions import texts as X
@@ -193,7 +193,8 @@ EXAMPLES = ("SELECT item_id AS ord, text AS prompt, "
 
 # ---- generation (C1/C2) as a chain of CTEs -------------------------------------------------
 
-def generation_ctes(source: str, turns: int, rounds: int, seed: int, keep: list[str] | None = None) -> tuple[str, str]:
+def generation_ctes(source: str, turns: int, rounds: int, seed: int, keep: list[str] | None = None,
+                    chain: bool = False) -> tuple[str, str]:
     """CTEs computing the generation; returns (WITH-body, final SELECT producing the preference rows)."""
     keep = keep or []
     ctes = [f"g0 AS (SELECT question_id, {', '.join(keep) + ', ' if keep else ''}{content_id('text')} AS "
@@ -217,9 +218,10 @@ def generation_ctes(source: str, turns: int, rounds: int, seed: int, keep: list[
             add({f"h_{t}": f"list_concat(ha_{t - 1}, [{msg(q('user'), f'q_{t}')}])"})
         add({f"i_{t}": stub(teacher_prompt(f"h_{t}"))})
         for r in range(rounds):
+            base = f"v_{t}_{r - 1}" if chain and r > 0 else f"i_{t}"
             add({f"p_{t}_{r}": f"{sl_list()}[{pick(5, seed, 'question_id', str(t), str(r))} + 1]"})
-            add({f"c_{t}_{r}": stub(critique_prompt(last_content(f'h_{t}'), f'i_{t}', f'p_{t}_{r}.critique'))})
-            add({f"v_{t}_{r}": stub(revision_prompt(last_content(f'h_{t}'), f'i_{t}', f'p_{t}_{r}.critique',
+            add({f"c_{t}_{r}": stub(critique_prompt(last_content(f'h_{t}'), base, f'p_{t}_{r}.critique'))})
+            add({f"v_{t}_{r}": stub(revision_prompt(last_content(f'h_{t}'), base, f'p_{t}_{r}.critique',
                                                     f'c_{t}_{r}', f'p_{t}_{r}.revision'))})
         chosen = f"v_{t}_{rounds - 1}" if rounds else "CAST(NULL AS VARCHAR)"
         add({f"ha_{t}": f"list_concat(h_{t}, [{msg(q('assistant'), chosen)}])"})
@@ -239,8 +241,8 @@ def generation_ctes(source: str, turns: int, rounds: int, seed: int, keep: list[
     return ",\n".join(ctes), " UNION ALL ".join(selects)
 
 
-def _prefs_sql(source: str, turns: int, rounds: int, keep=None) -> str:
-    ctes, final = generation_ctes(source, turns, rounds, GEN_SEED, keep)
+def _prefs_sql(source: str, turns: int, rounds: int, keep=None, chain: bool = False) -> str:
+    ctes, final = generation_ctes(source, turns, rounds, GEN_SEED, keep, chain)
     return f"WITH {ctes}, prefs AS ({final})"
 
 
@@ -350,6 +352,7 @@ def oracle_sql() -> dict[str, str]:
                           f"{q(X.DEFAULT_STUDENT_RESPONSE)} ELSE {reply} END AS reply_or_default FROM {h}")
     o["generate_batch"] = f"SELECT conv_id, {stub(teacher_prompt('messages'))} AS reply FROM {h}"
     o["multi_turn"] = f"{_prefs_sql(CONV_QUESTIONS, MULTI_TURNS, MULTI_ROUNDS)} SELECT {PREF_COLS} FROM prefs"
+    o["chained_rounds"] = f"{_prefs_sql(CONV_QUESTIONS, 1, CHAIN_ROUNDS, chain=True)} SELECT {PREF_COLS} FROM prefs"
     jobs_src = (f"SELECT question_id, text, category, CAST(floor((row_number() OVER (ORDER BY question_id) - 1) / "
                 f"ceil(count(*) OVER () / {JOBS})) AS BIGINT) AS job_id FROM ({DOC_QUESTIONS})")
     o["generation_job"] = f"{_prefs_sql(jobs_src, 1, 1, ['job_id'])} SELECT {PREF_COLS}, job_id FROM prefs"
