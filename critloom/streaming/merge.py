@@ -48,7 +48,8 @@ def incremental_merge_by_key(spark: SparkSession, jobs_root: str, target: str, c
     """
 
     def per_batch(batch: DataFrame, _batch_id: int) -> None:
-        publish_new_rows(batch, target, schema, key_cols)
+        if not batch.isEmpty():
+            publish_new_rows(batch, target, schema, key_cols)
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
               .parquet(f"{jobs_root.rstrip('/')}/job=*"))
