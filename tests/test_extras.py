@@ -188,3 +188,23 @@ def test_http_backend_bounds_concurrency_and_keeps_order():
     be = HttpChatBackend("http://x.invalid", "m", concurrency=3, transport=transport)
     out = be.generate_batch([[{"role": "user", "content": f"q{i}"}] for i in range(12)])
     assert out == [f"Q{i}" for i in range(12)] and state["peak"] <= 3
+
+
+def test_cli_generate_and_merge(spark, tmp_dir):
+    from critloom.cli import main
+    from critloom.sources.jobs import read_published
+    src = os.path.join(tmp_dir, "q")
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr(
+        "doc_id AS question_id", "text", "lang AS label_text").write.parquet(src)
+    jobs, target = os.path.join(tmp_dir, "jobs"), os.path.join(tmp_dir, "table")
+    s0 = main(["generate", "--questions", src, "--out", jobs, "--job-id", "0", "--rows-per-job", "50",
+               "--offset", "100"], spark)
+    s1 = main(["generate", "--questions", src, "--out", jobs, "--job-id", "1", "--rows-per-job", "50",
+               "--offset", "100"], spark)
+    assert s0["datapoints"] == 50 and s1["datapoints"] == 50 and s1["rows_from"] == 150
+    ids = sorted(r[0] for r in spark.read.parquet(jobs).select("question_id").collect())
+    want = sorted(r[0] for r in spark.read.parquet(src).orderBy("question_id").collect()[100:200])
+    assert ids == want
+    m = main(["merge", "--jobs", jobs, "--target", target], spark)
+    from critloom.schemas import PREFERENCES
+    assert m["written"] == 100 and read_published(spark, target, PREFERENCES).count() == 100
