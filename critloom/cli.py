@@ -1,8 +1,8 @@
 """Command line for the two batch jobs: generate one job slice, merge job outputs.
 
-    spark-submit -m critloom.cli generate --questions DATA --out JOBS --job-id 0 \\
+    spark-submit run_job.py generate --questions DATA --out JOBS --job-id 0 \\
         --rows-per-job 2500 --offset 5000 --backend stub
-    spark-submit -m critloom.cli merge --jobs JOBS --target TABLE
+    spark-submit run_job.py merge --jobs JOBS --target TABLE
 
 Both print a one-line JSON summary (A4 / A5). The session comes from ``spark-submit`` (or
 a local one when run directly); the stage folder is read from ``spark.checkpoint.dir``.
@@ -80,7 +80,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     m.add_argument("--target", required=True)
     m.add_argument("--append", action="store_true", help="append everything (re-runs duplicate)")
     a = p.parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"critloom-{a.cmd}").getOrCreate()
+    spark = spark or (SparkSession.builder.appName(f"critloom-{a.cmd}")
+                      .config("spark.ui.enabled", "false").getOrCreate())
     out = _generate(spark, a) if a.cmd == "generate" else _merge(spark, a)
     print(json.dumps(out))
     return out
