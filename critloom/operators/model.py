@@ -166,7 +166,7 @@ class TransformersBackend(Backend):
         for resp in pipe(list(messages_list), batch_size=len(messages_list)):
             msgs = resp[0].get("generated_text", []) if isinstance(resp, list) and resp else []
             last = msgs[-1] if isinstance(msgs, list) and msgs else {}
-            out.append(last.get("content") or "" if last.get("role") == "assistant" else "")
+            out.append((last.get("content") or "") if last.get("role") == "assistant" else "")
         return out
 
 
@@ -245,13 +245,12 @@ def generate_map(df, messages, name: str, backend: Backend, blank_batch: bool =
     Same replies as ``generate``, computed with ``mapInArrow``, which can carry a Spark
     ``ResourceProfile``: with one, only the model stage is scheduled on executors with
     accelerators (stage-level scheduling) while scans and shuffles stay on the others.
+    Whole rows pass through Python here, so keep ``df`` narrow before a map stage.
     """
-    from pyspark.sql import types as TT  # noqa: PLC0415
-
     prefix, suffix = _split_prompt(messages)
     tmp = f"_prompt_{name}"
     src = df.withColumn(tmp, suffix)
-    out_schema = TT.StructType(list(src.schema.fields) + [TT.StructField(name, GENERATED)])
+    out_schema = T.StructType(list(src.schema.fields) + [T.StructField(name, GENERATED)])
 
     def _map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
