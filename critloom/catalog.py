@@ -15,7 +15,7 @@ from .functions.scoring import with_score
 from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo
 from .operators.aggregate import best_step as best_step_op
 from .operators.aggregate import rounded
-from .operators.history import assemble_history, history_snapshots, last_by_role, last_message
+from .operators.history import assemble_history, history_snapshots, last_by_role, last_message, reply_pairs
 from .operators.model import StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, generate_text, score
 from .operators.preference import gold_pairs, group_advantage as group_advantage_op
 from .operators.preference import pair_rewards, principle_preference as principle_preference_op
@@ -215,6 +215,18 @@ def critique_revise(spark: SparkSession, sf: str) -> DataFrame:
         _digest(F.col("revisions")).alias("revisions_md5"), "split")
 
 
+def turn_critiques(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 over logged conversations: every assistant reply is critiqued and rewritten under a
+    principle picked per (conversation, turn); the rewrite is ``chosen``, the reply ``rejected``."""
+    pairs = reply_pairs(read_table(spark, sf, "conversations"))
+    pairs = pairs.withColumn("_hist", F.array(P.message("user", F.col("prompt"))))
+    cfg = GenerationConfig(num_revisions=1, seed=GEN_SEED)
+    out = critique_revise_op(pairs, "_hist", "response", MODEL, cfg, key_cols=("conv_id", "turn"))
+    return out.select("conv_id", "turn", "prompt", F.col("revised_response").alias("chosen"),
+                      F.col("response").alias("rejected"), _digest(F.col("critique_requests")).alias("critique_requests_md5"),
+                      _digest(F.col("critiques")).alias("critiques_md5"))
+
+
 def _conversation_questions(spark: SparkSession, sf: str) -> DataFrame:
     return questions(questions_from_conversations(read_table(spark, sf, "conversations")))
 
@@ -440,6 +452,7 @@ def principle_preference(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "critique_revise": critique_revise,
+    "turn_critiques": turn_critiques,
     "slice_questions": slice_questions,
     "question_defaults": question_defaults,
     "conversation_ids": conversation_ids,

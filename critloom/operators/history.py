@@ -79,3 +79,21 @@ def first_by_role(turns: DataFrame, role_value: str = "user", key: str = "conv_i
     return (turns.filter(hit).groupBy(key)
             .agg(F.min_by(F.coalesce(F.col(content), F.lit("")), F.col(order)).alias("text"),
                  F.min(order).alias("turn")))
+
+
+def reply_pairs(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
+                content: str = "text") -> DataFrame:
+    """Every assistant message with the user message right before it: ``(key, turn, prompt,
+    response)``.
+
+    An equi-join on ``(key, turn - 1)``, unique on both sides, rather than a ``lag`` window
+    partitioned by conversation, so a conversation holding a third of all messages is spread
+    over the join's partitions instead of one task. Replies not preceded by a user message
+    are left out (they answer nothing).
+    """
+    replies = turns.filter(F.col(role) == "assistant").select(
+        F.col(key), F.col(order).alias("turn"), (F.col(order) - 1).alias("_prev"),
+        F.coalesce(F.col(content), F.lit("")).alias("response"))
+    asks = turns.filter(F.col(role) == "user").select(
+        F.col(key), F.col(order).alias("_prev"), F.coalesce(F.col(content), F.lit("")).alias("prompt"))
+    return replies.join(asks, [key, "_prev"]).select(key, "turn", "prompt", "response")

@@ -271,6 +271,18 @@ def _flagship() -> str:
             f"{split_case('CAST(question_id AS VARCHAR)')} AS split FROM {prev}")
 
 
+def _turn_critiques() -> str:
+    pairs = ("SELECT a.conv_id, a.turn, coalesce(u.text, '') AS prompt, coalesce(a.text, '') AS response "
+             "FROM conversations a JOIN conversations u ON u.conv_id = a.conv_id AND u.turn = a.turn - 1 "
+             "WHERE a.role = 'assistant' AND u.role = 'user'")
+    p = f"{sl_list()}[{pick(5, GEN_SEED, 'conv_id', 'turn', '0', '0')} + 1]"
+    return (f"WITH p AS (SELECT *, {p} AS p0 FROM ({pairs})), c AS (SELECT *, "
+            f"{stub(critique_prompt('prompt', 'response', 'p0.critique'))} AS c0 FROM p), v AS (SELECT *, "
+            f"{stub(revision_prompt('prompt', 'response', 'p0.critique', 'c0', 'p0.revision'))} AS v0 FROM c) "
+            f"SELECT conv_id, turn, prompt, v0 AS chosen, response AS rejected, "
+            f"{digest(['p0.critique'])} AS critique_requests_md5, {digest(['c0'])} AS critiques_md5 FROM v")
+
+
 def _step_answers() -> str:
     ctx = "list_concat([{'role': 'system', 'content': 'checkpoint ' || CAST(step AS VARCHAR)}], " \
           "[{'role': 'user', 'content': prompt}])"
@@ -313,6 +325,7 @@ def oracle_sql() -> dict[str, str]:
     h = f"({HISTORY})"
     o: dict[str, str] = {}
     o["critique_revise"] = _flagship()
+    o["turn_critiques"] = _turn_critiques()
     o["slice_questions"] = (f"SELECT question_id, text, category FROM ({DOC_QUESTIONS}) ORDER BY question_id "
                             f"LIMIT {SLICE_LENGTH} OFFSET {SLICE_START}")
     o["question_defaults"] = CONV_QUESTIONS

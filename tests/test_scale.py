@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from critloom.operators.history import first_by_role, last_by_role, last_message
+from critloom.operators.history import first_by_role, last_by_role, last_message, reply_pairs
 from critloom.operators.ranking import HASH_BUCKET_CHARS, split_hash
 from critloom.operators.sampling import pick_index
 
@@ -40,3 +40,17 @@ def test_principle_picks_are_uniform(spark):
     counts = Counter(r["p"] for r in df.collect())
     assert set(counts) == {0, 1, 2, 3, 4}
     assert all(abs(c - 10_000) < 500 for c in counts.values())  # ~5 standard deviations
+
+
+def test_reply_pairs_join_not_window(spark):
+    conv = _hot_conversations(spark)
+    pairs = reply_pairs(conv)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    got = {(r["conv_id"], r["turn"]): (r["prompt"], r["response"]) for r in pairs.collect()}
+    rows = sorted((r["conv_id"], r["turn"], r["role"], r["text"]) for r in conv.collect())
+    want = {}
+    for (c1, t1, r1, x1), (c2, t2, r2, x2) in zip(rows, rows[1:]):
+        if c1 == c2 and t2 == t1 + 1 and r1 == "user" and r2 == "assistant":
+            want[(c2, t2)] = (x1, x2)
+    assert got == want
