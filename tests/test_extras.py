@@ -208,3 +208,9 @@ def test_cli_generate_and_merge(spark, tmp_dir):
     m = main(["merge", "--jobs", jobs, "--target", target], spark)
     from critloom.schemas import PREFERENCES
     assert m["written"] == 100 and read_published(spark, target, PREFERENCES).count() == 100
+
+
+def test_empty_eval_set_has_no_metrics(spark):
+    empty = default_eval_examples(spark).limit(0)
+    metrics, details = judged_eval(empty, StubEchoModel(), StubJudge(), step=1)
+    assert metrics.count() == 0 and details.count() == 0
