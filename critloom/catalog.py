@@ -30,7 +30,7 @@ from .plans.views import preference_view as preference_view_op
 from .plans.views import sft_view as sft_view_op
 from .schemas import PREFERENCES
 from .session import materialize, scratch_path
-from .sources.jobs import read_published, write_job
+from .sources.jobs import read_published, write_job, write_jobs
 from .sources.tables import (eval_examples_from_benchmark, questions, questions_from_conversations,
                              questions_from_documents, read_table)
 from .streaming.evaluate import eval_history_stream
@@ -277,8 +277,7 @@ def merge_jobs(spark: SparkSession, sf: str) -> DataFrame:
     """Three job outputs merged twice (idempotent) into the table."""
     rows = _job_rows(read_table(spark, sf, "documents"))
     jobs_root, target = scratch_path(spark, "jobs"), scratch_path(spark, "published")
-    for j in range(JOBS):
-        write_job(rows.filter(F.col("job_id") == j).drop("job_id"), jobs_root, j)
+    write_jobs(rows, jobs_root)
     merge_jobs_plan(spark, jobs_root, target, PREFERENCES)
     merge_jobs_plan(spark, jobs_root, target, PREFERENCES)  # re-run adds nothing
     return _merge_out(read_published(spark, target, PREFERENCES))

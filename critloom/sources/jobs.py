@@ -41,6 +41,13 @@ def write_job(df: DataFrame, root: str, job_id: int) -> str:
     return path
 
 
+def write_jobs(df: DataFrame, root: str, job_col: str = "job_id") -> None:
+    """K1 for many jobs in one pass: each ``job=<j>`` directory (with ``job_id`` kept in the
+    files) is replaced by its rows; directories of jobs not in ``df`` are left alone."""
+    (df.withColumn("job", F.col(job_col)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("job").parquet(root))
+
+
 def read_job_outputs(spark: SparkSession, root: str, schema: T.StructType,
                      skip_unreadable: bool = True) -> DataFrame | None:
     """S3: all job directories under ``root`` read with one multi-path scan.
