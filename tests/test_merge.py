@@ -87,3 +87,15 @@ def test_incremental_merge_by_key_survives_regenerated_jobs(spark, tmp_dir):
     incremental_merge_by_key(spark, jobs, target, ck, PREFERENCES)
     out = read_published(spark, target, PREFERENCES)
     assert out.count() == 5 and out.select("question_id").distinct().count() == 5
+
+
+def test_interrupted_publish_is_invisible_and_dirs_sort_lexicographically(spark, tmp_dir):
+    from critloom.sources.jobs import list_dirs, publish_batch
+    target = os.path.join(tmp_dir, "pub")
+    publish_batch(_rows(spark, [1, 2]).withColumn("job_id", F.lit(0)), target)
+    _rows(spark, [9]).withColumn("job_id", F.lit(0)).write.parquet(os.path.join(target, "_tmp-crashed"))
+    assert read_published(spark, target, PREFERENCES).count() == 2
+    jobs = os.path.join(tmp_dir, "jobs")
+    for j in (2, 10, 1):
+        write_job(_rows(spark, [j]), jobs, j)
+    assert [d.rsplit("/", 1)[1] for d in list_dirs(spark, jobs + "/job=*")] == ["job=1", "job=10", "job=2"]
