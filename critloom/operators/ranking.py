@@ -166,12 +166,11 @@ def assign_jobs(df: DataFrame, order_col: str, rows_per_job: int, column: str =
     starts = [(j, vals[c + 1]) for j, c in enumerate(cuts) if c + 1 in vals]
     if not starts:
         return df.limit(0).withColumn(column, F.lit(None).cast("int"))
-    # build ascending CASE: the highest start not above the key
-    expr = None
-    for j, v in starts:
-        cond = F.col(order_col) >= F.lit(v)
-        expr = F.when(cond, F.lit(j)) if expr is None else F.when(cond, F.lit(j)).otherwise(expr)
-    return df.withColumn(column, expr.cast("int")).filter(F.col(column).isNotNull())
+    # Job = number of slice starts not above the key, minus one: one array expression whatever
+    # the number of jobs (a CASE chain would grow with it).
+    bounds = F.array(*[F.lit(v).cast("long") for _, v in starts])
+    job = F.size(F.filter(bounds, lambda b: b <= F.col(order_col).cast("long"))) - 1
+    return df.withColumn(column, job.cast("int")).filter(F.col(column) >= 0)
 
 
 # ---- skew-safe rank within groups -------------------------------------------------------
