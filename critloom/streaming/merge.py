@@ -27,7 +27,7 @@ def incremental_merge(spark: SparkSession, jobs_root: str, target: str, checkpoi
                       schema: T.StructType) -> int:
     """Process every job file not seen before and return the number of micro-batches run."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
-              .parquet(f"{jobs_root.rstrip('/')}/job=*"))
+              .option("ignoreCorruptFiles", "true").parquet(f"{jobs_root.rstrip('/')}/job=*"))
     q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(target))
     q.awaitTermination()
@@ -52,7 +52,7 @@ def incremental_merge_by_key(spark: SparkSession, jobs_root: str, target: str, c
             publish_new_rows(batch, target, schema, key_cols)
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
-              .parquet(f"{jobs_root.rstrip('/')}/job=*"))
+              .option("ignoreCorruptFiles", "true").parquet(f"{jobs_root.rstrip('/')}/job=*"))
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -99,3 +99,19 @@ def test_interrupted_publish_is_invisible_and_dirs_sort_lexicographically(spark,
     for j in (2, 10, 1):
         write_job(_rows(spark, [j]), jobs, j)
     assert [d.rsplit("/", 1)[1] for d in list_dirs(spark, jobs + "/job=*")] == ["job=1", "job=10", "job=2"]
+
+
+def test_streams_skip_unreadable_files(spark, tmp_dir):
+    from critloom.streaming.merge import incremental_merge_by_key
+    jobs = os.path.join(tmp_dir, "jobs")
+    write_job(_rows(spark, [1, 2]), jobs, 0)
+    bad = os.path.join(jobs, "job=1")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "wb") as fh:
+        fh.write(b"not parquet")
+    out1, ck1 = os.path.join(tmp_dir, "o1"), os.path.join(tmp_dir, "c1")
+    incremental_merge(spark, jobs, out1, ck1, PREFERENCES)
+    assert read_merged(spark, out1, PREFERENCES).count() == 2
+    out2, ck2 = os.path.join(tmp_dir, "o2"), os.path.join(tmp_dir, "c2")
+    incremental_merge_by_key(spark, jobs, out2, ck2, PREFERENCES)
+    assert read_published(spark, out2, PREFERENCES).count() == 2
