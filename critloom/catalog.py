@@ -399,7 +399,7 @@ def eval_stream(spark: SparkSession, sf: str) -> DataFrame:
     answers = _step_answers(spark, sf)
     root, det, met, ck = (scratch_path(spark, n) for n in ("answers", "details", "metrics", "eval-ckpt"))
     for s in EVAL_STEPS:
-        answers.filter(F.col("step") == s).write.parquet(f"{root}/step={s}")
+        answers.filter(F.col("step") == s).write.parquet(f"{root}/commit-{s}")
         eval_history_stream(spark, root, JUDGE, det, met, ck)
     return rounded(spark.read.parquet(met).select(F.col("step").cast("bigint").alias("step"), "category", "metric",
                                                   "value"), ["value"])

@@ -63,9 +63,11 @@ def test_streaming_eval_history(spark, tmp_dir):
     root, det, met, ck = (os.path.join(tmp_dir, d) for d in ("answers", "details", "metrics", "ck"))
     rows = [(s, i, f"q{i}", ["a", "b", None][i % 3], f"answer {s} {i}") for s in (200, 400) for i in range(6)]
     answers = spark.createDataFrame(rows, ANSWERS)
-    answers.filter("step = 200").write.parquet(os.path.join(root, "step=200"))
+    answers.filter("step = 200 AND ord < 3").write.parquet(os.path.join(root, "commit-1"))
     eval_history_stream(spark, root, StubJudge(), det, met, ck)
-    answers.filter("step = 400").write.parquet(os.path.join(root, "step=400"))
+    answers.filter("step = 200 AND ord >= 3").write.parquet(os.path.join(root, "commit-2"))  # same step, later
+    eval_history_stream(spark, root, StubJudge(), det, met, ck)
+    answers.filter("step = 400").write.parquet(os.path.join(root, "commit-3"))
     eval_history_stream(spark, root, StubJudge(), det, met, ck)
     eval_history_stream(spark, root, StubJudge(), det, met, ck)          # nothing new
     got = sorted((r["step"], r["category"] or "", r["metric"], round(r["value"], 9))
