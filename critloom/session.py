@@ -18,6 +18,8 @@ JOB_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows per Arrow batch sent to a model column: whole documents can be ~100 KB each.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    # Materialized model stages are removed from the stage folder once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -29,7 +31,8 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
     shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(shuffle),
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 128 << 20)),
-            "spark.sql.execution.arrow.maxRecordsPerBatch": JOB_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"]}
+            "spark.sql.execution.arrow.maxRecordsPerBatch": JOB_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"],
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "critloom",
