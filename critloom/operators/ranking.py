@@ -35,6 +35,7 @@ def _boundaries(df: DataFrame, bucket: Column, order: Sequence[Column],
             return []
         wanted = cum.withColumn("_p", F.explode(F.array(*[F.lit(int(p)) for p in positions])))
     hits = wanted.filter((F.col("_hi") - F.col("_n") < F.col("_p")) & (F.col("_p") <= F.col("_hi")))
+    # One row per wanted position (a handful), never data rows.
     targets = hits.select("_b", (F.col("_p") - (F.col("_hi") - F.col("_n"))).alias("_k"), "_p").collect()
     if not targets:
         return []
@@ -47,7 +48,7 @@ def _boundaries(df: DataFrame, bucket: Column, order: Sequence[Column],
     inside = src.select(bucket.alias("_b"), *[o.alias(n) for o, n in zip(order, names)]) \
         .filter(F.col("_b").isin(wanted_b))
     ranked = inside.withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy(*names)))
-    found = ranked.join(F.broadcast(tb), "_b").filter(F.col("_rn") == F.col("_k")).collect()
+    found = ranked.join(F.broadcast(tb), "_b").filter(F.col("_rn") == F.col("_k")).collect()  # one per position
     out = []
     for r in sorted(found, key=lambda r: r["_p"]):
         d = {n: r[n] for n in names}
@@ -120,7 +121,7 @@ class _RangeBuckets:
 
 
 def _range_buckets(df: DataFrame, order_col: str, n_buckets: int) -> _RangeBuckets | None:
-    mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()  # one row
     if mm is None or mm["lo"] is None:
         return None
     lo, hi = int(mm["lo"]), int(mm["hi"])
