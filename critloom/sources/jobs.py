@@ -78,21 +78,28 @@ def read_published(spark: SparkSession, target: str, schema: T.StructType) -> Da
     batches = published_batches(spark, target)
     if not batches:
         return None
-    return spark.read.schema(schema).parquet(*batches)
+    # ``basePath`` makes ``batch`` and ``job_id`` partition columns of one table; only the
+    # declared columns are kept (``job_id`` then prunes directories).
+    return (spark.read.schema(schema).option("basePath", target.rstrip("/")).parquet(*batches)
+            .select(*schema.fieldNames()))
 
 
-def publish_batch(df: DataFrame, target: str) -> str:
+def publish_batch(df: DataFrame, target: str, partition_col: str | None = "job_id") -> str:
     """K2: add rows as a new batch directory; nothing that is being read is overwritten.
 
     Rows go to a temporary sibling first and are renamed into place, so readers never
-    see a half-written batch.
+    see a half-written batch. Inside a batch rows are partitioned by ``partition_col``, so a
+    reader asking for some jobs (the merge's key lookup) prunes whole directories.
     """
     spark = df.sparkSession
     existing = published_batches(spark, target)
     nums = [int(_BATCH.search(b).group(1)) for b in existing if _BATCH.search(b)]
     n = (max(nums) + 1) if nums else 0
     tmp = f"{target.rstrip('/')}/_tmp-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(tmp)
+    w = df.write.mode("errorifexists")
+    if partition_col and partition_col in df.columns:
+        w = w.partitionBy(partition_col)
+    w.parquet(tmp)
     fs, src = _fs(spark, tmp)
     _, dst = _fs(spark, f"{target.rstrip('/')}/batch={n:06d}")
     if not fs.rename(src, dst):

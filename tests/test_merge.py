@@ -117,3 +117,15 @@ def test_streams_skip_unreadable_files(spark, tmp_dir):
     out2, ck2 = os.path.join(tmp_dir, "o2"), os.path.join(tmp_dir, "c2")
     incremental_merge_by_key(spark, jobs, out2, ck2, PREFERENCES)
     assert read_published(spark, out2, PREFERENCES).count() == 2
+
+
+def test_published_lookup_prunes_job_partitions(spark, tmp_dir):
+    from critloom.sources.jobs import publish_batch
+    target = os.path.join(tmp_dir, "pub")
+    publish_batch(_rows(spark, [1, 2]).withColumn("job_id", F.lit(0)), target)
+    publish_batch(_rows(spark, [3]).withColumn("job_id", F.lit(1)), target)
+    t = read_published(spark, target, PREFERENCES)
+    assert dict(t.groupBy("job_id").count().collect()) == {0: 2, 1: 1}
+    q = t.filter(F.col("job_id").isin([1]))
+    assert "PartitionFilters: [isnotnull(job_id" in q._jdf.queryExecution().executedPlan().toString()
+    assert [r["question_id"] for r in q.collect()] == [3]
