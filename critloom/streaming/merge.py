@@ -29,14 +29,14 @@ def incremental_merge(spark: SparkSession, jobs_root: str, target: str, checkpoi
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
               .option("ignoreCorruptFiles", "true").parquet(f"{jobs_root.rstrip('/')}/job=*"))
     q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start(target))
+         .partitionBy("job_id").outputMode("append").trigger(availableNow=True).start(target))
     q.awaitTermination()
     return len(q.recentProgress)
 
 
 def read_merged(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """The merged table as committed by the sink (files listed in its log only)."""
-    return spark.read.schema(schema).parquet(target)
+    return spark.read.schema(schema).parquet(target).select(*schema.fieldNames())
 
 
 def incremental_merge_by_key(spark: SparkSession, jobs_root: str, target: str, checkpoint: str,
