@@ -56,5 +56,7 @@ def test_entry(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
+    again = E.entry(spark)
+    assert again.schema == df.schema and sorted(again.collect()) == sorted(rows)  # stable schema and rows
     assert df.columns == ["question_id", "prompt", "chosen", "rejected", "critique_requests_md5", "critiques_md5",
                           "revisions_md5", "split"]
