@@ -139,10 +139,11 @@ class TransformersBackend(Backend):
     """A Hugging Face text-generation pipeline; only usable where ``transformers`` is installed."""
 
     def __init__(self, model_name: str, max_new_tokens: int = 512, temperature: float = 0.5,
-                 batch_size: int = 8, dtype: str | None = "float16", do_sample: bool = True):
+                 batch_size: int = 8, dtype: str | None = "float16", do_sample: bool = True,
+                 top_p: float | None = None):
         self.model_name, self.max_new_tokens = model_name, max_new_tokens
         self.temperature, self.batch_size = temperature, batch_size
-        self.dtype, self.do_sample = dtype, do_sample
+        self.dtype, self.do_sample, self.top_p = dtype, do_sample, top_p
 
     def cache_key(self) -> str:
         return f"hf:{self.model_name}:{self.max_new_tokens}:{self.temperature}"
@@ -153,6 +154,8 @@ class TransformersBackend(Backend):
         tok.pad_token = tok.eos_token
         tok.padding_side = "left"
         kwargs = {}
+        if self.top_p is not None:
+            kwargs["top_p"] = self.top_p
         if self.dtype:
             import torch  # noqa: PLC0415
             kwargs["dtype"] = getattr(torch, self.dtype)

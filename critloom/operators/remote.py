@@ -51,3 +51,8 @@ class HttpChatBackend(Backend):
             return [self._post(m) for m in msgs]
         with ThreadPoolExecutor(max_workers=min(self.concurrency, len(msgs))) as pool:
             return list(pool.map(self._post, msgs))
+
+
+def judge_backend(url: str, model: str, token_env: str | None = None, **kw) -> HttpChatBackend:
+    """U6 defaults: deterministic grading (temperature 0), up to 512 tokens, 60 s per call."""
+    return HttpChatBackend(url, model, temperature=0.0, max_tokens=512, timeout=60.0, token_env=token_env, **kw)

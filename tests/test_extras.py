@@ -214,3 +214,12 @@ def test_empty_eval_set_has_no_metrics(spark):
     empty = default_eval_examples(spark).limit(0)
     metrics, details = judged_eval(empty, StubEchoModel(), StubJudge(), step=1)
     assert metrics.count() == 0 and details.count() == 0
+
+
+def test_evaluation_backend_defaults():
+    from critloom.operators.remote import judge_backend
+    from critloom.plans.evaluate import answer_backend
+    j = judge_backend("http://x.invalid", "judge-model")
+    assert (j.temperature, j.max_tokens, j.timeout) == (0.0, 512, 60.0)
+    a = answer_backend("some-model")
+    assert (a.temperature, a.top_p, a.max_new_tokens) == (0.7, 0.9, 256)
