@@ -140,10 +140,13 @@ class TransformersBackend(Backend):
 
     def __init__(self, model_name: str, max_new_tokens: int = 512, temperature: float = 0.5,
                  batch_size: int = 8, dtype: str | None = "float16", do_sample: bool = True,
-                 top_p: float | None = None):
+                 top_p: float | None = None, raw_prompt: bool = False):
         self.model_name, self.max_new_tokens = model_name, max_new_tokens
         self.temperature, self.batch_size = temperature, batch_size
         self.dtype, self.do_sample, self.top_p = dtype, do_sample, top_p
+        # raw_prompt: send the last message's text as a plain completion prompt (no chat
+        # template) and return the full generated text, prompt echo included.
+        self.raw_prompt = raw_prompt
 
     def cache_key(self) -> str:
         return f"hf:{self.model_name}:{self.max_new_tokens}:{self.temperature}"
@@ -165,6 +168,10 @@ class TransformersBackend(Backend):
 
     def generate_batch(self, messages_list):  # pragma: no cover
         pipe = _resource(self)
+        if self.raw_prompt:
+            prompts = [(m[-1].get("content") or "") if m else "" for m in messages_list]
+            return [(r[0].get("generated_text") or "") if isinstance(r, list) and r else ""
+                    for r in pipe(prompts, batch_size=len(prompts))]
         out = []
         for resp in pipe(list(messages_list), batch_size=len(messages_list)):
             msgs = resp[0].get("generated_text", []) if isinstance(resp, list) and resp else []

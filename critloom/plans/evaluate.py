@@ -18,7 +18,7 @@ def answer_backend(model_name: str, **kw):
     """U7 defaults for the evaluated model: sampled at 0.7 with top-p 0.9, up to 256 new tokens
     (a ``TransformersBackend``; the raw prompt is sent without a chat template)."""
     from ..operators.model import TransformersBackend  # noqa: PLC0415
-    return TransformersBackend(model_name, max_new_tokens=256, temperature=0.7, top_p=0.9, **kw)
+    return TransformersBackend(model_name, max_new_tokens=256, temperature=0.7, top_p=0.9, raw_prompt=True, **kw)
 
 
 def first_examples(examples: DataFrame, num_examples: int | None, order: str = "ord") -> DataFrame:

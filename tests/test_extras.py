@@ -222,4 +222,4 @@ def test_evaluation_backend_defaults():
     j = judge_backend("http://x.invalid", "judge-model")
     assert (j.temperature, j.max_tokens, j.timeout) == (0.0, 512, 60.0)
     a = answer_backend("some-model")
-    assert (a.temperature, a.top_p, a.max_new_tokens) == (0.7, 0.9, 256)
+    assert (a.temperature, a.top_p, a.max_new_tokens, a.raw_prompt) == (0.7, 0.9, 256, True)
