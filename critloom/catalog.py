@@ -246,8 +246,8 @@ def chained_rounds(spark: SparkSession, sf: str) -> DataFrame:
 def generation_job(spark: SparkSession, sf: str) -> DataFrame:
     """Every document in three job slices, written per job and read back."""
     qs = questions(questions_from_documents(read_table(spark, sf, "documents")))
-    n = qs.count()
-    jobs = assign_jobs(qs, "question_id", max(1, -(-n // JOBS)))
+    n = qs.count()  # ids are never null here
+    jobs = assign_jobs(qs, "question_id", max(1, -(-n // JOBS)), n=n)
     out = scratch_path(spark, "generation")
     generation_job_plan(jobs, out, MODEL, GenerationConfig(seed=GEN_SEED))
     written = spark.read.parquet(out)
@@ -257,8 +257,8 @@ def generation_job(spark: SparkSession, sf: str) -> DataFrame:
 def _job_rows(docs: DataFrame) -> DataFrame:
     """Preference-shaped rows derived from documents, cut into ``JOBS`` contiguous id ranges
     of equal size (the job slices); used as job outputs to merge."""
-    n = docs.count()
-    sliced = assign_jobs(docs, "doc_id", max(1, -(-n // JOBS)))
+    n = docs.count()  # ids are never null here
+    sliced = assign_jobs(docs, "doc_id", max(1, -(-n // JOBS)), n=n)
     return sliced.select(
         F.col("doc_id").alias("question_id"), F.lit(0).alias("turn"), content_id("text").alias("conversation_id"),
         F.col("text").alias("question"), F.lit(None).cast(PREFERENCES["messages"].dataType).alias("messages"),

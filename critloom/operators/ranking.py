@@ -158,10 +158,12 @@ def slice_rows(df: DataFrame, order_col: str, start: int, length: int) -> DataFr
 
 
 def assign_jobs(df: DataFrame, order_col: str, rows_per_job: int, column: str = "job_id",
-                offset: int = 0) -> DataFrame:
+                offset: int = 0, n: int | None = None) -> DataFrame:
     """Job ``j`` gets rows ``[offset + j·w, offset + (j+1)·w)`` of the key order; earlier rows
-    are dropped (already generated), every later row gets a job (null keys get none)."""
-    n = df.filter(F.col(order_col).isNotNull()).count()
+    are dropped (already generated), every later row gets a job (null keys get none).
+    ``n``, the number of rows with a key, is counted unless given."""
+    if n is None:
+        n = df.filter(F.col(order_col).isNotNull()).count()
     cuts = [offset + j * rows_per_job for j in range(0, max(0, -(-(n - offset) // rows_per_job)) + 1)]
     vals = order_values_at(df, order_col, [c + 1 for c in cuts if c < n])
     starts = [(j, vals[c + 1]) for j, c in enumerate(cuts) if c + 1 in vals]
