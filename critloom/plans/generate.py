@@ -11,6 +11,7 @@ and ``rejected`` always come from the same run even when a task is retried.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -180,7 +181,7 @@ def generation_job(questions: DataFrame, out_dir: str, backend: Backend,
     directory). Returns the job summary (A4): datapoints, rounds, seconds."""
     t0 = time.perf_counter()
     prefs = generate_preferences(questions, backend, cfg)
-    obs = Observation("generation_job")
+    obs = Observation(f"generation_job-{uuid.uuid4().hex[:8]}")
     observed = prefs.observe(obs, F.count(F.lit(1)).alias("datapoints"),
                              F.count(F.when(F.col("turn") == 0, F.lit(1))).alias("conversations"),
                              F.sum(F.size("errors")).alias("errors"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,7 +31,7 @@ def publish_new_rows(new: DataFrame, target: str, schema: T.StructType,
             job_ids = [r[0] for r in new.select("job_id").distinct().collect()]  # one row per job
         seen = existing.filter(F.col("job_id").isin(list(job_ids))).select(*key_cols)
         to_add = new.join(seen, list(key_cols), "left_anti")
-    written = Observation("publish_new_rows")
+    written = Observation(f"publish_new_rows-{uuid.uuid4().hex[:8]}")
     publish_batch(to_add.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
     return int(written.get.get("n") or 0)
 
@@ -52,7 +53,7 @@ def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.Struc
     if new is None:
         return {"jobs_found": 0, "written": 0, "published_before": None}
     # Rows loaded per job and rows written, observed on the one publishing job (no extra scans).
-    loaded = Observation("merge_loaded")
+    loaded = Observation(f"merge_loaded-{uuid.uuid4().hex[:8]}")
     new = new.observe(loaded, F.count(F.lit(1)).alias("_all"),
                       *[F.count_if(F.col("job_id") == j).alias(str(j)) for j in job_ids])
     before = None
@@ -62,7 +63,7 @@ def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.Struc
     if idempotent:
         n_written = publish_new_rows(new, target, schema, key_cols, job_ids)
     else:
-        written = Observation("merge_written")
+        written = Observation(f"merge_written-{uuid.uuid4().hex[:8]}")
         publish_batch(new.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
         n_written = int(written.get.get("n") or 0)
     counts = loaded.get
