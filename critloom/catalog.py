@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from .functions import prompts as P
 from .functions.scoring import with_score
-from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo
+from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo, word_count
 from .operators.aggregate import best_step as best_step_op
 from .operators.aggregate import rounded
 from .operators.history import assemble_history, history_snapshots, last_by_role, last_message, reply_pairs
-from .operators.model import StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, generate_text, score
+from .operators.model import (StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, WhitespaceCounter,
+                              generate_text, score, token_count)
 from .operators.preference import gold_pairs, group_advantage as group_advantage_op
 from .operators.preference import pair_rewards, principle_preference as principle_preference_op
 from .operators.preference import reward_accuracy
@@ -344,6 +345,18 @@ def length_caps(spark: SparkSession, sf: str) -> DataFrame:
                     fits.alias("fits"))
 
 
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """token counts of every document and message through the pluggable counter column,
+    next to the Catalyst word count."""
+    d = read_table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
+                                                  "text")
+    c = read_table(spark, sf, "conversations").select(
+        F.lit("conversations").alias("src"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    u = d.unionByName(c)
+    return u.select("src", "id", token_count(F.col("text"), WhitespaceCounter()).alias("tokens"),
+                    word_count("text").cast("bigint").alias("words"))
+
+
 # ---- evaluation ---------------------------------------------------------------------------
 
 def _examples(spark: SparkSession, sf: str) -> DataFrame:
@@ -474,6 +487,7 @@ QUERIES = {
     "sft_view": sft_view,
     "preference_view": preference_view,
     "length_caps": length_caps,
+    "token_counts": token_counts,
     "strip_echo": strip_echo_q,
     "judge_prompt": judge_prompt_q,
     "extract_score": extract_score_q,

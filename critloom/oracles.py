@@ -323,6 +323,8 @@ def reward(prompt: str, text: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     h = f"({HISTORY})"
+    texts = ("SELECT 'documents' AS src, doc_id AS id, text FROM documents UNION ALL SELECT 'conversations', "
+             "conv_id * 1000 + turn, text FROM conversations")
     o: dict[str, str] = {}
     o["critique_revise"] = _flagship()
     o["turn_critiques"] = _turn_critiques()
@@ -386,13 +388,13 @@ def oracle_sql() -> dict[str, str]:
                         f"CAST({word_count('chosen')} AS BIGINT) AS chosen_words, CAST({word_count('rejected')} AS "
                         f"BIGINT) AS rejected_words, ({word_count('question')} <= 256 AND {word_count('question')} + "
                         f"greatest({word_count('chosen')}, {word_count('rejected')}) <= 512) AS fits FROM prefs")
+    o["token_counts"] = (f"SELECT src, id, CAST({word_count('text')} AS BIGINT) AS tokens, "
+                         f"CAST({word_count('text')} AS BIGINT) AS words FROM ({texts})")
     raw = echo_stub("[{'role': 'user', 'content': prompt}]")
     o["strip_echo"] = f"SELECT ord, raw, {strip_echo('raw', 'prompt')} AS response FROM (SELECT *, {raw} AS raw FROM ({EXAMPLES}))"
     ans = f"SELECT *, {strip_echo(raw, 'prompt')} AS response FROM ({EXAMPLES})"
     o["judge_prompt"] = (f"SELECT ord, CAST(2 AS BIGINT) AS n_messages, {judge_user('prompt', 'response')} AS "
                          f"user_text FROM ({ans})")
-    texts = ("SELECT 'documents' AS src, doc_id AS id, text FROM documents UNION ALL SELECT 'conversations', "
-             "conv_id * 1000 + turn, text FROM conversations")
     o["extract_score"] = f"SELECT src, id, {score('text')} AS score, {score_source('text')} AS score_source FROM ({texts})"
     o["judged_eval"] = _metrics(_judged(f"SELECT 0 AS step, * FROM ({ans})"))
     o["eval_history"] = _metrics(_judged(_step_answers()))
