@@ -103,3 +103,19 @@ def test_map_stages_equal_column_stages(spark):
     assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
     col = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=2, num_revisions=2))
     assert sorted(mapped.select(cols).collect()) == sorted(col.select(cols).collect())
+
+
+def test_empty_student_reply_becomes_default_question(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    from critloom.functions.texts import DEFAULT_STUDENT_RESPONSE
+    from critloom.operators.model import FunctionBackend
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    silent = FunctionBackend(lambda batch: ["" for _ in batch], batch_size=8, deterministic=True)
+    out = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=2),
+                               student_backend=silent).collect()
+    later = [r for r in out if r["turn"] == 1]
+    assert len(later) == 2 and all(r["question"] == DEFAULT_STUDENT_RESPONSE for r in later)
+    assert all(r["messages"][2]["content"] == DEFAULT_STUDENT_RESPONSE for r in later)
