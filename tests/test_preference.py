@@ -61,3 +61,16 @@ def test_principle_preference_maps_back(spark):
         first = "rejected" if r["swapped"] else "chosen"
         second = "chosen" if r["swapped"] else "rejected"
         assert r["preferred"] == (first if said == "A" else second)
+
+
+def test_unparseable_verdict_is_null(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    from critloom.operators.model import FunctionBackend
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    undecided = FunctionBackend(lambda batch: ["I cannot decide." for _ in batch], batch_size=8)
+    p = gold_pairs(_items(spark)).withColumn("prompt", F.lit("p"))
+    rows = principle_preference(p, undecided).collect()
+    assert rows and all(r["preferred"] is None for r in rows)
