@@ -3,9 +3,12 @@
 The whole conversation lives in one wide row: every turn adds columns (question, first
 answer, critiques, rewrite) and appends a struct to an ``_turns`` array that is exploded
 once at the end. Turns are never unioned: a union would re-run every earlier turn in each
-branch and, with a sampling model, pair answers from different runs. With no shuffle
-between model stages a task computes a row's whole conversation at once, so ``chosen``
-and ``rejected`` always come from the same run even when a task is retried.
+branch and, with a sampling model, pair answers from different runs.
+
+Two execution modes give the same rows. For a deterministic model the stages are fused:
+with no shuffle between them a task computes a row's whole conversation at once. For a real
+(sampling) model every stage is materialized before the next reads it. Either way ``chosen``
+and ``rejected`` always come from the same run, even when a task is retried.
 """
 
 from __future__ import annotations
