@@ -223,3 +223,18 @@ def test_evaluation_backend_defaults():
     assert (j.temperature, j.max_tokens, j.timeout) == (0.0, 512, 60.0)
     a = answer_backend("some-model")
     assert (a.temperature, a.top_p, a.max_new_tokens, a.raw_prompt) == (0.7, 0.9, 256, True)
+
+
+def test_cli_backend_specs():
+    import pytest
+
+    from critloom.cli import make_backend
+    from critloom.operators.model import StubModel, TransformersBackend
+    assert isinstance(make_backend("stub", 0.3, 512), StubModel)
+    h = make_backend("http:http://h.invalid/v1/chat/completions|judge-1", 0.0, 256)
+    assert isinstance(h, HttpChatBackend) and h.url.endswith("/completions") and h.model == "judge-1"
+    assert h.max_tokens == 256 and h.token_env == "MODEL_API_TOKEN"
+    t = make_backend("transformers:some/model", 0.3, 128)
+    assert isinstance(t, TransformersBackend) and t.model_name == "some/model" and t.max_new_tokens == 128
+    with pytest.raises(ValueError):
+        make_backend("carrier-pigeon", 0.3, 1)
