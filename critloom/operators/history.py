@@ -35,10 +35,9 @@ def history_snapshots(turns: DataFrame, key: str = "conv_id", order: str = "turn
     """
     h = assemble_history(turns, key, order, role, content)
     return (
-        h.select(key, "messages", F.posexplode(F.transform("messages", lambda m: m.getField("role")))
-                 .alias("pos", "_r"))
-        .select(key, F.col("pos").cast("bigint").alias("position"),
-                F.slice("messages", 1, F.col("pos") + 1).alias("messages"))
+        h.select(key, "messages", F.explode(F.sequence(F.lit(1), F.size("messages"))).alias("_k"))
+        .select(key, (F.col("_k") - 1).cast("bigint").alias("position"),
+                F.slice("messages", 1, F.col("_k")).alias("messages"))
     )
 
 
