@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,7 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "critloom",
-                  event_log_dir: str | None = None) -> SparkSession:
+                  event_log_dir: str | None = None, driver_memory: str = "8g") -> SparkSession:
     """A local session for tests and benches; the UI stays off."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -44,7 +45,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
     )
     for k, v in JOB_CONF.items():
@@ -59,14 +60,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared stage folder: the context's checkpoint directory, else ``spark.checkpoint.dir``.
 
-    On a cluster this names a shared file system and is only read here. Only when neither
-    is set (tests, local benches) is a folder under the local temp directory created.
+    On a cluster this names a shared file system and is only read here; without it a cluster
+    job is refused, because a folder on the driver's disk cannot be read by executors. Only
+    in local mode (tests, local benches) is a folder under the local temp directory created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not re.match(r"local($|\[)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     d = configured or tempfile.mkdtemp(prefix="critloom-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -88,6 +92,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def stage_table(df, name: str):
+    """Write ``df`` as Parquet to a fresh folder under the stage folder and continue from the files.
+
+    Like ``materialize``, but compressed and column-pruned; values that depend on the run (row
+    numbers) stay as written when executors are lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

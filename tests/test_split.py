@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from critloom.operators.ranking import assign_jobs, exact_split, group_rank, slice_rows
+from critloom.operators import ranking
+from critloom.operators.ranking import assign_jobs, exact_split, group_rank, slice_rows, value_at
 
 
 @pytest.mark.parametrize("n,expected", [(0, 0), (1, 1), (10, 1), (1000, 100)])
@@ -81,7 +82,7 @@ def test_group_rank_hot_group(spark):
     # one group holds most rows: ranks must equal a plain window
     df = spark.range(5000).select(F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(
         (F.col("id") % 10).cast("string")).alias("g"), (F.col("id") * 7 % 5003).alias("o"))
-    got = {(r["g"], r["o"]): r["rank"] for r in group_rank(df, ["g"], "o", n_buckets=16).collect()}
+    got = {(r["g"], r["o"]): r["rank"] for r in group_rank(df, ["g"], "o").collect()}
     ref = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     want = {(r["g"], r["o"]): r["rank"] for r in ref.collect()}
     assert got == want
@@ -92,3 +93,48 @@ def test_null_keys_have_no_position(spark):
     assert [r["k"] for r in slice_rows(df, "k", 0, 3).orderBy("k").collect()] == [0, 1, 2]
     jobs = assign_jobs(df, "k", 5)
     assert jobs.count() == 10 and jobs.filter("k IS NULL").count() == 0
+
+
+def test_ten_thousand_jobs_in_one_small_plan(spark):
+    df = spark.range(10_000).select((F.col("id") * 3).alias("k"))
+    few, many = assign_jobs(df, "k", 1000), assign_jobs(df, "k", 1)
+    size = [len(x._jdf.queryExecution().analyzed().toString()) for x in (few, many)]
+    assert size[1] < 1.2 * size[0]                      # nothing in the plan grows with the jobs
+    got = {r["k"]: r["job_id"] for r in many.collect()}
+    assert got == {3 * i: i for i in range(10_000)}
+
+
+def test_an_outlier_key_does_not_crowd_the_rest(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") == 7, F.lit(4 * 10**18)).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart
+    try:
+        parts = ranking._sorted_parts(df, [F.col("k")]).groupBy(F.shiftright("_mid", 33)).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(parts) > 4 and max(r["count"] for r in parts) < 6000
+    jobs = {r["job_id"]: r["count"] for r in assign_jobs(df, "k", 100).groupBy("job_id").count().collect()}
+    assert jobs == {j: 100 for j in range(200)}
+    assert value_at(df, "k", 20_000) == 4 * 10**18 and value_at(df, "k", 19_999) == 19_999 and value_at(df, "k", 8) == 8
+    assert slice_rows(df, "k", 19_998, 5).count() == 2
+
+
+@pytest.mark.parametrize("keys", [[5], [3, 3, 3], [-4, -4, 0, 9, 9, 2**62, -2**62], list(range(-50, 50, 7))])
+def test_value_at_every_position(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "k long")
+    assert [value_at(df, "k", p) for p in range(0, len(keys) + 2)] == [None, *sorted(keys), None]
+
+
+def test_split_is_exact_under_repeated_keys(spark):
+    df = spark.range(99).select((F.col("id") % 33).alias("k"), F.col("id").alias("job"))
+    for size, want in ((0.1, 10), (0.5, 50), (7, 7)):
+        out = exact_split(df, ["k"], size, 42)
+        assert out.filter("split = 'test'").count() == want and out.count() == 99
+    hot = spark.range(300).select(F.when(F.col("id") < 200, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("job"))
+    assert exact_split(hot, ["k"], 0.25, 42).filter("split = 'test'").count() == 75
+
+
+def test_identical_rows_at_the_boundary_are_refused(spark):
+    df = spark.range(99).select((F.col("id") % 33).alias("k"))
+    with pytest.raises(ValueError):
+        exact_split(df, ["k"], 0.1, 42)
+    assert exact_split(df, ["k"], 9, 42).filter("split = 'test'").count() == 9  # whole keys fit
