@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage_table
+from .ranking import row_numbers
+
 
 def assemble_history(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                      role: str = "role", content: str = "text") -> DataFrame:
@@ -82,17 +85,47 @@ def first_by_role(turns: DataFrame, role_value: str = "user", key: str = "conv_i
 
 def reply_pairs(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
                 content: str = "text") -> DataFrame:
-    """Every assistant message with the user message right before it: ``(key, turn, prompt,
-    response)``.
+    """Every assistant message with the user message right before it in its conversation:
+    ``(key, turn, prompt, response)``.
 
-    An equi-join on ``(key, turn - 1)``, unique on both sides, rather than a ``lag`` window
+    The message before is the one with the next lower turn, whatever the gap. All messages are
+    numbered by (key, turn) and joined on that number, rather than by a ``lag`` window
     partitioned by conversation, so a conversation holding a third of all messages is spread
     over the join's partitions instead of one task. Replies not preceded by a user message
-    are left out (they answer nothing).
+    are left out (they answer nothing; see ``unanswered``).
+    """
+    return _numbered_pairs(turns, key, order, role, content).drop("_pos")
+
+
+def _numbered_pairs(turns: DataFrame, key: str, order: str, role: str, content: str) -> DataFrame:
+    rows = row_numbers(turns.select(F.col(key).alias("_k"), F.col(order).alias("_t"), F.col(role).alias("_r"),
+                                    F.coalesce(F.col(content), F.lit("")).alias("_c")),
+                       [F.col("_k"), F.col("_t"), F.col("_r"), F.col("_c")], "_pos")
+    replies = rows.filter(F.col("_r") == "assistant").select(
+        F.col("_k").alias(key), F.col("_t").alias("turn"), F.col("_c").alias("response"), (F.col("_pos") - 1).alias("_pos"))
+    asks = rows.filter(F.col("_r") == "user").select(F.col("_k").alias("_ask"), F.col("_c").alias("prompt"), "_pos")
+    return (replies.join(asks, "_pos").filter(F.col(key).eqNullSafe(F.col("_ask")))
+            .select(key, "turn", "prompt", "response", "_pos"))
+
+
+def last_reply_pair(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
+                    content: str = "text") -> DataFrame:
+    """Per conversation the latest reply that answers a user message: ``(key, turn, prompt, response)``.
+
+    The reply is found with a hash aggregate on row numbers and the texts are joined back, so
+    texts are never sorted or aggregated. Conversations without such a reply are not in the
+    result (``unanswered`` lists them).
     """
-    replies = turns.filter(F.col(role) == "assistant").select(
-        F.col(key), F.col(order).alias("turn"), (F.col(order) - 1).alias("_prev"),
-        F.coalesce(F.col(content), F.lit("")).alias("response"))
-    asks = turns.filter(F.col(role) == "user").select(
-        F.col(key), F.col(order).alias("_prev"), F.coalesce(F.col(content), F.lit("")).alias("prompt"))
-    return replies.join(asks, [key, "_prev"]).select(key, "turn", "prompt", "response")
+    pairs = stage_table(_numbered_pairs(turns, key, order, role, content), "reply_pairs")
+    return pairs.join(pairs.groupBy(key).agg(F.max("_pos").alias("_pos")).select("_pos"), "_pos", "left_semi").drop("_pos")
+
+
+def unanswered(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
+               content: str = "text") -> DataFrame:
+    """Conversations in which no reply answers a user message: ``(key, n_messages, n_user, n_assistant)``."""
+    answered = reply_pairs(turns, key, order, role, content).select(key).distinct()
+    sizes = turns.groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"),
+                                   F.count_if(F.coalesce(F.col(role) == "user", F.lit(False))).alias("n_user"),
+                                   F.count_if(F.coalesce(F.col(role) == "assistant", F.lit(False))).alias("n_assistant"))
+    answered = answered.withColumnRenamed(key, "_answered")
+    return sizes.join(answered, F.col(key).eqNullSafe(F.col("_answered")), "left_anti")

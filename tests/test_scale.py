@@ -4,7 +4,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from critloom.operators.history import first_by_role, last_by_role, last_message, reply_pairs
+from critloom.operators.history import (first_by_role, last_by_role, last_message, last_reply_pair, reply_pairs,
+                                         unanswered)
 from critloom.operators.ranking import HASH_BUCKET_CHARS, split_hash
 from critloom.operators.sampling import pick_index
 
@@ -46,7 +47,8 @@ def test_reply_pairs_join_not_window(spark):
     conv = _hot_conversations(spark)
     pairs = reply_pairs(conv)
     plan = pairs._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+    windows = [x for x in plan.splitlines() if " Window " in x or "+- Window" in x]
+    assert all("_part" in x and "conv" not in x for x in windows)   # only over the partitions' row counts
     got = {(r["conv_id"], r["turn"]): (r["prompt"], r["response"]) for r in pairs.collect()}
     rows = sorted((r["conv_id"], r["turn"], r["role"], r["text"]) for r in conv.collect())
     want = {}
@@ -54,3 +56,16 @@ def test_reply_pairs_join_not_window(spark):
         if c1 == c2 and t2 == t1 + 1 and r1 == "user" and r2 == "assistant":
             want[(c2, t2)] = (x1, x2)
     assert got == want
+
+
+def test_gaps_in_turns_lose_no_reply(spark):
+    rows = [(1, 0, "user", "a"), (1, 10, "assistant", "b"), (1, 20, "user", "c"), (1, 30, "assistant", "d"), (1, 40, "user", "e"),
+            (2, 0, "assistant", "x"), (2, 5, "user", "y"), (3, 0, "user", "q"), (3, 1, "assistant", "r"), (3, 2, "assistant", "s"),
+            (4, 0, "system", "z"), (None, 0, "user", "n"), (None, 1, "assistant", "m")]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["prompt"], r["response"]) for r in reply_pairs(conv).collect()}
+    assert got == {(1, 10): ("a", "b"), (1, 30): ("c", "d"), (3, 1): ("q", "r"), (None, 1): ("n", "m")}
+    last = {r["conv_id"]: (r["prompt"], r["response"]) for r in last_reply_pair(conv).collect()}
+    assert last == {1: ("c", "d"), 3: ("q", "r"), None: ("n", "m")}
+    left = {r["conv_id"]: (r["n_messages"], r["n_user"], r["n_assistant"]) for r in unanswered(conv).collect()}
+    assert left == {2: (2, 1, 1), 4: (1, 0, 0)}
