@@ -8,17 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.prompts import judge_prompt_parts, message
 from ..functions.scoring import with_score
 from ..functions.text import strip_echo
+from ..functions.texts import DEFAULT_KIT, PromptKit
 from ..operators.aggregate import eval_metrics
-from ..operators.model import Backend, generate, generate_text
+from ..operators.model import Backend, generate
 from ..operators.ranking import slice_rows
-from ..sources.jobs import append_details, append_metrics
-
-
-def answer_backend(model_name: str, **kw):
-    """U7 defaults for the evaluated model: sampled at 0.7 with top-p 0.9, up to 256 new tokens
-    (a ``TransformersBackend``; the raw prompt is sent without a chat template)."""
-    from ..operators.model import TransformersBackend  # noqa: PLC0415
-    return TransformersBackend(model_name, max_new_tokens=256, temperature=0.7, top_p=0.9, raw_prompt=True, **kw)
+from ..session import stage_table
+from ..sources.jobs import append_metrics, read_steps, write_details
 
 
 def first_examples(examples: DataFrame, num_examples: int | None, order: str = "ord") -> DataFrame:
@@ -27,58 +22,89 @@ def first_examples(examples: DataFrame, num_examples: int | None, order: str = "
 
 
 def answer(prompt: Column, backend: Backend, context: Column | None = None) -> Column:
-    """U7 + F12: a raw completion of the prompt (no chat template) with the echo stripped."""
+    """U7 + F12: ``struct<text, error>`` of a raw completion of the prompt (no chat template), echo stripped."""
     msgs = F.array(message("user", prompt)) if context is None else F.array(context, message("user", prompt))
-    return strip_echo(generate_text(msgs, backend), prompt)
+    g = generate(msgs, backend)
+    # A model column must not be referred to twice, so its text is stripped inside the struct.
+    return F.transform(F.array(g), lambda r: F.struct(strip_echo(r.getField("text"), prompt).alias("text"),
+                                                      r.getField("error").alias("error")))[0]
+
 
+def with_answers(examples: DataFrame, backend: Backend, context: Column | None = None) -> DataFrame:
+    """``examples`` with ``response`` and ``answer_error``; stored, so that every reader sees the same answers."""
+    answered = examples.withColumn("_a", answer(F.col("prompt"), backend, context))
+    return stage_table(answered.withColumns({"response": F.col("_a.text"), "answer_error": F.col("_a.error")}).drop("_a"), "answers")
 
-def judge(details: DataFrame, judge_backend: Backend, prompt: str = "prompt",
-          response: str = "response") -> DataFrame:
+
+def judge(details: DataFrame, judge_backend: Backend, prompt: str = "prompt", response: str = "response",
+          kit: PromptKit = DEFAULT_KIT) -> DataFrame:
     """F13 + U6 + F14: judgment text, score, where the score came from, and ``judge_error``.
 
-    A judge call that failed has a null score (it does not enter the means as a default 5);
-    a judgment without a score pattern still scores 5.
+    A judge call that failed, or an answer that failed (``answer_error``, if the column is
+    there), has a null score: it does not enter the means. A judgment without a score pattern
+    still scores 5.
     """
-    judged = (details.withColumn("_j", generate(judge_prompt_parts(prompt, response), judge_backend))
+    judged = (details.withColumn("_j", generate(judge_prompt_parts(prompt, response, kit), judge_backend))
               .withColumns({"judgment": F.col("_j.text"), "judge_error": F.col("_j.error")}).drop("_j"))
+    if "answer_error" not in judged.columns:
+        judged = judged.withColumn("answer_error", F.lit(None).cast("string"))
     scored = with_score(judged, "judgment")
-    return scored.withColumn("score", F.when(F.col("judge_error").isNull(), F.col("score")))
+    good = F.col("judge_error").isNull() & F.col("answer_error").isNull()
+    return scored.withColumn("score", F.when(good, F.col("score")))
+
 
+def judged_eval(examples: DataFrame, answer_backend: Backend, judge_backend: Backend, num_examples: int | None = None,
+                step: int | None = None, kit: PromptKit = DEFAULT_KIT) -> tuple[DataFrame, DataFrame]:
+    """Answer each example, judge the answer, return ``(metrics, details)``.
 
-def judged_eval(examples: DataFrame, answer_backend: Backend, judge_backend: Backend,
-                num_examples: int | None = None, step: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Answer each example, judge the answer, return ``(metrics, details)``."""
+    Answers are stored before they are judged, and judgments before metrics are taken, so both
+    results come from one run of each model.
+    """
     ex = first_examples(examples, num_examples)
-    details = ex.select(F.lit(step).cast("bigint").alias("step"), "ord", "prompt", "category",
-                        answer(F.col("prompt"), answer_backend).alias("response"))
-    details = judge(details, judge_backend)
+    answered = with_answers(ex.select(F.lit(step).cast("bigint").alias("step"), "ord", "prompt", "category"), answer_backend)
+    details = stage_table(judge(answered, judge_backend, kit=kit), "judged")
     return eval_metrics(details), details
 
 
+def add_details(judged: DataFrame, path: str) -> DataFrame:
+    """K3: add judged rows to the step table at ``path`` and return the complete rows of their steps.
+
+    Rows are merged on ``(step, ord)``: a row judged again replaces the earlier one, all others
+    of its step stay. Only the touched step partitions are read and rewritten, and the merged
+    rows are stored first, so nothing is overwritten while being read.
+    """
+    spark = judged.sparkSession
+    merged, steps = judged, [r[0] for r in judged.select("step").distinct().collect()]  # one row per step of this batch
+    prior = read_steps(spark, path, judged.schema, steps)
+    if prior is not None:
+        keys = judged.select(F.col("step").alias("_s"), F.col("ord").alias("_o"))
+        kept = prior.join(keys, F.col("step").eqNullSafe(F.col("_s")) & F.col("ord").eqNullSafe(F.col("_o")), "left_anti")
+        merged = stage_table(judged.unionByName(kept.select(*judged.columns)), "merged_details")
+    write_details(merged, path)
+    return merged
+
+
 def eval_history(answers: DataFrame, judge_backend: Backend, details_path: str | None = None,
-                 metrics_path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Judge the answers of every step in one job, then append details (K3) and metrics (K4).
+                 metrics_path: str | None = None, kit: PromptKit = DEFAULT_KIT) -> tuple[DataFrame, DataFrame]:
+    """Judge the answers of every step in one job, then add details (K3) and metrics (K4).
 
-    ``answers``: ``(step, ord, prompt, category, response)``. The judged rows are written
-    once; metrics are aggregated from what was written, so the judge is never run twice.
+    ``answers``: ``(step, ord, prompt, category, response)``, optionally ``answer_error``. The
+    judge runs once per row. Returns the metrics and detail rows of the steps in ``answers``
+    (complete, with rows judged earlier); metrics of other steps are neither read nor written.
     """
-    details = judge(answers, judge_backend)
-    if details_path is None:
-        return eval_metrics(details), details
-    append_details(details, details_path)
-    # Partition discovery reads ``step`` back as int: restore the declared bigint.
-    written = details.sparkSession.read.parquet(details_path).withColumn("step", F.col("step").cast("bigint"))
-    metrics = eval_metrics(written)
+    details = stage_table(judge(answers, judge_backend, kit=kit), "judged")
+    if details_path is not None:
+        details = add_details(details, details_path)
+    metrics = eval_metrics(details)
     if metrics_path is not None:
+        metrics = stage_table(metrics, "metrics")
         append_metrics(metrics, metrics_path)
-        metrics = details.sparkSession.read.parquet(metrics_path).select(
-            F.col("step").cast("bigint").alias("step"), "category", "metric", "value")
-    return metrics, written
+    return metrics, details
 
 
 def details_record(details: DataFrame, by: tuple[str, ...] = ("step",), order: str = "ord") -> DataFrame:
     """The graded examples of each step as parallel lists (prompts, responses, judgments,
-    scores) in example order — the record form of the original callback.
+    scores) in example order, one record per step.
 
     A step's examples meet in one row, so use it for evaluation-sized sets only; the detail
     rows themselves stay the primary output.

@@ -7,7 +7,9 @@ branch and, with a sampling model, pair answers from different runs.
 
 Two execution modes give the same rows. For a deterministic model the stages are fused:
 with no shuffle between them a task computes a row's whole conversation at once. For a real
-(sampling) model every stage is materialized before the next reads it. Either way ``chosen``
+(sampling) model every stage is stored before the next reads it, as a narrow Parquet table
+``(keys, text, error)``: replies are never computed twice, and a run that is started again
+with the same ``stage_dir`` makes no second call for a finished stage. Either way ``chosen``
 and ``rejected`` always come from the same run, even when a task is retried.
 """
 
@@ -15,17 +17,20 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import prompts as P
 from ..functions.text import content_id, default_if_empty
+from ..functions.texts import DEFAULT_KIT, PromptKit
 from ..operators.model import Backend, generate, generate_map
 from ..operators.sampling import sample_principle
-from ..schemas import MESSAGES
-from ..session import materialize
+from ..schemas import GENERATED, MESSAGES
+from ..session import scratch_path
+from ..sources.jobs import path_exists
 
 _STR_ARRAY = "array<string>"
 
@@ -38,24 +43,26 @@ class GenerationConfig:
     stage: str = "sl"
     chain: bool = False            # later rounds critique the previous rewrite (default: the first answer)
     blank_batch: bool = False      # a failing chunk blanks every row of it
-    # Materialize after every model stage (default: when the model is not deterministic). Each
-    # job then holds one Python stage per task, so one worker per core keeps the model loaded
-    # (chained stages would each start their own worker and load their own copy), and no
-    # sampled answer is ever recomputed.
+    # Store every model stage (default: when the model is not deterministic). Each job then
+    # holds one Python stage per task, so one worker per core keeps the model loaded (chained
+    # stages would each start their own worker and load their own copy).
     checkpoint_stages: bool | None = None
-    # Spread rows over this many tasks before the first model call. Rows are small but each
-    # carries many model calls, so byte-based partition sizing (AQE) would coalesce them into
-    # a few tasks (one, for a small input) and uneven scan splits would leave stragglers; an
-    # explicit repartition is kept as asked. None: 2 × default parallelism for a real model
-    # (its stages are materialized, so a task holds one Python worker). A deterministic stub
-    # keeps the natural partitioning: there the calls are cheap and chained stages would
-    # each start a Python worker per extra task (measured slower). 0: never.
+    # Where stage tables go; a finished one that is already there is read instead of computed.
+    # One folder belongs to one run (same questions, config and model). None: a fresh folder
+    # under the shared stage folder, so nothing is resumed.
+    stage_dir: str | None = None
+    # Rows per task of a model stage, which sets the number of tasks from the number of rows:
+    # rows are small but each carries many model calls, so byte-based sizing (AQE) would
+    # coalesce them into a few tasks. A deterministic stub keeps the natural partitioning.
+    rows_per_task: int = 256
+    # A fixed number of tasks instead (0: the natural partitioning).
     model_partitions: int | None = None
     # Run model stages as map stages (``mapInArrow``) instead of expression columns; with a
     # Spark ``ResourceProfile`` they are scheduled on accelerator executors only (stage-level
     # scheduling: YARN, Kubernetes, or Standalone with dynamic allocation; not local mode).
     map_stages: bool = False
     resource_profile: object | None = None
+    kit: PromptKit = DEFAULT_KIT   # instructions, principles and worked examples
 
 
 def _gen(messages, backend: Backend, cfg: GenerationConfig) -> Column:
@@ -63,14 +70,45 @@ def _gen(messages, backend: Backend, cfg: GenerationConfig) -> Column:
     return generate(messages, backend, cfg.blank_batch)
 
 
-def _stage(df: DataFrame, name: str, messages, backend: Backend, cfg: GenerationConfig) -> DataFrame:
-    """Add one model stage as column ``name``; materialize it if the config asks for it."""
-    if cfg.map_stages or cfg.resource_profile is not None:
-        df = generate_map(df, messages, name, backend, cfg.blank_batch, cfg.resource_profile)
-    else:
-        df = df.withColumn(name, _gen(messages, backend, cfg))
-    ckpt = cfg.checkpoint_stages if cfg.checkpoint_stages is not None else not backend.deterministic
-    return materialize(df) if ckpt else df
+def _stores(backend: Backend, cfg: GenerationConfig) -> bool:
+    return cfg.checkpoint_stages if cfg.checkpoint_stages is not None else not backend.deterministic
+
+
+def _with_dir(df: DataFrame, backend: Backend, cfg: GenerationConfig) -> GenerationConfig:
+    """The config with the folder that this run's stage tables share."""
+    if cfg.stage_dir is not None or not _stores(backend, cfg):
+        return cfg
+    return replace(cfg, stage_dir=scratch_path(df.sparkSession, "model-stages"))
+
+
+def _stage(df: DataFrame, name: str, messages, backend: Backend, cfg: GenerationConfig,
+           key_cols: tuple[str, ...], label: str) -> DataFrame:
+    """Add one model stage as column ``name``; stored as a table of its own if the config asks for it.
+
+    A stored stage is read from ``<stage_dir>/<label>`` when it is complete there, else written;
+    its keys, text and error are joined back, so no other column is ever written twice.
+    """
+    def called(rows: DataFrame, prompt) -> DataFrame:
+        if cfg.map_stages or cfg.resource_profile is not None:
+            return generate_map(rows, prompt, name, backend, cfg.blank_batch, cfg.resource_profile)
+        return rows.withColumn(name, _gen(prompt, backend, cfg))
+
+    if not _stores(backend, cfg):
+        return called(df, messages)
+    spark, path = df.sparkSession, f"{cfg.stage_dir.rstrip('/')}/{label}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        prompt = messages if isinstance(messages, P.Prompt) else P.Prompt((), messages)
+        rows = df.select(*key_cols, prompt.suffix.alias("_suffix"))  # all that the call needs
+        if cfg.model_partitions:
+            rows = rows.repartition(cfg.model_partitions, *key_cols)
+        called(rows, replace(prompt, suffix=F.col("_suffix"))).select(*key_cols, name).write.mode("overwrite").parquet(path)
+    keys = T.StructType([df.schema[k] for k in key_cols])
+    done = spark.read.schema(keys.add(name, GENERATED)).parquet(path)
+    renamed = done.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key_cols)], name)
+    same = F.lit(True)
+    for i, k in enumerate(key_cols):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(renamed, same).drop(*[f"_k{i}" for i in range(len(key_cols))])
 
 
 def _errors(*gens: str) -> Column:
@@ -85,9 +123,12 @@ def critique_revise(df: DataFrame, history_col: str, initial_col: str, backend:
     Adds ``critique_requests``, ``critiques``, ``revision_requests``, ``revisions`` (one entry
     per round), ``revised_response`` (last rewrite; null after 0 rounds) and ``_errors``.
     Each round critiques the first answer unless ``cfg.chain``. Principles are picked from
-    ``md5(seed:keys:turn:round)``, so a retried task picks the same one.
+    ``md5(seed:keys:turn:round)``, so a retried task picks the same one. ``key_cols`` must
+    identify a row (stored stages are joined back on them).
     """
     t = F.lit(turn) if isinstance(turn, int) else turn
+    cfg = _with_dir(df, backend, cfg)
+    at = turn if isinstance(turn, int) else "x"
     df = df.withColumns({
         "critique_requests": F.array().cast(_STR_ARRAY), "critiques": F.array().cast(_STR_ARRAY),
         "revision_requests": F.array().cast(_STR_ARRAY), "revisions": F.array().cast(_STR_ARRAY),
@@ -95,12 +136,13 @@ def critique_revise(df: DataFrame, history_col: str, initial_col: str, backend:
     })
     for r in range(cfg.num_revisions):
         base = F.coalesce(F.col("revised_response"), F.col(initial_col)) if cfg.chain else F.col(initial_col)
-        df = df.withColumns({"_p": sample_principle(cfg.seed, *key_cols, t, F.lit(r), stage=cfg.stage),
+        df = df.withColumns({"_p": sample_principle(cfg.seed, *key_cols, t, F.lit(r), stage=cfg.stage, kit=cfg.kit),
                              "_base": base})
-        df = _stage(df, "_crit", P.critique_prompt_parts(history_col, F.col("_base"), F.col("_p.critique")),
-                    backend, cfg)
+        df = _stage(df, "_crit", P.critique_prompt_parts(history_col, F.col("_base"), F.col("_p.critique"), cfg.kit),
+                    backend, cfg, key_cols, f"turn{at}-round{r}-critique")
         df = _stage(df, "_rev", P.revision_prompt_parts(history_col, F.col("_base"), F.col("_p.critique"),
-                                                        F.col("_crit.text"), F.col("_p.revision")), backend, cfg)
+                                                        F.col("_crit.text"), F.col("_p.revision"), cfg.kit), backend, cfg,
+                    key_cols, f"turn{at}-round{r}-revision")
         df = df.withColumns({
             "critique_requests": F.array_append("critique_requests", F.col("_p.critique")),
             "critiques": F.array_append("critiques", F.col("_crit.text")),
@@ -117,7 +159,7 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
     """Multi-turn conversations with critique and revision; one preference row per turn.
 
     ``questions``: ``question_id``, ``text``, ``category`` (plus any pass-through columns
-    such as ``job_id``). Output follows ``schemas.PREFERENCES``: ``messages`` is the history up
+    such as ``job_id``); ``question_id`` must be unique. Output follows ``schemas.PREFERENCES``: ``messages`` is the history up
     to and including this turn's rewrite, ``chosen`` the rewrite, ``rejected`` the first answer.
     """
     student = student_backend or backend
@@ -133,21 +175,22 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
                        f"revision_requests:{_STR_ARRAY},revisions:{_STR_ARRAY},chosen:string,"
                        f"rejected:string,errors:{_STR_ARRAY}>>").alias("_turns"),
     )
-    parts = cfg.model_partitions
-    if parts is None and not backend.deterministic:
-        parts = 2 * questions.sparkSession.sparkContext.defaultParallelism
-    if parts:
+    cfg = _with_dir(questions, backend, cfg)
+    if cfg.model_partitions is None and not backend.deterministic:
+        cfg = replace(cfg, model_partitions=max(1, -(-questions.count() // cfg.rows_per_task)))
+    if cfg.model_partitions and not _stores(backend, cfg):
         # Hash of the unique question id: balanced, and the same assignment on a retry.
-        df = df.repartition(parts, "question_id")
+        df = df.repartition(cfg.model_partitions, "question_id")
+    keys = ("question_id",)
     for t in range(cfg.num_turns):
         if t == 0:
             df = df.withColumns({"_q": F.col("_q0"), "_q_error": F.lit(None).cast("string")})
         else:
-            df = _stage(df, "_sq", P.student_prompt_parts("_hist"), student, cfg)
+            df = _stage(df, "_sq", P.student_prompt_parts("_hist", cfg.kit), student, cfg, keys, f"turn{t}-question")
             df = df.withColumns({"_q": default_if_empty(F.col("_sq.text")), "_q_error": F.col("_sq.error")}) \
                    .drop("_sq")
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("user", F.col("_q")))))
-        df = _stage(df, "_init", P.teacher_prompt_parts("_hist"), backend, cfg)
+        df = _stage(df, "_init", P.teacher_prompt_parts("_hist", cfg.kit), backend, cfg, keys, f"turn{t}-answer")
         df = critique_revise(df, "_hist", "_init.text", backend, cfg, turn=t)
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("assistant", F.col("revised_response")))))
         row = F.struct(

@@ -3,70 +3,110 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.jobs import list_dirs, publish_batch, read_job_outputs, read_published
+from ..sources.jobs import READ_ERRORS, _fs, job_dirs, publish_batch, read_jobs, read_published, readable_jobs
 
 DEFAULT_KEY = ("question_id", "turn", "job_id")
 _JOB = re.compile(r"job=(\d+)$")
 
 
-def publish_new_rows(new: DataFrame, target: str, schema: T.StructType,
-                     key_cols: Sequence[str] = DEFAULT_KEY, job_ids: Sequence[int] | None = None) -> int:
-    """Publish the rows of ``new`` whose key is not published yet; returns the rows written.
+def _same(keys: Sequence[str]):
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_s{i}"))
+    return cond
+
 
-    Only the published rows of ``job_ids`` (read from ``new`` when not given; one row per job)
-    are read for the anti-join.
+def new_rows(new: DataFrame, target: str, schema: T.StructType, key_cols: Sequence[str] = DEFAULT_KEY) -> DataFrame:
+    """One row per key of ``new`` whose key is not published yet.
+
+    A key that occurs several times in ``new`` keeps one row. Only the keys of the published
+    partitions of the jobs in ``new`` are read (partition values joined, so many jobs cost no
+    longer a plan).
     """
     spark = new.sparkSession
+    once = new.dropDuplicates(list(key_cols))
     existing = read_published(spark, target, schema)
-    to_add = new
-    if existing is not None:
-        if job_ids is None:
-            job_ids = [r[0] for r in new.select("job_id").distinct().collect()]  # one row per job
-        seen = existing.filter(F.col("job_id").isin(list(job_ids))).select(*key_cols)
-        to_add = new.join(seen, list(key_cols), "left_anti")
-    written = Observation(f"publish_new_rows-{uuid.uuid4().hex[:8]}")
-    publish_batch(to_add.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
-    return int(written.get.get("n") or 0)
+    if existing is None:
+        return once
+    seen = existing.select(*key_cols)
+    if "job_id" in key_cols:
+        jobs = new.select(F.col("job_id").alias("_job")).distinct()
+        seen = seen.join(jobs, F.col("job_id") == F.col("_job"), "left_semi")
+    seen = seen.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(key_cols)])
+    return once.join(seen, _same(key_cols), "left_anti")
+
+
+def publish_new_rows(new: DataFrame, target: str, schema: T.StructType,
+                     key_cols: Sequence[str] = DEFAULT_KEY) -> DataFrame | None:
+    """Publish the rows of ``new`` whose key is not published yet; returns what was written (None: nothing)."""
+    name = publish_batch(new_rows(new, target, schema, key_cols).select(*schema.fieldNames()), target)
+    if name is None:
+        return None
+    base = target.rstrip("/")
+    return new.sparkSession.read.schema(schema).option("basePath", base).parquet(f"{base}/{name}")
 
 
 def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.StructType,
-               key_cols: Sequence[str] = DEFAULT_KEY, idempotent: bool = True,
-               count_published: bool = False) -> dict:
-    """Append every job output under ``jobs_root`` to the table at ``target``.
-
-    ``idempotent`` (default) adds only rows whose key is not published yet, so re-running
-    the merge adds nothing; ``idempotent=False`` appends everything (a re-run doubles rows,
-    as the original merge did). The anti-join reads only the published partitions of the
-    job ids being merged. Returns the counts of the merge (A5); the size of the published
-    table before the merge only if ``count_published`` (it reads every published footer).
+               key_cols: Sequence[str] = DEFAULT_KEY, idempotent: bool = True) -> dict:
+    """Append every readable job output under ``jobs_root`` to the table at ``target``.
+
+    ``idempotent`` (default) adds only rows whose key is not published yet, and one row per
+    key, so re-running the merge adds nothing; ``idempotent=False`` appends everything (a re-run
+    doubles rows, as merging without keys does). A job with an unreadable file is left out whole and listed. A
+    run that adds no row leaves no batch.
+
+    Returns the merge summary (A5): ``jobs_found``, ``unreadable`` (directories), ``written``
+    (rows) and ``per_job``, a DataFrame ``(job_id, loaded, written)``.
     """
-    dirs = list_dirs(spark, f"{jobs_root.rstrip('/')}/job=*")
-    job_ids = sorted({int(m.group(1)) for d in dirs if (m := _JOB.search(d))})
-    new = read_job_outputs(spark, jobs_root, schema)
-    if new is None:
-        return {"jobs_found": 0, "written": 0, "published_before": None}
-    # Rows loaded per job and rows written, observed on the one publishing job (no extra scans).
-    loaded = Observation(f"merge_loaded-{uuid.uuid4().hex[:8]}")
-    new = new.observe(loaded, F.count(F.lit(1)).alias("_all"),
-                      *[F.count_if(F.col("job_id") == j).alias(str(j)) for j in job_ids])
-    before = None
-    if count_published:
-        existing = read_published(spark, target, schema)
-        before = existing.count() if existing is not None else 0
-    if idempotent:
-        n_written = publish_new_rows(new, target, schema, key_cols, job_ids)
+    dirs = job_dirs(spark, jobs_root)
+    unreadable: list[str] = []
+
+    def publish() -> DataFrame | None:
+        if not dirs:
+            return None
+        new = read_jobs(spark, dirs, schema)
+        if idempotent:
+            return publish_new_rows(new, target, schema, key_cols)
+        name = publish_batch(new.select(*schema.fieldNames()), target)
+        base = target.rstrip("/")
+        return None if name is None else spark.read.schema(schema).option("basePath", base).parquet(f"{base}/{name}")
+
+    found = len(dirs)
+    try:
+        written = publish()
+    except READ_ERRORS:
+        dirs, unreadable = readable_jobs(spark, dirs, schema)
+        if not unreadable:
+            raise
+        written = publish()
+    counts = "job_id int, loaded bigint, written bigint"
+    if not dirs:
+        per_job = spark.createDataFrame([], counts)
     else:
-        written = Observation(f"merge_written-{uuid.uuid4().hex[:8]}")
-        publish_batch(new.observe(written, F.count(F.lit(1)).alias("n")).select(*schema.fieldNames()), target)
-        n_written = int(written.get.get("n") or 0)
-    counts = loaded.get
-    return {"jobs_found": len(dirs), "loaded_per_job": {str(j): int(counts.get(str(j)) or 0) for j in job_ids},
-            "loaded": int(counts.get("_all") or 0), "written": n_written,
-            "published_before": before}
+        loaded = read_jobs(spark, dirs, schema).groupBy("job_id").agg(F.count(F.lit(1)).alias("loaded"))
+        if written is None:
+            per_job = loaded.withColumn("written", F.lit(0).cast("bigint"))
+        else:
+            added = written.groupBy(F.col("job_id").alias("_job")).agg(F.count(F.lit(1)).alias("written"))
+            per_job = (loaded.join(added, F.col("job_id").eqNullSafe(F.col("_job")), "left")
+                       .select("job_id", "loaded", F.coalesce("written", F.lit(0)).cast("bigint").alias("written")))
+    return {"jobs_found": found, "unreadable": unreadable, "written": 0 if written is None else written.count(),
+            "per_job": per_job}
+
+
+def job_number(path: str) -> int | None:
+    m = _JOB.search(path)
+    return int(m.group(1)) if m else None
+
+
+def last_commit(spark: SparkSession, checkpoint: str) -> int:
+    """The number of the last finished micro-batch of a stream (−1: none)."""
+    fs, p = _fs(spark, f"{checkpoint.rstrip('/')}/commits/*")
+    found = fs.globStatus(p) or []
+    return max((int(s.getPath().getName()) for s in found if s.getPath().getName().isdigit()), default=-1)

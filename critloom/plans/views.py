@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.prompts import CHATML, chat_template
 from ..operators.ranking import exact_split
-
-DEFAULT_KEY = ("question_id", "turn")
+from .merge import DEFAULT_KEY  # the key that identifies a published row
 
 
 def with_split(prefs: DataFrame, test_size: float | int = 0.1, seed: int = 42,
                key_cols: Sequence[str] = DEFAULT_KEY) -> DataFrame:
-    """L1 on the preference table: adds ``split`` (``train``/``test``)."""
-    return exact_split(prefs, list(key_cols), test_size, seed)
+    """L1 on the preference table: adds ``split`` (``train``/``test``). The key is the merge key, as
+    far as the table has its columns (rows that were never merged have no job)."""
+    return exact_split(prefs, [k for k in key_cols if k in prefs.columns], test_size, seed)
 
 
 def rename_question(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Job outputs (S3, K1), versioned publication (S5, K2) and metric tables (K3, K4).
+"""Job outputs (S3, K1), committed publication (S5, K2) and metric tables (K3, K4).
 
 Paths go through the Hadoop file system of the session, so the same code works on a
 local folder, HDFS or an object store.
@@ -6,14 +6,22 @@ local folder, HDFS or an object store.
 
 from __future__ import annotations
 
-import re
+import json
+import os
+import time
 import uuid
+from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+READ_ERRORS = (PySparkException, Py4JJavaError)  # how a failed job shows, converted or not
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -48,29 +56,64 @@ def write_jobs(df: DataFrame, root: str, job_col: str = "job_id") -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("job").parquet(root))
 
 
-def read_job_outputs(spark: SparkSession, root: str, schema: T.StructType,
-                     skip_unreadable: bool = True) -> DataFrame | None:
-    """S3: all job directories under ``root`` read with one multi-path scan.
+def job_dirs(spark: SparkSession, root: str) -> list[str]:
+    return list_dirs(spark, f"{root.rstrip('/')}/job=*")
 
-    With ``skip_unreadable`` a corrupt file is skipped (and the rest read) instead of
-    failing the job; None when there is no job directory at all.
-    """
-    dirs = list_dirs(spark, f"{root.rstrip('/')}/job=*")
-    if not dirs:
-        return None
-    reader = spark.read.schema(schema)
-    if skip_unreadable:
-        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    return reader.parquet(*dirs)
+
+def read_jobs(spark: SparkSession, dirs: Sequence[str], schema: T.StructType) -> DataFrame:
+    """S3: job directories read with one multi-path scan; a file that cannot be read is an error."""
+    return spark.read.schema(schema).parquet(*dirs)
 
 
-# ---- versioned, append-only published table ---------------------------------------------
+def readable_jobs(spark: SparkSession, dirs: Sequence[str], schema: T.StructType) -> tuple[list[str], list[str]]:
+    """``(readable, unreadable)``: a job counts as a whole, so one broken part file rejects it.
 
-_BATCH = re.compile(r"batch=(\d+)$")
+    Every column of every file is read. All jobs are tried together and halved on failure, so
+    b broken jobs among n take about b·log n passes over parts of them, and none take one pass.
+    """
+    if not dirs:
+        return [], []
+    try:
+        read_jobs(spark, dirs, schema).write.format("noop").mode("overwrite").save()
+        return list(dirs), []
+    except READ_ERRORS:
+        if len(dirs) == 1:
+            return [], list(dirs)
+        half = len(dirs) // 2
+        left, right = (readable_jobs(spark, part, schema) for part in (dirs[:half], dirs[half:]))
+        return left[0] + right[0], left[1] + right[1]
+
+
+# ---- committed, append-only published table ---------------------------------------------
+#
+# Data goes to ``batch=<unique>`` directories; ``_commits/<name>.json`` lists the batches that a
+# commit adds and removes. Readers follow the commits only, so a batch appears when its commit
+# file does, racing writers never touch each other's files, and no rename is needed.
+
+def _commits(spark: SparkSession, target: str) -> list[dict]:
+    fs, p = _fs(spark, f"{target.rstrip('/')}/_commits/*.json")
+    found = fs.globStatus(p)
+    if not found:
+        return []
+    rows = spark.read.text([s.getPath().toString() for s in found], wholetext=True).collect()  # one row per commit
+    return [json.loads(r.value) for r in rows]
 
 
 def published_batches(spark: SparkSession, target: str) -> list[str]:
-    return list_dirs(spark, f"{target.rstrip('/')}/batch=*")
+    """Directories of the committed batches, oldest name first."""
+    commits = _commits(spark, target)
+    gone = {b for c in commits for b in c["remove"]}
+    return sorted(f"{target.rstrip('/')}/{b}" for c in commits for b in c["add"] if b not in gone)
+
+
+def _commit(spark: SparkSession, target: str, add: list[str], remove: list[str]) -> None:
+    name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, f"{target.rstrip('/')}/_commits/{name}.json")
+    out = fs.create(p, False)  # a new name, never over another writer's commit
+    try:
+        out.write(bytearray(json.dumps({"add": add, "remove": remove}).encode()))
+    finally:
+        out.close()
 
 
 def read_published(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame | None:
@@ -84,46 +127,67 @@ def read_published(spark: SparkSession, target: str, schema: T.StructType) -> Da
             .select(*schema.fieldNames()))
 
 
-def publish_batch(df: DataFrame, target: str, partition_col: str | None = "job_id") -> str:
-    """K2: add rows as a new batch directory; nothing that is being read is overwritten.
-
-    Rows go to a temporary sibling first and are renamed into place, so readers never
-    see a half-written batch. Inside a batch rows are partitioned by ``partition_col``, so a
-    reader asking for some jobs (the merge's key lookup) prunes whole directories.
-    """
-    spark = df.sparkSession
-    existing = published_batches(spark, target)
-    nums = [int(_BATCH.search(b).group(1)) for b in existing if _BATCH.search(b)]
-    n = (max(nums) + 1) if nums else 0
-    tmp = f"{target.rstrip('/')}/_tmp-{uuid.uuid4().hex}"
+def _write_batch(df: DataFrame, target: str, partition_col: str | None) -> str | None:
+    name = f"batch={time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+    path = f"{target.rstrip('/')}/{name}"
     w = df.write.mode("errorifexists")
     if partition_col and partition_col in df.columns:
         w = w.partitionBy(partition_col)
-    w.parquet(tmp)
-    fs, src = _fs(spark, tmp)
-    _, dst = _fs(spark, f"{target.rstrip('/')}/batch={n:06d}")
-    if not fs.rename(src, dst):
-        raise OSError(f"could not publish {tmp}")
-    return dst.toString()
+    w.parquet(path)
+    fs, p = _fs(df.sparkSession, path)
+    # A write without rows leaves no data file: partition directories or part files.
+    if not any(s.isDirectory() or s.getPath().getName().startswith("part-") and s.getLen() > 0 for s in fs.listStatus(p)):
+        return None
+    if not (partition_col and partition_col in df.columns) and df.sparkSession.read.parquet(path).limit(1).count() == 0:
+        return None
+    return name
+
+
+def publish_batch(df: DataFrame, target: str, partition_col: str | None = "job_id") -> str | None:
+    """K2: add rows as a new committed batch; returns its name, or None if there were no rows.
+
+    Nothing that is being read is overwritten, and a batch without a commit (a crashed writer,
+    an empty write) is invisible. Inside a batch rows are partitioned by ``partition_col``, so a
+    reader asking for some jobs (the merge's key lookup) prunes whole directories.
+    """
+    name = _write_batch(df, target, partition_col)
+    if name is not None:
+        _commit(df.sparkSession, target, [name], [])
+    return name
+
+
+def compact(spark: SparkSession, target: str, schema: T.StructType, partition_col: str | None = "job_id") -> int:
+    """Rewrite all committed batches as one; returns how many were replaced. The old files stay
+    for readers that already listed them and can be deleted later."""
+    old = published_batches(spark, target)
+    if len(old) < 2:
+        return 0
+    name = _write_batch(read_published(spark, target, schema), target, partition_col)
+    _commit(spark, target, [name], [os.path.basename(b) for b in old])
+    return len(old)
 
 
 # ---- metric and detail tables (K3, K4) ----------------------------------------------------
 
 def _write_steps(df: DataFrame, path: str) -> None:
-    """Add the steps in ``df`` to a step-partitioned table; a step written again is replaced.
-
-    Dynamic partition overwrite makes the write idempotent per step, so re-running a failed
-    evaluation never duplicates its rows, while other steps stay untouched.
-    """
+    """Replace the steps in ``df`` of a step-partitioned table; other steps stay untouched."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("step").parquet(path))
 
 
-def append_details(details: DataFrame, path: str) -> None:
-    """K3: graded examples with their step, partitioned by step."""
+def read_steps(spark: SparkSession, path: str, schema: T.StructType, steps: Sequence[int] | None = None) -> DataFrame | None:
+    """A step table, or the partitions of ``steps`` only; None if there is none yet."""
+    if not path_exists(spark, path):
+        return None
+    df = spark.read.schema(schema).parquet(path)
+    return df if steps is None else df.filter(F.col("step").isin(list(steps)))
+
+
+def write_details(details: DataFrame, path: str) -> None:
+    """K3: the complete graded rows of some steps, partitioned by step (see ``plans.evaluate.add_details``)."""
     _write_steps(details, path)
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    """K4: long metrics rows, partitioned by step."""
+    """K4: long metrics rows, partitioned by step; a step written again is replaced."""
     _write_steps(metrics, path)

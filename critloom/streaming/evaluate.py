@@ -1,27 +1,20 @@
 """Evaluation history as a stream (C8): judge each step's answers as they land.
 
 Training writes answers as commit directories under ``answers_root`` (a step may arrive in
-several commits). The
-file stream picks up new files; each micro-batch is judged once and materialized. For the
-steps it touches, the rows already written for those steps are merged in (an answer judged
-again replaces its earlier row, keyed by ``(step, ord)``), the result is materialized (so
-nothing is overwritten while being read) and written back with per-step dynamic overwrite,
-and the metrics of those steps are recomputed from their complete rows. A micro-batch
-replayed after a failure therefore rewrites the same step partitions instead of duplicating
-them.
+several commits). The file stream picks up new files; each micro-batch is judged once and
+stored, merged into the step table on ``(step, ord)`` (``plans.evaluate.add_details``), and the
+metrics of the touched steps are recomputed from their complete rows. A micro-batch replayed
+after a failure replaces the same rows instead of duplicating them. Commits that hold many
+steps at once cost one pass; a late commit rewrites only its own steps.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.aggregate import eval_metrics
 from ..operators.model import Backend
-from ..plans.evaluate import judge
-from ..session import materialize
-from ..sources.jobs import append_details, append_metrics, path_exists
+from ..plans.evaluate import eval_history
 
 ANSWERS = T.StructType([
     T.StructField("step", T.LongType()),
@@ -29,6 +22,7 @@ ANSWERS = T.StructType([
     T.StructField("prompt", T.StringType()),
     T.StructField("category", T.StringType()),
     T.StructField("response", T.StringType()),
+    T.StructField("answer_error", T.StringType()),
 ])
 
 
@@ -37,18 +31,8 @@ def eval_history_stream(spark: SparkSession, answers_root: str, judge_backend: B
     """Start (and with ``available_now`` run to completion) the streaming evaluation."""
 
     def per_batch(batch: DataFrame, _batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        judged = materialize(judge(batch, judge_backend))
-        steps = [r[0] for r in judged.select("step").distinct().collect()]  # steps of this batch
-        combined = judged
-        if path_exists(spark, details_path):
-            prior = (spark.read.parquet(details_path).withColumn("step", F.col("step").cast("bigint"))
-                     .filter(F.col("step").isin(steps)).join(judged.select("step", "ord"), ["step", "ord"],
-                                                               "left_anti"))
-            combined = materialize(judged.unionByName(prior.select(*judged.columns)))
-        append_details(combined, details_path)
-        append_metrics(eval_metrics(combined), metrics_path)
+        if not batch.isEmpty():
+            eval_history(batch, judge_backend, details_path, metrics_path)
 
     # Each commit is a directory under the root (one level, any name).
     stream = spark.readStream.schema(ANSWERS).parquet(f"{answers_root.rstrip('/')}/*")

@@ -10,6 +10,10 @@ checkpoint. Two sinks:
   (the batch merge's rule). Exactly once per *row key*: a job directory generated again, or
   a micro-batch replayed after a failure, adds nothing.
 
+Neither stream skips what it cannot read: a broken file stops the run with an error before its
+micro-batch is committed, so once it is repaired or removed the next run takes it up. (The
+batch merge leaves such a job out and lists it.)
+
 Run either with ``availableNow`` after every job, or continuously.
 """
 
@@ -20,18 +24,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..plans.merge import DEFAULT_KEY, publish_new_rows
+from ..plans.merge import DEFAULT_KEY, last_commit, publish_new_rows
+
+
+def _source(spark: SparkSession, jobs_root: str, schema: T.StructType) -> DataFrame:
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
+            .parquet(f"{jobs_root.rstrip('/')}/job=*"))
 
 
 def incremental_merge(spark: SparkSession, jobs_root: str, target: str, checkpoint: str,
                       schema: T.StructType) -> int:
-    """Process every job file not seen before and return the number of micro-batches run."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
-              .option("ignoreCorruptFiles", "true").parquet(f"{jobs_root.rstrip('/')}/job=*"))
-    q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    """Process every job file not seen before and return the number of micro-batches committed."""
+    before = last_commit(spark, checkpoint)
+    q = (_source(spark, jobs_root, schema).writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy("job_id").outputMode("append").trigger(availableNow=True).start(target))
     q.awaitTermination()
-    return len(q.recentProgress)
+    return last_commit(spark, checkpoint) - before
 
 
 def read_merged(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
@@ -41,9 +49,9 @@ def read_merged(spark: SparkSession, target: str, schema: T.StructType) -> DataF
 
 def incremental_merge_by_key(spark: SparkSession, jobs_root: str, target: str, checkpoint: str,
                              schema: T.StructType, key_cols: Sequence[str] = DEFAULT_KEY) -> int:
-    """Publish new job files, keeping only rows whose key is not published; returns batches run.
+    """Publish new job files, keeping only rows whose key is not published; returns micro-batches committed.
 
-    The published table is the same append-only ``batch=<n>`` layout as the batch merge
+    The published table has the committed batches of the batch merge
     (read it with ``sources.jobs.read_published``).
     """
 
@@ -51,9 +59,8 @@ def incremental_merge_by_key(spark: SparkSession, jobs_root: str, target: str, c
         if not batch.isEmpty():
             publish_new_rows(batch, target, schema, key_cols)
 
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
-              .option("ignoreCorruptFiles", "true").parquet(f"{jobs_root.rstrip('/')}/job=*"))
-    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    before = last_commit(spark, checkpoint)
+    q = (_source(spark, jobs_root, schema).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    return last_commit(spark, checkpoint) - before

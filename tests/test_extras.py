@@ -1,16 +1,15 @@
 """Remote backend, detail records, literal tables, first-n examples, job summary."""
 
-import json
 import tempfile
 import os
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from critloom.functions.prompts import message
-from critloom.operators.model import StubEchoModel, StubJudge, StubModel, generate
-from critloom.operators.remote import HttpChatBackend
+from critloom.functions.texts import DEFAULT_KIT
+from critloom.operators.model import StubEchoModel, StubJudge, StubModel
 from critloom.operators.sampling import principles, principles_table
 from critloom.plans.evaluate import details_record, judged_eval
 from critloom.plans.generate import GenerationConfig, generation_job
@@ -20,40 +19,23 @@ from critloom.sources.tables import default_eval_examples
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _fake_transport(url, body, headers, timeout):
-    req = json.loads(body)
-    last = req["messages"][-1]["content"]
-    if last == "fail":
-        raise TimeoutError("slow")
-    return json.dumps({"choices": [{"message": {"content": f"{req['model']}:{last}:{req['temperature']}"}}]})
-
-
-def test_http_backend_with_failure(spark):
-    be = HttpChatBackend("http://judge.invalid/v1/chat/completions", "m", transport=_fake_transport, batch_size=4)
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "fail", "c"])], "i int, t string").coalesce(1)
-    rows = df.select("i", generate(F.array(message("user", F.col("t"))), be).alias("g")).orderBy("i").collect()
-    assert [r["g"]["text"] for r in rows] == ["m:a:0.0", "", "m:c:0.0"]
-    assert rows[1]["g"]["error"].startswith("TimeoutError")
-
-
 def test_details_record_and_first_n(spark):
     ex = default_eval_examples(spark)
     metrics, details = judged_eval(ex, StubEchoModel(), StubJudge(), num_examples=3, step=200)
     rec = details_record(details).first()
     assert rec["step"] == 200 and len(rec["prompts"]) == 3
-    assert rec["prompts"] == [p for p, _ in [("Why is it hot in summer and cold in winter? Can you help me work it out?", 0),
-                                             ("Given g(x) = 3x - 4, how do I work out g(6)?", 1),
-                                             ("How do plants make their own food?", 2)]]
+    assert rec["prompts"] == [p for p, _ in DEFAULT_KIT.examples[:3]]
     names = {r["metric"] for r in metrics.collect()}
-    assert {"teaching_quality_score", "teaching_quality_conceptual", "teaching_quality_math"} <= names
+    assert {"teaching_quality_score", *(f"teaching_quality_{c}" for _, c in DEFAULT_KIT.examples[:3])} <= names
     _, all_details = judged_eval(ex, StubEchoModel(), StubJudge(), num_examples=0)
-    assert all_details.count() == 5  # 0 means all
+    assert all_details.count() == len(DEFAULT_KIT.examples)  # 0 means all
 
 
 def test_literal_tables(spark):
     t = principles_table(spark)
-    assert t.filter("stage = 'sl'").count() == 5 and t.filter("stage = 'rl'").count() == 15
-    assert principles("rl")[0][0] == principles("rl")[0][1] and len(principles("other")) == 5
+    assert t.filter("stage = 'sl'").count() == len(DEFAULT_KIT.principles) == len(principles("other"))
+    assert t.filter("stage = 'rl'").count() == len(DEFAULT_KIT.preferences)
+    assert principles("rl")[0][0] == principles("rl")[0][1]
 
 
 def test_generation_job_summary_and_dirs(spark, tmp_dir):
@@ -117,9 +99,9 @@ def test_reward_accuracy(spark):
 
 
 def test_token_count(spark):
-    from critloom.operators.model import CallableCounter, WhitespaceCounter, token_count
+    from critloom.operators.model import CallableCounter, token_count
     df = spark.createDataFrame([(" a b  c ",), ("",), (None,)], "t string")
-    assert [r[0] for r in df.select(token_count(F.col("t"), WhitespaceCounter())).collect()] == [3, 0, 0]
+    assert [r[0] for r in df.select(token_count(F.col("t"))).collect()] == [3, 0, 0]
     chars = CallableCounter(lambda s: list(s))
     assert [r[0] for r in df.select(token_count(F.col("t"), chars)).collect()] == [8, 0, 0]
 
@@ -132,8 +114,8 @@ def test_checkpoint_dir_only_set_when_unset():
             return dict.get(self, k, d)
 
     class SC:
-        def __init__(self, current, conf):
-            self.current, self.conf, self.set_to = current, Conf(conf), None
+        def __init__(self, current, conf, master="local[4]"):
+            self.current, self.conf, self.set_to, self.master = current, Conf(conf), None, master
 
         def getCheckpointDir(self):
             return self.current
@@ -153,7 +135,12 @@ def test_checkpoint_dir_only_set_when_unset():
     sc = SC(None, {"spark.checkpoint.dir": "hdfs://shared/ckpt"})
     assert checkpoint_dir(S(sc)) == "hdfs://shared/ckpt"                             # named, not yet applied
     sc = SC(None, {})
-    assert checkpoint_dir(S(sc)).startswith(tempfile.gettempdir())                  # unset: tests only
+    assert checkpoint_dir(S(sc)).startswith(tempfile.gettempdir())                  # unset: local mode only
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[3,2,1024]"):
+        sc = SC(None, {}, master)
+        with pytest.raises(ValueError):                                             # a cluster must name a shared folder
+            checkpoint_dir(S(sc))
+        assert sc.set_to is None
 
 
 def test_read_split_prunes_partition(spark, tmp_dir):
@@ -169,27 +156,6 @@ def test_read_split_prunes_partition(spark, tmp_dir):
     assert read_split(spark, single).count() == 3
 
 
-def test_http_backend_bounds_concurrency_and_keeps_order():
-    import threading
-    import time as _t
-    state = {"now": 0, "peak": 0}
-    lock = threading.Lock()
-
-    def transport(url, body, headers, timeout):
-        with lock:
-            state["now"] += 1
-            state["peak"] = max(state["peak"], state["now"])
-        _t.sleep(0.02)
-        with lock:
-            state["now"] -= 1
-        last = json.loads(body)["messages"][-1]["content"]
-        return json.dumps({"choices": [{"message": {"content": last.upper()}}]})
-
-    be = HttpChatBackend("http://x.invalid", "m", concurrency=3, transport=transport)
-    out = be.generate_batch([[{"role": "user", "content": f"q{i}"}] for i in range(12)])
-    assert out == [f"Q{i}" for i in range(12)] and state["peak"] <= 3
-
-
 def test_cli_generate_and_merge(spark, tmp_dir):
     from critloom.cli import main
     from critloom.sources.jobs import read_published
@@ -216,25 +182,76 @@ def test_empty_eval_set_has_no_metrics(spark):
     assert metrics.count() == 0 and details.count() == 0
 
 
-def test_evaluation_backend_defaults():
-    from critloom.operators.remote import judge_backend
-    from critloom.plans.evaluate import answer_backend
-    j = judge_backend("http://x.invalid", "judge-model")
-    assert (j.temperature, j.max_tokens, j.timeout) == (0.0, 512, 60.0)
-    a = answer_backend("some-model")
-    assert (a.temperature, a.top_p, a.max_new_tokens, a.raw_prompt) == (0.7, 0.9, 256, True)
+def made_backend():
+    return StubModel()
 
 
 def test_cli_backend_specs():
-    import pytest
-
     from critloom.cli import make_backend
-    from critloom.operators.model import StubModel, TransformersBackend
-    assert isinstance(make_backend("stub", 0.3, 512), StubModel)
-    h = make_backend("http:http://h.invalid/v1/chat/completions|judge-1", 0.0, 256)
-    assert isinstance(h, HttpChatBackend) and h.url.endswith("/completions") and h.model == "judge-1"
-    assert h.max_tokens == 256 and h.token_env == "MODEL_API_TOKEN"
-    t = make_backend("transformers:some/model", 0.3, 128)
-    assert isinstance(t, TransformersBackend) and t.model_name == "some/model" and t.max_new_tokens == 128
+    assert isinstance(make_backend("stub"), StubModel)
+    assert isinstance(make_backend(f"{__name__}:made_backend"), StubModel)
     with pytest.raises(ValueError):
-        make_backend("carrier-pigeon", 0.3, 1)
+        make_backend("carrier-pigeon")
+
+
+def test_backend_keys_are_kept_by_pickling_and_differ_by_object():
+    from critloom.operators.model import FunctionBackend
+    a, b = FunctionBackend(len, batch_size=1), FunctionBackend(len, batch_size=2)
+    assert a.cache_key() == a.cache_key() != b.cache_key()
+    assert cloudpickle.loads(cloudpickle.dumps(a)).cache_key() == a.cache_key()
+
+
+def _sampled(batch):
+    import random
+    return [f"I say {random.randint(1, 10)}" for _ in batch]
+
+
+def _sampled_judge(batch):
+    import random
+    return [f"SCORE: {random.randint(1, 10)}" for _ in batch]
+
+
+def _down(batch):
+    raise RuntimeError("model down")
+
+
+def test_metrics_and_details_of_a_sampling_model_agree(spark):
+    from critloom.operators.model import FunctionBackend
+    from critloom.plans.evaluate import eval_history
+    ex = spark.range(60).selectExpr("id AS ord", "concat('p', id) AS prompt", "CAST(null AS string) AS reference_answer", "'c' AS category")
+    metrics, details = judged_eval(ex, FunctionBackend(_sampled), FunctionBackend(_sampled_judge), step=1)
+    for _ in range(2):  # read again: still the same run
+        mean = details.agg(F.avg("score")).first()[0]
+        got = {r["metric"]: r["value"] for r in metrics.collect()}
+        assert got["teaching_quality_score"] == mean == got["teaching_quality_c"]
+    answers = details.select("step", "ord", "prompt", "category", "response")
+    metrics, rows = eval_history(answers, FunctionBackend(_sampled_judge))
+    assert metrics.filter("metric = 'teaching_quality_score'").first()["value"] == rows.agg(F.avg("score")).first()[0]
+
+
+def test_failed_answers_are_marked_and_not_graded(spark):
+    from critloom.operators.model import FunctionBackend
+    ex = default_eval_examples(spark)
+    metrics, details = judged_eval(ex, FunctionBackend(_down), StubJudge(), step=1)
+    rows = details.collect()
+    assert len(rows) == len(DEFAULT_KIT.examples)
+    assert all(r["score"] is None and r["answer_error"].startswith("RuntimeError") and r["response"] == "" for r in rows)
+    assert all(r["value"] is None for r in metrics.collect())
+
+
+def test_later_examples_of_a_step_are_added(spark, tmp_dir):
+    from critloom.plans.evaluate import eval_history
+    det, met = os.path.join(tmp_dir, "d"), os.path.join(tmp_dir, "m")
+    schema = "step long, ord long, prompt string, category string, response string"
+    rows = [(s, i, f"p{i}", "c", f"r{s}{i}") for s in (200, 400) for i in range(1, 5)]
+    first = spark.createDataFrame([r for r in rows if r[1] < 4], schema)
+    eval_history(first, StubJudge(), det, met)
+    stamp = {f: os.path.getmtime(os.path.join(det, "step=400", f)) for f in os.listdir(os.path.join(det, "step=400"))}
+    m, d = eval_history(spark.createDataFrame([(200, 4, "p4", "c", "r2004")], schema), StubJudge(), det, met)
+    assert sorted((r["step"], r["ord"]) for r in d.collect()) == [(200, i) for i in range(1, 5)]
+    assert {r["step"] for r in m.collect()} == {200}                     # only the touched step
+    stored = spark.read.parquet(det)
+    assert sorted((r["step"], r["ord"]) for r in stored.collect()) == [(200, i) for i in range(1, 5)] + [(400, i) for i in range(1, 4)]
+    assert stamp == {f: os.path.getmtime(os.path.join(det, "step=400", f)) for f in os.listdir(os.path.join(det, "step=400"))}
+    eval_history(first.filter("step = 200 AND ord = 1"), StubJudge(), det, met)  # judged again: replaced
+    assert spark.read.parquet(det).count() == 7

@@ -119,3 +119,49 @@ def test_empty_student_reply_becomes_default_question(spark):
     later = [r for r in out if r["turn"] == 1]
     assert len(later) == 2 and all(r["question"] == DEFAULT_STUDENT_RESPONSE for r in later)
     assert all(r["messages"][2]["content"] == DEFAULT_STUDENT_RESPONSE for r in later)
+
+
+class _CountingModel(StubModel):
+    """Counts calls in a folder, as workers share no memory; fails while a file named ``down`` is there."""
+
+    deterministic = False
+
+    def __init__(self, folder, fail_after=None):
+        self.folder, self.fail_after = folder, fail_after
+
+    def cache_key(self):
+        return "counting"
+
+    def generate_batch(self, messages_list):
+        import os
+        import uuid
+        if self.fail_after is not None and len(os.listdir(self.folder)) >= self.fail_after:
+            os._exit(1)  # the worker dies, and with it the job
+        for _ in messages_list:
+            open(os.path.join(self.folder, uuid.uuid4().hex), "w").close()
+        return super().generate_batch(messages_list)
+
+
+def test_a_restarted_run_calls_no_finished_stage_again(spark, tmp_dir):
+    import os
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    calls, stages = os.path.join(tmp_dir, "calls"), os.path.join(tmp_dir, "stages")
+    os.makedirs(calls)
+    cfg = GenerationConfig(num_turns=2, num_revisions=1, stage_dir=stages, rows_per_task=1)
+    with pytest.raises(Exception):  # noqa: B017 - whatever Spark reports for dead workers
+        generate_preferences(_questions(spark), _CountingModel(calls, fail_after=5), cfg).collect()
+    done = [d for d in os.listdir(stages) if os.path.exists(os.path.join(stages, d, "_SUCCESS"))]
+    before = len(os.listdir(calls))
+    assert 1 <= len(done) < 7
+    rows = generate_preferences(_questions(spark), _CountingModel(calls), cfg).collect()
+    assert len(rows) == 4
+    assert len(os.listdir(calls)) == before + 2 * (7 - len(done))  # 7 stages, two questions each
+    again = generate_preferences(_questions(spark), _CountingModel(calls), cfg).collect()
+    assert len(os.listdir(calls)) == before + 2 * (7 - len(done)) and sorted(again) == sorted(rows)
+    lazy = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=2, num_revisions=1)).collect()
+    assert sorted((r["question_id"], r["turn"], r["chosen"]) for r in rows) == sorted((r["question_id"], r["turn"], r["chosen"]) for r in lazy)
+    stored = spark.read.parquet(os.path.join(stages, "turn1-answer"))
+    assert stored.columns == ["question_id", "_init"]  # a narrow table: key, text and error

@@ -2,11 +2,13 @@
 
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from critloom.plans.merge import merge_jobs
 from critloom.schemas import PREFERENCES
-from critloom.sources.jobs import read_published, write_job
+from critloom.sources.jobs import published_batches, read_published, write_job
 from critloom.streaming.merge import incremental_merge, read_merged
 
 
@@ -31,16 +33,80 @@ def test_merge_runs(spark, tmp_dir):
     with open(os.path.join(bad, "part-0.parquet"), "wb") as fh:                   # unreadable: skipped
         fh.write(b"not parquet")
     s = merge_jobs(spark, jobs, target, PREFERENCES)
-    assert s["written"] == 5 and s["published_before"] is None and s["jobs_found"] == 4
-    assert s["loaded_per_job"] == {"0": 2, "1": 2, "2": 1, "3": 0}
+    assert s["written"] == 5 and s["jobs_found"] == 4 and [os.path.basename(d) for d in s["unreadable"]] == ["job=3"]
+    assert {r["job_id"]: (r["loaded"], r["written"]) for r in s["per_job"].collect()} == {0: (2, 2), 1: (2, 2), 2: (1, 1)}
     t = read_published(spark, target, PREFERENCES)
     assert t.count() == 5 and t.filter("question_id = 5").first()["chosen"] is None
-    s = merge_jobs(spark, jobs, target, PREFERENCES)                                # idempotent rerun
-    assert s["written"] == 0 and read_published(spark, target, PREFERENCES).count() == 5
+    for _ in range(2):                                                             # idempotent reruns leave no batch
+        s = merge_jobs(spark, jobs, target, PREFERENCES)
+        assert s["written"] == 0 and read_published(spark, target, PREFERENCES).count() == 5
+        assert {r["written"] for r in s["per_job"].collect()} == {0}
+    assert len(published_batches(spark, target)) == 1
     merge_jobs(spark, jobs, target, PREFERENCES, idempotent=False)                 # appending rule doubles
     assert read_published(spark, target, PREFERENCES).count() == 10
 
 
+def test_a_job_with_one_broken_part_file_is_left_out_whole(spark, tmp_dir):
+    jobs, target = os.path.join(tmp_dir, "jobs"), os.path.join(tmp_dir, "pub")
+    for j in range(5):
+        write_job(_rows(spark, range(10 * j, 10 * j + 8)).repartition(4), jobs, j)
+    part = sorted(f for f in os.listdir(os.path.join(jobs, "job=3")) if f.startswith("part-"))[1]
+    whole = open(os.path.join(jobs, "job=3", part), "rb").read()
+    for f in (part, f".{part}.crc"):
+        if os.path.exists(os.path.join(jobs, "job=3", f)):
+            os.remove(os.path.join(jobs, "job=3", f))
+    with open(os.path.join(jobs, "job=3", part), "wb") as fh:
+        fh.write(whole[: len(whole) // 2])
+    s = merge_jobs(spark, jobs, target, PREFERENCES)
+    assert s["written"] == 32 and [os.path.basename(d) for d in s["unreadable"]] == ["job=3"]
+    assert read_published(spark, target, PREFERENCES).filter("job_id = 3").count() == 0
+    with open(os.path.join(jobs, "job=3", part), "wb") as fh:                     # repaired: the next run takes it up
+        fh.write(whole)
+    s = merge_jobs(spark, jobs, target, PREFERENCES)
+    assert s["written"] == 8 and s["unreadable"] == []
+
+
+def test_racing_writers_keep_all_rows(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from critloom.sources.jobs import publish_batch
+    target = os.path.join(tmp_dir, "pub")
+    rows = [_rows(spark, range(10 * j, 10 * j + 3)).withColumn("job_id", F.lit(j)) for j in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        names = list(pool.map(lambda df: publish_batch(df, target), rows))
+    assert len(set(names)) == 6 and read_published(spark, target, PREFERENCES).count() == 18
+
+
+def test_repeated_keys_in_one_batch_are_published_once(spark, tmp_dir):
+    jobs, target = os.path.join(tmp_dir, "jobs"), os.path.join(tmp_dir, "pub")
+    write_job(_rows(spark, [1, 1, 2, None, None]), jobs, 0)
+    assert merge_jobs(spark, jobs, target, PREFERENCES)["written"] == 3
+    assert merge_jobs(spark, jobs, target, PREFERENCES)["written"] == 0           # null keys too
+
+
+def test_compaction_keeps_rows_and_reduces_batches(spark, tmp_dir):
+    from critloom.sources.jobs import compact, publish_batch
+    target = os.path.join(tmp_dir, "pub")
+    for j in range(4):
+        publish_batch(_rows(spark, [j]).withColumn("job_id", F.lit(j)), target)
+    assert publish_batch(_rows(spark, []).withColumn("job_id", F.lit(9)), target) is None
+    assert compact(spark, target, PREFERENCES) == 4 and len(published_batches(spark, target)) == 1
+    assert read_published(spark, target, PREFERENCES).count() == 4 and compact(spark, target, PREFERENCES) == 0
+
+
+def test_views_over_the_published_table_split_exactly(spark, tmp_dir):
+    from critloom.plans.views import preference_view
+    from critloom.sources.tables import read_split
+    jobs, target = os.path.join(tmp_dir, "jobs"), os.path.join(tmp_dir, "pub")
+    write_job(_rows(spark, range(40)), jobs, 0)
+    write_job(_rows(spark, range(40)), jobs, 1)                                    # the same questions in another job
+    merge_jobs(spark, jobs, target, PREFERENCES)
+    v = preference_view(read_split(spark, target), 0.1, 42)
+    assert v.count() == 80 and v.filter("split = 'test'").count() == 8
+    v = preference_view(read_split(spark, target), 0.1, 42, key_cols=("question_id",))
+    assert v.filter("split = 'test'").count() == 8                                 # repeated keys
+
+
 def test_incremental_merge(spark, tmp_dir):
     jobs, target, ck = (os.path.join(tmp_dir, d) for d in ("jobs", "out", "ck"))
     write_job(_rows(spark, [1, 2, 3]), jobs, 0)
@@ -61,7 +127,7 @@ def test_streaming_eval_history(spark, tmp_dir):
     from critloom.streaming.evaluate import ANSWERS, eval_history_stream
 
     root, det, met, ck = (os.path.join(tmp_dir, d) for d in ("answers", "details", "metrics", "ck"))
-    rows = [(s, i, f"q{i}", ["a", "b", None][i % 3], f"answer {s} {i}") for s in (200, 400) for i in range(6)]
+    rows = [(s, i, f"q{i}", ["a", "b", None][i % 3], f"answer {s} {i}", None) for s in (200, 400) for i in range(6)]
     answers = spark.createDataFrame(rows, ANSWERS)
     answers.filter("step = 200 AND ord < 3").write.parquet(os.path.join(root, "commit-1"))
     eval_history_stream(spark, root, StubJudge(), det, met, ck)
@@ -103,7 +169,7 @@ def test_interrupted_publish_is_invisible_and_dirs_sort_lexicographically(spark,
     assert [d.rsplit("/", 1)[1] for d in list_dirs(spark, jobs + "/job=*")] == ["job=1", "job=10", "job=2"]
 
 
-def test_streams_skip_unreadable_files(spark, tmp_dir):
+def test_streams_stop_at_unreadable_files_and_take_them_up_when_repaired(spark, tmp_dir):
     from critloom.streaming.merge import incremental_merge_by_key
     jobs = os.path.join(tmp_dir, "jobs")
     write_job(_rows(spark, [1, 2]), jobs, 0)
@@ -111,12 +177,22 @@ def test_streams_skip_unreadable_files(spark, tmp_dir):
     os.makedirs(bad)
     with open(os.path.join(bad, "part-0.parquet"), "wb") as fh:
         fh.write(b"not parquet")
+    spare = os.path.join(tmp_dir, "spare")
+    write_job(_rows(spark, [3]), spare, 1)
+    good = [f for f in os.listdir(os.path.join(spare, "job=1")) if f.startswith("part-")][0]
     out1, ck1 = os.path.join(tmp_dir, "o1"), os.path.join(tmp_dir, "c1")
-    incremental_merge(spark, jobs, out1, ck1, PREFERENCES)
-    assert read_merged(spark, out1, PREFERENCES).count() == 2
     out2, ck2 = os.path.join(tmp_dir, "o2"), os.path.join(tmp_dir, "c2")
-    incremental_merge_by_key(spark, jobs, out2, ck2, PREFERENCES)
-    assert read_published(spark, out2, PREFERENCES).count() == 2
+    with pytest.raises(StreamingQueryException):
+        incremental_merge(spark, jobs, out1, ck1, PREFERENCES)
+    with pytest.raises(StreamingQueryException):
+        incremental_merge_by_key(spark, jobs, out2, ck2, PREFERENCES)
+    with open(os.path.join(spare, "job=1", good), "rb") as src, open(os.path.join(bad, "part-0.parquet"), "wb") as fh:
+        fh.write(src.read())
+    assert incremental_merge(spark, jobs, out1, ck1, PREFERENCES) >= 1
+    assert read_merged(spark, out1, PREFERENCES).count() == 3
+    assert incremental_merge_by_key(spark, jobs, out2, ck2, PREFERENCES) >= 1
+    assert read_published(spark, out2, PREFERENCES).count() == 3
+    assert incremental_merge_by_key(spark, jobs, out2, ck2, PREFERENCES) == 0
 
 
 def test_published_lookup_prunes_job_partitions(spark, tmp_dir):
