@@ -12,28 +12,31 @@ from pyspark.sql import functions as F
 
 from .functions import prompts as P
 from .functions.scoring import with_score
-from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo, word_count
+from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo
+from .functions.texts import DEFAULT_KIT
 from .operators.aggregate import best_step as best_step_op
 from .operators.aggregate import rounded
-from .operators.history import assemble_history, history_snapshots, last_by_role, last_message, reply_pairs
-from .operators.model import (StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, WhitespaceCounter,
-                              generate_text, score, token_count)
+from .operators.history import assemble_history, first_by_role, history_snapshots, last_message, last_reply_pair, reply_pairs
+from .operators.history import unanswered as unanswered_op
+from .operators.model import (StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, generate_text, score,
+                              token_count)
 from .operators.preference import gold_pairs, group_advantage as group_advantage_op
 from .operators.preference import pair_rewards, principle_preference as principle_preference_op
 from .operators.preference import reward_accuracy
 from .operators.ranking import assign_jobs, exact_split, slice_rows
 from .operators.sampling import pick_index, sample_principle as sample_principle_op
-from .plans.evaluate import answer, eval_history as eval_history_plan, judged_eval as judged_eval_plan
+from .plans.evaluate import details_record, eval_history as eval_history_plan, judged_eval as judged_eval_plan
+from .plans.evaluate import with_answers
 from .plans.generate import GenerationConfig, critique_revise as critique_revise_op
 from .plans.generate import generate_preferences, generation_job as generation_job_plan
 from .plans.merge import merge_jobs as merge_jobs_plan
 from .plans.views import preference_view as preference_view_op
 from .plans.views import sft_view as sft_view_op
 from .schemas import PREFERENCES
-from .session import materialize, scratch_path
+from .session import scratch_path, stage_table
 from .sources.jobs import read_published, write_job, write_jobs
-from .sources.tables import (eval_examples_from_benchmark, questions, questions_from_conversations,
-                             questions_from_documents, read_table)
+from .sources.tables import (default_eval_examples, eval_examples_from_benchmark, questions, questions_from_conversations,
+                             questions_from_documents, read_split, read_table)
 from .streaming.evaluate import eval_history_stream
 from .streaming.merge import incremental_merge as incremental_merge_stream
 from .streaming.merge import incremental_merge_by_key, read_merged
@@ -55,6 +58,7 @@ MULTI_TURNS, MULTI_ROUNDS = 3, 2
 CHAIN_ROUNDS = 3
 JOBS = 3
 EVAL_STEPS = [200, 400, 600]
+FIRST_EXAMPLES = 25
 PAIR_PROMPT = "Write a short passage in the language with code "
 PAIR_SEED = 11
 SAMPLE_ROUNDS = 3
@@ -131,15 +135,17 @@ def teacher_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
                     F.md5(P.chat_template(tp)).alias("prompt_md5"))
 
 
-def _last_turns(spark: SparkSession, sf: str) -> DataFrame:
-    return last_by_role(read_table(spark, sf, "conversations"))
+def _answered(spark: SparkSession, sf: str) -> DataFrame:
+    """``(conv_id, turn, prompt, response)``: the latest reply of each conversation that answers a
+    user message, with that message."""
+    return last_reply_pair(read_table(spark, sf, "conversations"))
 
 
 def critique_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Critique prompt from the last user message and the last reply."""
-    lt = _last_turns(spark, sf).withColumn("_p", sample_principle_op(GEN_SEED, "conv_id"))
-    hist = F.array(P.message("user", F.col("last_user")))
-    cp = P.critique_prompt(hist, F.col("last_assistant"), F.col("_p.critique"))
+    """Critique prompt from the latest answered message and its reply."""
+    lt = _answered(spark, sf).withColumn("_p", sample_principle_op(GEN_SEED, "conv_id"))
+    hist = F.array(P.message("user", F.col("prompt")))
+    cp = P.critique_prompt(hist, F.col("response"), F.col("_p.critique"))
     return lt.select("conv_id", F.size(cp).cast("bigint").alias("n_messages"),
                      F.element_at(cp, -1).getField("content").alias("user_text"),
                      F.md5(P.chat_template(cp)).alias("prompt_md5"))
@@ -147,16 +153,20 @@ def critique_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def revision_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
     """revision prompt; the critique slot holds the first user message."""
-    lt = last_by_role(read_table(spark, sf, "conversations"), first_roles=("user",))
-    lt = lt.withColumn("_p", sample_principle_op(GEN_SEED, "conv_id"))
-    hist = F.array(P.message("user", F.col("last_user")))
-    rp = P.revision_prompt(hist, F.col("last_assistant"), F.col("_p.critique"), F.col("first_user"),
-                           F.col("_p.revision"))
+    first = first_by_role(read_table(spark, sf, "conversations"), "user").select("conv_id", F.col("text").alias("first_user"))
+    lt = _answered(spark, sf).join(first, "conv_id").withColumn("_p", sample_principle_op(GEN_SEED, "conv_id"))
+    hist = F.array(P.message("user", F.col("prompt")))
+    rp = P.revision_prompt(hist, F.col("response"), F.col("_p.critique"), F.col("first_user"), F.col("_p.revision"))
     return lt.select("conv_id", F.size(rp).cast("bigint").alias("n_messages"),
                      F.element_at(rp, -1).getField("content").alias("user_text"),
                      F.md5(P.chat_template(rp)).alias("prompt_md5"))
 
 
+def unanswered_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations that the flagship leaves out: no reply in them answers a user message."""
+    return unanswered_op(read_table(spark, sf, "conversations"))
+
+
 def student_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
     """Transcript and student prompt of each history."""
     h = assemble_history(read_table(spark, sf, "conversations"))
@@ -183,7 +193,7 @@ def sample_principle_q(spark: SparkSession, sf: str) -> DataFrame:
     sl = sample_principle_op(GEN_SEED, "conv_id", "round")
     rl = sample_principle_op(GEN_SEED, "conv_id", "round", stage="rl")
     return df.select("conv_id", F.col("round").cast("bigint").alias("round"),
-                     pick_index(5, GEN_SEED, "conv_id", "round").alias("sl_index"),
+                     pick_index(len(DEFAULT_KIT.principles), GEN_SEED, "conv_id", "round").alias("sl_index"),
                      sl.getField("critique").alias("critique"), sl.getField("revision").alias("revision"),
                      rl.getField("critique").alias("rl_principle"))
 
@@ -197,13 +207,14 @@ def generate_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def critique_revise(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship, C1/U4/U5 + L1: last user message → critique → rewrite → preference pair + split.
+    """Flagship, C1/U4/U5 + L1: the latest reply that answers a user message → critique → rewrite →
+    preference pair (prompt = that message, rejected = that reply) + split.
 
-    The split depends on the key only, so it is decided before any model call.
+    The split depends on the key only, so it is decided before any model call. Conversations
+    without such a reply are listed by ``unanswered``.
     """
-    lt = _last_turns(spark, sf).select(
-        F.col("conv_id").alias("question_id"), F.col("last_user").alias("prompt"),
-        F.col("last_assistant").alias("initial_response"))
+    lt = _answered(spark, sf).select(F.col("conv_id").alias("question_id"), "prompt", F.col("response").alias("initial_response"))
+    lt = stage_table(lt, "answered")  # small rows, read twice for the split
     lt = exact_split(lt, ["question_id"], SPLIT_TEST_SIZE, SPLIT_SEED)
     lt = lt.withColumn("_hist", F.array(P.message("user", F.col("prompt"))))
     cfg = GenerationConfig(num_revisions=FLAGSHIP_ROUNDS, seed=GEN_SEED)
@@ -244,22 +255,31 @@ def chained_rounds(spark: SparkSession, sf: str) -> DataFrame:
     return _pref_out(generate_preferences(_conversation_questions(spark, sf), MODEL, cfg))
 
 
-def generation_job(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document in three job slices, written per job and read back."""
+def _generated(spark: SparkSession, sf: str) -> tuple[str, dict]:
+    """Three job slices of all documents, generated and written; their folder and the job summary."""
     qs = questions(questions_from_documents(read_table(spark, sf, "documents")))
-    n = qs.count()  # ids are never null here
-    jobs = assign_jobs(qs, "question_id", max(1, -(-n // JOBS)), n=n)
+    jobs = assign_jobs(qs, "question_id", max(1, -(-qs.count() // JOBS)))
     out = scratch_path(spark, "generation")
-    generation_job_plan(jobs, out, MODEL, GenerationConfig(seed=GEN_SEED))
-    written = spark.read.parquet(out)
+    return out, generation_job_plan(jobs, out, MODEL, GenerationConfig(seed=GEN_SEED))
+
+
+def generation_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in three job slices, written per job and read back."""
+    written = spark.read.parquet(_generated(spark, sf)[0])
     return _pref_out(written, F.col("job_id").cast("bigint").alias("job_id"))
 
 
+def generation_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: the summary of that run (observed on the write), without its seconds."""
+    s = _generated(spark, sf)[1]
+    names = ["datapoints", "conversations", "errors", "rounds_per_conversation"]
+    return spark.createDataFrame([tuple(s[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def _job_rows(docs: DataFrame) -> DataFrame:
     """Preference-shaped rows derived from documents, cut into ``JOBS`` contiguous id ranges
     of equal size (the job slices); used as job outputs to merge."""
-    n = docs.count()  # ids are never null here
-    sliced = assign_jobs(docs, "doc_id", max(1, -(-n // JOBS)), n=n)
+    sliced = assign_jobs(docs, "doc_id", max(1, -(-docs.count() // JOBS)))
     return sliced.select(
         F.col("doc_id").alias("question_id"), F.lit(0).alias("turn"), content_id("text").alias("conversation_id"),
         F.col("text").alias("question"), F.lit(None).cast(PREFERENCES["messages"].dataType).alias("messages"),
@@ -274,14 +294,23 @@ def _merge_out(df: DataFrame) -> DataFrame:
                      "rejected", F.col("job_id").cast("bigint").alias("job_id"))
 
 
-def merge_jobs(spark: SparkSession, sf: str) -> DataFrame:
-    """Three job outputs merged twice (idempotent) into the table."""
+def _merged_twice(spark: SparkSession, sf: str) -> tuple[str, list[dict]]:
     rows = _job_rows(read_table(spark, sf, "documents"))
     jobs_root, target = scratch_path(spark, "jobs"), scratch_path(spark, "published")
     write_jobs(rows, jobs_root)
-    merge_jobs_plan(spark, jobs_root, target, PREFERENCES)
-    merge_jobs_plan(spark, jobs_root, target, PREFERENCES)  # re-run adds nothing
-    return _merge_out(read_published(spark, target, PREFERENCES))
+    return target, [merge_jobs_plan(spark, jobs_root, target, PREFERENCES) for _ in range(2)]  # the re-run adds nothing
+
+
+def merge_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Three job outputs merged twice (idempotent) into the table."""
+    return _merge_out(read_published(spark, _merged_twice(spark, sf)[0], PREFERENCES))
+
+
+def merge_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: rows loaded and written per job, for the merge and its re-run."""
+    runs = [s["per_job"].select(F.lit(i).cast("bigint").alias("run"), F.col("job_id").cast("bigint").alias("job_id"), "loaded", "written")
+            for i, s in enumerate(_merged_twice(spark, sf)[1])]
+    return runs[0].unionByName(runs[1])
 
 
 def incremental_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -319,12 +348,25 @@ def split_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _preferences(spark: SparkSession, sf: str) -> DataFrame:
-    """The preference table the training views load (S4): generated once and materialized."""
-    return materialize(generate_preferences(_conversation_questions(spark, sf), MODEL, GenerationConfig(seed=GEN_SEED)))
+    """A preference table of one turn per conversation, stored once."""
+    return stage_table(generate_preferences(_conversation_questions(spark, sf), MODEL, GenerationConfig(seed=GEN_SEED)), "preferences")
+
+
+def published_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Two turns per conversation in three job slices, merged, loaded from the published table and
+    split on the merge key."""
+    qs = _conversation_questions(spark, sf)
+    jobs = assign_jobs(qs, "question_id", max(1, -(-qs.count() // JOBS)))
+    jobs_root, target = scratch_path(spark, "jobs"), scratch_path(spark, "published")
+    generation_job_plan(jobs, jobs_root, MODEL, GenerationConfig(num_turns=2, seed=GEN_SEED))
+    merge_jobs_plan(spark, jobs_root, target, PREFERENCES)
+    v = preference_view_op(read_split(spark, target), SPLIT_TEST_SIZE, SPLIT_SEED)
+    return v.select("question_id", F.col("turn").cast("bigint").alias("turn"), F.col("job_id").cast("bigint").alias("job_id"),
+                    "prompt", "chosen", "rejected", "category", "split")
 
 
 def sft_view(spark: SparkSession, sf: str) -> DataFrame:
-    """Templated training text with its split."""
+    """Templated training text with its split."""
     v = sft_view_op(_preferences(spark, sf), SPLIT_TEST_SIZE, SPLIT_SEED)
     return v.select("split", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars"))
 
@@ -345,16 +387,17 @@ def length_caps(spark: SparkSession, sf: str) -> DataFrame:
                     fits.alias("fits"))
 
 
-def token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """token counts of every document and message through the pluggable counter column,
-    next to the Catalyst word count."""
+def _all_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """``(src, id, turn, text)``: every document and every message (its conversation and turn)."""
     d = read_table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
-                                                  "text")
-    c = read_table(spark, sf, "conversations").select(
-        F.lit("conversations").alias("src"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
-    u = d.unionByName(c)
-    return u.select("src", "id", token_count(F.col("text"), WhitespaceCounter()).alias("tokens"),
-                    word_count("text").cast("bigint").alias("words"))
+                                                  F.lit(None).cast("bigint").alias("turn"), "text")
+    c = read_table(spark, sf, "conversations").select(F.lit("conversations").alias("src"), F.col("conv_id").alias("id"), "turn", "text")
+    return d.unionByName(c)
+
+
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """token counts of every document and message (whitespace words, the default counter)."""
+    return _all_texts(spark, sf).select("src", "id", "turn", token_count(F.col("text")).alias("tokens"))
 
 
 # ---- evaluation ---------------------------------------------------------------------------
@@ -370,9 +413,20 @@ def strip_echo_q(spark: SparkSession, sf: str) -> DataFrame:
     return ex.select("ord", raw.alias("raw"), strip_echo(raw, F.col("prompt")).alias("response"))
 
 
+def default_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """A kit's evaluation questions, with the number of documents and messages that share a word with each."""
+    ex = default_eval_examples(spark)
+    words = F.array_distinct(F.split(F.lower("prompt"), "[^\\p{L}]+"))
+    asked = ex.select("ord", "prompt", "category", F.explode(F.filter(words, lambda w: F.length(w) > 3)).alias("word"))
+    said = _all_texts(spark, sf).select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+"))).alias("word"))
+    counts = said.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return (asked.join(counts, "word", "left").groupBy("ord", "prompt", "category")
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("uses")).withColumn("ord", F.col("ord").cast("bigint")))
+
+
 def judge_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
     """judge prompt over each example and its answer."""
-    ex = _examples(spark, sf).withColumn("response", answer(F.col("prompt"), ECHO))
+    ex = with_answers(_examples(spark, sf), ECHO)
     jp = P.judge_prompt("prompt", "response")
     return ex.select("ord", F.size(jp).cast("bigint").alias("n_messages"),
                      F.element_at(jp, -1).getField("content").alias("user_text"))
@@ -380,39 +434,54 @@ def judge_prompt_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def extract_score_q(spark: SparkSession, sf: str) -> DataFrame:
     """score parsing over every document and message text."""
-    d = read_table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
-                                                  "text")
-    c = read_table(spark, sf, "conversations").select(
-        F.lit("conversations").alias("src"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
-    return with_score(d.unionByName(c), "text").select("src", "id", "score", "score_source")
+    return with_score(_all_texts(spark, sf), "text").select("src", "id", "turn", "score", "score_source")
 
 
 def judged_eval(spark: SparkSession, sf: str) -> DataFrame:
-    """Metrics of one judged evaluation."""
+    """Metrics of one judged evaluation."""
     metrics, _ = judged_eval_plan(_examples(spark, sf), ECHO, JUDGE, num_examples=None, step=0)
     return rounded(metrics, ["value"])
 
 
+def first_examples_eval(spark: SparkSession, sf: str) -> DataFrame:
+    """The evaluation of the first ``FIRST_EXAMPLES`` examples, as detail rows."""
+    _, details = judged_eval_plan(_examples(spark, sf), ECHO, JUDGE, num_examples=FIRST_EXAMPLES, step=0)
+    return details.select("ord", "prompt", "category", "response", "judgment", "score")
+
+
 def _step_answers(spark: SparkSession, sf: str) -> DataFrame:
-    ex = _examples(spark, sf).withColumn("step", F.explode(F.array(*[F.lit(s) for s in EVAL_STEPS])))
+    ex = _examples(spark, sf).withColumn("step", F.explode(F.array(*[F.lit(s).cast("bigint") for s in EVAL_STEPS])))
     ctx = P.message("system", F.concat(F.lit("checkpoint "), F.col("step").cast("string")))
-    return ex.select(F.col("step").cast("bigint").alias("step"), "ord", "prompt", "category",
-                     answer(F.col("prompt"), ECHO, ctx).alias("response"))
+    return with_answers(ex, ECHO, ctx).select("step", "ord", "prompt", "category", "response", "answer_error")
+
+
+def _history(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return eval_history_plan(_step_answers(spark, sf), JUDGE, scratch_path(spark, "details"), scratch_path(spark, "metrics"))
 
 
 def eval_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Judge every step's answers in one job, append details and metrics."""
-    metrics, _ = eval_history_plan(_step_answers(spark, sf), JUDGE, scratch_path(spark, "details"),
-                                   scratch_path(spark, "metrics"))
-    return rounded(metrics, ["value"])
+    """Judge every step's answers in one job, add details and metrics."""
+    return rounded(_history(spark, sf)[0], ["value"])
+
+
+def eval_details(spark: SparkSession, sf: str) -> DataFrame:
+    """The detail rows of every step."""
+    return _history(spark, sf)[1].select("step", "ord", "category", "response", "judgment", "score")
+
+
+def eval_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The record of every step: parallel lists in example order."""
+    r = details_record(_history(spark, sf)[1])
+    return r.select("step", F.size("prompts").cast("bigint").alias("n"), _digest(F.col("prompts")).alias("prompts_md5"),
+                    _digest(F.col("responses")).alias("responses_md5"), _digest(F.col("judgments")).alias("judgments_md5"),
+                    F.array_join(F.transform("scores", lambda x: x.cast("int").cast("string")), ",").alias("scores"))
 
 
 def eval_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """C8 as a stream: each step's answers land as one directory and are judged on arrival."""
-    answers = _step_answers(spark, sf)
+    """C8 as a stream: the answers land as one directory per step and are judged on arrival."""
     root, det, met, ck = (scratch_path(spark, n) for n in ("answers", "details", "metrics", "eval-ckpt"))
-    for s in EVAL_STEPS:
-        answers.filter(F.col("step") == s).write.parquet(f"{root}/commit-{s}")
+    _step_answers(spark, sf).withColumn("commit", F.col("step")).write.partitionBy("commit").parquet(root)
+    for _ in range(2):  # the second run finds nothing new
         eval_history_stream(spark, root, JUDGE, det, met, ck)
     return rounded(spark.read.parquet(met).select(F.col("step").cast("bigint").alias("step"), "category", "metric",
                                                   "value"), ["value"])
@@ -427,9 +496,8 @@ def best_step(spark: SparkSession, sf: str) -> DataFrame:
 # ---- preference re-aims ----------------------------------------------------------------------
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
-    lab = read_table(spark, sf, "labels").select("doc_id", "quality")
-    p = gold_pairs(d.join(lab, "doc_id"), seed=PAIR_SEED)
+    d, lab = read_table(spark, sf, "documents"), read_table(spark, sf, "labels").select("doc_id", "quality")
+    p = gold_pairs(d.select("doc_id", "lang").join(lab, "doc_id"), d.select("doc_id", "text"), seed=PAIR_SEED)
     return p.withColumn("prompt", F.concat(F.lit(PAIR_PROMPT), F.col("lang")))
 
 
@@ -449,7 +517,7 @@ def reward_accuracy_q(spark: SparkSession, sf: str) -> DataFrame:
 def group_advantage(spark: SparkSession, sf: str) -> DataFrame:
     """Group-relative advantage of documents' rewards within their source."""
     d = read_table(spark, sf, "documents").select("doc_id", "source", "text")
-    d = materialize(d.select("doc_id", "source", score(F.col("source"), F.col("text"), SCORER).alias("reward")))
+    d = stage_table(d.select("doc_id", "source", score(F.col("source"), F.col("text"), SCORER).alias("reward")), "rewards")
     a = group_advantage_op(d, ["source"])
     return rounded(a.select("doc_id", "source", "reward", "group_mean", "group_std",
                             F.col("group_size").cast("bigint").alias("group_size"), "advantage"),
@@ -464,6 +532,7 @@ def principle_preference(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "critique_revise": critique_revise,
+    "unanswered": unanswered_q,
     "turn_critiques": turn_critiques,
     "slice_questions": slice_questions,
     "question_defaults": question_defaults,
@@ -480,19 +549,26 @@ QUERIES = {
     "multi_turn": multi_turn,
     "chained_rounds": chained_rounds,
     "generation_job": generation_job,
+    "generation_summary": generation_summary,
     "merge_jobs": merge_jobs,
+    "merge_summary": merge_summary,
     "incremental_merge": incremental_merge,
     "incremental_merge_keys": incremental_merge_keys,
     "split_exact": split_exact,
     "sft_view": sft_view,
     "preference_view": preference_view,
+    "published_view": published_view,
     "length_caps": length_caps,
     "token_counts": token_counts,
     "strip_echo": strip_echo_q,
     "judge_prompt": judge_prompt_q,
     "extract_score": extract_score_q,
+    "default_examples": default_examples,
     "judged_eval": judged_eval,
+    "first_examples_eval": first_examples_eval,
     "eval_history": eval_history,
+    "eval_details": eval_details,
+    "eval_records": eval_records,
     "eval_stream": eval_stream,
     "best_step": best_step,
     "pair_reward": pair_reward,

@@ -11,33 +11,30 @@ a local one when run directly); the stage folder is read from ``spark.checkpoint
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .operators.model import Backend, StubModel, TransformersBackend
+from .operators.model import Backend, StubModel
 from .operators.ranking import slice_rows
-from .operators.remote import HttpChatBackend
 from .plans.generate import GenerationConfig, generation_job
 from .plans.merge import merge_jobs
 from .schemas import PREFERENCES
+from .session import JOB_CONF
 from .sources.tables import questions, read_split
 
 
-def make_backend(spec: str, temperature: float, max_new_tokens: int) -> Backend:
-    """``stub`` | ``transformers:<model>`` | ``http:<url>|<model>``."""
+def make_backend(spec: str) -> Backend:
+    """``stub``, or ``<module>:<name>`` of a callable that makes a backend (given to the job with ``--py-files``)."""
     if spec == "stub":
         return StubModel()
-    kind, _, rest = spec.partition(":")
-    if kind == "transformers":
-        return TransformersBackend(rest, max_new_tokens=max_new_tokens, temperature=temperature)
-    if kind == "http":
-        url, _, model = rest.partition("|")
-        return HttpChatBackend(url, model, temperature=temperature, max_tokens=max_new_tokens,
-                               token_env="MODEL_API_TOKEN")
-    raise ValueError(f"unknown backend {spec!r}")
+    module, _, name = spec.partition(":")
+    if not module or not name:
+        raise ValueError(f"unknown backend {spec!r}")
+    return getattr(importlib.import_module(module), name)()
 
 
 def _generate(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -46,13 +43,15 @@ def _generate(spark: SparkSession, a: argparse.Namespace) -> dict:
     start = a.offset + a.job_id * a.rows_per_job
     part = slice_rows(src, "question_id", start, a.rows_per_job).withColumn("job_id", F.lit(a.job_id).cast("int"))
     cfg = GenerationConfig(num_turns=a.turns, num_revisions=a.revisions, seed=a.seed,
-                           model_partitions=a.model_partitions)
-    summary = generation_job(part, a.out, make_backend(a.backend, a.temperature, a.max_new_tokens), cfg)
+                           model_partitions=a.model_partitions, stage_dir=a.stage_dir)
+    summary = generation_job(part, a.out, make_backend(a.backend), cfg)
     return {"job_id": a.job_id, "rows_from": start, **summary}
 
 
 def _merge(spark: SparkSession, a: argparse.Namespace) -> dict:
-    return merge_jobs(spark, a.jobs, a.target, PREFERENCES, idempotent=not a.append)
+    s = merge_jobs(spark, a.jobs, a.target, PREFERENCES, idempotent=not a.append)
+    s.pop("per_job")  # a table, not a figure
+    return s
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
@@ -72,16 +71,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     g.add_argument("--revisions", type=int, default=1)
     g.add_argument("--seed", type=int, default=0)
     g.add_argument("--backend", default="stub")
-    g.add_argument("--temperature", type=float, default=0.3)
-    g.add_argument("--max-new-tokens", type=int, default=512)
     g.add_argument("--model-partitions", type=int, default=None)
+    g.add_argument("--stage-dir", default=None, help="folder of stored model stages; a run started again resumes there")
     m = sub.add_parser("merge", help="publish all job outputs into the table")
     m.add_argument("--jobs", required=True)
     m.add_argument("--target", required=True)
     m.add_argument("--append", action="store_true", help="append everything (re-runs duplicate)")
     a = p.parse_args(argv)
-    spark = spark or (SparkSession.builder.appName(f"critloom-{a.cmd}")
-                      .config("spark.ui.enabled", "false").getOrCreate())
+    if spark is None:
+        builder = SparkSession.builder.appName(f"critloom-{a.cmd}").config("spark.ui.enabled", "false")
+        for k, v in JOB_CONF.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
     out = _generate(spark, a) if a.cmd == "generate" else _merge(spark, a)
     print(json.dumps(out))
     return out

@@ -6,13 +6,15 @@ the Spark result (computed through the Arrow model column) can be checked value
 
 from __future__ import annotations
 
-from .catalog import (CHAIN_ROUNDS, EVAL_STEPS, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT, PAIR_SEED,
+from .catalog import (CHAIN_ROUNDS, EVAL_STEPS, FIRST_EXAMPLES, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT, PAIR_SEED,
                       SAMPLE_ROUNDS, SLICE_LENGTH, SLICE_START, SPLIT_SEED, SPLIT_TEST_SIZE)
 from .functions import prompts as P
 from .functions import texts as X
 from .operators.preference import PREFERENCE_SYSTEM_PROMPT, VERDICT_PATTERN
 from .sources.tables import BENCHMARK_CATEGORIES
 
+KIT = X.DEFAULT_KIT
+N_SL, N_RL = len(KIT.principles), len(KIT.preferences)
 EMPTY_MSGS = "[]::STRUCT(role VARCHAR, content VARCHAR)[]"
 
 
@@ -64,29 +66,29 @@ def rev_q(qs: str, r: str, c: str, x: str, v: str) -> str:
 
 
 def critique_prompt(last: str, r: str, c: str) -> str:
-    return f"list_concat({msgs_lit(P.CRITIQUE_PREFIX)}, [{msg(q('user'), crit_q(last, r, c))}])"
+    return f"list_concat({msgs_lit(P.worked_prefix(KIT.critique, P.CRITIQUE_LINES, 'critique', KIT))}, [{msg(q('user'), crit_q(last, r, c))}])"
 
 
 def revision_prompt(last: str, r: str, c: str, x: str, v: str) -> str:
-    return f"list_concat({msgs_lit(P.REVISION_PREFIX)}, [{msg(q('user'), rev_q(last, r, c, x, v))}])"
+    return f"list_concat({msgs_lit(P.worked_prefix(KIT.revision, P.REVISION_LINES, 'revision', KIT))}, [{msg(q('user'), rev_q(last, r, c, x, v))}])"
 
 
 def teacher_prompt(h: str) -> str:
-    return f"list_concat([{msg(q('system'), q(X.TEACHER_SYSTEM_PROMPT))}], coalesce({h}, {EMPTY_MSGS}))"
+    return f"list_concat([{msg(q('system'), q(KIT.teacher))}], coalesce({h}, {EMPTY_MSGS}))"
 
 
 def student_prompt(h: str) -> str:
-    return f"list_concat({msgs_lit(P.STUDENT_PREFIX)}, [{msg(q('user'), transcript(h))}])"
+    return f"list_concat({msgs_lit(P.dialogue_prefix(KIT))}, [{msg(q('user'), transcript(h))}])"
 
 
 def judge_user(prompt: str, response: str) -> str:
-    return (f"({q(X.JUDGE_RUBRIC + chr(10) + chr(10) + X.JUDGE_QUESTION_HEADER + chr(10))} || {s(prompt)} || "
+    return (f"({q(KIT.rubric + chr(10) + chr(10) + X.JUDGE_QUESTION_HEADER + chr(10))} || {s(prompt)} || "
             f"{q(chr(10) + chr(10) + X.JUDGE_RESPONSE_HEADER + chr(10))} || {s(response)} || "
-            f"{q(chr(10) + chr(10) + X.JUDGE_CLOSING)})")
+            f"{q(chr(10) + chr(10) + KIT.closing)})")
 
 
 def judge_prompt(prompt: str, response: str) -> str:
-    return f"[{msg(q('system'), q(X.JUDGE_SYSTEM_PROMPT))}, {msg(q('user'), judge_user(prompt, response))}]"
+    return f"[{msg(q('system'), q(KIT.judge))}, {msg(q('user'), judge_user(prompt, response))}]"
 
 
 def hex_int(h: str, start: int, length: int) -> str:
@@ -99,11 +101,11 @@ def pick(n: int, seed, *keys: str) -> str:
 
 
 def sl_list() -> str:
-    return "[" + ", ".join(f"{{'critique': {q(c)}, 'revision': {q(r)}}}" for c, r in X.SL_PRINCIPLES) + "]"
+    return "[" + ", ".join(f"{{'critique': {q(c)}, 'revision': {q(r)}}}" for c, r in KIT.principles) + "]"
 
 
 def rl_list() -> str:
-    return "[" + ", ".join(q(p) for p in X.RL_PRINCIPLES) + "]"
+    return "[" + ", ".join(q(p) for p in KIT.preferences) + "]"
 
 
 def content_id(t: str) -> str:
@@ -180,9 +182,10 @@ def split_case(key: str, seed=SPLIT_SEED, frac=SPLIT_TEST_SIZE) -> str:
 
 HISTORY = ("SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS messages "
            "FROM conversations GROUP BY conv_id")
-LAST_TURNS = ("SELECT conv_id, arg_max(text, turn) FILTER (WHERE role = 'user') AS last_user, "
-              "arg_max(text, turn) FILTER (WHERE role = 'assistant') AS last_assistant FROM conversations "
-              "GROUP BY conv_id")
+PAIRS = ("SELECT conv_id, turn, before AS prompt, text AS response FROM (SELECT conv_id, turn, role, coalesce(text, '') "
+         "AS text, lag(role) OVER w AS before_role, coalesce(lag(text) OVER w, '') AS before FROM conversations WINDOW w AS "
+         "(PARTITION BY conv_id ORDER BY turn)) WHERE role = 'assistant' AND before_role = 'user'")
+LAST_PAIRS = f"SELECT * FROM ({PAIRS}) QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1"
 CONV_QUESTIONS = ("SELECT conv_id AS question_id, arg_min(text, turn) AS text, 'general' AS category "
                   "FROM conversations WHERE role = 'user' GROUP BY conv_id")
 DOC_QUESTIONS = "SELECT doc_id AS question_id, text, lang AS category FROM documents"
@@ -219,7 +222,7 @@ def generation_ctes(source: str, turns: int, rounds: int, seed: int, keep: list[
         add({f"i_{t}": stub(teacher_prompt(f"h_{t}"))})
         for r in range(rounds):
             base = f"v_{t}_{r - 1}" if chain and r > 0 else f"i_{t}"
-            add({f"p_{t}_{r}": f"{sl_list()}[{pick(5, seed, 'question_id', str(t), str(r))} + 1]"})
+            add({f"p_{t}_{r}": f"{sl_list()}[{pick(N_SL, seed, 'question_id', str(t), str(r))} + 1]"})
             add({f"c_{t}_{r}": stub(critique_prompt(last_content(f'h_{t}'), base, f'p_{t}_{r}.critique'))})
             add({f"v_{t}_{r}": stub(revision_prompt(last_content(f'h_{t}'), base, f'p_{t}_{r}.critique',
                                                     f'c_{t}_{r}', f'p_{t}_{r}.revision'))})
@@ -252,11 +255,10 @@ PREF_COLS = ("question_id, turn, conversation_id, category, question, n_messages
 
 
 def _flagship() -> str:
-    ctes = ["lt AS (SELECT conv_id AS question_id, last_user AS prompt, last_assistant AS initial_response FROM "
-            f"({LAST_TURNS}))"]
+    ctes = [f"lt AS (SELECT conv_id AS question_id, prompt, response AS initial_response FROM ({LAST_PAIRS}))"]
     prev = "lt"
     for r in range(FLAGSHIP_ROUNDS):
-        ctes.append(f"r{r}p AS (SELECT *, {sl_list()}[{pick(5, GEN_SEED, 'question_id', '0', str(r))} + 1] AS p{r} "
+        ctes.append(f"r{r}p AS (SELECT *, {sl_list()}[{pick(N_SL, GEN_SEED, 'question_id', '0', str(r))} + 1] AS p{r} "
                     f"FROM {prev})")
         ctes.append(f"r{r}c AS (SELECT *, {stub(critique_prompt('prompt', 'initial_response', f'p{r}.critique'))} "
                     f"AS c{r} FROM r{r}p)")
@@ -272,11 +274,8 @@ def _flagship() -> str:
 
 
 def _turn_critiques() -> str:
-    pairs = ("SELECT a.conv_id, a.turn, coalesce(u.text, '') AS prompt, coalesce(a.text, '') AS response "
-             "FROM conversations a JOIN conversations u ON u.conv_id = a.conv_id AND u.turn = a.turn - 1 "
-             "WHERE a.role = 'assistant' AND u.role = 'user'")
-    p = f"{sl_list()}[{pick(5, GEN_SEED, 'conv_id', 'turn', '0', '0')} + 1]"
-    return (f"WITH p AS (SELECT *, {p} AS p0 FROM ({pairs})), c AS (SELECT *, "
+    p = f"{sl_list()}[{pick(N_SL, GEN_SEED, 'conv_id', 'turn', '0', '0')} + 1]"
+    return (f"WITH p AS (SELECT *, {p} AS p0 FROM ({PAIRS})), c AS (SELECT *, "
             f"{stub(critique_prompt('prompt', 'response', 'p0.critique'))} AS c0 FROM p), v AS (SELECT *, "
             f"{stub(revision_prompt('prompt', 'response', 'p0.critique', 'c0', 'p0.revision'))} AS v0 FROM c) "
             f"SELECT conv_id, turn, prompt, v0 AS chosen, response AS rejected, "
@@ -323,10 +322,13 @@ def reward(prompt: str, text: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     h = f"({HISTORY})"
-    texts = ("SELECT 'documents' AS src, doc_id AS id, text FROM documents UNION ALL SELECT 'conversations', "
-             "conv_id * 1000 + turn, text FROM conversations")
+    texts = ("SELECT 'documents' AS src, doc_id AS id, CAST(NULL AS BIGINT) AS turn, text FROM documents UNION ALL "
+             "SELECT 'conversations', conv_id, turn, text FROM conversations")
     o: dict[str, str] = {}
     o["critique_revise"] = _flagship()
+    o["unanswered"] = (f"SELECT conv_id, count(*) AS n_messages, count(*) FILTER (role = 'user') AS n_user, count(*) FILTER "
+                       f"(role = 'assistant') AS n_assistant FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM "
+                       f"({PAIRS})) GROUP BY conv_id")
     o["turn_critiques"] = _turn_critiques()
     o["slice_questions"] = (f"SELECT question_id, text, category FROM ({DOC_QUESTIONS}) ORDER BY question_id "
                             f"LIMIT {SLICE_LENGTH} OFFSET {SLICE_START}")
@@ -342,25 +344,25 @@ def oracle_sql() -> dict[str, str]:
         "PRECEDING AND CURRENT ROW) AS snap FROM conversations)")
     o["teacher_prompt"] = (f"SELECT conv_id, CAST(len(tp) AS BIGINT) AS n_messages, md5({template('tp')}) AS prompt_md5"
                            f" FROM (SELECT conv_id, {teacher_prompt('messages')} AS tp FROM {h})")
-    sl_pick = f"{sl_list()}[{pick(5, GEN_SEED, 'conv_id')} + 1]"
+    sl_pick = f"{sl_list()}[{pick(N_SL, GEN_SEED, 'conv_id')} + 1]"
     o["critique_prompt"] = (
         f"SELECT conv_id, CAST(len(cp) AS BIGINT) AS n_messages, cp[-1].content AS user_text, md5({template('cp')})"
-        f" AS prompt_md5 FROM (SELECT conv_id, {critique_prompt('last_user', 'last_assistant', 'p.critique')} AS cp"
-        f" FROM (SELECT *, {sl_pick} AS p FROM ({LAST_TURNS})))")
+        f" AS prompt_md5 FROM (SELECT conv_id, {critique_prompt('prompt', 'response', 'p.critique')} AS cp"
+        f" FROM (SELECT *, {sl_pick} AS p FROM ({LAST_PAIRS})))")
     o["revision_prompt"] = (
         f"SELECT conv_id, CAST(len(rp) AS BIGINT) AS n_messages, rp[-1].content AS user_text, md5({template('rp')})"
         f" AS prompt_md5 FROM (SELECT conv_id, "
-        f"{revision_prompt('last_user', 'last_assistant', 'p.critique', 'first_user', 'p.revision')} AS rp FROM "
-        f"(SELECT lt.*, fu.text AS first_user, {sl_pick.replace('conv_id', 'lt.conv_id')} AS p FROM ({LAST_TURNS}) lt"
+        f"{revision_prompt('prompt', 'response', 'p.critique', 'first_user', 'p.revision')} AS rp FROM "
+        f"(SELECT lt.*, fu.text AS first_user, {sl_pick.replace('conv_id', 'lt.conv_id')} AS p FROM ({LAST_PAIRS}) lt"
         f" LEFT JOIN ({CONV_QUESTIONS}) fu ON fu.question_id = lt.conv_id))")
     o["student_prompt"] = (f"SELECT conv_id, {transcript('messages')} AS transcript, CAST(len(sp) AS BIGINT) AS "
                            f"n_messages, md5({template('sp')}) AS prompt_md5 FROM (SELECT *, "
                            f"{student_prompt('messages')} AS sp FROM {h})")
     o["sample_principle"] = (
-        f"SELECT conv_id, CAST(r AS BIGINT) AS round, {pick(5, GEN_SEED, 'conv_id', 'r')} AS sl_index, "
-        f"{sl_list()}[{pick(5, GEN_SEED, 'conv_id', 'r')} + 1].critique AS critique, "
-        f"{sl_list()}[{pick(5, GEN_SEED, 'conv_id', 'r')} + 1].revision AS revision, "
-        f"{rl_list()}[{pick(15, GEN_SEED, 'conv_id', 'r')} + 1] AS rl_principle "
+        f"SELECT conv_id, CAST(r AS BIGINT) AS round, {pick(N_SL, GEN_SEED, 'conv_id', 'r')} AS sl_index, "
+        f"{sl_list()}[{pick(N_SL, GEN_SEED, 'conv_id', 'r')} + 1].critique AS critique, "
+        f"{sl_list()}[{pick(N_SL, GEN_SEED, 'conv_id', 'r')} + 1].revision AS revision, "
+        f"{rl_list()}[{pick(N_RL, GEN_SEED, 'conv_id', 'r')} + 1] AS rl_principle "
         f"FROM (SELECT DISTINCT conv_id FROM conversations), (SELECT unnest(range(0, {SAMPLE_ROUNDS})) AS r)")
     reply = ("(CASE WHEN messages[-1].role = 'assistant' THEN coalesce(messages[-1].content, '') ELSE '' END)")
     o["reply_extract"] = (f"SELECT conv_id, {reply} AS reply, CASE WHEN {reply} = '' THEN "
@@ -371,10 +373,14 @@ def oracle_sql() -> dict[str, str]:
     jobs_src = (f"SELECT question_id, text, category, CAST(floor((row_number() OVER (ORDER BY question_id) - 1) / "
                 f"ceil(count(*) OVER () / {JOBS})) AS BIGINT) AS job_id FROM ({DOC_QUESTIONS})")
     o["generation_job"] = f"{_prefs_sql(jobs_src, 1, 1, ['job_id'])} SELECT {PREF_COLS}, job_id FROM prefs"
+    o["generation_summary"] = ("SELECT count(*) AS datapoints, count(*) AS conversations, CAST(0 AS BIGINT) AS errors, "
+                               "CAST(1 AS BIGINT) AS rounds_per_conversation FROM documents")
     merged = (f"SELECT doc_id AS question_id, CAST(0 AS BIGINT) AS turn, lang AS category, text AS chosen, "
               f"md5(text) AS rejected, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / "
               f"ceil(count(*) OVER () / {JOBS})) AS BIGINT) AS job_id FROM documents")
     o["merge_jobs"] = merged
+    o["merge_summary"] = (f"SELECT CAST(run AS BIGINT) AS run, job_id, count(*) AS loaded, CAST(CASE WHEN run = 0 THEN count(*) "
+                          f"ELSE 0 END AS BIGINT) AS written FROM ({merged}), (SELECT unnest([0, 1]) AS run) GROUP BY run, job_id")
     o["incremental_merge"] = merged
     o["incremental_merge_keys"] = merged
     o["split_exact"] = f"SELECT doc_id, {split_case('CAST(doc_id AS VARCHAR)')} AS split FROM documents"
@@ -384,19 +390,36 @@ def oracle_sql() -> dict[str, str]:
                      f"CAST(length({template('messages')}) AS BIGINT) AS n_chars FROM prefs")
     o["preference_view"] = (f"{pv} SELECT question_id, turn, question AS prompt, chosen, rejected, category, "
                             f"{split_case(key)} AS split FROM prefs")
+    conv_jobs = (f"SELECT question_id, text, category, CAST(floor((row_number() OVER (ORDER BY question_id) - 1) / "
+                 f"ceil(count(*) OVER () / {JOBS})) AS BIGINT) AS job_id FROM ({CONV_QUESTIONS})")
+    o["published_view"] = (f"{_prefs_sql(conv_jobs, 2, 1, ['job_id'])} SELECT question_id, turn, job_id, question AS prompt, "
+                           f"chosen, rejected, category, {split_case(key + ' || chr(31) || CAST(job_id AS VARCHAR)')} AS split "
+                           f"FROM prefs")
     o["length_caps"] = (f"{pv} SELECT question_id, CAST({word_count('question')} AS BIGINT) AS prompt_words, "
                         f"CAST({word_count('chosen')} AS BIGINT) AS chosen_words, CAST({word_count('rejected')} AS "
                         f"BIGINT) AS rejected_words, ({word_count('question')} <= 256 AND {word_count('question')} + "
                         f"greatest({word_count('chosen')}, {word_count('rejected')}) <= 512) AS fits FROM prefs")
-    o["token_counts"] = (f"SELECT src, id, CAST({word_count('text')} AS BIGINT) AS tokens, "
-                         f"CAST({word_count('text')} AS BIGINT) AS words FROM ({texts})")
+    o["token_counts"] = f"SELECT src, id, turn, CAST({word_count('text')} AS BIGINT) AS tokens FROM ({texts})"
     raw = echo_stub("[{'role': 'user', 'content': prompt}]")
     o["strip_echo"] = f"SELECT ord, raw, {strip_echo('raw', 'prompt')} AS response FROM (SELECT *, {raw} AS raw FROM ({EXAMPLES}))"
     ans = f"SELECT *, {strip_echo(raw, 'prompt')} AS response FROM ({EXAMPLES})"
     o["judge_prompt"] = (f"SELECT ord, CAST(2 AS BIGINT) AS n_messages, {judge_user('prompt', 'response')} AS "
                          f"user_text FROM ({ans})")
-    o["extract_score"] = f"SELECT src, id, {score('text')} AS score, {score_source('text')} AS score_source FROM ({texts})"
+    o["extract_score"] = f"SELECT src, id, turn, {score('text')} AS score, {score_source('text')} AS score_source FROM ({texts})"
     o["judged_eval"] = _metrics(_judged(f"SELECT 0 AS step, * FROM ({ans})"))
+    first = f"SELECT * FROM ({ans}) ORDER BY ord LIMIT {FIRST_EXAMPLES}"
+    o["first_examples_eval"] = f"SELECT ord, prompt, category, response, judgment, score FROM ({_judged(first)})"
+    asked = ", ".join(f"({i}, {q(p)}, {q(c)})" for i, (p, c) in enumerate(KIT.examples))
+    split_words = "list_distinct(string_split_regex(lower({}), '[^\\p{{L}}]+'))"
+    o["default_examples"] = (
+        f"WITH ex AS (SELECT * FROM (VALUES {asked}) AS t(ord, prompt, category)), w AS (SELECT *, unnest("
+        f"{split_words.format('prompt')}) AS word FROM ex), n AS (SELECT word, count(*) AS n FROM (SELECT unnest("
+        f"{split_words.format('text')}) AS word FROM ({texts})) GROUP BY word) SELECT CAST(ord AS BIGINT) AS ord, prompt, category, "
+        f"CAST(coalesce(sum(n), 0) AS BIGINT) AS uses FROM w LEFT JOIN n USING (word) WHERE length(word) > 3 GROUP BY ALL")
+    o["eval_details"] = f"SELECT CAST(step AS BIGINT) AS step, ord, category, response, judgment, score FROM ({_judged(_step_answers())})"
+    listed = ", ".join(f"md5(string_agg({c}, chr(31) ORDER BY ord)) AS {c}s_md5" for c in ("prompt", "response", "judgment"))
+    o["eval_records"] = (f"SELECT CAST(step AS BIGINT) AS step, count(*) AS n, {listed}, string_agg(CAST(CAST(score AS INT) AS VARCHAR), "
+                         f"',' ORDER BY ord) AS scores FROM ({_judged(_step_answers())}) GROUP BY step")
     o["eval_history"] = _metrics(_judged(_step_answers()))
     o["eval_stream"] = o["eval_history"]
     o["best_step"] = (
@@ -425,7 +448,7 @@ def oracle_sql() -> dict[str, str]:
     pp = f"[{msg(q('system'), q(PREFERENCE_SYSTEM_PROMPT))}, {msg(q('user'), user)}]"
     pk = f"upper(list_extract(regexp_extract_all(verdict, {q(VERDICT_PATTERN)}, 1), -1))"
     o["principle_preference"] = (
-        f"{_pairs()}, p AS (SELECT *, {rl_list()}[{pick(15, GEN_SEED, 'chosen_id', 'rejected_id')} + 1] AS principle, "
+        f"{_pairs()}, p AS (SELECT *, {rl_list()}[{pick(N_RL, GEN_SEED, 'chosen_id', 'rejected_id')} + 1] AS principle, "
         f"{pick(2, f'{GEN_SEED}:order', 'chosen_id', 'rejected_id')} = 1 AS swapped FROM pairs), v AS (SELECT *, "
         f"{verdict_stub(pp)} AS verdict FROM p) SELECT lang, CAST(rank AS BIGINT) AS rank, chosen_id, rejected_id, "
         f"principle, swapped, verdict, CASE WHEN {pk} = 'A' THEN (CASE WHEN swapped THEN 'rejected' ELSE 'chosen' END) "
