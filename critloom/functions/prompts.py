@@ -1,8 +1,8 @@
 """Prompt rendering as Catalyst expressions over ``array<struct<role,content>>`` columns.
 
 Null content is treated as the empty string everywhere, and a null history as an empty
-one. Few-shot blocks are computed once on the driver into literal arrays, so Catalyst
-folds them into constants instead of rebuilding them per row.
+one. Instructions and worked examples come from a ``PromptKit``; they are rendered once on
+the driver into literal arrays, so Catalyst folds them into constants.
 """
 
 from __future__ import annotations
@@ -77,98 +77,75 @@ class Prompt:
 
 # ---- F1 teacher prompt -----------------------------------------------------------
 
-def teacher_prompt_parts(hist: Column | str, system: str = X.TEACHER_SYSTEM_PROMPT) -> Prompt:
-    return Prompt((("system", system),), history(hist))
+def teacher_prompt_parts(hist: Column | str, kit: X.PromptKit = X.DEFAULT_KIT) -> Prompt:
+    return Prompt((("system", kit.teacher),), history(hist))
 
 
-def teacher_prompt(hist: Column | str, system: str = X.TEACHER_SYSTEM_PROMPT) -> Column:
-    return teacher_prompt_parts(hist, system).column()
+def teacher_prompt(hist: Column | str, kit: X.PromptKit = X.DEFAULT_KIT) -> Column:
+    return teacher_prompt_parts(hist, kit).column()
 
 
 # ---- F2/F3 critique and revision questions ---------------------------------------
 
-def critique_question_py(question: str, response: str, request: str) -> str:
-    return "\n".join([
-        X.QUESTION_LABEL + question,
-        X.INITIAL_RESPONSE_LABEL + response,
-        X.CRITIQUE_REQUEST_LABEL + request,
-    ])
+# One template each, for rows (columns) and worked examples (strings): label and field per line.
+CRITIQUE_LINES = ((X.QUESTION_LABEL, "question"), (X.INITIAL_RESPONSE_LABEL, "reply"),
+                  (X.CRITIQUE_REQUEST_LABEL, "critique_request"))
+REVISION_LINES = (*CRITIQUE_LINES, (X.CRITIQUE_LABEL, "critique"), (X.REVISION_REQUEST_LABEL, "revision_request"))
 
 
-def revision_question_py(question: str, response: str, request: str, critique: str,
-                         revision_request: str) -> str:
-    return "\n".join([
-        critique_question_py(question, response, request),
-        X.CRITIQUE_LABEL + critique,
-        X.REVISION_REQUEST_LABEL + revision_request,
-    ])
+def fill(lines, fields: dict[str, Column]) -> Column:
+    """A template with one column per field; null reads as ''."""
+    return F.concat_ws("\n", *[F.concat(F.lit(label), _s(fields[name])) for label, name in lines])
+
+
+def fill_example(lines, example: X.WorkedRevision) -> str:
+    """The same template with the fields of a worked example."""
+    return "\n".join(label + getattr(example, name) for label, name in lines)
 
 
 def critique_question(question, response, request) -> Column:
-    return F.concat(
-        F.lit(X.QUESTION_LABEL), _s(question), F.lit("\n" + X.INITIAL_RESPONSE_LABEL), _s(response),
-        F.lit("\n" + X.CRITIQUE_REQUEST_LABEL), _s(request),
-    )
+    return fill(CRITIQUE_LINES, {"question": question, "reply": response, "critique_request": request})
 
 
 def revision_question(question, response, request, critique, revision_request) -> Column:
-    return F.concat(
-        critique_question(question, response, request),
-        F.lit("\n" + X.CRITIQUE_LABEL), _s(critique),
-        F.lit("\n" + X.REVISION_REQUEST_LABEL), _s(revision_request),
-    )
+    return fill(REVISION_LINES, {"question": question, "reply": response, "critique_request": request,
+                                 "critique": critique, "revision_request": revision_request})
 
 
 # ---- F4 few-shot expansion (driver side, once) -------------------------------------
 
-def few_shot_revision_messages(include_revision: bool,
-                               dialogues=X.FEW_SHOT_REVISIONS) -> list[Msg]:
-    out: list[Msg] = []
-    answer_at = 5 if include_revision else 3
-    for d in dialogues:
-        c = [content for _, content in d]
-        if include_revision:
-            q = revision_question_py(c[0], c[1], c[2], c[3], c[4])
-        else:
-            q = critique_question_py(c[0], c[1], c[2])
-        out.append(("user", q))
-        out.append(("assistant", c[answer_at]))
-    return out
-
-
-CRITIQUE_PREFIX: list[Msg] = [("system", X.CRITIQUE_SYSTEM_PROMPT)] + few_shot_revision_messages(False)
-REVISION_PREFIX: list[Msg] = [("system", X.REVISION_SYSTEM_PROMPT)] + few_shot_revision_messages(True)
+def worked_prefix(system: str, lines, answer: str, kit: X.PromptKit) -> tuple[Msg, ...]:
+    """System message, then a user and an assistant message per worked example; ``answer`` is its reply field."""
+    return (("system", system), *(m for e in kit.revisions
+                                  for m in (("user", fill_example(lines, e)), ("assistant", getattr(e, answer)))))
 
 
 # ---- F5/F6 critique and revision prompts ------------------------------------------
 
-def critique_prompt_parts(hist, initial_response, critique_request) -> Prompt:
-    """System + 6 few-shot messages + 1 user message; only the last history message is used."""
+def critique_prompt_parts(hist, initial_response, critique_request, kit: X.PromptKit = X.DEFAULT_KIT) -> Prompt:
+    """System, the worked examples and 1 user message; only the last history message is used."""
     q = critique_question(last_content(hist), initial_response, critique_request)
-    return Prompt(tuple(CRITIQUE_PREFIX), F.array(message("user", q)))
+    return Prompt(worked_prefix(kit.critique, CRITIQUE_LINES, "critique", kit), F.array(message("user", q)))
 
 
-def critique_prompt(hist, initial_response, critique_request) -> Column:
-    return critique_prompt_parts(hist, initial_response, critique_request).column()
+def critique_prompt(hist, initial_response, critique_request, kit: X.PromptKit = X.DEFAULT_KIT) -> Column:
+    return critique_prompt_parts(hist, initial_response, critique_request, kit).column()
 
 
-def revision_prompt_parts(hist, initial_response, critique_request, critique, revision_request) -> Prompt:
-    q = revision_question(last_content(hist), initial_response, critique_request, critique,
-                          revision_request)
-    return Prompt(tuple(REVISION_PREFIX), F.array(message("user", q)))
+def revision_prompt_parts(hist, initial_response, critique_request, critique, revision_request,
+                          kit: X.PromptKit = X.DEFAULT_KIT) -> Prompt:
+    q = revision_question(last_content(hist), initial_response, critique_request, critique, revision_request)
+    return Prompt(worked_prefix(kit.revision, REVISION_LINES, "revision", kit), F.array(message("user", q)))
 
 
-def revision_prompt(hist, initial_response, critique_request, critique, revision_request) -> Column:
-    return revision_prompt_parts(hist, initial_response, critique_request, critique, revision_request).column()
+def revision_prompt(hist, initial_response, critique_request, critique, revision_request,
+                    kit: X.PromptKit = X.DEFAULT_KIT) -> Column:
+    return revision_prompt_parts(hist, initial_response, critique_request, critique, revision_request, kit).column()
 
 
 # ---- F7/F8 transcript and student prompt ------------------------------------------
 
-def transcript_py(msgs: Sequence[Msg]) -> str:
-    body = "".join(
-        f"{X.STUDENT_ROLE_NAME if r == 'user' else X.TEACHER_ROLE_NAME}: {c or ''}\n" for r, c in msgs
-    )
-    return X.TRANSCRIPT_HEADER + body + "\n" + X.STUDENT_PROMPT
+TRANSCRIPT_END = "\n" + X.STUDENT_PROMPT
 
 
 def transcript(hist) -> Column:
@@ -181,28 +158,25 @@ def transcript(hist) -> Column:
             F.lit(": "), _s(m.getField("content")), F.lit("\n"),
         ),
     )
-    return F.concat(F.lit(X.TRANSCRIPT_HEADER), F.array_join(lines, ""),
-                    F.lit("\n" + X.STUDENT_PROMPT))
-
-
-def few_shot_student_messages(dialogues=X.FEW_SHOT_DIALOGUES) -> list[Msg]:
-    out: list[Msg] = []
-    for d in dialogues:
-        out.append(("user", transcript_py(d[:-1])))
-        out.append(("assistant", d[-1][1]))
-    return out
+    return F.concat(F.lit(X.TRANSCRIPT_HEADER), F.array_join(lines, ""), F.lit(TRANSCRIPT_END))
 
 
-STUDENT_PREFIX: list[Msg] = [("system", X.STUDENT_SYSTEM_PROMPT)] + few_shot_student_messages()
+def dialogue_prefix(kit: X.PromptKit) -> tuple[Msg, ...]:
+    """System message, then per worked dialogue its transcript and the message that followed."""
+    out: list[Msg] = [("system", kit.student)]
+    for d in kit.dialogues:
+        said = "".join(f"{speaker}: {text}\n" for speaker, text in d.said)
+        out += [("user", X.TRANSCRIPT_HEADER + said + TRANSCRIPT_END), ("assistant", d.next_message)]
+    return tuple(out)
 
 
-def student_prompt_parts(hist) -> Prompt:
-    """System + 3 few-shot pairs + the transcript of the history = 8 messages."""
-    return Prompt(tuple(STUDENT_PREFIX), F.array(message("user", transcript(hist))))
+def student_prompt_parts(hist, kit: X.PromptKit = X.DEFAULT_KIT) -> Prompt:
+    """System, the worked dialogues and the transcript of the history."""
+    return Prompt(dialogue_prefix(kit), F.array(message("user", transcript(hist))))
 
 
-def student_prompt(hist) -> Column:
-    return student_prompt_parts(hist).column()
+def student_prompt(hist, kit: X.PromptKit = X.DEFAULT_KIT) -> Column:
+    return student_prompt_parts(hist, kit).column()
 
 
 # ---- F11 chat template -------------------------------------------------------------
@@ -223,18 +197,17 @@ def chat_template(hist, template: tuple[str, str, str] = CHATML) -> Column:
 
 # ---- F13 judge prompt ---------------------------------------------------------------
 
-def judge_user_text(prompt, response, rubric: str = X.JUDGE_RUBRIC) -> Column:
+def judge_user_text(prompt, response, kit: X.PromptKit = X.DEFAULT_KIT) -> Column:
     return F.concat(
-        F.lit(rubric + "\n\n" + X.JUDGE_QUESTION_HEADER + "\n"), _s(prompt),
+        F.lit(kit.rubric + "\n\n" + X.JUDGE_QUESTION_HEADER + "\n"), _s(prompt),
         F.lit("\n\n" + X.JUDGE_RESPONSE_HEADER + "\n"), _s(response),
-        F.lit("\n\n" + X.JUDGE_CLOSING),
+        F.lit("\n\n" + kit.closing),
     )
 
 
-def judge_prompt_parts(prompt, response, rubric: str = X.JUDGE_RUBRIC) -> Prompt:
-    return Prompt((("system", X.JUDGE_SYSTEM_PROMPT),),
-                  F.array(message("user", judge_user_text(prompt, response, rubric))))
+def judge_prompt_parts(prompt, response, kit: X.PromptKit = X.DEFAULT_KIT) -> Prompt:
+    return Prompt((("system", kit.judge),), F.array(message("user", judge_user_text(prompt, response, kit))))
 
 
-def judge_prompt(prompt, response, rubric: str = X.JUDGE_RUBRIC) -> Column:
-    return judge_prompt_parts(prompt, response, rubric).column()
+def judge_prompt(prompt, response, kit: X.PromptKit = X.DEFAULT_KIT) -> Column:
+    return judge_prompt_parts(prompt, response, kit).column()

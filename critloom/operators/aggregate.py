@@ -10,27 +10,12 @@ from ..functions import texts as X
 ROUND = 6
 
 
-def score_summary(details: DataFrame, by: list[str] | None = None, score: str = "score") -> DataFrame:
-    """A1: mean, population std, min, max of the scores (per ``by`` group)."""
-    s = F.col(score)
-    aggs = [F.avg(s).alias("mean"), F.stddev_pop(s).alias("std"), F.min(s).alias("min"),
-            F.max(s).alias("max"), F.count(s).alias("n")]
-    return details.groupBy(*(by or [])).agg(*aggs)
-
-
 def has_category(category: str = "category"):
     """A category enters the per-category means only when present and non-empty."""
     c = F.col(category)
     return c.isNotNull() & (c != "")
 
 
-def category_means(details: DataFrame, by: list[str] | None = None, category: str = "category",
-                   score: str = "score") -> DataFrame:
-    """A2: mean score per non-empty category."""
-    return (details.filter(has_category(category)).groupBy(*(by or []), category)
-            .agg(F.avg(score).alias("mean"), F.count(score).alias("n")))
-
-
 def eval_metrics(details: DataFrame, step: str = "step", category: str = "category",
                  score: str = "score") -> DataFrame:
     """A3: the metrics record of every step as a long table ``(step, category, metric, value)``.

@@ -8,12 +8,13 @@ cached per Python worker, so it loads once per worker, not once per batch.
 
 Failure rule: by default a failing chunk is retried row by row and only the failing rows
 come back as ``""`` with an ``error``; ``blank_batch=True`` blanks the whole chunk instead
-(the behaviour of the original job).
+(what a failed call meant before rows were retried).
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.prompts import Prompt
+from ..functions.text import word_count
 from ..schemas import GENERATED
 from ..session import ship_package
 
@@ -29,18 +31,29 @@ _WORKER_CACHE: dict[str, object] = {}
 
 
 class Backend:
-    """Interface of a batch text model."""
+    """Interface of a batch text model: implement ``generate_batch`` and, for weights or clients, ``setup``.
+
+    ``setup`` runs once per Python worker and its result is reached through ``resource``.
+    ``deterministic`` says that equal prompts always get equal replies; stages of other models
+    are stored (see ``plans.generate``).
+    """
 
     batch_size: int = 8
     deterministic: bool = False
 
     def cache_key(self) -> str:
-        return f"{type(self).__name__}:{id(self)}"
+        """What a worker keeps the result of ``setup`` under: one key per backend object, kept when it is pickled."""
+        if "_key" not in self.__dict__:
+            self._key = f"{type(self).__qualname__}:{uuid.uuid4().hex}"
+        return self._key
 
     def setup(self):  # pragma: no cover - real backends only
         """Load weights or open clients; called once per worker process."""
         return None
 
+    def resource(self):
+        return _resource(self)
+
     def generate_batch(self, messages_list: Sequence[list[dict]]) -> list[str]:
         raise NotImplementedError
 
@@ -135,51 +148,6 @@ class FunctionBackend(Backend):
         return self.fn(messages_list)
 
 
-class TransformersBackend(Backend):
-    """A Hugging Face text-generation pipeline; only usable where ``transformers`` is installed."""
-
-    def __init__(self, model_name: str, max_new_tokens: int = 512, temperature: float = 0.5,
-                 batch_size: int = 8, dtype: str | None = "float16", do_sample: bool = True,
-                 top_p: float | None = None, raw_prompt: bool = False):
-        self.model_name, self.max_new_tokens = model_name, max_new_tokens
-        self.temperature, self.batch_size = temperature, batch_size
-        self.dtype, self.do_sample, self.top_p = dtype, do_sample, top_p
-        # raw_prompt: send the last message's text as a plain completion prompt (no chat
-        # template) and return the full generated text, prompt echo included.
-        self.raw_prompt = raw_prompt
-
-    def cache_key(self) -> str:
-        return f"hf:{self.model_name}:{self.max_new_tokens}:{self.temperature}"
-
-    def setup(self):  # pragma: no cover - needs the library and weights
-        from transformers import AutoTokenizer, pipeline  # noqa: PLC0415
-        tok = AutoTokenizer.from_pretrained(self.model_name)
-        tok.pad_token = tok.eos_token
-        tok.padding_side = "left"
-        kwargs = {}
-        if self.top_p is not None:
-            kwargs["top_p"] = self.top_p
-        if self.dtype:
-            import torch  # noqa: PLC0415
-            kwargs["dtype"] = getattr(torch, self.dtype)
-        return pipeline("text-generation", model=self.model_name, tokenizer=tok,
-                        max_new_tokens=self.max_new_tokens, do_sample=self.do_sample,
-                        temperature=self.temperature, model_kwargs={"device_map": "auto"}, **kwargs)
-
-    def generate_batch(self, messages_list):  # pragma: no cover
-        pipe = _resource(self)
-        if self.raw_prompt:
-            prompts = [(m[-1].get("content") or "") if m else "" for m in messages_list]
-            return [(r[0].get("generated_text") or "") if isinstance(r, list) and r else ""
-                    for r in pipe(prompts, batch_size=len(prompts))]
-        out = []
-        for resp in pipe(list(messages_list), batch_size=len(messages_list)):
-            msgs = resp[0].get("generated_text", []) if isinstance(resp, list) and resp else []
-            last = msgs[-1] if isinstance(msgs, list) and msgs else {}
-            out.append((last.get("content") or "") if last.get("role") == "assistant" else "")
-        return out
-
-
 def _resource(backend: Backend):
     key = backend.cache_key()
     if key not in _WORKER_CACHE:
@@ -236,6 +204,7 @@ def generate(messages, backend: Backend, blank_batch: bool = False) -> Column:
     prompt, few-shot examples) is prepended there, so it is not serialized once per row.
     """
     prefix, suffix = _split_prompt(messages)
+    backend.cache_key()  # settled before the backend is pickled
 
     def _udf(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in it:
@@ -258,6 +227,7 @@ def generate_map(df, messages, name: str, backend: Backend, blank_batch: bool =
     Whole rows pass through Python here, so keep ``df`` narrow before a map stage.
     """
     prefix, suffix = _split_prompt(messages)
+    backend.cache_key()
     tmp = f"_prompt_{name}"
     src = df.withColumn(tmp, suffix)
     out_schema = T.StructType(list(src.schema.fields) + [T.StructField(name, GENERATED)])
@@ -318,7 +288,7 @@ def score(prompt: Column, response: Column, scorer: Scorer) -> Column:
 # ---- pluggable token counter (F19) ----------------------------------------------------------
 
 class TokenCounter:
-    """Counts tokens of a batch of texts; ``WhitespaceCounter`` needs no vocabulary."""
+    """Counts tokens of a batch of texts."""
 
     batch_size: int = 1024
 
@@ -326,11 +296,6 @@ class TokenCounter:
         raise NotImplementedError
 
 
-class WhitespaceCounter(TokenCounter):
-    def count_batch(self, texts):
-        return [len((t or "").split()) for t in texts]
-
-
 class CallableCounter(TokenCounter):
     """Wrap any tokenizer callable ``str -> list`` (e.g. a loaded ``tokenizers`` or
     ``tiktoken`` encoder's ``encode``); the encoder is pickled to the workers once."""
@@ -342,8 +307,11 @@ class CallableCounter(TokenCounter):
         return [len(self.encode(t or "")) for t in texts]
 
 
-def token_count(text: Column, counter: TokenCounter) -> Column:
-    """Token count of a text column from a pluggable counter, Arrow-batched."""
+def token_count(text: Column, counter: TokenCounter | None = None) -> Column:
+    """Token count of a text column: whitespace words as a built-in expression by default, else a
+    pluggable counter, Arrow-batched."""
+    if counter is None:
+        return word_count(text).cast("bigint")
     size = max(1, int(counter.batch_size))
 
     def _udf(it: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -9,17 +9,16 @@ from ..functions import texts as X
 from ..schemas import PRINCIPLES
 
 
-def principles(stage: str = "sl") -> list[tuple[str, str]]:
-    """``rl`` selects the preference principles, anything else the supervised ones."""
+def principles(stage: str = "sl", kit: X.PromptKit = X.DEFAULT_KIT) -> list[tuple[str, str]]:
+    """``rl`` selects the preference principles, anything else the critique/revision pairs."""
     if stage == "rl":
-        return [(p, p) for p in X.RL_PRINCIPLES]
-    return list(X.SL_PRINCIPLES)
+        return [(p, p) for p in kit.preferences]
+    return list(kit.principles)
 
 
-def principles_table(spark: SparkSession) -> DataFrame:
+def principles_table(spark: SparkSession, kit: X.PromptKit = X.DEFAULT_KIT) -> DataFrame:
     """Both principle lists as one small table ``(stage, idx, critique, revision)``."""
-    rows = [("sl", i, c, r) for i, (c, r) in enumerate(X.SL_PRINCIPLES)]
-    rows += [("rl", i, p, p) for i, p in enumerate(X.RL_PRINCIPLES)]
+    rows = [(stage, i, c, r) for stage in ("sl", "rl") for i, (c, r) in enumerate(principles(stage, kit))]
     return spark.createDataFrame(rows, PRINCIPLES)
 
 
@@ -33,8 +32,9 @@ def pick_index(n: int, seed: int | str, *keys: Column | str) -> Column:
     return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint"), F.lit(n))
 
 
-def sample_principle(seed: int | str, *keys: Column | str, stage: str = "sl") -> Column:
+def sample_principle(seed: int | str, *keys: Column | str, stage: str = "sl",
+                     kit: X.PromptKit = X.DEFAULT_KIT) -> Column:
     """F16: ``struct<critique, revision>`` picked with replacement per row and key."""
-    ps = principles(stage)
+    ps = principles(stage, kit)
     arr = F.array(*[F.struct(F.lit(c).alias("critique"), F.lit(r).alias("revision")) for c, r in ps])
     return F.element_at(arr, (pick_index(len(ps), seed, *keys) + 1).cast("int"))

@@ -2,14 +2,14 @@
 
 import pytest
 
-from critloom.operators.aggregate import best_step, eval_metrics, score_summary
+from critloom.operators.aggregate import best_step, eval_metrics
 
 
 def test_population_std(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "score double")
-    r = score_summary(df).first()
-    assert r["mean"] == pytest.approx(7 / 3) and r["std"] == pytest.approx(1.247219, abs=1e-6)
-    assert (r["min"], r["max"]) == (1.0, 4.0)
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (1, "a", 4.0)], "step long, category string, score double")
+    m = {r["metric"]: r["value"] for r in eval_metrics(df).collect()}
+    assert m["teaching_quality_score"] == pytest.approx(7 / 3) and m["teaching_quality_std"] == pytest.approx(1.247219, abs=1e-6)
+    assert (m["teaching_quality_min"], m["teaching_quality_max"]) == (1.0, 4.0)
 
 
 def test_metrics_long_table(spark):
