@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: staged tables, bounded text chunks, dense row numbers, components."""
+"""Helpers shared by the operators: bounded text chunks, hashing, connected components."""
 
 from __future__ import annotations
 
@@ -6,10 +6,12 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, ship_package
+from ..operators.ranking import row_numbers  # noqa: F401 - numbering without a global window
+from ..session import ship_package
+from ..session import stage_table as stage
 
 CHUNK_BYTES = 1 << 20  # text handled at once by a vectorised step (a longer single text stands alone)
 
@@ -18,16 +20,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared stage folder and continue from the files.
-
-    Cuts lineage: executors can be lost without recomputing what lies before, and values that
-    depend on the run (row ids) stay as they were written."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package importable on the executors."""
     ship_package(df.sparkSession)
@@ -63,23 +55,6 @@ def crc_mod(col: str, m: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % m
 
 
-def row_numbers(df: DataFrame, order: list[Column], out: str) -> DataFrame:
-    """Number the rows 0, 1, 2, ... in ``order`` without a global window; staged.
-
-    The rows are range-partitioned and sorted, then each partition's offset (one row per
-    partition, summed in a window over that small table) is added. Equal rows are numbered in
-    any order. The result is written, so that the numbers cannot change on a retry."""
-    part = stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                 .withColumn("_mid", F.monotonically_increasing_id()), "numbered")
-    part = part.withColumn("_part", F.shiftright("_mid", 33))
-    sizes = part.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (part.join(F.broadcast(offsets), "_part")
-            .withColumn(out, F.col("_off") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-            .drop("_part", "_mid", "_off"))
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (u bigint, v bigint) → (node, root), root = smallest node.
 

@@ -75,28 +75,29 @@ class Words:
         return b" ".join(self.low[a:b].tobytes() for a, b in zip(self.starts[i:i + n], self.ends[i:i + n])).decode()
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+def _bit(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _held(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = _bit(h)
+    at = _bit(h, len(bitmap).bit_length() + 2)  # the map has 8 bits a byte
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
 
 
-def _bitmap(bits: DataFrame) -> np.ndarray:
-    """The set bits of column ``b`` as a packed map of fixed size (at most 2**(MAP_BITS-6) rows come to the driver)."""
-    words = (bits.groupBy(F.shiftright("b", 6).alias("w"))
+def _bitmap(marks: DataFrame, bits: int) -> np.ndarray:
+    """The numbers in column ``b`` as a packed map of 2**bits bits (at most 2**(bits-6) rows come to the driver)."""
+    words = (marks.groupBy(F.shiftright("b", 6).alias("w"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("m")).toPandas())
-    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64)
     return out.view(np.uint8)
 
 
-def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
-    """(item, n, bit, marks, w) per window of every item, staged; an item of fewer words is one window.
+def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, k: int, bits: int = MAP_BITS) -> DataFrame:
+    """(item, n, bit, mark, w) per word position of the items that starts a window or a fingerprint; staged.
 
-    w is the window's words, space-joined; marks the map bits of its fingerprint (none for short items)."""
+    n, bit and w are the window's words in number, map bit and text (null where only a fingerprint
+    starts); an item of fewer words is one window. mark is the fingerprint's map bit, if one starts."""
     def run(batches):
         for b in batches:
             raw = raw_texts(b.column(1))
@@ -112,7 +113,7 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int,
                         continue
                     marks = np.full(z - a, -1, np.int64)
                     own = (at >= a) & (at < z)
-                    marks[at[own] - a] = _bit(h[own])
+                    marks[at[own] - a] = _bit(h[own], bits)
                     hashes = g[window] if n == window else g.setdefault(n, t.grams(n))
                     item = b.column(0)[i + r].as_py()
                     for s in range(z - a):
@@ -120,7 +121,7 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int,
                         if whole or marks[s] >= 0:  # the last fingerprints start behind the last window
                             rows["item"].append(item)
                             rows["n"].append(n if whole else None)
-                            rows["bit"].append(int(_bit(hashes[a + s:a + s + 1])[0]) if whole else None)
+                            rows["bit"].append(int(_bit(hashes[a + s:a + s + 1], bits)[0]) if whole else None)
                             rows["mark"].append(int(marks[s]) if marks[s] >= 0 else None)
                             rows["w"].append(t.text(a + s, n) if whole else None)
             yield pa.RecordBatch.from_arrays([pa.array(rows["item"], b.column(0).type), pa.array(rows["n"], pa.int32()),
@@ -176,7 +177,7 @@ def candidates(docs: DataFrame, text_col: str, carried: list[str], fp_map, win_m
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, k: int = GRAM,
-                  carried: tuple[str, ...] = ()) -> DataFrame:
+                  carried: tuple[str, ...] = (), map_bits: int = MAP_BITS) -> DataFrame:
     """One row per document: ``(<id>, carried, n_words, n_hit, items array<string>, windows)``.
 
     Both sides keep the smallest k-gram hash of every ``window``-word window, so any shared span of
@@ -191,10 +192,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     words and the items it contains."""
     if not 1 <= k <= window:
         raise ValueError("k must be between 1 and the window")
-    bench = benchmark_windows(items, item_id, item_text, window, k)
+    bench = benchmark_windows(items, item_id, item_text, window, k, map_bits)
     short = sorted(r.n for r in bench.where(F.col("n") < window).select("n").distinct().collect())  # fewer than `window` values
-    fp_map = _bitmap(bench.where("mark is not null").select(F.col("mark").alias("b")))
-    win_map = _bitmap(bench.where("bit is not null").select(F.col("bit").alias("b")))
+    fp_map = _bitmap(bench.where("mark is not null").select(F.col("mark").alias("b")), map_bits)
+    win_map = _bitmap(bench.where("bit is not null").select(F.col("bit").alias("b")), map_bits)
     found = stage(candidates(docs, text_col, [id_col, *carried], fp_map, win_map, short, window, k)
                   .withColumn("_row", F.monotonically_increasing_id()), "contamination")
     owners = stage(bench.where("w is not null").groupBy("w").agg(F.collect_set(F.col("item").cast("string")).alias("items")),
