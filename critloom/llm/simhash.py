@@ -12,6 +12,7 @@ from .common import components, map_arrow, raw_texts, stage
 
 SEED = 42
 HALF = 32  # two segments of 32 bits
+HOT = 1000  # fingerprints of a bucket above which it is searched by its other bits too
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -57,12 +58,19 @@ def _ball(value: Column, radius: int) -> Column:
     return F.concat(F.array(value), F.transform(unset, lambda b: value.bitwiseOR(b)))
 
 
-def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
+def _flipped(value: Column, flips: Column) -> Column:
+    return F.transform(flips, lambda f: value.bitwiseXOR(f))
+
+
+def links(fps: DataFrame, max_bits: int = 3, hot: int = HOT) -> DataFrame:
     """Pairs (u, v) of distinct fingerprints within ``max_bits`` (at most 3) differing bits.
 
     Two fingerprints within 3 bits differ by at most one bit in one of their 32-bit halves, so
     the ball of radius 1 around each half meets the partner's half in an exact-match table.
-    Matches are verified on all 64 bits. ``fps`` has distinct ``_fp``."""
+    Buckets of the table with more than ``hot`` fingerprints are searched the same way once
+    more: the other half splits into two 16-bit parts, one of which differs by at most one bit,
+    so only fingerprints that agree on 48 bits up to two flips meet. Matches are verified on all
+    64 bits. ``fps`` has distinct ``_fp``."""
     if not 0 <= max_bits <= 3:
         raise ValueError("two 32-bit segments with balls of radius 1 cover at most 3 bits")
     radius = 1 if max_bits > 1 else 0
@@ -74,8 +82,22 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     probes = halves.select(F.col("_fp").alias("u"), F.explode(F.concat(
         _ball(F.col("_hi"), radius),
         F.transform(_ball(F.col("_lo"), radius), lambda x: x.bitwiseOR(F.lit(tag))))).alias("_key"))
+    crowded = stage(table.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("_key"), "simhash_crowded")
+    met = probes.join(table, "_key")
+    if crowded.limit(1).count():
+        met = probes.join(crowded, "_key", "left_anti").join(table, "_key")
+        parts = [F.shiftrightunsigned(F.col("_other"), 16), F.col("_other").bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1 << 16))]
+        flips = F.array(F.lit(0).cast("bigint"), *[F.lit(1 << i).cast("bigint") for i in range(16)])
+
+        def other(fp: str):  # the half that the key is not made of
+            return F.when(F.col("_key").bitwiseAND(F.lit(tag)) == 0, F.col(fp).bitwiseAND(F.lit(tag - 1))).otherwise(F.shiftrightunsigned(fp, HALF))
+
+        fine = table.join(crowded, "_key").withColumn("_other", other("v")).select("_key", "v", F.explode(F.array(*parts)).alias("_part"))
+        ask = probes.join(crowded, "_key").withColumn("_other", other("u")).select(
+            "_key", "u", F.explode(F.concat(*[_flipped(p, flips) for p in parts])).alias("_part"))
+        met = met.select("u", "v").union(ask.join(fine, ["_key", "_part"]).select("u", "v"))
     bits = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
-    return probes.join(table, "_key").where((F.col("u") != F.col("v")) & (bits <= max_bits)).select("u", "v")
+    return met.where((F.col("u") != F.col("v")) & (bits <= max_bits)).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
