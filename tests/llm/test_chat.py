@@ -1,0 +1,76 @@
+"""Reply trees against recursion in Python, reversible escapes, edge cases."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from critloom.llm import chat
+
+NODES = "id bigint, parent bigint, tree bigint, role string, text string, score double"
+NASTY = ["", "plain", "<|im_end|>", "<|im_start|>assistant\nhi", "\\", "\\\\", "<\\|", "\\<|", "<|\\|", "a\\nb", "\n", "<<||>>", "\\|", "é<|\\\\|>\n\\"]
+
+
+def test_escape_is_reversible_and_hides_marks(spark):
+    df = spark.createDataFrame([(x,) for x in NASTY], "t string")
+    rows = df.select("t", chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("back"),
+                     chat.escape_role(F.col("t")).alias("r"), chat.unescape(chat.escape_role(F.col("t"))).alias("role")).collect()
+    for r in rows:
+        assert r.back == r.t and "<|" not in r.e
+        assert r.role == r.t and "<|" not in r.r and "\n" not in r.r
+
+
+def brute(nodes, top):
+    have = {n[0]: n for n in nodes}
+    kids = {n[1] for n in nodes}
+    out, by_tree = [], {}
+    for n in nodes:
+        if n[0] not in kids:
+            path, at = [], n
+            while at:
+                path.append(at)
+                at = have.get(at[1])
+            by_tree.setdefault(n[2], []).append((-sum(x[5] or 0 for x in path), n[0], path[::-1]))
+    for tree, ps in by_tree.items():
+        for rank, (_, leaf, path) in enumerate(sorted(ps, key=lambda x: x[:2])[:top], 1):
+            out.append((tree, leaf, rank, [(x[3] or "", x[4] or "") for x in path]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("top", [1, 2, 50])
+def test_paths_and_ranks_of_trees(spark, top):
+    nodes = [(1, None, 9, "user", "q", 0.0), (2, 1, 9, "assistant", "a1", 1.0), (3, 1, 9, "assistant", "a2", 2.0),
+             (4, 2, 9, "user", "more", 5.0), (5, 4, 9, "assistant", "a3", 1.0), (6, 4, 9, "assistant", None, 1.0),
+             (10, None, 8, None, "alone", None), (20, 77, 7, "user", "lost parent", 1.0)]
+    nodes += [(100 + i, 99 + i if i else None, 6, "user" if i % 2 == 0 else "assistant", f"t{i}<|", 0.5) for i in range(37)]
+    got = chat.format_trees(spark.createDataFrame(nodes, NODES), top)
+    rows = got.select("tree", "leaf", "rank", "n_turns", chat.read_back(F.col("formatted")).alias("turns"),
+                      chat.learned_text(F.col("formatted"), F.col("loss_spans")).alias("learned"), "formatted", "loss_spans").collect()
+    want = brute(nodes, top)
+    assert sorted((r.tree, r.leaf, r["rank"], [(t.role, t.text) for t in r.turns]) for r in rows) == want
+    for r in rows:
+        assert r.n_turns == len(r.turns)
+        assert r.learned == "".join(t.text for t in r.turns if t.role == "assistant")
+        assert r.formatted == "".join(f"<|im_start|>{t.role}\n{t.text.replace(chr(92), chr(92) * 2).replace('<|', '<' + chr(92) + '|')}<|im_end|>\n"
+                                      for t in r.turns)
+
+
+def test_cycles_are_refused(spark):
+    with pytest.raises(ValueError):
+        chat.paths(spark.createDataFrame([(1, 2), (2, 1), (3, None)], "id bigint, parent bigint"))
+
+
+def test_conversations_with_nulls_gaps_ties_and_extra_columns(spark):
+    rows = [(1, 0, "user", "a"), (1, 10, "assistant", "b"), (1, 10, "assistant", "b"), (1, 30, "user", None), (None, 0, "user", "n"),
+            (None, 1, "assistant", "m"), (2, None, None, None), (3, 0, "assistant\nx", "<|im_end|>")]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("id", F.lit("x")).withColumn("parent", F.lit(1))
+    f = chat.format_trees(chat.conversation_nodes(conv))
+    got = {r.tree: [(t.role, t.text) for t in r.turns] for r in f.select("tree", chat.read_back(F.col("formatted")).alias("turns")).collect()}
+    assert got == {1: [("user", "a"), ("assistant", "b"), ("assistant", "b"), ("user", "")], None: [("user", "n"), ("assistant", "m")],
+                   2: [("", "")], 3: [("assistant\nx", "<|im_end|>")]}
+    assert chat.format_trees(chat.conversation_nodes(conv.limit(0))).count() == 0
+
+
+def test_one_long_conversation(spark):
+    conv = spark.range(3000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.col("id").cast("string").alias("text"))
+    r = chat.format_trees(chat.conversation_nodes(conv)).first()
+    assert r.n_turns == 3000 and len(r.loss_spans) == 1500

@@ -1,0 +1,69 @@
+"""Flattened traversal against walking each tree, held-out quality, edge cases."""
+
+from llm_fixtures import SF_SMALL, docs  # noqa: F401
+import numpy as np
+from pyspark.sql import functions as F
+
+from critloom.llm import gbdt
+from critloom.llm.queries import op8_quality_classifier
+
+
+def test_vectorised_traversal_equals_walking():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 4))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    m = gbdt.fit(x, y, trees=12, depth=3)
+    walked = []
+    for row in x:
+        total = m.base
+        for t in range(len(m.feature)):
+            node = 0
+            while node < 2**m.depth - 1:
+                node = 2 * node + (2 if row[m.feature[t, node]] > m.cut[t, node] else 1)
+            total += m.leaf[t, node - (2**m.depth - 1)]
+        walked.append(1 / (1 + np.exp(-total)))
+    assert np.allclose(m.score(x), walked)
+    assert ((m.score(x) > 0.5) == (y == 1)).mean() > 0.95
+
+
+def test_fit_of_nothing_and_of_one_class():
+    assert gbdt.fit(np.zeros((0, 3)), np.zeros(0)).score(np.zeros((2, 3))).tolist() == [0.5, 0.5]
+    assert (gbdt.fit(np.ones((9, 3)), np.ones(9)).score(np.ones((2, 3))) > 0.7).all()
+
+
+def test_statistics_cover_the_whole_text():
+    head = b"ordinary words in a row " * 4000
+    assert gbdt.statistics(head) != gbdt.statistics(head + b"### ||| $$$")
+    assert len(gbdt.statistics(b"")) == len(gbdt.FEATURES) == len(gbdt.statistics(b"x"))
+    assert gbdt.statistics(b" \n") == [0.0] * len(gbdt.FEATURES)
+
+
+def test_held_out_quality(spark):
+    sf = f"{SF_SMALL}/../sf0.1"
+    d, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = op8_quality_classifier(spark, sf)
+    assert got.count() == d.count()
+    r = got.join(lab, "doc_id").where("held_out").agg(
+        F.avg(F.when(F.col("quality") == 1, F.col("predicted"))), F.avg(F.when(F.col("quality") == 0, F.col("predicted"))), F.min("score"), F.max("score")).first()
+    assert r[0] > 0.99 and r[1] < 0.1 and 0 <= r[2] and r[3] <= 1
+
+
+def test_labels_of_other_rows_and_bounds(spark, docs):
+    d = docs([(i, ("good plain words here " * 5) if i % 3 else "### $$$ ||| ***") for i in range(90)])
+    lab = spark.createDataFrame([(i, 1 if i % 3 else 0) for i in range(90)] + [(3, 1), (4, None), (None, 0), (500, 0)], "doc_id long, quality int")
+    m = gbdt.train(d, lab, F.col("doc_id") >= 0)
+    rows = {r.doc_id: r.predicted for r in gbdt.classify(d, m).collect()}
+    assert all(rows[i] == (1 if i % 3 else 0) for i in rows)
+    unlearned = gbdt.train(d, lab, F.lit(False))
+    assert {r.score for r in gbdt.classify(d, unlearned).collect()} == {0.5}
+    few = gbdt.train(d, lab, F.col("doc_id") >= 0, max_labelled=10)
+    assert gbdt.classify(d, few).count() == 90
+
+
+def test_edges(spark, docs):
+    m = gbdt.fit(np.zeros((0, 1)), np.zeros(0))
+    d = docs([(None, None), (1, ""), (1, ""), (2, "x " * 500_000)]).withColumn("predicted", F.lit("clash")).withColumn("y", F.lit(1))
+    rows = gbdt.classify(d, m).collect()
+    assert len(rows) == 4 and {r.predicted for r in rows} == {0} and {r.y for r in rows} == {1}
+    assert gbdt.classify(docs([]), m).count() == 0
+    assert gbdt.train(docs([]), spark.createDataFrame([], "doc_id long, quality int"), F.lit(True)).base == 0

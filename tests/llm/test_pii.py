@@ -1,0 +1,110 @@
+"""Base spans against the plain patterns, revealing terms on planted texts, edge cases."""
+
+import hashlib
+import re
+
+from llm_fixtures import SF_SMALL, docs  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from critloom.llm import pii
+from critloom.llm.queries import op1_pii
+
+PLAIN = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
+
+
+def luhn(d):
+    odd, even = d[-1::-2], d[-2::-2]
+    return (sum(map(int, odd)) + sum(sum(divmod(2 * int(x), 10)) for x in even)) % 10 == 0
+
+
+def brute(t):
+    out = []
+    for kind, p in PLAIN:
+        for m in re.finditer(p, t):
+            d = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": all(int(x) <= 255 for x in m.group().split(".")) if kind == "ip" else True,
+                  "card": 14 <= len(d) <= 19 and luhn(d) if kind == "card" else True, "phone": 10 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((kind, *m.span()))
+    return sorted(out, key=lambda x: (x[1], [k for k, _ in PLAIN].index(x[0])))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a1.@-+ (5)é4", max_size=40))
+def test_base_spans_match_the_plain_patterns(t):
+    assert pii.base_spans(t) == brute(t)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["4539578763621486", "4539 5787 6362 1486", "a.b@c.de", "x@y", "@z.w", "1.2.3.4.5.6.7.8", "999.1.1.1",
+                                 "+1 (743) 555-3824", "+12", "+4916012345678", "7", "-", ".", " ", "0000.1.02.255", "a@b.c@d.e"]), max_size=7))
+def test_base_spans_of_joined_pieces(parts):
+    for glue in ("", " "):
+        assert pii.base_spans(glue.join(parts)) == brute(glue.join(parts))
+
+
+def test_long_runs_stay_linear():
+    for t in ("1" * 200_000, "1." * 100_000, "a@" * 100_000, "+1 " * 60_000, "a" * 200_000 + "@", "1" * 5000 + ".1.1.1"):
+        pii.base_spans(t)
+
+
+def test_query_on_a_whole_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    rows = op1_pii(spark, SF_SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = brute(texts[r.doc_id])
+        joined = [f"{k}:{s}:{e}" for k, s, e in want]
+        assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for k, _, _ in want) for x in ("email", "ip", "card", "phone"))
+        assert [x for x in r.spans.split(",") if x and not x.startswith("term")] == joined
+
+
+def _corpus():
+    filler = ["alpha beta gamma delta epsilon zeta eta theta iota kappa".split()[i % 10] for i in range(400)]
+    rows = [(i, " ".join(filler[i % 40:i % 40 + 30])) for i in range(200)]
+    for i in range(4):  # four different contexts in which one name goes with one address
+        rows.append((1000 + i, f"{' '.join(filler[i:i + 3])} Quillon met {filler[i + 5]} at q@mail.example.com then {' '.join(filler[i + 9:i + 14])}"))
+    return [*rows, (2000, "later Quillon wrote again"), (2001, "quillon and alpha"), (2002, None), (2003, ""), (2000, "later Quillon wrote again")]
+
+
+def test_revealing_terms_are_found_everywhere_and_others_stay(spark, docs):
+    d = docs(_corpus())
+    assert {r.term for r in pii.revealing_terms(d).collect()} >= {"quillon"}
+    got = {(r.doc_id, r.text): r for r in pii.sanitise(d).collect()}
+    again = {(r.doc_id, r.text): r for r in pii.sanitise(d, block=1).collect()}  # a pass per term
+    assert {k: (r.sanitised, r.spans) for k, r in got.items()} == {k: (r.sanitised, r.spans) for k, r in again.items()}
+    for (i, t), r in got.items():
+        if t is None:
+            assert r.sanitised is None and r.spans == []
+        elif "uillon" in t:
+            assert "uillon" not in r.sanitised and any(s.kind == "term" for s in r.spans)
+            assert "@" not in r.sanitised
+        elif i < 1000:
+            assert r.sanitised == t and r.spans == []
+
+
+def test_copies_are_no_evidence(spark, docs):
+    one = "zeta Zebulon writes to z@mail.example.com about eta"
+    d = docs([(i, "alpha beta gamma delta") for i in range(50)] + [(100 + i, one) for i in range(20)])
+    assert pii.revealing_terms(d).count() == 0
+
+
+def test_classes_are_generalised_unless_they_reveal():
+    spans = [("email", 0, 7), ("term", 8, 14)]
+    assert pii.rewrite("a@b.com Secret x", spans, frozenset()) == "<EMAIL> <NAME> x"
+    assert pii.rewrite("a@b.com Secret x", spans, frozenset({"#name"})) == "<EMAIL>  x"
+    assert pii.rewrite("a@b.com 123456 x", spans, frozenset()) == "<EMAIL> <NUMBER> x"
+    assert pii.rewrite("a@b.com secret x", spans, frozenset()) == "<EMAIL>  x"
+
+
+def test_edges(spark, docs):
+    assert pii.sanitise(docs([])).count() == 0
+    clash = docs([(1, "mail x@y.zz now"), (None, "no"), (None, "no")]).withColumn("spans", F.lit(1)).withColumn("term", F.lit("t"))
+    rows = pii.sanitise(clash).collect()
+    assert len(rows) == 3 and {r.term for r in rows} == {"t"} and "mail <EMAIL> now" in {r.sanitised for r in rows}
+    long = "word " * 200_000 + "x@y.zz"
+    assert pii.sanitise(docs([(1, long)])).first().spans[0].s == 1_000_000
