@@ -73,12 +73,12 @@ def add_details(judged: DataFrame, path: str) -> DataFrame:
     of its step stay. Only the touched step partitions are read and rewritten, and the merged
     rows are stored first, so nothing is overwritten while being read.
     """
-    spark = judged.sparkSession
-    merged, steps = judged, [r[0] for r in judged.select("step").distinct().collect()]  # one row per step of this batch
-    prior = read_steps(spark, path, judged.schema, steps)
+    merged, prior = judged, read_steps(judged.sparkSession, path, judged.schema)
     if prior is not None:
+        touched = judged.select(F.col("step").alias("_t")).distinct()  # prunes the step partitions at run time
         keys = judged.select(F.col("step").alias("_s"), F.col("ord").alias("_o"))
-        kept = prior.join(keys, F.col("step").eqNullSafe(F.col("_s")) & F.col("ord").eqNullSafe(F.col("_o")), "left_anti")
+        kept = (prior.join(F.broadcast(touched), F.col("step") == F.col("_t"), "left_semi")  # one row per step of this batch
+                .join(keys, F.col("step").eqNullSafe(F.col("_s")) & F.col("ord").eqNullSafe(F.col("_o")), "left_anti"))
         merged = stage_table(judged.unionByName(kept.select(*judged.columns)), "merged_details")
     write_details(merged, path)
     return merged

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,6 @@ from pyspark.sql import types as T
 from ..sources.jobs import READ_ERRORS, _fs, job_dirs, publish_batch, read_jobs, read_published, readable_jobs
 
 DEFAULT_KEY = ("question_id", "turn", "job_id")
-_JOB = re.compile(r"job=(\d+)$")
 
 
 def _same(keys: Sequence[str]):
@@ -100,11 +98,6 @@ def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.Struc
             "per_job": per_job}
 
 
-def job_number(path: str) -> int | None:
-    m = _JOB.search(path)
-    return int(m.group(1)) if m else None
-
-
 def last_commit(spark: SparkSession, checkpoint: str) -> int:
     """The number of the last finished micro-batch of a stream (−1: none)."""
     fs, p = _fs(spark, f"{checkpoint.rstrip('/')}/commits/*")

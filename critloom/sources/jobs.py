@@ -175,12 +175,9 @@ def _write_steps(df: DataFrame, path: str) -> None:
      .partitionBy("step").parquet(path))
 
 
-def read_steps(spark: SparkSession, path: str, schema: T.StructType, steps: Sequence[int] | None = None) -> DataFrame | None:
-    """A step table, or the partitions of ``steps`` only; None if there is none yet."""
-    if not path_exists(spark, path):
-        return None
-    df = spark.read.schema(schema).parquet(path)
-    return df if steps is None else df.filter(F.col("step").isin(list(steps)))
+def read_steps(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A step table (``step`` is its partition column); None if there is none yet."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
 def write_details(details: DataFrame, path: str) -> None:

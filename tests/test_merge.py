@@ -178,7 +178,7 @@ def test_streams_stop_at_unreadable_files_and_take_them_up_when_repaired(spark,
     with open(os.path.join(bad, "part-0.parquet"), "wb") as fh:
         fh.write(b"not parquet")
     spare = os.path.join(tmp_dir, "spare")
-    write_job(_rows(spark, [3]), spare, 1)
+    write_job(_rows(spark, [3]).coalesce(1), spare, 1)
     good = [f for f in os.listdir(os.path.join(spare, "job=1")) if f.startswith("part-")][0]
     out1, ck1 = os.path.join(tmp_dir, "o1"), os.path.join(tmp_dir, "c1")
     out2, ck2 = os.path.join(tmp_dir, "o2"), os.path.join(tmp_dir, "c2")
