@@ -78,7 +78,7 @@ def default_rules(text: Column) -> list[Rule]:
     return [
         Rule("few_words", n < 10),
         Rule("repeated_words", F.col("stats.n_repeat_words") * 100 > n * 20),
-        Rule("symbols", F.col("stats.n_symbols") * 2 > n),
+        Rule("symbols", F.col("stats.n_symbols") * 4 > n),
         Rule("repeated_lines", (F.col("stats.n_lines") > 3) & (F.col("stats.n_dup_lines") * 10 > F.col("stats.n_lines") * 3)),
         Rule("word_length", (chars < n * 2) | (chars > n * 20)),
         Rule("upper_case", share("[^A-Z]+") * 2 > share("[^A-Za-z]+")),

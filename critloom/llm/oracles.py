@@ -37,7 +37,7 @@ s AS (
   FROM w LEFT JOIN dup USING (r) LEFT JOIN hit USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR n_symbols * 2 > n_words
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR n_symbols * 4 > n_words
     OR (n_lines > 3 AND n_dup_lines * 10 > n_lines * 3) OR word_chars < n_words * 2 OR word_chars > n_words * 20
     OR length(regexp_replace(t, '[^A-Z]+', '', 'g')) * 2 > length(regexp_replace(t, '[^A-Za-z]+', '', 'g'))
     OR length(regexp_replace(t, '[^0-9]+', '', 'g')) * 2 > word_chars
