@@ -116,12 +116,14 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     """Fit on the labelled rows of ``usable`` (a condition on the id), at most ``max_labelled`` of them.
 
     Which ones is decided by a hash of the id; ids with contradicting labels and null labels are
-    left out. Only their ids travel (a bounded broadcast) and only their features reach the driver."""
+    left out, and an id that several documents share counts once (the smallest text). Only ids
+    travel (a bounded broadcast) and only features reach the driver."""
     known = (labels.where(F.coalesce(usable, F.lit(False)) & F.col(label_col).isNotNull()).groupBy(id_col)
              .agg(F.min(label_col).alias("_lo"), F.max(label_col).alias("_hi")).where("_lo = _hi")
              .select(id_col, F.col("_lo").cast("int").alias("_y"))
              .orderBy(F.xxhash64(id_col), id_col).limit(max_labelled))
-    rows = docs.select(id_col, F.col(text_col).alias("_t")).join(F.broadcast(known), id_col).select("_t", "_y")
+    rows = (docs.select(id_col, F.col(text_col).alias("_t")).join(F.broadcast(known), id_col)
+            .groupBy(id_col).agg(F.min("_t").alias("_t"), F.first("_y").alias("_y")).select("_t", "_y"))
 
     def run(batches):
         for b in batches:

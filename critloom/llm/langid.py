@@ -72,6 +72,11 @@ def bundle(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def prototypes(docs: DataFrame, text_col: str, lang_col: str, dimensions: int) -> tuple[list[str], np.ndarray]:
     """Per language, the bundle of all its trigrams; tasks add up vectors before the shuffle."""
+    def out(held):
+        for lang, total in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions, pa.string()), pa.array(np.arange(dimensions, dtype=np.int32)),
+                                              pa.array(np.rint(total).astype(np.int64))], ["lang", "i", "x"])
+
     def run(batches):
         letters, held = letter_vectors(dimensions), {}
         for b in batches:
@@ -80,9 +85,10 @@ def prototypes(docs: DataFrame, text_col: str, lang_col: str, dimensions: int) -
                 sums, _ = bundle(texts[i:j], letters)
                 for r, lang in enumerate(langs[i:j]):
                     held[lang] = held.get(lang, 0) + sums[r].astype(np.float64)
-        for lang, total in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions, pa.string()), pa.array(np.arange(dimensions, dtype=np.int32)),
-                                              pa.array(np.rint(total).astype(np.int64))], ["lang", "i", "x"])
+                if len(held) > MAX_LANGUAGES:  # far too many: reported below, but not held here
+                    yield from out(held)
+                    held = {}
+        yield from out(held)
 
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     part = map_arrow(known.select(F.col(text_col).alias("_t"), F.col(lang_col).cast("string").alias("_l")), run,
@@ -91,9 +97,9 @@ def prototypes(docs: DataFrame, text_col: str, lang_col: str, dimensions: int) -
     if len(rows) > MAX_LANGUAGES * dimensions:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     langs = sorted(rows["lang"].unique())
-    out = np.zeros((len(langs), dimensions))
-    out[rows["lang"].map({x: k for k, x in enumerate(langs)}).to_numpy(np.int64), rows["i"].to_numpy(np.int64)] = rows["x"]
-    return langs, out
+    proto = np.zeros((len(langs), dimensions))
+    proto[rows["lang"].map({x: k for k, x in enumerate(langs)}).to_numpy(np.int64), rows["i"].to_numpy(np.int64)] = rows["x"]
+    return langs, proto
 
 
 def identify(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
