@@ -63,3 +63,13 @@ def test_entry(spark):
     assert again.schema == df.schema and sorted(again.collect()) == sorted(rows)  # stable schema and rows
     assert df.columns == ["question_id", "prompt", "chosen", "rejected", "critique_requests_md5", "critiques_md5",
                           "revisions_md5", "split"]
+
+
+def test_the_library_does_not_import_its_optional_package():
+    import pathlib
+
+    import critloom
+    root = pathlib.Path(critloom.__file__).parent
+    for f in root.rglob("*.py"):
+        if f.relative_to(root).parts[0] != "llm":
+            assert "llm" not in f.read_text(), f
