@@ -87,12 +87,16 @@ def default_rules(text: Column) -> list[Rule]:
     ]
 
 
-def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> list[tuple[Rule, float, float]]:
-    """(rule, seconds, rejected share) by rejections per second on a bounded random sample, best first.
+def take_sample(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> DataFrame:
+    """A bounded random sample of the raw rows, staged: taken before anything is computed on them."""
+    return stage(docs.sample(0.1, seed=seed).limit(sample_rows), "rule_sample")
 
-    Each rule runs twice over the stored sample; the faster run counts. An empty sample keeps
-    the given order. The order decides how much work is saved, never which rows are kept."""
-    sample = stage(docs.sample(0.1, seed=seed).limit(sample_rows), "rule_sample")
+
+def order_rules(sample: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
+    """(rule, seconds, rejected share) by rejections per second on the sample, best first.
+
+    Each rule runs twice over the sample; the faster run counts. An empty sample keeps the
+    given order. The order decides how much work is saved, never which rows are kept."""
     total, out = sample.count(), []
     for r in rules:
         seconds, rejected = float("inf"), 0
@@ -104,16 +108,15 @@ def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_RO
     return sorted(out, key=lambda x: -(x[2] / x[1] if total else 0))
 
 
-def cascade(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def cascade(docs: DataFrame, rules: list[Rule], sample: DataFrame) -> DataFrame:
     """``docs`` with ``failed_rule`` (first of the cascade that rejects; null if none) and ``kept``.
 
-    The rules form one CASE expression in their estimated order, so a row stops at its first
-    rejection. kept does not depend on that order; failed_rule does. Rows are judged alone:
-    nulls, repeated rows and empty tables need no special care. Columns named failed_rule or
-    kept are replaced."""
-    ordered = order_rules(docs, rules, sample_rows)
+    The rules form one CASE expression in the order estimated on ``sample`` (rows like those of
+    ``docs``), so a row stops at its first rejection. kept does not depend on that order;
+    failed_rule does. Rows are judged alone: nulls, repeated rows and empty tables need no
+    special care. Columns named failed_rule or kept are replaced."""
     first = F.lit(None).cast("string")
-    for r, _, _ in reversed(ordered):
+    for r, _, _ in reversed(order_rules(sample, rules)):
         first = F.when(F.coalesce(r.rejects, F.lit(False)), F.lit(r.name)).otherwise(first)
     return docs.withColumn("failed_rule", first).withColumn("kept", F.col("failed_rule").isNull())
 
@@ -121,4 +124,5 @@ def cascade(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS)
 def judge(docs: DataFrame, text_col: str = "text", rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with the struct ``stats`` of every whole text (null: empty), failed_rule and kept."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return cascade(docs.withColumn("stats", statistics(text)), rules or default_rules(text), sample_rows)
+    sample = stage(take_sample(docs, sample_rows).withColumn("stats", statistics(text)), "rule_sample_stats")
+    return cascade(docs.withColumn("stats", statistics(text)), rules or default_rules(text), sample)
