@@ -14,7 +14,8 @@ from .common import map_arrow, stage
 
 KINDS = ("email", "ip", "card", "phone", "term")  # order of spans that start together
 WINDOW = 8         # terms before and after a mention that count as its context
-MIN_SUPPORT = 3    # different contexts of an entity in which a revealing term occurs
+MIN_CONTEXTS = 3   # different contexts of an entity in which a revealing term occurs
+MIN_INDEPENDENT = 2.0  # how many independent contexts these must be worth (copies overlap)
 DISCLOSURE = 0.5   # share of an entity's information that a term may reveal
 BLOCK = 200_000    # terms looked up in one pass over the texts; more terms take more passes
 
@@ -106,32 +107,53 @@ def _contexts(t: str, spans):
         yield entity(kind, t[s:e]), xxhash.xxh64_intdigest(" ".join(near).lower()) - (1 << 63), sorted(terms)
 
 
-def revealing_terms(docs: DataFrame, text_col: str = "text", window: int = WINDOW, min_support: int = MIN_SUPPORT,
-                    disclosure: float = DISCLOSURE, block: int = BLOCK) -> DataFrame:
+def _independent(windows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (entity, term, n_et) with ``worth``: independent contexts that the n_et different ones amount to.
+
+    n / (1 + (n - 1) S), where S is the mean share of terms that two of these contexts have in
+    common besides the term itself. It comes from counts per (entity, term, other term): a
+    context has few terms, so the rows are a bounded multiple of the contexts."""
+    held = windows.select("entity", F.explode("terms").alias("term"), "terms").join(pairs, ["entity", "term"])
+    other = (held.select("entity", "term", "n_et", F.explode("terms").alias("other")).where("other <> term")
+             .groupBy("entity", "term", "n_et", "other").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    shared = other.groupBy("entity", "term", "n_et").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("a"), F.sum("n").alias("b"))
+    overlap = F.col("a") / (F.col("b") * (F.col("n_et") - 1))
+    worth = F.col("n_et") / (1 + (F.col("n_et") - 1) * F.coalesce(overlap, F.lit(0.0)))
+    return shared.select("entity", "term", "n_et", worth.alias("worth"))
+
+
+def revealing_terms(docs: DataFrame, text_col: str = "text", min_contexts: int = MIN_CONTEXTS,
+                    min_independent: float = MIN_INDEPENDENT, disclosure: float = DISCLOSURE, block: int = BLOCK) -> DataFrame:
     """(term) that reveal some entity: PMI(entity; term) >= disclosure x IC(entity); staged.
 
-    An entity is a distinct base value; n(e) its different contexts (copies of a text count
-    once), n(e,t) those that hold the term, n(t) the documents with the term, N all documents.
-    PMI = log2(n(e,t) N / (n(e) n(t))), IC = log2(N / n(e)). Every text is counted."""
+    An entity is a distinct base value; n(e) its different contexts, n(e,t) those with the term,
+    n(t) the documents with the term, N all documents. PMI = log2(n(e,t) N / (n(e) n(t))),
+    IC = log2(N / n(e)). Every text is counted.
+
+    Copies are no evidence: equal contexts count once, and the different ones must be worth
+    ``min_independent`` independent contexts, so near copies, which share most terms, do not
+    pass."""
     def contexts(batches):
         for b in batches:
             rows = {"entity": [], "context": [], "terms": []}
             for t in b.column(0).to_pylist():
                 spans = base_spans(t) if t else []
-                if spans:
-                    for e, c, terms in _contexts(t, spans):
-                        rows["entity"].append(e)
-                        rows["context"].append(c)
-                        rows["terms"].append(terms)
-            yield pa.RecordBatch.from_arrays([pa.array(rows["entity"], pa.string()), pa.array(rows["context"], pa.int64()),
-                                              pa.array(rows["terms"], pa.list_(pa.string()))], list(rows))
+                for found in _contexts(t, spans) if spans else ():
+                    for column, value in zip(rows.values(), found):
+                        column.append(value)
+            types = [pa.string(), pa.int64(), pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), types)], list(rows))
 
     texts = docs.select(text_col)
-    seen = stage(map_arrow(texts, contexts, "entity string, context bigint, terms array<string>"), "mentions")
-    n_e = seen.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= min_support)
-    n_et = (seen.select("entity", "context", F.explode("terms").alias("term")).distinct()
-            .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= min_support))
-    pairs = stage(n_et.join(n_e, "entity"), "entity_terms")
+    seen = map_arrow(texts, contexts, "entity string, context bigint, terms array<string>")
+    windows = stage(seen.groupBy("entity", "context").agg(F.first("terms").alias("terms")), "contexts")
+    one = F.count(F.lit(1))
+    n_e = windows.groupBy("entity").agg(one.alias("n_e")).where(F.col("n_e") >= min_contexts)
+    n_et = (windows.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(one.alias("n_et"))
+            .where(F.col("n_et") >= min_contexts))
+    candidates = stage(n_et, "entity_terms")
+    pairs = _independent(windows, candidates).where(F.col("worth") >= min_independent).drop("worth")
+    pairs = stage(pairs.join(n_e, "entity"), "entity_pairs")
     wanted = stage(pairs.select("term").distinct(), "wanted_terms")
     total = docs.count()
     n_t = None
@@ -197,8 +219,9 @@ def rewrite(t: str, spans, terms: frozenset) -> str:
     return "".join(out) + t[at:]
 
 
-def sanitise(docs: DataFrame, text_col: str = "text", block: int = BLOCK, **limits) -> DataFrame:
-    """``docs`` with ``sanitised`` (the rewritten text) and ``spans`` (array of kind, start, end), row by row.
+def sanitise(docs: DataFrame, text_col: str = "text", block: int = BLOCK, keep_text: bool = True, **limits) -> DataFrame:
+    """``docs`` with ``sanitised`` (the rewritten text) and ``spans`` (array of kind, start, end), row by row,
+    without the text column unless ``keep_text``.
 
     All documents form the corpus that revealing terms are learned from, and every occurrence
     of such a term in any document is rewritten. Null texts count as empty and stay null in
@@ -207,7 +230,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", block: int = BLOCK, **limi
     revealing = revealing_terms(docs, text_col, block=block, **limits)
     classes = frozenset(r.term for r in revealing.where(F.col("term").startswith("#")).collect())  # three at most
     blocks = list(range(-(-revealing.count() // block))) or [None]
-    kept = [c for c in docs.columns if c not in ("sanitised", "spans")]
+    kept = [c for c in docs.columns if c not in ("sanitised", "spans") and (keep_text or c != text_col)]
     out = docs.select(F.col(text_col).alias("_t"), F.lit(None).cast("array<struct<kind:string,s:int,e:int>>").alias("_spans"), *kept)
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in out.schema.fields[2:])
     sc = docs.sparkSession.sparkContext

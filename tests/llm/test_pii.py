@@ -1,6 +1,7 @@
 """Base spans against the plain patterns, revealing terms on planted texts, edge cases."""
 
 import hashlib
+import random
 import re
 
 from llm_fixtures import SF_SMALL, docs  # noqa: F401
@@ -64,10 +65,11 @@ def test_query_on_a_whole_table(spark):
 
 
 def _corpus():
-    filler = ["alpha beta gamma delta epsilon zeta eta theta iota kappa".split()[i % 10] for i in range(400)]
-    rows = [(i, " ".join(filler[i % 40:i % 40 + 30])) for i in range(200)]
+    rnd = random.Random(2)
+    say = lambda n: " ".join(f"word{chr(97 + rnd.randrange(26))}{chr(97 + rnd.randrange(26))}" for _ in range(n))
+    rows = [(i, say(30)) for i in range(200)]
     for i in range(4):  # four different contexts in which one name goes with one address
-        rows.append((1000 + i, f"{' '.join(filler[i:i + 3])} Quillon met {filler[i + 5]} at q@mail.example.com then {' '.join(filler[i + 9:i + 14])}"))
+        rows.append((1000 + i, f"{say(9)} Quillon {say(1)} q@mail.example.com {say(9)}"))
     return [*rows, (2000, "later Quillon wrote again"), (2001, "quillon and alpha"), (2002, None), (2003, ""), (2000, "later Quillon wrote again")]
 
 
@@ -88,8 +90,10 @@ def test_revealing_terms_are_found_everywhere_and_others_stay(spark, docs):
 
 
 def test_copies_are_no_evidence(spark, docs):
-    one = "zeta Zebulon writes to z@mail.example.com about eta"
-    d = docs([(i, "alpha beta gamma delta") for i in range(50)] + [(100 + i, one) for i in range(20)])
+    rnd = random.Random(4)
+    one = "zeta Zebulon writes to z@mail.example.com about eta theta iota kappa lambda mu nu xi".split()
+    near = [" ".join(w if "@" in w or rnd.random() > 0.2 else f"edit{rnd.randrange(99)}" for w in one) for _ in range(30)]
+    d = docs([(i, f"alpha beta gamma delta {i}") for i in range(90)] + [(100 + i, " ".join(one)) for i in range(20)] + [(200 + i, t) for i, t in enumerate(near)])
     assert pii.revealing_terms(d).count() == 0
 
 
