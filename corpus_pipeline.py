@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from critloom.llm import gbdt, mixing, pii, simhash, winnow
 from critloom.llm.common import crc_mod, read, stage
@@ -16,16 +15,20 @@ from critloom.llm.common import crc_mod, read, stage
 ORACLE_SQL = None  # trained trees and SimHash cannot be expressed in SQL
 
 
-def _whole(docs: DataFrame, *named: str) -> DataFrame:
-    """Every row as one struct beside the columns a stage works on, so that no other column can clash."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *named)
+def _plain(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns c0, c1, …, so that no other column can clash with an operator's."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def _at(docs: DataFrame, column: str) -> str:
+    return f"c{docs.columns.index(column)}"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go. It learns from the labels of the documents at hand."""
     model = gbdt.train(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
-    scored = gbdt.classify(_whole(docs, F.col("text").alias("_text")), model, "_text", names=("_score", "_good"))
-    return scored.where("_good = 1").select("_doc.*")
+    scored = gbdt.classify(_plain(docs), model, _at(docs, "text"))
+    return scored.where("predicted = 1").drop("score", "predicted").toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +38,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a 10-word window of the benchmark go."""
-    found = winnow.contamination(_whole(docs, "doc_id", "text"), read(spark, sf_dir, "benchmark"), carried=("_doc",))
-    return found.where("n_hit = 0").select("_doc.*")
+    plain = _plain(docs)
+    found = winnow.contamination(plain, read(spark, sf_dir, "benchmark"), _at(docs, "doc_id"), _at(docs, "text"),
+                                 carried=tuple(plain.columns))
+    return found.where("n_hit = 0").select(*plain.columns).toDF(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that reveal it are replaced in the texts; every document stays."""
-    done = pii.sanitise(_whole(docs, F.col("text").alias("_text")), "_text")
-    return done.select(*[F.col("sanitised").alias(c) if c == "text" else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    plain, text = _plain(docs), _at(docs, "text")
+    done = pii.sanitise(plain, text, keep_text=False).withColumnRenamed("sanitised", text)
+    return done.select(*plain.columns).toDF(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from ..operators.ranking import row_numbers  # noqa: F401 - numbering without a
 from ..session import ship_package
 from ..session import stage_table as stage
 
+BATCH_BYTES = 4 << 20  # of an Arrow batch (a longer single row stands alone)
 CHUNK_BYTES = 1 << 20  # text handled at once by a vectorised step (a longer single text stands alone)
 
 
@@ -21,8 +22,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package importable on the executors."""
-    ship_package(df.sparkSession)
+    """``df.mapInArrow`` with this package importable on the executors and batches bounded by their
+    bytes: the session's limit of an Arrow batch is set to ``BATCH_BYTES``, as rows are whole texts."""
+    spark = df.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

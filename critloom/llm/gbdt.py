@@ -143,17 +143,17 @@ def classify(docs: DataFrame, model: Trees, text_col: str = "text", cut: float =
     Null texts score like empty ones; repeated rows and nulls in other columns do not matter; an
     empty table stays empty. Columns of the input called like ``names`` are replaced."""
     kept = [c for c in docs.columns if c not in names]
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    picked = docs.select(*kept) if text_col in kept else docs.select(*kept, text_col)
+    at, sent = picked.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for b in batches:
-            raw, scores = raw_texts(b.column(0)), []
+            raw, scores = raw_texts(b.column(at)), []
             for i in range(0, len(raw), 512):
                 scores.append(sent.value.score(np.array([statistics(t) for t in raw[i:i + 512]])))
             s = np.concatenate(scores or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(s), pa.array((s >= cut).astype(np.int32))],
-                                             [*b.schema.names[1:], *names])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.array(s), pa.array((s >= cut).astype(np.int32))],
+                                             [*kept, *names])
 
-    picked = docs.select(F.col(text_col).alias("_t"), *kept)
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in picked.schema.fields[1:])
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
     return map_arrow(picked, run, f"{kinds}`{names[0]}` double, `{names[1]}` int")

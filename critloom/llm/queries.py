@@ -11,7 +11,7 @@ from .common import crc_mod, read
 
 def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Information-theoretic sanitisation: base spans of every text and the terms that reveal them."""
-    d = pii.sanitise(read(spark, sf, "documents").select("doc_id", "text"))
+    d = pii.sanitise(read(spark, sf, "documents").select("doc_id", "text"), keep_text=False)
     count = [F.size(F.filter("spans", _is(k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.s, x.e)), ",")
     return d.select("doc_id", *count,

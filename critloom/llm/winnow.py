@@ -139,13 +139,14 @@ def candidates(docs: DataFrame, text_col: str, carried: list[str], fp_map, win_m
 
     Winnowed fingerprints that the map holds are extended to every window around them; short
     item lengths are looked up at every word. Maps only drop sure misses."""
-    sc = docs.sparkSession.sparkContext
-    maps = sc.broadcast((fp_map, win_map))
+    maps = docs.sparkSession.sparkContext.broadcast((fp_map, win_map))
+    picked = docs.select(*carried) if text_col in carried else docs.select(*carried, text_col)
+    text_at = picked.columns.index(text_col)
 
     def run(batches):
         fps, wins = maps.value
         for b in batches:
-            raw = raw_texts(b.column(0))
+            raw = raw_texts(b.column(text_at))
             n_words, found = [], []
             for i, j in chunks(raw):
                 t = Words(raw[i:j])
@@ -167,11 +168,10 @@ def candidates(docs: DataFrame, text_col: str, carried: list[str], fp_map, win_m
                     per[r].append({"s": s - int(t.first[r]), "n": n, "w": t.text(s, n)})
                 found.extend(per)
             kind = pa.list_(pa.struct([("s", pa.int32()), ("n", pa.int32()), ("w", pa.string())]))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(n_words, pa.int64()), pa.array(found, kind)],
-                                             [*b.schema.names[1:], "_n_words", "_found"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(carried)], pa.array(n_words, pa.int64()), pa.array(found, kind)],
+                                             [*carried, "_n_words", "_found"])
 
-    picked = docs.select(F.col(text_col).alias("_t"), *carried)
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in picked.schema.fields[1:])
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carried)
     return map_arrow(picked, run, kinds + "_n_words bigint, _found array<struct<s:int,n:int,w:string>>")
 
 
@@ -196,6 +196,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     short = sorted(r.n for r in bench.where(F.col("n") < window).select("n").distinct().collect())  # fewer than `window` values
     fp_map = _bitmap(bench.where("mark is not null").select(F.col("mark").alias("b")), map_bits)
     win_map = _bitmap(bench.where("bit is not null").select(F.col("bit").alias("b")), map_bits)
+    carried = tuple(c for c in carried if c != id_col)
     found = stage(candidates(docs, text_col, [id_col, *carried], fp_map, win_map, short, window, k)
                   .withColumn("_row", F.monotonically_increasing_id()), "contamination")
     owners = stage(bench.where("w is not null").groupBy("w").agg(F.collect_set(F.col("item").cast("string")).alias("items")),
