@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, chunks, map_arrow, raw_texts, stage
+from .common import CHUNK_BYTES, map_arrow, raw_texts, stage
 
 DEPTH = 3            # bytes of context
 MAX_NODES = 4096     # contexts kept per depth: those with at least 1/MAX_NODES of all positions
@@ -23,18 +24,32 @@ def tokens(raw: bytes) -> list[bytes]:
     return [*raw.lower().split(), END]
 
 
-def _codes(raw: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte, the depth bytes before it (line feeds before the text) and the byte, packed
-    in one integer; and the first position of each text."""
-    pad = b"\n" * depth
-    buf = np.frombuffer(pad + pad.join(raw), np.uint8)
-    code = np.zeros(max(0, len(buf) - depth), np.uint64)
+def _pieces(raw: list[bytes], depth: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text number, code) of every byte, about ``limit`` bytes at a time: the code packs the
+    ``depth`` bytes before it (line feeds before the text) and the byte. Long texts come in parts."""
+    parts, held = [], 0
+    for r, x in enumerate(raw):
+        for i in range(0, len(x), limit):
+            before = x[max(0, i - depth):i]
+            parts.append((r, b"\n" * (depth - len(before)) + before + x[i:i + limit]))
+            held += min(limit, len(x) - i)
+            if held >= limit:
+                yield _codes(parts, depth)
+                parts, held = [], 0
+    if parts:
+        yield _codes(parts, depth)
+
+
+def _codes(parts: list[tuple[int, bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    buf = np.frombuffer(b"".join(x for _, x in parts), np.uint8)
+    code = np.zeros(len(buf) - depth, np.uint64)
     for j in range(depth + 1):
         code = (code << np.uint64(8)) | buf[j:j + len(code)]
-    lengths = np.array([len(x) for x in raw], np.int64)
-    at = np.concatenate([[0], np.cumsum(lengths + depth)])[:-1]
-    keep = np.repeat(at - np.concatenate([[0], np.cumsum(lengths)])[:-1], lengths) + np.arange(lengths.sum())
-    return code[keep], np.concatenate([[0], np.cumsum(lengths)])
+    sizes = np.array([len(x) for _, x in parts])
+    own = np.ones(len(buf), bool)  # the bytes that are not context
+    for j in range(depth):
+        own[np.cumsum(sizes) - sizes + j] = False
+    return np.repeat([r for r, _ in parts], sizes - depth), code[own[depth:]]
 
 
 def count_grams(docs: DataFrame, text_col: str, depth: int) -> DataFrame:
@@ -42,8 +57,8 @@ def count_grams(docs: DataFrame, text_col: str, depth: int) -> DataFrame:
     def run(batches):
         for b in batches:
             raw = raw_texts(b.column(0))
-            for i, j in chunks(raw, 4 * CHUNK_BYTES):
-                code, n = np.unique(_codes(raw[i:j], depth)[0], return_counts=True)
+            for _, codes in _pieces(raw, depth, 4 * CHUNK_BYTES):
+                code, n = np.unique(codes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], ["code", "n"])
 
     part = map_arrow(docs.select(F.col(text_col)), run, "code bigint, n bigint")
@@ -150,16 +165,16 @@ class ContextTree:
 
     def score(self, raw: list[bytes]) -> np.ndarray:
         """log10 probability of each text."""
-        code, first = _codes(raw, self.depth)
-        node = np.zeros(len(code), np.int32)
-        for d in range(1, self.depth + 1):
-            nxt = self.child[node, (code >> np.uint64(8 * d)).astype(np.uint8)]
-            if d > 1:
-                nxt = np.where(stopped, -1, nxt)
-            stopped = nxt < 0
-            node = np.where(stopped, node, nxt)
-        run = np.concatenate([[0.0], np.cumsum(self.logp[node, code.astype(np.uint8)], dtype=np.float64)])
-        return run[first[1:]] - run[first[:-1]]
+        out = np.zeros(len(raw))
+        for who, code in _pieces(raw, self.depth):
+            node = np.zeros(len(code), np.int32)
+            on = np.ones(len(code), bool)  # still on a kept path
+            for d in range(1, self.depth + 1):
+                nxt = self.child[node, (code >> np.uint64(8 * d)).astype(np.uint8)]
+                on &= nxt >= 0
+                node = np.where(on, nxt, node)
+            out += np.bincount(who, self.logp[node, code.astype(np.uint8)], len(raw))
+        return out
 
 
 def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, max_nodes: int = MAX_NODES) -> ContextTree:
@@ -203,8 +218,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     no rows.
 
     Tokens with at least 1/FREQUENT of all training tokens (at most FREQUENT of them) are
-    broadcast and summed where the text is; the rest go through one join on the token, so no
-    vocabulary is held whole anywhere."""
+    broadcast and summed where the text is; the rest, counted per text, go through one join on
+    the token, so no vocabulary is held whole anywhere."""
     spark = docs.sparkSession
     training = docs.where(F.coalesce(train, F.lit(False)))
     tree = fit(training, text_col, depth, max_nodes)
@@ -216,32 +231,34 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         tree, often = model.value
-        log_p = {t: (float(np.log10((c + 1) / denominator))) for t, c in often.items()}
+        log_p = {t: float(np.log10((c + 1) / denominator)) for t, c in often.items()}
+        unseen = -float(np.log10(denominator))
         for b in batches:
             raw = raw_texts(b.column(0))
-            scores = np.concatenate([tree.score(raw[i:j]) for i, j in chunks(raw)] or [np.zeros(0)])
+            scores = tree.score(raw)
             n_tokens, known, base, rare = [], [], [], []
             for x in raw:
                 words = tokens(x)
                 got = [p for p in map(log_p.get, words) if p is not None]
+                rest = Counter(w for w in words if w not in log_p) if len(got) < len(words) else {}
                 n_tokens.append(len(words))
                 known.append(len(got))
-                base.append(float(sum(got)))
-                rare.append([w for w in words if w not in log_p] if len(got) < len(words) else [])
+                base.append(float(sum(got)) + unseen * (len(words) - len(got)))
+                rare.append([{"token": w, "n": n} for w, n in rest.items()])
+            kind = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], pa.array([len(x) for x in raw], pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(rare, pa.list_(pa.binary()))],
+                 pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, kind)],
                 [*b.schema.names[1:], "n_bytes", "score", "n_tokens", "known", "base", "rare"])
 
     picked = docs.select(F.col(text_col).alias("_t"), F.col(id_col).alias("_id"))
     kind = picked.schema["_id"].dataType.simpleString()
     scored = stage(map_arrow(picked, run, f"_id {kind}, n_bytes bigint, score double, n_tokens bigint, known bigint, "
-                                          "base double, rare array<binary>")
+                                          "base double, rare array<struct<token:binary,n:bigint>>")
                    .withColumn("_row", F.monotonically_increasing_id()), "scored")
-    rest = scored.where(F.size("rare") > 0).select("_row", F.explode("rare").alias("token"))
-    rest = (rest.join(vocab.where(F.col("c") * FREQUENT < n_train), "token", "left").groupBy("_row")
-            .agg(F.count("c").alias("k"), F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(denominator))).alias("s")))
+    rest = scored.where(F.size("rare") > 0).select("_row", F.explode("rare").alias("r")).select("_row", "r.token", "r.n")
+    rest = (rest.join(vocab.where(F.col("c") * FREQUENT < n_train), "token").groupBy("_row")
+            .agg(F.sum("n").alias("k"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("s")))  # on top of an unseen token
     return scored.drop("rare").join(rest, "_row", "left").select(
         F.col("_id").alias(id_col), "n_bytes", "score",
         F.when(F.col("n_bytes") > 0, -F.col("score") / F.lit(float(np.log10(2.0))) / F.col("n_bytes")).alias("bits_per_byte"),
