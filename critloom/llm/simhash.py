@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from .common import components, map_arrow, raw_texts, stage
 
 SEED = 42
+BLOCK = 1 << 14  # shingle hashes held at once
 HALF = 32  # two segments of 32 bits
 HOT = 1000  # fingerprints of a bucket above which it is searched by its other bits too
 
@@ -24,13 +27,12 @@ def fingerprint(text: bytes, shingle: int) -> int:
         grams = [b" ".join(words)]
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    h = xxhash.xxh64_intdigest
-    hashes = np.array([h(g, SEED) for g in grams], dtype="<u8")
-    ones = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 1 << 14):
-        part = hashes[i:i + (1 << 14)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    grams, n, ones = iter(grams), 0, np.zeros(64, np.int64)
+    while part := [xxhash.xxh64_intdigest(g, SEED) for g in islice(grams, BLOCK)]:
+        bits = np.unpackbits(np.array(part, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int32)
+        n += len(part)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
