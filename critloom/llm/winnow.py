@@ -206,12 +206,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     hits = (hits.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("s", "n"))).alias("at"),
                                      F.flatten(F.collect_set("items")).alias("items"))
             .select("_row", "at", F.array_sort(F.array_distinct("items")).alias("items")))
-    none = F.array().cast("array<string>")
-    out = found.select("_row", id_col, *carried, F.col("_n_words").alias("n_words")).join(stage(hits, "hits"), "_row", "left")
-    at = F.coalesce("at", F.array().cast("array<struct<s:int,n:int>>"))
     start = F.struct(F.lit(0).cast("bigint").alias("hit"), F.lit(0).alias("end"))
-    union = F.aggregate(at, start, lambda acc, x: F.struct(  # length of the union; windows come by start
+    union = F.aggregate("at", start, lambda acc, x: F.struct(  # length of the union; windows come by start
         (acc.hit + F.greatest(F.lit(0), x.s + x.n - F.greatest(acc.end, x.s))).alias("hit"),
         F.greatest(acc.end, x.s + x.n).alias("end")), lambda acc: acc.hit)
-    return out.select(id_col, *carried, "n_words", union.alias("n_hit"), F.coalesce("items", none).alias("items"),
-                      at.alias("windows"))
+    hits = stage(hits.select("_row", union.alias("n_hit"), "items", F.col("at").alias("windows")), "hits")  # read by column
+    out = found.select("_row", id_col, *carried, F.col("_n_words").alias("n_words")).join(hits, "_row", "left")
+    return out.select(id_col, *carried, "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+                      F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+                      F.coalesce("windows", F.array().cast("array<struct<s:int,n:int>>")).alias("windows"))
