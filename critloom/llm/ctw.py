@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from .common import CHUNK_BYTES, map_arrow, raw_texts, stage
 
-DEPTH = 3            # bytes of context
-MAX_NODES = 4096     # contexts kept per depth: those with at least 1/MAX_NODES of all positions
+DEPTH = 6            # bytes of context (a code of 7 bytes)
+MAX_NODES = 4096     # contexts per depth of the small tree in memory (fit)
+CROWN = 2            # depth of the tree's top on the driver: at most 65,536 contexts
+TOP = 3 << 20        # grams that are broadcast with their logs; all others are joined
+HELD_GRAMS = 1 << 21  # distinct grams held by a counting task before it hands them on
+SUBTREES = 1 << 16   # grams weighted at once (a larger subtree stands alone)
 FREQUENT = 1 << 17   # tokens with at least 1/FREQUENT of all training tokens are broadcast
 FLUSH = 1 << 18      # distinct tokens held by a counting task before it hands them on
 END = b"\n"          # the end of a text; no token can hold it
@@ -178,7 +182,8 @@ class ContextTree:
 
 
 def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, max_nodes: int = MAX_NODES) -> ContextTree:
-    """Count all texts, keep the contexts with at least 1/max_nodes of the positions, weight the tree.
+    """A small tree in memory: the contexts with at least 1/max_nodes of the positions. ``score``
+    does not use it (it keeps every context); with all contexts kept both give the same logs.
 
     The driver receives at most ``max_nodes`` contexts per depth with their byte counts, however
     large the corpus; the counts cover every byte of every text. A context that is not kept
@@ -206,8 +211,192 @@ def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, max_nodes:
     return ContextTree(levels)
 
 
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    code, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return code, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
+def gram_table(docs: DataFrame, train: Column, text_col: str, depth: int) -> DataFrame:
+    """(code bigint, n bigint, m bigint): every gram of any text, how often training texts hold it
+    (0: never) and all texts; tasks count before the shuffle; staged."""
+    def run(batches):
+        held: dict[bool, list] = {True: [], False: []}
+
+        def out():
+            for own, parts in held.items():
+                code, m = _merge(parts) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                for i in range(0, len(code), FLUSH):
+                    some = m[i:i + FLUSH]
+                    yield pa.RecordBatch.from_arrays([pa.array(code[i:i + FLUSH].astype(np.int64)), pa.array(some if own else 0 * some),
+                                                      pa.array(some)], ["code", "n", "m"])
+                parts.clear()
+
+        for b in batches:
+            raw, flags = raw_texts(b.column(0)), b.column(1).to_pylist()
+            for own, parts in held.items():
+                for _, codes in _pieces([x for x, f in zip(raw, flags) if f == own], depth, 4 * CHUNK_BYTES):
+                    parts.append(np.unique(codes, return_counts=True))
+            if sum(len(c) for parts in held.values() for c, _ in parts) > HELD_GRAMS:
+                for parts in held.values():
+                    parts[:] = [_merge(parts)] if parts else []
+                if sum(len(c) for parts in held.values() for c, _ in parts) > HELD_GRAMS // 2:
+                    yield from out()
+        yield from out()
+
+    part = map_arrow(docs.select(F.col(text_col).alias("_t"), train.alias("_own")), run, "code bigint, n bigint, m bigint")
+    return stage(part.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "grams")
+
+
+def _decisions(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(8, grams): the context and decision (context << 8 | decision) and the bit taken there."""
+    level, byte = np.arange(8, dtype=np.uint64)[:, None], code & np.uint64(255)
+    at = (np.uint64(1) << level) | (byte >> (np.uint64(8) - level))
+    return (code >> np.uint64(8) << np.uint64(8)) | at, (byte >> (np.uint64(7) - level)) & np.uint64(1)
+
+
+class _Climb:
+    """The nodes (context, decision) above some counted ones from depth ``low`` up to ``high``, by depth:
+    ``keys``, zeros ``n0``, ones ``n1``, ``up`` (place of the node one byte shorter) and, once weighted,
+    ``kt``, ``below`` (log of the children's product) and ``weight``."""
+
+    def __init__(self, keys: np.ndarray, n0: np.ndarray, n1: np.ndarray, low: int, high: int):
+        self.low, self.high, self.keys, self.n0, self.n1, self.up = low, high, {low: keys}, {low: n0}, {low: n1}, {}
+        self.kt, self.below, self.weight = {}, {}, {}
+        for d in range(low - 1, high - 1, -1):
+            short = self.keys[d + 1] & np.uint64((1 << (8 * d + 8)) - 1)
+            self.keys[d], self.up[d + 1] = np.unique(short, return_inverse=True)
+            size = len(self.keys[d])
+            self.n0[d], self.n1[d] = (np.bincount(self.up[d + 1], n[d + 1], size) for n in (self.n0, self.n1))
+
+    def weigh(self, depth: int, below: np.ndarray | None = None) -> None:
+        """Bottom-up: log P_w = log(½ P_e + ½ Π children), at ``depth`` P_e alone; ``below`` is for the lowest nodes."""
+        for d in range(self.low, self.high - 1, -1):
+            self.kt[d] = _kt(self.n0[d], self.n1[d])
+            self.below[d] = below if d == self.low else np.bincount(self.up[d + 1], self.weight[d + 1], len(self.keys[d]))
+            self.weight[d] = self.kt[d] if d == depth else np.logaddexp(self.kt[d], self.below[d]) - np.log(2)
+
+    def descend(self, depth: int, first: int, mixed: np.ndarray, remain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Top-down from the mixture so far and the share that remains above depth ``first``, both given at its nodes."""
+        for d in range(first, self.low + 1):
+            if d > first:
+                mixed, remain = mixed[self.up[d]], remain[self.up[d]]
+            stop = np.exp(np.minimum(self.kt[d] - np.log(2) - self.weight[d], 0)) if d < depth else np.ones(len(self.keys[d]))
+            mixed = mixed + remain * stop * (self.n1[d] + 0.5) / (self.n0[d] + self.n1[d] + 1)
+            remain = remain * (1 - stop)
+        return mixed, remain
+
+
+def _subtree_sets(batches, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(code, n, m) of whole subtrees, as many as hold about SUBTREES grams together; rows come sorted by subtree."""
+    held, size, limit = [], 0, SUBTREES
+    for b in batches:
+        held.append([b.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+        size += b.num_rows
+        if size > limit:
+            whole = [np.concatenate(x) for x in zip(*held)]
+            tree = _context(whole[0], min(CROWN + 1, depth))
+            cut = int(np.searchsorted(tree, tree[-1]))
+            if cut:
+                yield whole[0][:cut].astype(np.uint64), whole[1][:cut], whole[2][:cut]
+            held, size = [[x[cut:] for x in whole]], size - cut
+            limit = max(SUBTREES, 2 * size)
+    if size:
+        whole = [np.concatenate(x) for x in zip(*held)]
+        yield whole[0].astype(np.uint64), whole[1], whole[2]
+
+
+def _context(code, d: int):
+    return (code >> 8) & ((1 << 8 * d) - 1)
+
+
+def _rise(code: np.ndarray, n: np.ndarray, depth: int, high: int) -> tuple[_Climb, np.ndarray, np.ndarray]:
+    node, bit = _decisions(code)
+    keys, at = np.unique(node.ravel(), return_inverse=True)
+    one = np.bincount(at, (bit * n.astype(np.uint64)).ravel(), len(keys))
+    every = np.bincount(at, np.broadcast_to(n, node.shape).ravel(), len(keys))
+    climb = _Climb(keys, every - one, one, depth, high)
+    climb.weigh(depth, np.zeros(len(keys)))
+    return climb, at.reshape(8, -1), bit
+
+
+def gram_logs(docs: DataFrame, train: Column, text_col: str, depth: int) -> DataFrame:
+    """(code bigint, logp float, m bigint): log10 probability of every gram of any text under the tree
+    of all training contexts, and how often it occurs; staged.
+
+    Every context of every text is a node; one that training texts lack has no counts. Subtrees
+    below ``CROWN`` bytes are weighted where their grams meet (one shuffle on the context's last
+    CROWN + 1 bytes, over distinct grams); their products are summed into the tree's top, which
+    is weighted on the driver: at most 256**CROWN contexts of 255 decisions, whatever the input.
+    The mixture then goes down the same subtrees."""
+    spark, high = docs.sparkSession, min(CROWN, depth)
+    grams = gram_table(docs, train, text_col, depth)
+    code = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << 8 * min(CROWN + 1, depth)) - 1))
+    dealt = grams.select("code", "n", "m", code.alias("tree")).repartition("tree").sortWithinPartitions("tree")
+
+    def rise(batches):
+        for code, n, _ in _subtree_sets(batches, depth):
+            climb, _, _ = _rise(code, n, depth, high)
+            yield pa.RecordBatch.from_arrays([pa.array(climb.keys[high].astype(np.int64)),
+                                              *(pa.array(x[high].astype(np.float64)) for x in (climb.n0, climb.n1, climb.below))],
+                                             ["node", "n0", "n1", "below"])
+
+    top = (map_arrow(dealt, rise, "node bigint, n0 double, n1 double, below double").groupBy("node")
+           .agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "below")]).toPandas().sort_values("node"))
+    crown = _Climb(top["node"].to_numpy(np.uint64), *(top[c].to_numpy(np.float64) for c in ("n0", "n1")), high, 0)
+    crown.weigh(depth, top["below"].to_numpy(np.float64))
+    roots = len(crown.keys[0])
+    begin = (np.zeros(roots), np.ones(roots))
+    sent = spark.sparkContext.broadcast((crown.keys[high], *crown.descend(depth, 0, *begin)))
+
+    def fall(batches):
+        keys, mixed, remain = sent.value
+        for code, n, m in _subtree_sets(batches, depth):
+            climb, at, bit = _rise(code, n, depth, high)
+            here = np.searchsorted(keys, climb.keys[high])
+            p = mixed[here]
+            if depth > high:
+                p, _ = climb.descend(depth, high + 1, p[climb.up[high + 1]], remain[here][climb.up[high + 1]])
+            logs = np.where(bit == 1, np.log10(p)[at], np.log10(1 - p)[at]).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(logs.astype(np.float32)), pa.array(m)],
+                                             ["code", "logp", "m"])
+
+    return stage(map_arrow(dealt, fall, "code bigint, logp float, m bigint"), "gram_logs")
+
+
+def _lookup(raw: list[bytes], depth: int, codes: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """log10 probability of each text's grams among ``codes`` (ascending), and the counts of its others."""
+    out, far = np.zeros(len(raw)), []
+    for who, code in _pieces(raw, depth, 4 * CHUNK_BYTES):
+        known, at = np.unique(code, return_inverse=True)
+        place = np.searchsorted(codes, known)
+        found = codes[np.minimum(place, len(codes) - 1)] == known if len(codes) else np.zeros(len(known), bool)
+        value = np.zeros(len(known))
+        value[found] = logs[place[found]]
+        out += np.bincount(who, value[at], len(raw))
+        if not found.all():
+            miss = ~found[at]
+            pair, n = np.unique(who[miss] * len(known) + at[miss], return_counts=True)
+            far.append((pair // len(known), known[pair % len(known)].astype(np.int64), n))
+    who, code, n = (np.concatenate([x[i] for x in far]) if far else np.zeros(0, np.int64) for i in range(3))
+    ends = np.searchsorted(who, np.arange(len(raw) + 1)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
+    return out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+
+
+def _often(logs: DataFrame, top: int) -> Column:
+    """The most frequent grams, at most ``top`` of them: those from some eighth of a power of two on."""
+    eighth = F.floor(F.log2("m") * 8)
+    least, held = None, 0
+    for r in sorted(logs.groupBy(eighth.alias("b")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+        held += r.k
+        if held > top:
+            break
+        least = r.b
+    return F.lit(False) if least is None else eighth >= least
+
+
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-          max_nodes: int = MAX_NODES) -> DataFrame:
+          top: int = TOP) -> DataFrame:
     """One row per document: ``(<id>, n_bytes, score, bits_per_byte, n_tokens, n_known, train_tokens, base_score)``.
 
     ``train`` marks the rows to learn from (null: no). score is the context tree's log10
@@ -217,25 +406,36 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     no token is known. Repeated rows and null ids are scored as they come; an empty table gives
     no rows.
 
+    The tree holds every context of ``depth`` bytes (six at most) of every training text. The ``top``
+    most frequent grams are broadcast with their logs and summed where the text is; the others,
+    counted per text, go through one join on the gram (any of them is rarer than those broadcast,
+    so none is hot).
+
     Tokens with at least 1/FREQUENT of all training tokens (at most FREQUENT of them) are
     broadcast and summed where the text is; the rest, counted per text, go through one join on
     the token, so no vocabulary is held whole anywhere."""
+    if not 1 <= depth <= 6:
+        raise ValueError("depth must be 1 to 6: a gram is packed into a bigint")
     spark = docs.sparkSession
-    training = docs.where(F.coalesce(train, F.lit(False)))
-    tree = fit(training, text_col, depth, max_nodes)
+    own = F.coalesce(train, F.lit(False))
+    training = docs.where(own)
+    logs = gram_logs(docs, own, text_col, depth)
+    near = _often(logs, top)
+    held = logs.where(near).select("code", "logp").toArrow().sort_by("code")
+    codes, log_values = held["code"].to_numpy().astype(np.uint64), held["logp"].to_numpy()
     vocab = count_tokens(training, text_col)
     n_train, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     often = {bytes(r.token): r.c for r in vocab.where(F.col("c") * FREQUENT >= n_train).collect()}
     denominator = float(n_train + v + 1)
-    model = spark.sparkContext.broadcast((tree, often))
+    model = spark.sparkContext.broadcast((codes, log_values, often))
 
     def run(batches):
-        tree, often = model.value
+        codes, log_values, often = model.value
         log_p = {t: float(np.log10((c + 1) / denominator)) for t, c in often.items()}
         unseen = -float(np.log10(denominator))
         for b in batches:
             raw = raw_texts(b.column(0))
-            scores = tree.score(raw)
+            scores, far = _lookup(raw, depth, codes, log_values)
             n_tokens, known, base, rare = [], [], [], []
             for x in raw:
                 words = tokens(x)
@@ -248,18 +448,22 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
             kind = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], pa.array([len(x) for x in raw], pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, kind)],
-                [*b.schema.names[1:], "n_bytes", "score", "n_tokens", "known", "base", "rare"])
+                 pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, kind), far],
+                [*b.schema.names[1:], "n_bytes", "score", "n_tokens", "known", "base", "rare", "far"])
 
     picked = docs.select(F.col(text_col).alias("_t"), F.col(id_col).alias("_id"))
     kind = picked.schema["_id"].dataType.simpleString()
     scored = stage(map_arrow(picked, run, f"_id {kind}, n_bytes bigint, score double, n_tokens bigint, known bigint, "
-                                          "base double, rare array<struct<token:binary,n:bigint>>")
+                                          "base double, rare array<struct<token:binary,n:bigint>>, "
+                                          "far array<struct<code:bigint,n:bigint>>")
                    .withColumn("_row", F.monotonically_increasing_id()), "scored")
     rest = scored.where(F.size("rare") > 0).select("_row", F.explode("rare").alias("r")).select("_row", "r.token", "r.n")
     rest = (rest.join(vocab.where(F.col("c") * FREQUENT < n_train), "token").groupBy("_row")
             .agg(F.sum("n").alias("k"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("s")))  # on top of an unseen token
-    return scored.drop("rare").join(rest, "_row", "left").select(
+    far = scored.where(F.size("far") > 0).select("_row", F.explode("far").alias("r")).select("_row", "r.code", "r.n")
+    far = (far.join(logs.where(~near), "code").groupBy("_row").agg(F.sum(F.col("n") * F.col("logp").cast("double")).alias("l")))
+    total = scored.drop("rare", "far").join(far, "_row", "left").withColumn("score", F.col("score") + F.coalesce("l", F.lit(0.0)))
+    return total.join(rest, "_row", "left").select(
         F.col("_id").alias(id_col), "n_bytes", "score",
         F.when(F.col("n_bytes") > 0, -F.col("score") / F.lit(float(np.log10(2.0))) / F.col("n_bytes")).alias("bits_per_byte"),
         "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"),

@@ -91,3 +91,24 @@ def test_edges(spark, docs):
     assert by[1].score == by[2].score == 0 and by[1].bits_per_byte is None and by[3].bits_per_byte == pytest.approx(8)
     assert by[4].n_bytes == 3_000_000
     assert ctw.score(docs([]), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("top", [0, 200, 10**6])
+def test_every_context_counts_however_rare(spark, top):
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    train = F.col("doc_id") % 5 != 0
+    tree = ctw.fit(d.where(train), depth=3, max_nodes=10**9)  # no context is left out
+    texts = {r.doc_id: (r.text or "").encode() for r in d.collect()}
+    got = {r.doc_id: r.score for r in ctw.score(d, train, depth=3, top=top).collect()}
+    assert got == pytest.approx({i: tree.score([t])[0] for i, t in texts.items()}, rel=1e-4)
+
+
+def test_deep_contexts_equal_the_weighting_by_definition(spark, docs):
+    train = ["abracadabra abracadabra", "a bar a car", ""]
+    rows = [*enumerate(train), (10, "abracadabra"), (11, "zebra é")]
+    got = {r.doc_id: r.score for r in ctw.score(docs(rows), F.col("doc_id") < 10).collect()}
+    raw = [t.encode() for t in train]
+    for i, text in rows[3:]:
+        padded = b"\n" * ctw.DEPTH + text.encode()
+        want = sum(brute_log10(raw, padded[k:k + ctw.DEPTH], padded[k + ctw.DEPTH], ctw.DEPTH) for k in range(len(text.encode())))
+        assert got[i] == pytest.approx(want, rel=1e-4)
