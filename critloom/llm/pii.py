@@ -5,17 +5,19 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stage
+from .common import components, map_arrow, mix64, stage
 
 KINDS = ("email", "ip", "card", "phone", "term")  # order of spans that start together
 WINDOW = 8         # terms before and after a mention that count as its context
-MIN_CONTEXTS = 3   # different contexts of an entity in which a revealing term occurs
-MIN_INDEPENDENT = 2.0  # how many independent contexts these must be worth (copies overlap)
+CHANCE = 0.05      # chance that any term of an entity occurs so often in its contexts by accident
+BANDS, ROWS = 24, 3  # MinHash bands that find near-copied documents, and hashes a band
+COPY = 0.4         # share of equal hashes (Jaccard similarity of the terms) that makes a near copy
 DISCLOSURE = 0.5   # share of an entity's information that a term may reveal
 BLOCK = 200_000    # terms looked up in one pass over the texts; more terms take more passes
 
@@ -92,79 +94,121 @@ def shape(term: str) -> str | None:
     return "#name" if term[0].isupper() else None
 
 
+def classes(kind: str, value: str) -> list[str]:
+    """Classes of entities that a value belongs to: the domain of an address, the network of an ip."""
+    if kind == "email":
+        return [f"domain:{value.rpartition('@')[2].lower()}"]
+    return [f"network:{value.rpartition('.')[0]}"] if kind == "ip" else []
+
+
 def _contexts(t: str, spans):
-    """(entity, context hash, distinct terms) per mention; terms inside a base span do not count."""
+    """(entity, context hash, distinct terms) per entity and class of a text, over all its mentions;
+    terms inside a base span do not count."""
     found = list(_TERM.finditer(t))
     starts, ends = [m.start() for m in found], [m.end() for m in found]
     inside = set()
     for _, s, e in spans:
         inside.update(range(bisect_right(ends, s), bisect_left(starts, e)))
     free = [i for i in range(len(found)) if i not in inside]
+    held: dict[str, tuple[list, set]] = {}
     for kind, s, e in spans:
         i, j = bisect_left(free, bisect_right(ends, s)), bisect_left(free, bisect_left(starts, e))
         near = [found[k].group() for k in free[max(0, i - WINDOW):i] + free[j:j + WINDOW]]
         terms = {x.lower() for x in near} | {shape(x) for x in near if shape(x)}
-        yield entity(kind, t[s:e]), xxhash.xxh64_intdigest(" ".join(near).lower()) - (1 << 63), sorted(terms)
+        for name in (entity(kind, t[s:e]), *classes(kind, t[s:e])):
+            words, known = held.setdefault(name, ([], set()))
+            words.append(" ".join(near).lower())
+            known |= terms
+    for name, (words, known) in held.items():
+        yield name, _hash("\n".join(words)), sorted(known)
 
 
-def _independent(windows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (entity, term, n_et) with ``worth``: independent contexts that the n_et different ones amount to.
+def _hash(x: str) -> int:
+    return xxhash.xxh64_intdigest(x) - (1 << 63)
 
-    n / (1 + (n - 1) S), where S is the mean share of terms that two of these contexts have in
-    common besides the term itself. It comes from counts per (entity, term, other term): a
-    context has few terms, so the rows are a bounded multiple of the contexts."""
-    held = windows.select("entity", F.explode("terms").alias("term"), "terms").join(pairs, ["entity", "term"])
-    other = (held.select("entity", "term", "n_et", F.explode("terms").alias("other")).where("other <> term")
-             .groupBy("entity", "term", "n_et", "other").agg(F.count(F.lit(1)).cast("double").alias("n")))
-    shared = other.groupBy("entity", "term", "n_et").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("a"), F.sum("n").alias("b"))
-    overlap = F.col("a") / (F.col("b") * (F.col("n_et") - 1))
-    worth = F.col("n_et") / (1 + (F.col("n_et") - 1) * F.coalesce(overlap, F.lit(0.0)))
-    return shared.select("entity", "term", "n_et", worth.alias("worth"))
 
+def _sketch(t: str) -> list[int]:
+    """MinHash of the distinct terms of a text."""
+    terms = np.array([xxhash.xxh64_intdigest(x) for x in {x.lower() for x in _TERM.findall(t)}] or [0], np.uint64)
+    salts = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+    return [int(mix64(terms ^ x).min() >> np.uint64(1)) for x in salts]
+
+
+def _clusters(texts: DataFrame) -> DataFrame:
+    """(doc, cluster) of the ``texts`` (doc, sketch) that are near copies of others: components of
+    verified links to the smallest document of each MinHash band, so no band is paired with itself."""
+    texts = stage(texts.groupBy("doc").agg(F.first("sketch").alias("sketch")), "sketches")
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("sketch", i * ROWS + 1, ROWS)))
+    banded = texts.select("doc", F.explode(bands).alias("band"))
+    least = banded.groupBy("band").agg(F.min("doc").alias("u"), F.count(F.lit(1)).alias("k")).where("k > 1").select("band", "u")
+    pairs = banded.join(least, "band").where("doc <> u").select("u", F.col("doc").alias("v")).distinct()
+    sides = [texts.select(F.col("doc").alias(c), F.col("sketch").alias(f"s{c}")) for c in ("u", "v")]
+    same = F.size(F.filter(F.zip_with("su", "sv", lambda x, y: x == y), lambda x: x))
+    edges = pairs.join(sides[0], "u").join(sides[1], "v").where(same >= COPY * BANDS * ROWS).select("u", "v")
+    return components(edges).select(F.col("node").alias("doc"), F.col("root").alias("cluster"))
 
-def revealing_terms(docs: DataFrame, text_col: str = "text", min_contexts: int = MIN_CONTEXTS,
-                    min_independent: float = MIN_INDEPENDENT, disclosure: float = DISCLOSURE, block: int = BLOCK) -> DataFrame:
-    """(term) that reveal some entity: PMI(entity; term) >= disclosure x IC(entity); staged.
 
-    An entity is a distinct base value; n(e) its different contexts, n(e,t) those with the term,
-    n(t) the documents with the term, N all documents. PMI = log2(n(e,t) N / (n(e) n(t))),
-    IC = log2(N / n(e)). Every text is counted.
+def revealing_terms(docs: DataFrame, text_col: str = "text", chance: float = CHANCE, disclosure: float = DISCLOSURE,
+                    block: int = BLOCK) -> DataFrame:
+    """(term) that reveal some entity: PMI(entity; term) >= disclosure x IC(entity); staged.
 
-    Copies are no evidence: equal contexts count once, and the different ones must be worth
-    ``min_independent`` independent contexts, so near copies, which share most terms, do not
-    pass."""
+    An entity is a distinct base value or a class of values (mail domain, network). The event is a
+    document that mentions it; documents that are equal around it or near copies as a whole are one
+    event, so copies add nothing and take nothing away. n(e) and n(e,t) are events, n(t) and N
+    documents less the copies among the entity's. With p = n(t) / N, IC = log2(N / n(e)) and
+    PMI = log2(((n(e,t) - 1 + p) / n(e)) / p): the first event only names the term, the others
+    (shrunk towards p) confirm it, so one event alone discloses nothing and two may. The term
+    must also occur more often than chance: n(e) KL(n(e,t)/n(e) || p) >= ln(terms of e / chance).
+    Every text and every entity is counted."""
     def contexts(batches):
         for b in batches:
-            rows = {"entity": [], "context": [], "terms": []}
+            rows = {"entity": [], "context": [], "terms": [], "doc": [], "sketch": []}
             for t in b.column(0).to_pylist():
                 spans = base_spans(t) if t else []
+                own = (_hash(t), _sketch(t)) if spans else ()
                 for found in _contexts(t, spans) if spans else ():
-                    for column, value in zip(rows.values(), found):
+                    for column, value in zip(rows.values(), (*found, *own)):
                         column.append(value)
-            types = [pa.string(), pa.int64(), pa.list_(pa.string())]
+            types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), types)], list(rows))
 
     texts = docs.select(text_col)
-    seen = map_arrow(texts, contexts, "entity string, context bigint, terms array<string>")
-    windows = stage(seen.groupBy("entity", "context").agg(F.first("terms").alias("terms")), "contexts")
+    seen = stage(map_arrow(texts, contexts, "entity string, context bigint, terms array<string>, doc bigint, sketch array<bigint>"),
+                 "contexts")
     one = F.count(F.lit(1))
-    n_e = windows.groupBy("entity").agg(one.alias("n_e")).where(F.col("n_e") >= min_contexts)
-    n_et = (windows.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(one.alias("n_et"))
-            .where(F.col("n_et") >= min_contexts))
-    candidates = stage(n_et, "entity_terms")
-    pairs = _independent(windows, candidates).where(F.col("worth") >= min_independent).drop("worth")
-    pairs = stage(pairs.join(n_e, "entity"), "entity_pairs")
-    wanted = stage(pairs.select("term").distinct(), "wanted_terms")
+    copies = _clusters(seen.select("doc", "sketch"))
+    rows = (seen.groupBy("entity", "context", "doc").agg(F.first("terms").alias("terms"), one.alias("rows"))
+            .join(copies, "doc", "left").withColumn("cluster", F.coalesce("cluster", "doc")))
+    windows = stage(rows.groupBy("entity", "context").agg(F.first("terms").alias("terms"), F.min("cluster").alias("event"),
+                                                          F.sum("rows").alias("rows")), "events")
+    event = windows.groupBy("entity", "event").agg(F.sum("rows").alias("rows"))
+    n_e = event.groupBy("entity").agg(one.alias("n_e"), F.sum("rows").alias("d_e"))
+    parts = windows.select("entity", "event", "rows", F.explode("terms").alias("term"))
+    n_et = (parts.groupBy("entity", "term", "event").agg(F.sum("rows").alias("rows"))
+            .groupBy("entity", "term").agg(one.alias("n_et"), F.sum("rows").alias("d_et")))
+    n_et = stage(n_et, "entity_terms")
+    tried = n_et.groupBy("entity").agg(one.alias("tried"))
     total = docs.count()
+    pairs = n_et.where("n_et > 1").join(n_e, "entity").join(tried, "entity")  # a single event has PMI 0
+    pairs = pairs.withColumn("all", F.lit(float(total)) - F.col("d_e") + F.col("n_e")).where("n_e < all")
+
+    def told(n_t):
+        p, a, n = n_t / F.col("all"), F.col("n_et") / F.col("n_e"), F.col("n_e")
+        pmi = F.log2((F.col("n_et") - 1 + p) / n / p)
+        miss = F.when(a < 1, (1 - a) * F.log((1 - a) / (1 - p))).otherwise(0.0)
+        return ((p < a) & (pmi >= disclosure * F.log2(F.col("all") / n))
+                & (n * (a * F.log(a / p) + miss) >= F.log(F.col("tried") / F.lit(chance))))
+
+    pairs = stage(pairs.where(told(F.col("n_et"))), "entity_pairs")  # a term occurs in its events at least
+    wanted = stage(pairs.select("term").distinct(), "wanted_terms")
     n_t = None
     for terms in _blocks(wanted, block):
         part = _document_counts(texts, terms)
         n_t = part if n_t is None else n_t.union(part)
     if n_t is None:
         return wanted
-    pmi = F.log2(F.col("n_et") * F.lit(float(total)) / (F.col("n_e") * F.col("n_t")))
-    told = pairs.join(n_t, "term").where(pmi >= disclosure * F.log2(F.lit(float(total)) / F.col("n_e")))
-    return stage(told.where(F.col("n_e") < total).select("term").distinct(), "revealing_terms")
+    final = pairs.join(n_t, "term").where(told(F.greatest(F.col("n_t") - F.col("d_et") + F.col("n_et"), F.col("n_et"))))
+    return stage(final.select("term").distinct(), "revealing_terms")
 
 
 def _blocks(terms: DataFrame, block: int):
@@ -225,7 +269,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", block: int = BLOCK, keep_t
 
     All documents form the corpus that revealing terms are learned from, and every occurrence
     of such a term in any document is rewritten. Null texts count as empty and stay null in
-    ``sanitised``; repeated rows are counted as documents but their contexts once; an empty
+    ``sanitised``; copies of a document are one event of its entities; an empty
     table stays empty; columns named sanitised or spans are replaced."""
     revealing = revealing_terms(docs, text_col, block=block, **limits)
     classes = frozenset(r.term for r in revealing.where(F.col("term").startswith("#")).collect())  # three at most

@@ -112,3 +112,21 @@ def test_edges(spark, docs):
     assert len(rows) == 3 and {r.term for r in rows} == {"t"} and "mail <EMAIL> now" in {r.sanitised for r in rows}
     long = "word " * 200_000 + "x@y.zz"
     assert pii.sanitise(docs([(1, long)])).first().spans[0].s == 1_000_000
+
+
+def _said(rnd, n):
+    return " ".join(f"w{rnd.randrange(10**4)}x" for _ in range(n))
+
+
+def test_copies_take_no_evidence_away(spark, docs):
+    rnd = random.Random(6)
+    rows = [(i, _said(rnd, 30)) for i in range(600)]
+    rows += [(1000 + i, f"{_said(rnd, 20)} Quillon q@mail.example.com {_said(rnd, 20)}") for i in range(5)]
+    one = f"{_said(rnd, 20)} Quillon q@mail.example.com {_said(rnd, 20)}".split()
+    rows += [(2000 + i, " ".join(w if "@" in w or w == "Quillon" or rnd.random() > 0.05 else f"edit{rnd.randrange(9999)}" for w in one))
+             for i in range(200)]
+    got = {r.term for r in pii.revealing_terms(docs(rows)).collect()}
+    assert "quillon" in got and not {w for w in got if w.startswith("edit")}
+    line = "please contact Jane Doe head of sales Acme at q@mail.example.com or"  # in different documents
+    rows = [(i, _said(rnd, 30)) for i in range(600)] + [(1000 + i, f"{_said(rnd, 40)} {line} {_said(rnd, 40)}") for i in range(20)]
+    assert {"doe", "acme"} <= {r.term for r in pii.revealing_terms(docs(rows)).collect()}
