@@ -130,3 +130,13 @@ def test_copies_take_no_evidence_away(spark, docs):
     line = "please contact Jane Doe head of sales Acme at q@mail.example.com or"  # in different documents
     rows = [(i, _said(rnd, 30)) for i in range(600)] + [(1000 + i, f"{_said(rnd, 40)} {line} {_said(rnd, 40)}") for i in range(20)]
     assert {"doe", "acme"} <= {r.term for r in pii.revealing_terms(docs(rows)).collect()}
+
+
+def test_entities_of_every_support_are_estimated(spark, docs):
+    rnd = random.Random(8)
+    rows = [(i, _said(rnd, 30)) for i in range(600)]
+    rows += [(1000 + i, f"{_said(rnd, 9)} Quillon wrote to q@mail.example.com {_said(rnd, 9)}") for i in range(2)]
+    rows += [(2000 + i, f"{_said(rnd, 9)} Corvane staff u{i}@corvane.example.org {_said(rnd, 9)}") for i in range(3)]  # one mention each
+    got = {r.term for r in pii.revealing_terms(docs(rows)).collect()}
+    assert {"quillon", "corvane"} <= got
+    assert len([w for w in got if w.endswith("x")]) <= 1  # chance lets one entity in twenty have such a word
