@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from html import unescape
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import components, map_arrow, stage
 
-_HEAD_TAG = re.compile(r"<(link|meta)\b([^<>]*)>", re.I)
+_HEAD_TAG = re.compile(r"<(link|meta)\b((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^<>])*+)(>?)", re.I)
 _ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _REFRESH = re.compile(r"^\s*[0-9.]*\s*[;,]?\s*url\s*=\s*['\"]?([^'\"]+)", re.I)
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -39,8 +40,10 @@ def node(url: str) -> int | None:
 def aliases(url: str | None, html: str | None) -> list[str]:
     """Absolute targets of the page's canonical links and immediate redirects (meta refresh)."""
     out = []
-    for tag, inner in _HEAD_TAG.findall(html or "") if url and "://" in url else ():
-        a = {k.lower(): x or y or z for k, x, y, z in _ATTRIBUTE.findall(inner)}
+    for tag, inner, closed in _HEAD_TAG.findall(html or "") if url and "://" in url else ():
+        if not closed:
+            continue
+        a = {k.lower(): unescape(x or y or z) for k, x, y, z in _ATTRIBUTE.findall(inner)}
         target = None
         if tag.lower() == "link" and "canonical" in a.get("rel", "").lower().split():
             target = a.get("href")

@@ -57,3 +57,13 @@ def test_redirect_table_and_empty_pages(spark):
     assert urls.judge(pages, URL_RULES, redirects=moved).first().verdict == "block"
     assert urls.judge(pages.limit(0), URL_RULES).count() == 0
     assert urls.judge(pages, []).first().verdict == "allow"
+
+
+def test_alias_attributes_are_unescaped_and_may_hold_brackets():
+    url = "http://a.org/p"
+    assert urls.aliases(url, canonical("/q?a=1&amp;b=2")) == ["http://a.org/q?a=1&b=2"]
+    assert urls.aliases(url, '<meta http-equiv="refresh" content="0; url=/q?a=1&amp;b=2">') == ["http://a.org/q?a=1&b=2"]
+    assert urls.aliases(url, '<link title="a > b < c" rel="canonical" href="/q?x=1>0">') == ["http://a.org/q?x=1>0"]
+    assert urls.aliases(url, "<link title='it > is' rel=canonical href=/q>") == ["http://a.org/q"]
+    assert urls.aliases(url, '<link title=it\'s rel="canonical" href="/q">') == ["http://a.org/q"]
+    assert urls.aliases(url, '<link b="x" ' + 'c="<link" ' * 50_000) == []  # linear
