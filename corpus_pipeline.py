@@ -25,8 +25,13 @@ def _at(docs: DataFrame, column: str) -> str:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go. It learns from the labels of the documents at hand."""
+    """Documents that the quality classifier rejects go. It learns from the labels of the documents at hand.
+
+    Without usable labels of both kinds (none matches, or all are null, contradicting or held out)
+    no model can be fitted, and every document stays."""
     model = gbdt.train(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    if not len(model.feature):  # no tree
+        return docs
     scored = gbdt.classify(_plain(docs), model, _at(docs, "text"))
     return scored.where("predicted = 1").drop("score", "predicted").toDF(*docs.columns)
 

@@ -85,3 +85,12 @@ def test_empty_null_repeated_and_clashing_rows(spark, docs):
                 assert d.columns == start.columns
         if not start.take(1):
             assert d.count() == 0
+
+
+@pytest.mark.parametrize("quality", [None, "null", "unmatched"])
+def test_without_usable_labels_every_document_stays(spark, docs, tmp_path, quality):
+    rows = {None: "limit 0", "null": "limit 1", "unmatched": "limit 1"}[quality]
+    value, doc = ("CAST(NULL AS INT)", 1) if quality == "null" else ("1", -7)
+    spark.sql(f"SELECT CAST({doc} AS BIGINT) AS doc_id, {value} AS quality {rows}").write.parquet(f"{tmp_path}/labels.parquet")
+    d = docs([(1, "plain text with ordinary words in it"), (2, ""), (None, None)])
+    assert sorted(map(str, P.quality(spark, d, str(tmp_path)).collect())) == sorted(map(str, d.collect()))
