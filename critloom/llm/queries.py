@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cascade, chat, ctw, gbdt, langid, mixing, pii, simhash, urls, winnow
+from . import cascade, chat, ctw, gbdt, langid, mixing, pieces, pii, simhash, urls, winnow
 from .common import crc_mod, read
 
 
@@ -97,7 +98,17 @@ def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf, "documents"), shingle=3, max_bits=3)
 
 
+def op13_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Score-ordered merges: the ids of every text, and the text that they decode to."""
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    d = pieces.encode(read(spark, sf, "documents"), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return d.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_chat_formatting, op3_url_filters, op4_lm_scoring, op5_quality_rules, op6_mixing, op7_language_id,
-    op8_quality_classifier, op9_benchmark_decontamination, op10_simhash_near_dedup,
+    op8_quality_classifier, op9_benchmark_decontamination, op10_simhash_near_dedup, op13_sentencepiece,
 )}
