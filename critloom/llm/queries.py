@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cascade, chat, ctw, gbdt, langid, mixing, pieces, pii, simhash, urls, winnow
+from . import ballkmeans, cascade, chat, ctw, gbdt, langid, mixing, pieces, pii, simhash, urls, whiten, winnow
 from .common import crc_mod, read
 
 
@@ -98,6 +98,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf, "documents"), shingle=3, max_bits=3)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact characteristic polynomial: every vector along the four leading components, whitened."""
+    return whiten.whiten(read(spark, sf, "embeddings"), components=4)
+
+
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Ball k-means: the codes of every vector's parts, their error and a digest of the codebooks."""
+    coded, books = ballkmeans.quantise(read(spark, sf, "embeddings"), carried=("label",))
+    return ballkmeans.label_errors(coded, "label").select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(ballkmeans.digest(books)).alias("codebooks_sha256"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Score-ordered merges: the ids of every text, and the text that they decode to."""
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
@@ -110,5 +122,6 @@ def op13_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_chat_formatting, op3_url_filters, op4_lm_scoring, op5_quality_rules, op6_mixing, op7_language_id,
-    op8_quality_classifier, op9_benchmark_decontamination, op10_simhash_near_dedup, op13_sentencepiece,
+    op8_quality_classifier, op9_benchmark_decontamination, op10_simhash_near_dedup, op11_embedding_whitening,
+    op12_vector_codes, op13_sentencepiece,
 )}
