@@ -34,7 +34,8 @@ from .plans.views import preference_view as preference_view_op
 from .plans.views import sft_view as sft_view_op
 from .schemas import PREFERENCES
 from .session import scratch_path, stage_table
-from .sources.jobs import read_published, write_job, write_jobs
+from .sources.jobs import write_job, write_jobs
+from .sources.published import read_published
 from .sources.tables import (default_eval_examples, eval_examples_from_benchmark, questions, questions_from_conversations,
                              questions_from_documents, read_split, read_table)
 from .streaming.evaluate import eval_history_stream

@@ -4,98 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.jobs import READ_ERRORS, _fs, job_dirs, publish_batch, read_jobs, read_published, readable_jobs
-
-DEFAULT_KEY = ("question_id", "turn", "job_id")
-
-
-def _same(keys: Sequence[str]):
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_s{i}"))
-    return cond
-
-
-def new_rows(new: DataFrame, target: str, schema: T.StructType, key_cols: Sequence[str] = DEFAULT_KEY) -> DataFrame:
-    """One row per key of ``new`` whose key is not published yet.
-
-    A key that occurs several times in ``new`` keeps one row. Only the keys of the published
-    partitions of the jobs in ``new`` are read (partition values joined, so many jobs cost no
-    longer a plan).
-    """
-    spark = new.sparkSession
-    once = new.dropDuplicates(list(key_cols))
-    existing = read_published(spark, target, schema)
-    if existing is None:
-        return once
-    seen = existing.select(*key_cols)
-    if "job_id" in key_cols:
-        jobs = new.select(F.col("job_id").alias("_job")).distinct()
-        seen = seen.join(jobs, F.col("job_id") == F.col("_job"), "left_semi")
-    seen = seen.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(key_cols)])
-    return once.join(seen, _same(key_cols), "left_anti")
-
-
-def publish_new_rows(new: DataFrame, target: str, schema: T.StructType,
-                     key_cols: Sequence[str] = DEFAULT_KEY) -> DataFrame | None:
-    """Publish the rows of ``new`` whose key is not published yet; returns what was written (None: nothing)."""
-    name = publish_batch(new_rows(new, target, schema, key_cols).select(*schema.fieldNames()), target)
-    if name is None:
-        return None
-    base = target.rstrip("/")
-    return new.sparkSession.read.schema(schema).option("basePath", base).parquet(f"{base}/{name}")
+from ..session import stage_table
+from ..sources.jobs import READ_ERRORS, _fs, job_dirs, read_jobs, readable_jobs
+from ..sources.published import DEFAULT_KEY, WAIT_SECONDS, publish_rows
 
 
 def merge_jobs(spark: SparkSession, jobs_root: str, target: str, schema: T.StructType,
-               key_cols: Sequence[str] = DEFAULT_KEY, idempotent: bool = True) -> dict:
-    """Append every readable job output under ``jobs_root`` to the table at ``target``.
+               key_cols: Sequence[str] = DEFAULT_KEY, idempotent: bool = True, owner: str | None = None,
+               wait: float = WAIT_SECONDS) -> dict:
+    """Add every readable job output under ``jobs_root`` to the table at ``target``.
 
     ``idempotent`` (default) adds only rows whose key is not published yet, and one row per
     key, so re-running the merge adds nothing; ``idempotent=False`` appends everything (a re-run
-    doubles rows, as merging without keys does). A job with an unreadable file is left out whole and listed. A
-    run that adds no row leaves no batch.
+    doubles rows, as merging without keys does). A job with an unreadable file is left out whole and
+    listed. Merges may run at the same time: each owns the jobs that it adds to while it does.
 
     Returns the merge summary (A5): ``jobs_found``, ``unreadable`` (directories), ``written``
     (rows) and ``per_job``, a DataFrame ``(job_id, loaded, written)``.
     """
     dirs = job_dirs(spark, jobs_root)
     unreadable: list[str] = []
+    found = len(dirs)
 
-    def publish() -> DataFrame | None:
-        if not dirs:
-            return None
-        new = read_jobs(spark, dirs, schema)
-        if idempotent:
-            return publish_new_rows(new, target, schema, key_cols)
-        name = publish_batch(new.select(*schema.fieldNames()), target)
-        base = target.rstrip("/")
-        return None if name is None else spark.read.schema(schema).option("basePath", base).parquet(f"{base}/{name}")
+    def publish() -> dict[str, int]:
+        return publish_rows(read_jobs(spark, dirs, schema), target, schema, None, key_cols, idempotent, owner, wait) if dirs else {}
 
-    found = len(dirs)
     try:
-        written = publish()
+        added = publish()
     except READ_ERRORS:
         dirs, unreadable = readable_jobs(spark, dirs, schema)
         if not unreadable:
             raise
-        written = publish()
-    counts = "job_id int, loaded bigint, written bigint"
+        added = publish()
     if not dirs:
-        per_job = spark.createDataFrame([], counts)
+        per_job = spark.createDataFrame([], "job_id int, loaded bigint, written bigint")
     else:
         loaded = read_jobs(spark, dirs, schema).groupBy("job_id").agg(F.count(F.lit(1)).alias("loaded"))
-        if written is None:
-            per_job = loaded.withColumn("written", F.lit(0).cast("bigint"))
-        else:
-            added = written.groupBy(F.col("job_id").alias("_job")).agg(F.count(F.lit(1)).alias("written"))
-            per_job = (loaded.join(added, F.col("job_id").eqNullSafe(F.col("_job")), "left")
-                       .select("job_id", "loaded", F.coalesce("written", F.lit(0)).cast("bigint").alias("written")))
-    return {"jobs_found": found, "unreadable": unreadable, "written": 0 if written is None else written.count(),
-            "per_job": per_job}
+        gained = spark.createDataFrame(list(added.items()), "_name string, written bigint")
+        per_job = (loaded.join(F.broadcast(gained), F.col("job_id").cast("string") == F.col("_name"), "left")
+                   .select("job_id", "loaded", F.coalesce("written", F.lit(0)).cast("bigint").alias("written")))
+        per_job = stage_table(per_job, "per_job")
+    return {"jobs_found": found, "unreadable": unreadable, "written": sum(added.values()), "per_job": per_job}
 
 
 def last_commit(spark: SparkSession, checkpoint: str) -> int:

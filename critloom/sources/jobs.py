@@ -1,4 +1,4 @@
-"""Job outputs (S3, K1), committed publication (S5, K2) and metric tables (K3, K4).
+"""Job outputs (S3, K1) and metric tables (K3, K4).
 
 Paths go through the Hadoop file system of the session, so the same code works on a
 local folder, HDFS or an object store.
@@ -6,12 +6,12 @@ local folder, HDFS or an object store.
 
 from __future__ import annotations
 
-import json
-import os
-import time
-import uuid
-from collections.abc import Sequence
+import io
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +42,9 @@ def list_dirs(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in st if s.isDirectory())
 
 
+ROWS_PER_FILE = 100_000
+
+
 def write_job(df: DataFrame, root: str, job_id: int) -> str:
     """K1: one job's rows to its own directory (overwritten on re-run)."""
     path = f"{root.rstrip('/')}/job={job_id}"
@@ -49,11 +52,46 @@ def write_job(df: DataFrame, root: str, job_id: int) -> str:
     return path
 
 
-def write_jobs(df: DataFrame, root: str, job_col: str = "job_id") -> None:
+def cluster_by_job(df: DataFrame, key_cols: Sequence[str], job_col: str = "job_id", rows_per_file: int = ROWS_PER_FILE,
+                   counts: DataFrame | None = None, salt: str = "_salt") -> DataFrame:
+    """``df`` shuffled on (job, salt), with the salt as a column: a job of n rows has
+    ``n / rows_per_file`` salts, so a write partitioned by job makes about that many files of it (one
+    at least, never more) however many tasks there are, and a hot job is spread over as many tasks.
+
+    The salt is a hash of the key, so equal keys stay together. ``counts`` (job, n) says how many
+    rows each job will have; by default ``df`` is counted, so a model-made ``df`` must be stored or
+    its counts given. Only jobs with several salts are broadcast: one row per ``rows_per_file`` rows
+    at most.
+    """
+    if counts is None:
+        counts = df.groupBy(job_col).agg(F.count(F.lit(1)).alias("n"))
+    salts = F.ceil(F.col("n") / F.lit(rows_per_file)).cast("bigint")
+    s = counts.agg(F.sum(salts).alias("groups"), F.sum("n").alias("rows"), F.max("n").alias("top")).first()
+    if (s.top or 0) > rows_per_file:
+        big = counts.filter(F.col("n") > rows_per_file).select(F.col(job_col).alias("_job"), salts.alias("_salts"))
+        spread = F.pmod(F.xxhash64(*key_cols), F.coalesce(F.col("_salts"), F.lit(1).cast("bigint")))
+        df = (df.join(F.broadcast(big), F.col(job_col).eqNullSafe(F.col("_job")), "left")
+              .withColumn(salt, spread).drop("_job", "_salts"))
+        by = [F.col(job_col), F.col(salt)]
+    else:
+        df, by = df.withColumn(salt, F.lit(0).cast("bigint")), [F.col(job_col)]
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * (s.rows or 0) // rows_per_file))
+    return df.repartition(max(1, min(s.groups or 1, tasks)), *by)
+
+
+def replace_partitions(df: DataFrame, root: str, column: str) -> None:
+    """Write ``df`` partitioned by ``column``; only the partitions in ``df`` are replaced, each as a whole.
+    (Every write stages in a folder of its own, so writers of other partitions do not disturb it.)"""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root))
+
+
+def write_jobs(df: DataFrame, root: str, job_col: str = "job_id", key_cols: Sequence[str] = ("question_id", "turn"),
+               rows_per_file: int = ROWS_PER_FILE, counts: DataFrame | None = None) -> None:
     """K1 for many jobs in one pass: each ``job=<j>`` directory (with ``job_id`` kept in the
-    files) is replaced by its rows; directories of jobs not in ``df`` are left alone."""
-    (df.withColumn("job", F.col(job_col)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("job").parquet(root))
+    files) is replaced by its rows; directories of jobs not in ``df`` are left alone. The number of
+    files follows from the rows of a job (see ``cluster_by_job``), not from the number of tasks."""
+    rows = cluster_by_job(df, key_cols, job_col, rows_per_file, counts).drop("_salt")
+    replace_partitions(rows.withColumn("job", F.col(job_col)), root, "job")
 
 
 def job_dirs(spark: SparkSession, root: str) -> list[str]:
@@ -65,114 +103,92 @@ def read_jobs(spark: SparkSession, dirs: Sequence[str], schema: T.StructType) ->
     return spark.read.schema(schema).parquet(*dirs)
 
 
+MAX_CHECKED_BYTES = 1 << 30  # larger files are not read as one value but tried by a scan of their own
+
+
+def _fits(have: pa.DataType, want: pa.DataType) -> bool:
+    """Whether a column of a file can be read as the declared type (the same, or a wider number)."""
+    if pa.types.is_list(have) and pa.types.is_list(want):
+        return _fits(have.value_type, want.value_type)
+    if pa.types.is_struct(have) and pa.types.is_struct(want):
+        named = {have.field(i).name: have.field(i).type for i in range(have.num_fields)}
+        return all(f.name not in named or _fits(named[f.name], f.type) for f in want)
+    if pa.types.is_signed_integer(have) and pa.types.is_signed_integer(want):
+        return have.bit_width <= want.bit_width
+    if pa.types.is_float32(have) and pa.types.is_float64(want):
+        return True
+    return have == want
+
+
+def _is_readable(raw: bytes, want: dict[str, pa.DataType]) -> bool:
+    """Whether a Parquet file can be read: every declared column of every row group is decoded."""
+    try:
+        f = pq.ParquetFile(io.BytesIO(raw))
+        named = {x.name: x.type for x in f.schema_arrow}
+        if not all(_fits(named[c], t) for c, t in want.items() if c in named):
+            return False
+        for i in range(f.num_row_groups):
+            f.read_row_group(i, [c for c in want if c in named])
+    except Exception:  # noqa: BLE001 - whatever a broken file raises
+        return False
+    return True
+
+
+def check_files(spark: SparkSession, dirs: Sequence[str], schema: T.StructType) -> DataFrame:
+    """S3: ``(path, ok)`` of every Parquet file in the job directories, in one pass: the files are
+    listed once and each is decoded in a task. ``ok`` is null for files too large for one value."""
+    from pyspark.sql.pandas.types import to_arrow_schema  # noqa: PLC0415
+
+    want = {f.name: f.type for f in to_arrow_schema(schema)}
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(list(dirs)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [_is_readable(x.as_py(), want) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ok, pa.bool_())], ["path", "ok"])
+
+    size = F.col("length")
+    small = files.filter(size <= F.lit(MAX_CHECKED_BYTES)).select("path", "content")
+    large = files.filter(size > F.lit(MAX_CHECKED_BYTES)).select("path", F.lit(None).cast("boolean").alias("ok"))
+    return small.mapInArrow(run, "path string, ok boolean").unionByName(large)
+
+
 def readable_jobs(spark: SparkSession, dirs: Sequence[str], schema: T.StructType) -> tuple[list[str], list[str]]:
     """``(readable, unreadable)``: a job counts as a whole, so one broken part file rejects it.
 
-    Every column of every file is read. All jobs are tried together and halved on failure, so
-    b broken jobs among n take about b·log n passes over parts of them, and none take one pass.
+    One pass over all files, however many are broken; only broken (or very large) files come to the driver.
     """
     if not dirs:
         return [], []
-    try:
-        read_jobs(spark, dirs, schema).write.format("noop").mode("overwrite").save()
-        return list(dirs), []
-    except READ_ERRORS:
-        if len(dirs) == 1:
-            return [], list(dirs)
-        half = len(dirs) // 2
-        left, right = (readable_jobs(spark, part, schema) for part in (dirs[:half], dirs[half:]))
-        return left[0] + right[0], left[1] + right[1]
-
-
-# ---- committed, append-only published table ---------------------------------------------
-#
-# Data goes to ``batch=<unique>`` directories; ``_commits/<name>.json`` lists the batches that a
-# commit adds and removes. Readers follow the commits only, so a batch appears when its commit
-# file does, racing writers never touch each other's files, and no rename is needed.
-
-def _commits(spark: SparkSession, target: str) -> list[dict]:
-    fs, p = _fs(spark, f"{target.rstrip('/')}/_commits/*.json")
-    found = fs.globStatus(p)
-    if not found:
-        return []
-    rows = spark.read.text([s.getPath().toString() for s in found], wholetext=True).collect()  # one row per commit
-    return [json.loads(r.value) for r in rows]
+    suspect = check_files(spark, dirs, schema).filter("ok IS NOT TRUE").collect()
 
+    def broken(path: str) -> bool:
+        try:
+            spark.read.schema(schema).parquet(path).write.format("noop").mode("overwrite").save()
+            return False
+        except READ_ERRORS:
+            return True
 
-def published_batches(spark: SparkSession, target: str) -> list[str]:
-    """Directories of the committed batches, oldest name first."""
-    commits = _commits(spark, target)
-    gone = {b for c in commits for b in c["remove"]}
-    return sorted(f"{target.rstrip('/')}/{b}" for c in commits for b in c["add"] if b not in gone)
+    bad = [r.path for r in suspect if r.ok is False or broken(r.path)]
+    unreadable = {d for d in dirs if any(_inside(p, d) for p in bad)} if bad else set()
+    return [d for d in dirs if d not in unreadable], [d for d in dirs if d in unreadable]
 
 
-def _commit(spark: SparkSession, target: str, add: list[str], remove: list[str]) -> None:
-    name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-    fs, p = _fs(spark, f"{target.rstrip('/')}/_commits/{name}.json")
-    out = fs.create(p, False)  # a new name, never over another writer's commit
-    try:
-        out.write(bytearray(json.dumps({"add": add, "remove": remove}).encode()))
-    finally:
-        out.close()
-
-
-def read_published(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame | None:
-    """The published table if it exists (only a missing table starts a new one)."""
-    batches = published_batches(spark, target)
-    if not batches:
-        return None
-    # ``basePath`` makes ``batch`` and ``job_id`` partition columns of one table; only the
-    # declared columns are kept (``job_id`` then prunes directories).
-    return (spark.read.schema(schema).option("basePath", target.rstrip("/")).parquet(*batches)
-            .select(*schema.fieldNames()))
-
-
-def _write_batch(df: DataFrame, target: str, partition_col: str | None) -> str | None:
-    name = f"batch={time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
-    path = f"{target.rstrip('/')}/{name}"
-    w = df.write.mode("errorifexists")
-    if partition_col and partition_col in df.columns:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
-    fs, p = _fs(df.sparkSession, path)
-    # A write without rows leaves no data file: partition directories or part files.
-    if not any(s.isDirectory() or s.getPath().getName().startswith("part-") and s.getLen() > 0 for s in fs.listStatus(p)):
-        return None
-    if not (partition_col and partition_col in df.columns) and df.sparkSession.read.parquet(path).limit(1).count() == 0:
-        return None
-    return name
-
-
-def publish_batch(df: DataFrame, target: str, partition_col: str | None = "job_id") -> str | None:
-    """K2: add rows as a new committed batch; returns its name, or None if there were no rows.
-
-    Nothing that is being read is overwritten, and a batch without a commit (a crashed writer,
-    an empty write) is invisible. Inside a batch rows are partitioned by ``partition_col``, so a
-    reader asking for some jobs (the merge's key lookup) prunes whole directories.
-    """
-    name = _write_batch(df, target, partition_col)
-    if name is not None:
-        _commit(df.sparkSession, target, [name], [])
-    return name
+def _inside(path: str, folder: str) -> bool:
+    """Whether a file lies in a folder (the two may write their scheme differently)."""
+    return _plain(path).startswith(_plain(folder).rstrip("/") + "/")
 
 
-def compact(spark: SparkSession, target: str, schema: T.StructType, partition_col: str | None = "job_id") -> int:
-    """Rewrite all committed batches as one; returns how many were replaced. The old files stay
-    for readers that already listed them and can be deleted later."""
-    old = published_batches(spark, target)
-    if len(old) < 2:
-        return 0
-    name = _write_batch(read_published(spark, target, schema), target, partition_col)
-    _commit(spark, target, [name], [os.path.basename(b) for b in old])
-    return len(old)
+def _plain(path: str) -> str:
+    return re.sub(r"^[a-z0-9]+:/*", "/", path)
 
 
 # ---- metric and detail tables (K3, K4) ----------------------------------------------------
 
 def _write_steps(df: DataFrame, path: str) -> None:
     """Replace the steps in ``df`` of a step-partitioned table; other steps stay untouched."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("step").parquet(path))
+    replace_partitions(df, path, "step")
 
 
 def read_steps(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

@@ -12,7 +12,6 @@ from ..functions.text import category_or_default
 from ..operators.history import first_by_role
 from ..schemas import EVAL_EXAMPLES
 from ..session import ship_package
-from .jobs import published_batches
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,13 +21,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_split(spark: SparkSession, path: str, split: str | None = "train") -> DataFrame:
     """A dataset and one of its splits. A ``split`` partition column (``…/split=train/``)
-    is pruned at the scan; a dataset without one is a single split and is returned whole. Of a
-    published table only the committed batches are read."""
-    batches = published_batches(spark, path)
-    if batches:
-        df = spark.read.option("basePath", path.rstrip("/")).parquet(*batches).drop("batch")
-    else:
-        df = spark.read.parquet(path)
+    is pruned at the scan; a dataset without one is a single split and is returned whole. A
+    published table is such a dataset."""
+    df = spark.read.parquet(path)
     if split is not None and "split" in df.columns:
         df = df.filter(F.col("split") == split).drop("split")
     return df

@@ -24,7 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..plans.merge import DEFAULT_KEY, last_commit, publish_new_rows
+from ..plans.merge import last_commit
+from ..sources.published import DEFAULT_KEY, publish_rows
 
 
 def _source(spark: SparkSession, jobs_root: str, schema: T.StructType) -> DataFrame:
@@ -51,13 +52,13 @@ def incremental_merge_by_key(spark: SparkSession, jobs_root: str, target: str, c
                              schema: T.StructType, key_cols: Sequence[str] = DEFAULT_KEY) -> int:
     """Publish new job files, keeping only rows whose key is not published; returns micro-batches committed.
 
-    The published table has the committed batches of the batch merge
-    (read it with ``sources.jobs.read_published``).
+    The table is that of the batch merge (read it with ``sources.published.read_published``), and both
+    may run at once. A stream that was killed takes up its own claims when it is started again.
     """
 
     def per_batch(batch: DataFrame, _batch_id: int) -> None:
         if not batch.isEmpty():
-            publish_new_rows(batch, target, schema, key_cols)
+            publish_rows(batch, target, schema, None, key_cols, owner=f"stream {checkpoint}")
 
     before = last_commit(spark, checkpoint)
     q = (_source(spark, jobs_root, schema).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

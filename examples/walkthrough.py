@@ -21,7 +21,7 @@ from critloom.plans.merge import merge_jobs  # noqa: E402
 from critloom.plans.views import preference_view, sft_view, train_test  # noqa: E402
 from critloom.schemas import PREFERENCES  # noqa: E402
 from critloom.session import local_session, scratch_path  # noqa: E402
-from critloom.sources.jobs import read_published  # noqa: E402
+from critloom.sources.published import read_published  # noqa: E402
 from critloom.sources.tables import questions, questions_from_conversations, read_table  # noqa: E402
 
 

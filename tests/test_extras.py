@@ -158,7 +158,7 @@ def test_read_split_prunes_partition(spark, tmp_dir):
 
 def test_cli_generate_and_merge(spark, tmp_dir):
     from critloom.cli import main
-    from critloom.sources.jobs import read_published
+    from critloom.sources.published import read_published
     src = os.path.join(tmp_dir, "q")
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr(
         "doc_id AS question_id", "text", "lang AS label_text").write.parquet(src)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from critloom.plans.merge import merge_jobs
 from critloom.schemas import PREFERENCES
-from critloom.sources.jobs import published_batches, read_published, write_job
+from critloom.sources.jobs import write_job
+from critloom.sources.published import publish_rows, published_jobs, read_published
 from critloom.streaming.merge import incremental_merge, read_merged
 
 
@@ -21,6 +22,10 @@ def _rows(spark, ids, drop=None):
     return df.drop(drop) if drop else df
 
 
+def _files(target):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(target) for f in fs if f.endswith(".parquet"))
+
+
 def test_merge_runs(spark, tmp_dir):
     jobs, target = os.path.join(tmp_dir, "jobs"), os.path.join(tmp_dir, "pub")
     assert merge_jobs(spark, jobs, target, PREFERENCES)["jobs_found"] == 0      # none: nothing written
@@ -37,11 +42,12 @@ def test_merge_runs(spark, tmp_dir):
     assert {r["job_id"]: (r["loaded"], r["written"]) for r in s["per_job"].collect()} == {0: (2, 2), 1: (2, 2), 2: (1, 1)}
     t = read_published(spark, target, PREFERENCES)
     assert t.count() == 5 and t.filter("question_id = 5").first()["chosen"] is None
-    for _ in range(2):                                                             # idempotent reruns leave no batch
+    files = _files(target)
+    for _ in range(2):                                                             # idempotent reruns write nothing
         s = merge_jobs(spark, jobs, target, PREFERENCES)
         assert s["written"] == 0 and read_published(spark, target, PREFERENCES).count() == 5
         assert {r["written"] for r in s["per_job"].collect()} == {0}
-    assert len(published_batches(spark, target)) == 1
+    assert published_jobs(spark, target) == ["0", "1", "2"] and _files(target) == files
     merge_jobs(spark, jobs, target, PREFERENCES, idempotent=False)                 # appending rule doubles
     assert read_published(spark, target, PREFERENCES).count() == 10
 
@@ -69,12 +75,75 @@ def test_a_job_with_one_broken_part_file_is_left_out_whole(spark, tmp_dir):
 def test_racing_writers_keep_all_rows(spark, tmp_dir):
     from concurrent.futures import ThreadPoolExecutor
 
-    from critloom.sources.jobs import publish_batch
     target = os.path.join(tmp_dir, "pub")
     rows = [_rows(spark, range(10 * j, 10 * j + 3)).withColumn("job_id", F.lit(j)) for j in range(6)]
     with ThreadPoolExecutor(6) as pool:
-        names = list(pool.map(lambda df: publish_batch(df, target), rows))
-    assert len(set(names)) == 6 and read_published(spark, target, PREFERENCES).count() == 18
+        added = list(pool.map(lambda df: publish_rows(df, target, PREFERENCES), rows))
+    assert added == [{str(j): 3} for j in range(6)] and read_published(spark, target, PREFERENCES).count() == 18
+
+
+def test_racing_merges_publish_each_key_once(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    jobs, target = os.path.join(tmp_dir, "jobs"), os.path.join(tmp_dir, "pub")
+    for j in range(3):
+        write_job(_rows(spark, range(400 * j, 400 * j + 400)), jobs, j)
+    for more in (0, 2000):                                                        # a new table, then one with rows
+        write_job(_rows(spark, [*range(800, 1200), *range(3000, 3000 + more // 10)]), jobs, 2)
+        with ThreadPoolExecutor(3) as pool:
+            found = list(pool.map(lambda _: merge_jobs(spark, jobs, target, PREFERENCES)["written"], range(3)))
+        t = read_published(spark, target, PREFERENCES)
+        assert sum(found) == (1200 if not more else 200)
+        assert t.count() == t.select("question_id").distinct().count() == 1200 + more // 10
+    assert not os.listdir(os.path.join(target, "_claims"))
+
+
+def test_racing_merges_on_a_key_without_the_job(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    target, key = os.path.join(tmp_dir, "pub"), ("question_id",)
+    rows = [_rows(spark, range(50)).withColumn("job_id", F.lit(j)) for j in range(3)]  # the same questions thrice
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda df: publish_rows(df, target, PREFERENCES, key_cols=key), rows))
+    assert read_published(spark, target, PREFERENCES).count() == 50
+    assert publish_rows(rows[0].unionByName(_rows(spark, [99]).withColumn("job_id", F.lit(0))), target, PREFERENCES, key_cols=key) == {"0": 1}
+    assert read_published(spark, target, PREFERENCES).count() == 51
+
+
+def test_claims_are_exclusive_and_taken_up_by_their_owner(spark, tmp_dir):
+    from critloom.sources.published import JobClaimed, claimed, release_claims
+    target = os.path.join(tmp_dir, "pub")
+    one = _rows(spark, [1]).withColumn("job_id", F.lit(1))
+    with claimed(spark, target, ["1"], owner="killed"):
+        with pytest.raises(JobClaimed):
+            publish_rows(one, target, PREFERENCES, wait=0.3)
+        assert read_published(spark, target, PREFERENCES) is None
+        publish_rows(_rows(spark, [2]).withColumn("job_id", F.lit(2)), target, PREFERENCES, wait=0.3)  # another job is free
+        assert publish_rows(one, target, PREFERENCES, wait=0.3, owner="killed") == {"1": 1}
+    with pytest.raises(ZeroDivisionError):
+        with claimed(spark, target, ["1", "7"]):
+            1 / 0                                                                  # released on failure
+    open(os.path.join(target, "_claims", "7"), "w").close()                       # left by a writer that died
+    with pytest.raises(JobClaimed):
+        publish_rows(_rows(spark, [3]).withColumn("job_id", F.lit(7)), target, PREFERENCES, wait=0.1)
+    assert release_claims(spark, target, ["7"]) == ["7"]
+    assert publish_rows(_rows(spark, [3]).withColumn("job_id", F.lit(7)), target, PREFERENCES) == {"7": 1}
+    assert read_published(spark, target, PREFERENCES).count() == 3
+
+
+def test_the_plan_of_the_table_does_not_grow_and_a_job_shuffles_once(spark, tmp_dir):
+    from critloom.sources.jobs import cluster_by_job
+    from critloom.sources.published import _once
+    target = os.path.join(tmp_dir, "pub")
+    for k in range(4):
+        publish_rows(_rows(spark, [k]).withColumn("job_id", F.lit(0)), target, PREFERENCES)
+        plan = read_published(spark, target, PREFERENCES)._jdf.queryExecution().executedPlan().toString()
+        assert "(1 paths)" in plan and len(_files(target)) == 1                   # one path and one file, whatever the merges
+    t = read_published(spark, target, PREFERENCES)
+    key = ["question_id", "turn", "job_id"]
+    publish_rows(_rows(spark, [9]).withColumn("job_id", F.lit(1)), target, PREFERENCES)
+    for rows_per_file in (1, 100):                                                 # salted or not
+        plan = _once(cluster_by_job(t, key, rows_per_file=rows_per_file), [*key, "_salt"])._jdf.queryExecution().executedPlan().toString()
+        shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert shuffles and not any("question_id" in x for x in shuffles)          # rows are not moved again by key
 
 
 def test_repeated_keys_in_one_batch_are_published_once(spark, tmp_dir):
@@ -84,14 +153,19 @@ def test_repeated_keys_in_one_batch_are_published_once(spark, tmp_dir):
     assert merge_jobs(spark, jobs, target, PREFERENCES)["written"] == 0           # null keys too
 
 
-def test_compaction_keeps_rows_and_reduces_batches(spark, tmp_dir):
-    from critloom.sources.jobs import compact, publish_batch
+def test_compaction_keeps_rows_and_reduces_files(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from critloom.sources.published import compact
     target = os.path.join(tmp_dir, "pub")
-    for j in range(4):
-        publish_batch(_rows(spark, [j]).withColumn("job_id", F.lit(j)), target)
-    assert publish_batch(_rows(spark, []).withColumn("job_id", F.lit(9)), target) is None
-    assert compact(spark, target, PREFERENCES) == 4 and len(published_batches(spark, target)) == 1
-    assert read_published(spark, target, PREFERENCES).count() == 4 and compact(spark, target, PREFERENCES) == 0
+    rows = _rows(spark, range(1000)).withColumn("job_id", (F.col("question_id") % 4).cast("int"))
+    publish_rows(rows, target, PREFERENCES, rows_per_file=25)
+    assert publish_rows(rows.limit(0), target, PREFERENCES) == {}
+    assert 20 <= len(_files(target)) <= 40
+    with ThreadPoolExecutor(2) as pool:                                            # two at once: one finds nothing to do
+        assert sorted(pool.map(lambda _: compact(spark, target, PREFERENCES), range(2))) == [0, 4]
+    assert len(_files(target)) == 4 and read_published(spark, target, PREFERENCES).count() == 1000
+    assert compact(spark, target, PREFERENCES) == 0
 
 
 def test_views_over_the_published_table_split_exactly(spark, tmp_dir):
@@ -158,9 +232,9 @@ def test_incremental_merge_by_key_survives_regenerated_jobs(spark, tmp_dir):
 
 
 def test_interrupted_publish_is_invisible_and_dirs_sort_lexicographically(spark, tmp_dir):
-    from critloom.sources.jobs import list_dirs, publish_batch
+    from critloom.sources.jobs import list_dirs
     target = os.path.join(tmp_dir, "pub")
-    publish_batch(_rows(spark, [1, 2]).withColumn("job_id", F.lit(0)), target)
+    publish_rows(_rows(spark, [1, 2]).withColumn("job_id", F.lit(0)), target, PREFERENCES)
     _rows(spark, [9]).withColumn("job_id", F.lit(0)).write.parquet(os.path.join(target, "_tmp-crashed"))
     assert read_published(spark, target, PREFERENCES).count() == 2
     jobs = os.path.join(tmp_dir, "jobs")
@@ -196,12 +270,60 @@ def test_streams_stop_at_unreadable_files_and_take_them_up_when_repaired(spark,
 
 
 def test_published_lookup_prunes_job_partitions(spark, tmp_dir):
-    from critloom.sources.jobs import publish_batch
     target = os.path.join(tmp_dir, "pub")
-    publish_batch(_rows(spark, [1, 2]).withColumn("job_id", F.lit(0)), target)
-    publish_batch(_rows(spark, [3]).withColumn("job_id", F.lit(1)), target)
+    publish_rows(_rows(spark, [1, 2]).withColumn("job_id", F.lit(0)), target, PREFERENCES)
+    publish_rows(_rows(spark, [3]).withColumn("job_id", F.lit(1)), target, PREFERENCES)
     t = read_published(spark, target, PREFERENCES)
     assert dict(t.groupBy("job_id").count().collect()) == {0: 2, 1: 1}
     q = t.filter(F.col("job_id").isin([1]))
     assert "PartitionFilters: [isnotnull(job_id" in q._jdf.queryExecution().executedPlan().toString()
     assert [r["question_id"] for r in q.collect()] == [3]
+
+
+def test_many_broken_jobs_take_one_pass(spark, tmp_dir, monkeypatch):
+    from critloom.sources import jobs as J
+    root = os.path.join(tmp_dir, "jobs")
+    rows = _rows(spark, range(600)).withColumn("job_id", (F.col("question_id") % 60).cast("int"))
+    J.write_jobs(rows, root)
+    dirs = J.job_dirs(spark, root)
+    broken = []
+    for k, d in enumerate(dirs):
+        part = next(f for f in os.listdir(d.replace("file:", "")) if f.endswith(".parquet"))
+        path = os.path.join(d.replace("file:", ""), part)
+        whole = open(path, "rb").read()
+        if k % 5 == 0:                                                             # cut off, other bytes, a wrong footer
+            if os.path.exists(os.path.join(os.path.dirname(path), f".{part}.crc")):
+                os.remove(os.path.join(os.path.dirname(path), f".{part}.crc"))
+            bad = [whole[: len(whole) // 2], b"not parquet", whole[:-8] + b"\xff\xff\xff\x7fPAR1"][k // 5 % 3]
+            with open(path, "wb") as fh:
+                fh.write(bad)
+            broken.append(d)
+    passes = []
+    real = J.check_files
+    monkeypatch.setattr(J, "check_files", lambda *a: passes.append(1) or real(*a))
+    good, bad = J.readable_jobs(spark, dirs, PREFERENCES)
+    assert sorted(bad) == sorted(broken) and len(good) == 48 and passes == [1]
+    assert J.read_jobs(spark, good, PREFERENCES).count() == 480
+    other = os.path.join(tmp_dir, "jobs", "job=900")                               # another type of a declared column
+    spark.createDataFrame([("x", 1)], "question_id string, turn int").write.parquet(other)
+    wide = os.path.join(tmp_dir, "jobs", "job=901")                                # a narrower number is fine
+    spark.createDataFrame([(1, 1)], "question_id int, turn int").write.parquet(wide)
+    assert J.readable_jobs(spark, [other, wide], PREFERENCES) == ([wide], [other])
+    assert J.read_jobs(spark, [wide], PREFERENCES).first().question_id == 1
+    monkeypatch.setattr(J, "MAX_CHECKED_BYTES", 10)                               # large files are tried by a scan
+    assert sorted(J.readable_jobs(spark, dirs, PREFERENCES)[1]) == sorted(broken)
+
+
+def test_files_follow_rows_not_tasks(spark, tmp_dir):
+    from critloom.sources.jobs import write_jobs
+    root = os.path.join(tmp_dir, "jobs")
+    n = 6000                                                                       # a third of all rows in job 0
+    rows = _rows(spark, range(n)).repartition(40).withColumn("job_id", F.when(F.col("question_id") % 3 == 0, 0).otherwise(
+        1 + F.col("question_id") % 300).cast("int"))
+    write_jobs(rows, root, rows_per_file=100)
+    per_job = dict(rows.groupBy("job_id").count().collect())
+    files = {j: len([f for f in os.listdir(os.path.join(root, f"job={j}")) if f.endswith(".parquet")]) for j in per_job}
+    assert 12 <= files[0] <= 20 and all(v == 1 for j, v in files.items() if j)     # not 40 of each of 201 jobs
+    assert spark.read.parquet(root).count() == n and dict(spark.read.parquet(root).groupBy("job_id").count().collect()) == per_job
+    largest = max(r["count"] for r in spark.read.parquet(root).groupBy(F.input_file_name()).count().collect())
+    assert largest < 400                                                           # hashing puts a few salts together
