@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from .functions import prompts as P
 from .functions.scoring import with_score
-from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo
+from .functions.text import content_id, default_if_empty, length_flags, reply_text, strip_echo, truncate_pairs
 from .functions.texts import DEFAULT_KIT
 from .operators.aggregate import best_step as best_step_op
 from .operators.aggregate import rounded
 from .operators.history import assemble_history, first_by_role, history_snapshots, last_message, last_reply_pair, reply_pairs
 from .operators.history import unanswered as unanswered_op
-from .operators.model import (StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, generate_text, score,
+from .operators.model import (AsyncStubJudge, StubEchoModel, StubJudge, StubModel, StubScorer, StubVerdict, generate_text, score,
                               token_count)
 from .operators.preference import gold_pairs, group_advantage as group_advantage_op
 from .operators.preference import pair_rewards, principle_preference as principle_preference_op
@@ -44,6 +44,7 @@ from .streaming.merge import incremental_merge_by_key, read_merged
 
 MODEL = StubModel()
 JUDGE = StubJudge()
+SERVICE_JUDGE = AsyncStubJudge()
 ECHO = StubEchoModel()
 VERDICT = StubVerdict()
 SCORER = StubScorer()
@@ -388,6 +389,12 @@ def length_caps(spark: SparkSession, sf: str) -> DataFrame:
                     fits.alias("fits"))
 
 
+def truncated_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """gold pairs, the bad text part of the prompt, cut to 512 words (prompt 256)."""
+    p = _pairs(spark, sf).withColumn("prompt", F.concat("prompt", F.lit("\n\n"), "rejected"))
+    return truncate_pairs(p).select("lang", "rank", "chosen_id", "rejected_id", "prompt", "chosen", "rejected", "n_tokens", "cut")
+
+
 def _all_texts(spark: SparkSession, sf: str) -> DataFrame:
     """``(src, id, turn, text)``: every document and every message (its conversation and turn)."""
     d = read_table(spark, sf, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
@@ -450,6 +457,12 @@ def first_examples_eval(spark: SparkSession, sf: str) -> DataFrame:
     return details.select("ord", "prompt", "category", "response", "judgment", "score")
 
 
+def service_judgments(spark: SparkSession, sf: str) -> DataFrame:
+    """Every example judged through a window of bounded calls, as detail rows."""
+    _, details = judged_eval_plan(_examples(spark, sf), ECHO, SERVICE_JUDGE, num_examples=None, step=0)
+    return details.select("ord", "prompt", "category", "response", "judgment", "judge_error", "score")
+
+
 def _step_answers(spark: SparkSession, sf: str) -> DataFrame:
     ex = _examples(spark, sf).withColumn("step", F.explode(F.array(*[F.lit(s).cast("bigint") for s in EVAL_STEPS])))
     ctx = P.message("system", F.concat(F.lit("checkpoint "), F.col("step").cast("string")))
@@ -561,12 +574,14 @@ QUERIES = {
     "published_view": published_view,
     "length_caps": length_caps,
     "token_counts": token_counts,
+    "truncated_pairs": truncated_pairs,
     "strip_echo": strip_echo_q,
     "judge_prompt": judge_prompt_q,
     "extract_score": extract_score_q,
     "default_examples": default_examples,
     "judged_eval": judged_eval,
     "first_examples_eval": first_examples_eval,
+    "service_judgments": service_judgments,
     "eval_history": eval_history,
     "eval_details": eval_details,
     "eval_records": eval_records,

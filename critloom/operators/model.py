@@ -13,7 +13,10 @@ come back as ``""`` with an ``error``; ``blank_batch=True`` blanks the whole chu
 
 from __future__ import annotations
 
+import asyncio
+import contextlib
 import hashlib
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -40,6 +43,9 @@ class Backend:
 
     batch_size: int = 8
     deterministic: bool = False
+    # Prompts of like length share a chunk, so that a model which pads its batches pads little. Replies
+    # keep the order of the rows.
+    by_length: bool = False
 
     def cache_key(self) -> str:
         """What a worker keeps the result of ``setup`` under: one key per backend object, kept when it is pickled."""
@@ -172,22 +178,136 @@ def run_chunk(backend: Backend, rows: list, blank_batch: bool) -> list[tuple[str
         return [r for row in rows for r in run_chunk(backend, [row], True)]
 
 
+class AsyncBackend(Backend):
+    """A model behind slow calls (a judge service): one call per row, some of them at once.
+
+    Every task keeps a sliding window of at most ``in_flight`` calls: when one ends, the next row's
+    starts, whatever the others do. A call that takes longer than ``time_limit`` seconds is given up, and one that
+    fails for a passing reason is repeated after a pause that doubles each time. A row whose call
+    fails for good has the text ``""`` and an error; the other rows are not touched. Implement
+    ``reply`` as a coroutine, or use ``ThreadedBackend`` for a blocking client.
+    """
+
+    in_flight: int = 8
+    time_limit: float = 60.0
+    retries: int = 2
+    backoff: float = 0.5  # seconds before the first repetition
+
+    async def reply(self, messages: list[dict]) -> str:
+        raise NotImplementedError
+
+    def is_transient(self, error: Exception) -> bool:
+        """Whether a failed call is worth repeating (default: connection errors)."""
+        return isinstance(error, ConnectionError)
+
+    def generate_batch(self, messages_list):
+        texts, errors = run_window(self, list(messages_list))
+        if failed := [e for e in errors if e]:
+            raise RuntimeError(failed[0])
+        return texts
+
+
+class ThreadedBackend(AsyncBackend):
+    """An ``AsyncBackend`` around a blocking client: implement ``call``. Calls run in threads of their own, as
+    a stuck one cannot be ended: it is given up and its thread left behind."""
+
+    def call(self, messages: list[dict]) -> str:
+        raise NotImplementedError
+
+    async def reply(self, messages):
+        loop = asyncio.get_running_loop()
+        done = loop.create_future()
+
+        def settle(text, error):
+            if not done.done():
+                done.set_exception(error) if error is not None else done.set_result(text)
+
+        def work():
+            text = error = None
+            try:
+                text = self.call(messages)
+            except Exception as e:  # noqa: BLE001 - handed to the caller
+                error = e
+            with contextlib.suppress(RuntimeError):  # given up, and the loop is closed
+                loop.call_soon_threadsafe(settle, text, error)
+
+        threading.Thread(target=work, daemon=True).start()
+        return await done
+
+
+class AsyncStubJudge(AsyncBackend):
+    """The replies of ``StubJudge`` through the window."""
+
+    deterministic = True
+
+    def cache_key(self) -> str:
+        return "async-stub-judge"
+
+    async def reply(self, messages):
+        await asyncio.sleep(0)
+        return StubJudge.reply(messages)
+
+
+async def _one_call(backend: AsyncBackend, messages: list[dict]) -> tuple[str, str | None]:
+    for attempt in range(backend.retries + 1):
+        task = asyncio.ensure_future(backend.reply(messages))
+        done, _ = await asyncio.wait({task}, timeout=backend.time_limit)
+        if not done:
+            task.cancel()  # and not waited for: it may not listen
+            return "", f"TimeoutError: no reply in {backend.time_limit:g} s"
+        error = task.exception()
+        if error is None:
+            text = task.result()
+            return "" if text is None else str(text), None
+        if attempt == backend.retries or not backend.is_transient(error):
+            return "", _err(error)
+        await asyncio.sleep(backend.backoff * 2 ** attempt)
+    raise AssertionError("not reached")
+
+
+def run_window(backend: AsyncBackend, rows: list) -> tuple[list[str], list[str | None]]:
+    """Replies and errors of a list of message lists, in its order, with at most ``in_flight`` calls at once."""
+    found: list[tuple[str, str | None]] = [("", None)] * len(rows)
+    waiting = iter(enumerate(rows))
+
+    async def serve():
+        for i, messages in waiting:  # shared: each taker gets the next row
+            found[i] = await _one_call(backend, messages)
+
+    async def window():
+        await asyncio.gather(*[serve() for _ in range(min(max(1, backend.in_flight), len(rows)))])
+
+    if "loop" not in _WORKER_CACHE:  # one per worker, as clients belong to the loop that they were made in
+        _WORKER_CACHE["loop"] = asyncio.new_event_loop()
+    _WORKER_CACHE["loop"].run_until_complete(window())
+    return [t for t, _ in found], [e for _, e in found]
+
+
 def _split_prompt(messages) -> tuple[list[dict], Column]:
     if isinstance(messages, Prompt):
         return [{"role": r, "content": c} for r, c in messages.prefix], messages.suffix
     return [], messages
 
 
+def prompt_length(messages: Sequence[dict]) -> int:
+    return sum(len(m.get("content") or "") for m in messages)
+
+
 def _run_rows(backend: Backend, rows: list, prefix: list[dict], blank_batch: bool) -> tuple[list, list]:
-    """Model replies (and errors) for a batch of message lists, in chunks of ``batch_size``."""
+    """Model replies (and errors) for a batch of message lists, in chunks of ``batch_size`` or by a window of calls."""
     size = max(1, int(backend.batch_size))
     full = [prefix + (r or []) for r in rows] if prefix else [r or [] for r in rows]
-    texts: list[str] = []
-    errors: list[str | None] = []
+    if isinstance(backend, AsyncBackend):
+        return run_window(backend, full)
+    order = list(range(len(full)))
+    if backend.by_length and len(full) > size:
+        order.sort(key=lambda i: prompt_length(full[i]))
+    texts: list[str] = [""] * len(full)
+    errors: list[str | None] = [None] * len(full)
     for i in range(0, len(full), size):
-        for t, e in run_chunk(backend, full[i:i + size], blank_batch):
-            texts.append(t)
-            errors.append(e)
+        at = order[i:i + size]
+        for k, (t, e) in zip(at, run_chunk(backend, [full[k] for k in at], blank_batch)):
+            texts[k], errors[k] = t, e
     return texts, errors
 
 
@@ -307,6 +427,33 @@ class CallableCounter(TokenCounter):
         return [len(self.encode(t or "")) for t in texts]
 
 
+class TokenSpans:
+    """Start and end (in characters) of the tokens of a batch of texts."""
+
+    batch_size: int = 256
+
+    def spans_batch(self, texts: Sequence[str]) -> list[list[tuple[int, int]]]:
+        raise NotImplementedError
+
+
+def token_spans(text: Column, tokenizer: TokenSpans) -> Column:
+    """``array<struct<s, e>>``, the places of a text's tokens by a pluggable tokenizer, Arrow-batched.
+    A null text has no tokens."""
+    size = max(1, int(tokenizer.batch_size))
+    kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+
+    def _udf(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for arr in it:
+            ts = [t or "" for t in arr.to_pylist()]
+            out: list = []
+            for i in range(0, len(ts), size):
+                out.extend([{"s": a, "e": b} for a, b in spans] for spans in tokenizer.spans_batch(ts[i:i + size]))
+            yield pa.array(out, kind)
+
+    ship_package()
+    return F.arrow_udf(_udf, "array<struct<s:int,e:int>>")(text)
+
+
 def token_count(text: Column, counter: TokenCounter | None = None) -> Column:
     """Token count of a text column: whitespace words as a built-in expression by default, else a
     pluggable counter, Arrow-batched."""

@@ -169,6 +169,9 @@ def word_count(t: str) -> str:
     return f"(CASE WHEN {tr} = '' THEN 0 ELSE len(string_split_regex({tr}, '\\s+')) END)"
 
 
+FIRST_256, LAST_256 = r"^(?:\s*\S+){256}", r"(?:\S+\s*){256}$"  # a run of words, from one end of a text
+
+
 def digest(items: list[str]) -> str:
     if not items:
         return "md5('')"
@@ -409,6 +412,8 @@ def oracle_sql() -> dict[str, str]:
     o["judged_eval"] = _metrics(_judged(f"SELECT 0 AS step, * FROM ({ans})"))
     first = f"SELECT * FROM ({ans}) ORDER BY ord LIMIT {FIRST_EXAMPLES}"
     o["first_examples_eval"] = f"SELECT ord, prompt, category, response, judgment, score FROM ({_judged(first)})"
+    o["service_judgments"] = (f"SELECT ord, prompt, category, response, judgment, CAST(NULL AS VARCHAR) AS judge_error, score "
+                              f"FROM ({_judged(ans)})")
     asked = ", ".join(f"({i}, {q(p)}, {q(c)})" for i, (p, c) in enumerate(KIT.examples))
     split_words = "list_distinct(string_split_regex(lower({}), '[^\\p{{L}}]+'))"
     o["default_examples"] = (
@@ -434,6 +439,16 @@ def oracle_sql() -> dict[str, str]:
         f"{_pairs()}, r AS (SELECT *, {reward('prompt', 'chosen')} - {reward('prompt', 'rejected')} AS margin FROM "
         f"pairs) SELECT lang, CAST(count(*) AS BIGINT) AS n_pairs, round(avg(CASE WHEN margin > 0 THEN 1.0 ELSE 0.0 "
         f"END), 6) AS accuracy, round(avg(margin), 6) AS mean_margin FROM r GROUP BY lang")
+    o["truncated_pairs"] = (
+        f"{_pairs()}, t AS (SELECT lang, rank, chosen_id, rejected_id, prompt || chr(10) || chr(10) || coalesce(rejected, '') AS p, "
+        f"coalesce(chosen, '') AS c, coalesce(rejected, '') AS r FROM pairs), n AS (SELECT *, {word_count('p')} AS np, "
+        f"{word_count('c')} AS nc, {word_count('r')} AS nr FROM t), k AS (SELECT *, CASE WHEN np + greatest(nc, nr) > 512 THEN "
+        f"least(np, 256) ELSE np END AS kp FROM n), f AS (SELECT *, CASE WHEN kp + nc > 512 THEN least(nc, 256) ELSE nc END AS kc, "
+        f"CASE WHEN kp + nr > 512 THEN least(nr, 256) ELSE nr END AS kr FROM k) SELECT lang, CAST(rank AS BIGINT) AS rank, "
+        f"chosen_id, rejected_id, CASE WHEN kp < np THEN regexp_extract(p, {q(LAST_256)}) ELSE p END AS prompt, "
+        f"CASE WHEN kc < nc THEN regexp_extract(c, {q(FIRST_256)}) ELSE c END AS chosen, CASE WHEN kr < nr THEN "
+        f"regexp_extract(r, {q(FIRST_256)}) ELSE r END AS rejected, CAST(kp + greatest(kc, kr) AS BIGINT) AS n_tokens, "
+        f"kp < np OR kc < nc OR kr < nr AS cut FROM f")
     o["group_advantage"] = (
         f"WITH d AS (SELECT doc_id, source, {reward('source', 'text')} AS reward FROM documents), st AS (SELECT source,"
         f" avg(reward) AS m, coalesce(stddev_samp(reward), 0.0) AS sd, count(*) AS n FROM d GROUP BY source) "

@@ -9,7 +9,8 @@ Two execution modes give the same rows. For a deterministic model the stages are
 with no shuffle between them a task computes a row's whole conversation at once. For a real
 (sampling) model every stage is stored before the next reads it, as a narrow Parquet table
 ``(keys, text, error)``: replies are never computed twice, and a run that is started again
-with the same ``stage_dir`` makes no second call for a finished stage. Either way ``chosen``
+with the same ``stage_dir`` makes no second call for a finished stage. What is known of each
+conversation is stored too, after every answer and round. Either way ``chosen``
 and ``rejected`` always come from the same run, even when a task is retried.
 """
 
@@ -30,7 +31,7 @@ from ..operators.model import Backend, generate, generate_map
 from ..operators.sampling import sample_principle
 from ..schemas import GENERATED, MESSAGES
 from ..session import scratch_path
-from ..sources.jobs import path_exists
+from ..sources.jobs import ROWS_PER_FILE, path_exists, remove_path, write_jobs
 
 _STR_ARRAY = "array<string>"
 
@@ -101,7 +102,7 @@ def _stage(df: DataFrame, name: str, messages, backend: Backend, cfg: Generation
         rows = df.select(*key_cols, prompt.suffix.alias("_suffix"))  # all that the call needs
         if cfg.model_partitions:
             rows = rows.repartition(cfg.model_partitions, *key_cols)
-        called(rows, replace(prompt, suffix=F.col("_suffix"))).select(*key_cols, name).write.mode("overwrite").parquet(path)
+        _write(called(rows, replace(prompt, suffix=F.col("_suffix"))).select(*key_cols, name), path)
     keys = T.StructType([df.schema[k] for k in key_cols])
     done = spark.read.schema(keys.add(name, GENERATED)).parquet(path)
     renamed = done.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key_cols)], name)
@@ -111,6 +112,24 @@ def _stage(df: DataFrame, name: str, messages, backend: Backend, cfg: Generation
     return df.join(renamed, same).drop(*[f"_k{i}" for i in range(len(key_cols))])
 
 
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def _settled(df: DataFrame, backend: Backend, cfg: GenerationConfig, label: str) -> DataFrame:
+    """The conversations so far, stored under ``<stage_dir>/_state`` if the config stores stages.
+
+    Settled after every answer and every round, so a stage joins the one or two stage tables since then
+    and not all earlier ones: reading grows with the number of stages, not with its square.
+    """
+    if not _stores(backend, cfg):
+        return df
+    path = f"{cfg.stage_dir.rstrip('/')}/_state/{label}"
+    if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
+        _write(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _errors(*gens: str) -> Column:
     return F.array_compact(F.array(*[F.col(f"{g}.error") for g in gens]))
 
@@ -151,6 +170,7 @@ def critique_revise(df: DataFrame, history_col: str, initial_col: str, backend:
             "revised_response": F.col("_rev.text"),
             "_errors": F.concat("_errors", _errors("_crit", "_rev")),
         }).drop("_p", "_base", "_crit", "_rev")
+        df = _settled(df, backend, cfg, f"turn{at}-round{r}")
     return df
 
 
@@ -191,6 +211,7 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
                    .drop("_sq")
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("user", F.col("_q")))))
         df = _stage(df, "_init", P.teacher_prompt_parts("_hist", cfg.kit), backend, cfg, keys, f"turn{t}-answer")
+        df = _settled(df, backend, cfg, f"turn{t}-answer")
         df = critique_revise(df, "_hist", "_init.text", backend, cfg, turn=t)
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("assistant", F.col("revised_response")))))
         row = F.struct(
@@ -221,19 +242,25 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
 
 
 def generation_job(questions: DataFrame, out_dir: str, backend: Backend,
-                   cfg: GenerationConfig = GenerationConfig()) -> dict:
+                   cfg: GenerationConfig = GenerationConfig(), rows_per_file: int = ROWS_PER_FILE) -> dict:
     """Generate for every job slice (``job_id`` column) and write each slice to its own
     directory ``<out_dir>/job=<j>`` (K1, dynamic overwrite: re-running a job replaces only its
-    directory). Returns the job summary (A4): datapoints, rounds, seconds."""
+    directory). How many rows a job will have is known before any model call, so rows are clustered
+    by job and the number of files follows from it. Stage tables in a folder of the run's own are
+    removed at its end. Returns the job summary (A4): datapoints, rounds, seconds."""
     t0 = time.perf_counter()
+    own = cfg.stage_dir is None and _stores(backend, cfg)
+    cfg = _with_dir(questions, backend, cfg)
+    counts = questions.groupBy("job_id").agg((F.count(F.lit(1)) * F.lit(cfg.num_turns)).alias("n"))
     prefs = generate_preferences(questions, backend, cfg)
     obs = Observation(f"generation_job-{uuid.uuid4().hex[:8]}")
     observed = prefs.observe(obs, F.count(F.lit(1)).alias("datapoints"),
                              F.count(F.when(F.col("turn") == 0, F.lit(1))).alias("conversations"),
                              F.sum(F.size("errors")).alias("errors"))
-    (observed.withColumn("job", F.col("job_id")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("job").parquet(out_dir))
+    write_jobs(observed, out_dir, rows_per_file=rows_per_file, counts=counts)
     m = obs.get
+    if own:
+        remove_path(questions.sparkSession, cfg.stage_dir)
     return {"datapoints": int(m.get("datapoints") or 0), "conversations": int(m.get("conversations") or 0),
             "errors": int(m.get("errors") or 0), "rounds_per_conversation": cfg.num_turns,
             "seconds": round(time.perf_counter() - t0, 3)}

@@ -33,6 +33,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def list_dirs(spark: SparkSession, pattern: str) -> list[str]:
     """Directories matching a glob, in lexicographic order (as a shell glob lists them)."""
     fs, p = _fs(spark, pattern)

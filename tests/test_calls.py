@@ -1,0 +1,194 @@
+"""Windows of bounded calls, chunks by length; F19: truncation by words and by tokens."""
+
+import asyncio
+import os
+import sys
+import time
+import uuid
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from critloom.functions import prompts as P
+from critloom.functions.text import first_words, last_words, truncate_pairs
+from critloom.operators import model as M
+
+
+@pytest.fixture(autouse=True)
+def _by_value():
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Slow(M.AsyncBackend):
+    """Counts calls at once; its replies come in another order than its rows; some rows never answer."""
+
+    deterministic, in_flight, time_limit, backoff = True, 4, 1.0, 0.01
+
+    def __init__(self):
+        self.now = self.most = self.calls = 0
+
+    async def reply(self, messages):
+        text = messages[-1]["content"]
+        self.calls += 1
+        self.now += 1
+        self.most = max(self.most, self.now)
+        try:
+            if text == "stuck":
+                while True:
+                    try:
+                        await asyncio.sleep(60)
+                    except asyncio.CancelledError:
+                        pass  # does not listen
+            if text == "bad":
+                raise ValueError("no")
+            if text.startswith("flaky") and self.calls < 9:
+                raise ConnectionError("gone")
+            await asyncio.sleep(0.002 * (17 - int(text)) if text.isdigit() else 0)
+            return text.upper()
+        finally:
+            self.now -= 1
+
+
+def _msgs(texts):
+    return [[{"role": "user", "content": t}] for t in texts]
+
+
+def test_window_limits_calls_keeps_order_and_isolates_failures():
+    M._WORKER_CACHE.pop("loop", None)
+    b = Slow()
+    texts, errors = M.run_window(b, _msgs([str(i) for i in range(16)]))
+    assert texts == [str(i) for i in range(16)] and errors == [None] * 16 and b.most == 4
+    t0 = time.monotonic()
+    texts, errors = M.run_window(b, _msgs(["1", "stuck", "bad", *["2"] * 20, "x"]))
+    assert time.monotonic() - t0 < 10
+    assert texts == ["1", "", "", *["2"] * 20, "X"]
+    assert errors[1] == "TimeoutError: no reply in 1 s" and errors[2] == "ValueError: no" and [e for e in errors if e] == errors[1:3]
+    assert M.run_window(b, []) == ([], [])
+
+
+def test_passing_failures_are_repeated():
+    class Flaky(Slow):
+        async def reply(self, messages):
+            self.calls += 1
+            if self.calls % 3:
+                raise ConnectionError("gone")
+            return None if messages[-1]["content"] == "none" else "ok"
+
+    b = Flaky()
+    b.in_flight = 1
+    assert M.run_window(b, _msgs(["a", "b", "none"])) == (["ok", "ok", ""], [None] * 3) and b.calls == 9
+    b.retries, b.calls = 1, 0
+    texts, errors = M.run_window(b, _msgs(["a"]))
+    assert texts == [""] and errors == ["ConnectionError: gone"] and b.calls == 2
+
+
+class Blocking(M.ThreadedBackend):
+    deterministic, in_flight, time_limit = True, 3, 2.0
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def call(self, messages):
+        text = messages[-1]["content"]
+        if text == "stuck":
+            time.sleep(300)
+        name = os.path.join(self.folder, uuid.uuid4().hex)
+        open(name, "w").close()
+        with open(os.path.join(self.folder, "seen.log"), "a") as f:
+            f.write(f"{len([x for x in os.listdir(self.folder) if x != 'seen.log'])}\n")
+        time.sleep(0.02)
+        os.remove(name)
+        return text[::-1]
+
+
+def test_blocking_client_in_a_column(spark, tmp_dir):
+    rows = [(i, "stuck" if i == 7 else f"row {i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, q string").coalesce(1)
+    g = M.generate(F.array(P.message("user", F.col("q"))), Blocking(tmp_dir))
+    t0 = time.monotonic()
+    got = {r.id: r.g for r in df.select("id", g.alias("g")).collect()}
+    assert time.monotonic() - t0 < 60
+    assert all(got[i].text == t[::-1] and got[i].error is None for i, t in rows if i != 7)
+    assert got[7].text == "" and got[7].error.startswith("TimeoutError")
+    most = max(int(x) for x in open(os.path.join(tmp_dir, "seen.log")))
+    assert 2 <= most <= 3
+
+
+def test_a_stuck_judge_call_is_one_row_without_a_score(spark):
+    from critloom.plans.evaluate import judge
+
+    class Judge(Slow):
+        async def reply(self, messages):
+            if "row 3" in messages[-1]["content"]:
+                await asyncio.sleep(60)
+            return "SCORE: 4"
+
+    df = spark.createDataFrame([(i, f"q{i}", f"row {i}") for i in range(8)], "ord int, prompt string, response string")
+    got = {r.ord: (r.score, r.judge_error) for r in judge(df, Judge()).collect()}
+    assert got[3] == (None, "TimeoutError: no reply in 1 s") and all(v == (4.0, None) for k, v in got.items() if k != 3)
+
+
+class Padded(M.Backend):
+    batch_size, deterministic = 8, True
+
+    def __init__(self, by_length):
+        self.by_length, self.padding, self.held = by_length, 0, 0
+
+    def generate_batch(self, messages_list):
+        n = [M.prompt_length(m) for m in messages_list]
+        self.padding += max(n) * len(n) - sum(n)
+        self.held += max(n) * len(n)
+        if any(m[-1]["content"] == "bad" for m in messages_list):
+            raise ValueError("bad row")
+        return [m[-1]["content"][:5] for m in messages_list]
+
+
+def test_chunks_by_length_pad_less_and_keep_order():
+    texts = ["x" * (2000 if i % 9 == 0 else i % 7 + 1) for i in range(200)]
+    texts[50] = "bad"
+    found = {}
+    for by_length in (False, True):
+        b = Padded(by_length)
+        found[by_length] = (*M._run_rows(b, _msgs(texts), [], False), b.padding / b.held)
+    assert found[True][:2] == found[False][:2] and found[True][0][51] == texts[51][:5]
+    assert [i for i, e in enumerate(found[True][1]) if e] == [50]
+    assert found[False][2] > 0.7 and found[True][2] < 0.25
+
+
+class Chars(M.TokenSpans):
+    """Every two letters are a token; blanks are none."""
+
+    def spans_batch(self, texts):
+        import re
+        return [[m.span() for m in re.finditer(r"\w{1,2}", t)] for t in texts]
+
+
+def test_truncation_by_words(spark):
+    rows = [("a b  c\nd ",), (" a b",), ("",), (None,), ("one",), ("é日本 x 😀 y",), ("  ",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [tuple(r) for r in df.select(last_words("t", 2), first_words("t", 2), last_words("t", 0), first_words("t", 0), last_words("t", 9)).collect()]
+    assert got == [("c\nd ", "a b", "", "", "a b  c\nd "), (" a b", " a b", "", "", " a b"), ("",) * 5, ("",) * 5,
+                   ("one", "one", "", "", "one"), ("😀 y", "é日本 x", "", "", "é日本 x 😀 y"), ("  ",) * 5]
+
+
+def test_truncated_pairs_fit_and_keep_the_right_ends(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(1, words, "a b c", "d"), (2, "p q", words, None), (3, words, words, "e f"), (4, None, "", "x")],
+                               "id int, prompt string, chosen string, rejected string")
+    got = {r.id: r for r in truncate_pairs(df, 10, 4).collect()}
+    assert (got[1].prompt, got[1].chosen, got[1].rejected, got[1].n_tokens, got[1].cut) == ("w26 w27 w28 w29", "a b c", "d", 7, True)
+    assert (got[2].prompt, got[2].chosen, got[2].rejected, got[2].n_tokens) == ("p q", "w0 w1 w2 w3 w4 w5", "", 8)
+    assert (got[3].prompt, got[3].chosen, got[3].rejected) == ("w26 w27 w28 w29", "w0 w1 w2 w3 w4 w5", "e f")
+    assert (got[4].prompt, got[4].n_tokens, got[4].cut) == ("", 1, False)
+    assert got[1].asDict().keys() == {"id", "prompt", "chosen", "rejected", "n_tokens", "cut"}
+    long = spark.createDataFrame([(words * 2000, words * 2000, "x")], "prompt string, chosen string, rejected string")
+    assert truncate_pairs(long).first().n_tokens == 512
+
+
+def test_truncation_by_a_tokenizer(spark):
+    df = spark.createDataFrame([(1, "abcde fg", "hijkl", "m"), (2, None, "a b", "")], "id int, prompt string, chosen string, rejected string")
+    got = {r.id: r for r in truncate_pairs(df, 4, 2, spans=lambda c: M.token_spans(c, Chars())).collect()}
+    assert (got[1].prompt, got[1].chosen, got[1].rejected, got[1].n_tokens, got[1].cut) == ("e fg", "hijk", "m", 4, True)
+    assert (got[2].prompt, got[2].chosen, got[2].rejected, got[2].n_tokens, got[2].cut) == ("", "a b", "", 2, False)
+    assert got[1].asDict().keys() == {"id", "prompt", "chosen", "rejected", "n_tokens", "cut"}

@@ -165,3 +165,49 @@ def test_a_restarted_run_calls_no_finished_stage_again(spark, tmp_dir):
     assert sorted((r["question_id"], r["turn"], r["chosen"]) for r in rows) == sorted((r["question_id"], r["turn"], r["chosen"]) for r in lazy)
     stored = spark.read.parquet(os.path.join(stages, "turn1-answer"))
     assert stored.columns == ["question_id", "_init"]  # a narrow table: key, text and error
+
+
+def test_every_stored_stage_joins_at_most_two_tables(spark, tmp_dir, monkeypatch):
+    import os
+    import sys
+
+    from pyspark import cloudpickle
+
+    from critloom.plans import generate as G
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    joins, real = {}, G._write
+
+    def write(df, path):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins[path] = (plan.count("Join"), plan.count("Relation "))
+        real(df, path)
+
+    monkeypatch.setattr(G, "_write", write)
+    cfg = GenerationConfig(num_turns=3, num_revisions=2, stage_dir=os.path.join(tmp_dir, "stages"), rows_per_task=1)
+    out = generate_preferences(_questions(spark), _SampledStub(), cfg)
+    assert len(joins) == 3 * 5 + 2 + 3 * 3                                   # model stages and settled states
+    assert max(j for j, _ in joins.values()) <= 2 and max(r for _, r in joins.values()) <= 3
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 2
+    cols = ["question_id", "turn", "question", "chosen", "rejected"]
+    lazy = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=3, num_revisions=2))
+    assert sorted(out.select(cols).collect()) == sorted(lazy.select(cols).collect())
+
+
+def test_a_job_clusters_its_files_and_leaves_no_stage_tables(spark, tmp_dir):
+    import os
+    import sys
+
+    from pyspark import cloudpickle
+
+    from critloom.plans.generate import generation_job
+    from critloom.session import checkpoint_dir
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    qs = spark.range(60).selectExpr("id AS question_id", "concat('q', id) AS text", "'c' AS category",
+                                    "cast(CASE WHEN id < 30 THEN 0 ELSE id % 5 + 1 END AS int) AS job_id").repartition(12)
+    base = checkpoint_dir(spark).replace("file:", "")
+    before = {d for d in os.listdir(base) if d.startswith("model-stages")}
+    s = generation_job(qs, os.path.join(tmp_dir, "jobs"), _SampledStub(), GenerationConfig(num_turns=2, rows_per_task=8), rows_per_file=20)
+    assert s["datapoints"] == 120 and s["errors"] == 0
+    files = {j: [f for f in os.listdir(os.path.join(tmp_dir, "jobs", f"job={j}")) if f.endswith(".parquet")] for j in range(6)}
+    assert 2 <= len(files[0]) <= 3 and all(len(files[j]) == 1 for j in range(1, 6))
+    assert {d for d in os.listdir(base) if d.startswith("model-stages")} == before
