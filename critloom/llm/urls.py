@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import components, map_arrow, stage
 
 _HEAD_TAG = re.compile(r"<(link|meta)\b((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^<>])*+)(>?)", re.I)
-_ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"(?<![a-z-])([a-z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _REFRESH = re.compile(r"^\s*[0-9.]*\s*[;,]?\s*url\s*=\s*['\"]?([^'\"]+)", re.I)
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -67,3 +67,17 @@ def test_alias_attributes_are_unescaped_and_may_hold_brackets():
     assert urls.aliases(url, "<link title='it > is' rel=canonical href=/q>") == ["http://a.org/q"]
     assert urls.aliases(url, '<link title=it\'s rel="canonical" href="/q">') == ["http://a.org/q"]
     assert urls.aliases(url, '<link b="x" ' + 'c="<link" ' * 50_000) == []  # linear
+
+
+def test_long_broken_tags_take_linear_time():
+    import time
+
+    from critloom.llm import urls
+    n = 1_000_000
+    tags = ["<link " + "a" * n + ">", "<link " + " " * n + ">", "<link " + '"' * n + ">", "<link a" + " " * (n // 2) + "b" * (n // 2) + ">",
+            "<link " + "a=" * (n // 2) + ">", "<link " + "=\"'" * (n // 3) + ">", "<meta " + "a='" * (n // 3), "<link " * (n // 6)]
+    for tag in tags:
+        began = time.perf_counter()
+        assert urls.aliases("http://a.b/c", tag + '<link rel="canonical" href="/d">') in ([], ["http://a.b/d"])
+        assert time.perf_counter() - began < 5
+    assert urls.aliases("http://a.b/c", '<link data-x REL = "canonical" href\n=\n/e>') == ["http://a.b/e"]
