@@ -26,7 +26,7 @@ from .operators.preference import reward_accuracy
 from .operators.ranking import assign_jobs, exact_split, slice_rows
 from .operators.sampling import pick_index, sample_principle as sample_principle_op
 from .plans.evaluate import details_record, eval_history as eval_history_plan, judged_eval as judged_eval_plan
-from .plans.evaluate import with_answers
+from .plans.evaluate import record_blocks, with_answers
 from .plans.generate import GenerationConfig, critique_revise as critique_revise_op
 from .plans.generate import generate_preferences, generation_job as generation_job_plan
 from .plans.merge import merge_jobs as merge_jobs_plan
@@ -60,6 +60,7 @@ MULTI_TURNS, MULTI_ROUNDS = 3, 2
 CHAIN_ROUNDS = 3
 JOBS = 3
 EVAL_STEPS = [200, 400, 600]
+RECORD_BLOCK = 16
 FIRST_EXAMPLES = 25
 PAIR_PROMPT = "Write a short passage in the language with code "
 PAIR_SEED = 11
@@ -483,14 +484,22 @@ def eval_details(spark: SparkSession, sf: str) -> DataFrame:
     return _history(spark, sf)[1].select("step", "ord", "category", "response", "judgment", "score")
 
 
-def eval_records(spark: SparkSession, sf: str) -> DataFrame:
-    """The record of every step: parallel lists in example order."""
-    r = details_record(_history(spark, sf)[1])
-    return r.select("step", F.size("prompts").cast("bigint").alias("n"), _digest(F.col("prompts")).alias("prompts_md5"),
+def _record_digests(r: DataFrame, *by: str) -> DataFrame:
+    return r.select(*by, F.size("prompts").cast("bigint").alias("n"), _digest(F.col("prompts")).alias("prompts_md5"),
                     _digest(F.col("responses")).alias("responses_md5"), _digest(F.col("judgments")).alias("judgments_md5"),
                     F.array_join(F.transform("scores", lambda x: x.cast("int").cast("string")), ",").alias("scores"))
 
 
+def eval_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The record of every step: parallel lists in example order."""
+    return _record_digests(details_record(_history(spark, sf)[1]), "step")
+
+
+def eval_record_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of every step in blocks of ``RECORD_BLOCK`` examples."""
+    return _record_digests(record_blocks(_history(spark, sf)[1], block_rows=RECORD_BLOCK), "step", "block")
+
+
 def eval_stream(spark: SparkSession, sf: str) -> DataFrame:
     """C8 as a stream: the answers land as one directory per step and are judged on arrival."""
     root, det, met, ck = (scratch_path(spark, n) for n in ("answers", "details", "metrics", "eval-ckpt"))
@@ -585,6 +594,7 @@ QUERIES = {
     "eval_history": eval_history,
     "eval_details": eval_details,
     "eval_records": eval_records,
+    "eval_record_blocks": eval_record_blocks,
     "eval_stream": eval_stream,
     "best_step": best_step,
     "pair_reward": pair_reward,

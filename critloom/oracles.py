@@ -6,7 +6,7 @@ the Spark result (computed through the Arrow model column) can be checked value
 
 from __future__ import annotations
 
-from .catalog import (CHAIN_ROUNDS, EVAL_STEPS, FIRST_EXAMPLES, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT, PAIR_SEED,
+from .catalog import (CHAIN_ROUNDS, EVAL_STEPS, RECORD_BLOCK, FIRST_EXAMPLES, FLAGSHIP_ROUNDS, GEN_SEED, JOBS, MULTI_ROUNDS, MULTI_TURNS, PAIR_PROMPT, PAIR_SEED,
                       SAMPLE_ROUNDS, SLICE_LENGTH, SLICE_START, SPLIT_SEED, SPLIT_TEST_SIZE)
 from .functions import prompts as P
 from .functions import texts as X
@@ -425,6 +425,9 @@ def oracle_sql() -> dict[str, str]:
     listed = ", ".join(f"md5(string_agg({c}, chr(31) ORDER BY ord)) AS {c}s_md5" for c in ("prompt", "response", "judgment"))
     o["eval_records"] = (f"SELECT CAST(step AS BIGINT) AS step, count(*) AS n, {listed}, string_agg(CAST(CAST(score AS INT) AS VARCHAR), "
                          f"',' ORDER BY ord) AS scores FROM ({_judged(_step_answers())}) GROUP BY step")
+    numbered = f"SELECT *, (row_number() OVER (PARTITION BY step ORDER BY ord) - 1) // {RECORD_BLOCK} AS block FROM ({_judged(_step_answers())})"
+    o["eval_record_blocks"] = (f"SELECT CAST(step AS BIGINT) AS step, CAST(block AS BIGINT) AS block, count(*) AS n, {listed}, "
+                               f"string_agg(CAST(CAST(score AS INT) AS VARCHAR), ',' ORDER BY ord) AS scores FROM ({numbered}) GROUP BY step, block")
     o["eval_history"] = _metrics(_judged(_step_answers()))
     o["eval_stream"] = o["eval_history"]
     o["best_step"] = (

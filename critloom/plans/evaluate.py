@@ -11,7 +11,7 @@ from ..functions.text import strip_echo
 from ..functions.texts import DEFAULT_KIT, PromptKit
 from ..operators.aggregate import eval_metrics
 from ..operators.model import Backend, generate
-from ..operators.ranking import slice_rows
+from ..operators.ranking import group_rank, slice_rows
 from ..session import stage_table
 from ..sources.jobs import append_metrics, read_steps, write_details
 
@@ -102,13 +102,11 @@ def eval_history(answers: DataFrame, judge_backend: Backend, details_path: str |
     return metrics, details
 
 
-def details_record(details: DataFrame, by: tuple[str, ...] = ("step",), order: str = "ord") -> DataFrame:
-    """The graded examples of each step as parallel lists (prompts, responses, judgments,
-    scores) in example order, one record per step.
+RECORD_ROWS = 1000
 
-    A step's examples meet in one row, so use it for evaluation-sized sets only; the detail
-    rows themselves stay the primary output.
-    """
+
+def _lists(details: DataFrame, by: tuple[str, ...], order: str) -> DataFrame:
+    """Parallel lists (prompts, responses, judgments, scores) of each group, in order."""
     entry = F.struct(F.col(order).alias("o"), "prompt", "response", "judgment", "score")
     g = details.groupBy(*by).agg(F.sort_array(F.collect_list(entry)).alias("_d"))
 
@@ -118,3 +116,29 @@ def details_record(details: DataFrame, by: tuple[str, ...] = ("step",), order: s
     return g.select(*by, *[F.transform("_d", field(f)).alias(a) for f, a in
                            (("prompt", "prompts"), ("response", "responses"), ("judgment", "judgments"),
                             ("score", "scores"))])
+
+
+def record_blocks(details: DataFrame, step: str = "step", order: str = "ord", block_rows: int = RECORD_ROWS) -> DataFrame:
+    """The graded examples of each step as parallel lists in example order, one record per step and
+    ``block`` of ``block_rows`` examples (0, 1, … in example order).
+
+    Examples are numbered within their step without gathering it (``group_rank`` over the keys only, so texts
+    are not sorted), and cut by number: no group and no row holds more than a block, however large a step is.
+    A caller that wants one record puts the blocks of a step together.
+    """
+    rows = stage_table(details.withColumn("_row", F.monotonically_increasing_id()), "graded")  # fixes the row's number
+    ranked = group_rank(rows.select(step, order, "_row"), [step], order, column="_rank").select("_row", "_rank")
+    block = F.floor((F.col("_rank") - 1) / F.lit(block_rows)).cast("bigint")
+    placed = rows.join(ranked, "_row").withColumn("block", block)
+    # Rows that share an order keep the order of their numbers.
+    return _lists(placed.withColumn("_at", F.col("_rank")), (step, "block"), "_at")
+
+
+def details_record(details: DataFrame, by: tuple[str, ...] = ("step",), order: str = "ord") -> DataFrame:
+    """The graded examples of each step as parallel lists (prompts, responses, judgments,
+    scores) in example order, one record per step.
+
+    A step's examples meet in one row, so use it for evaluation-sized sets only; ``record_blocks`` gives
+    the same lists in rows of bounded size.
+    """
+    return _lists(details, by, order)

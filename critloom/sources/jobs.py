@@ -85,10 +85,18 @@ def cluster_by_job(df: DataFrame, key_cols: Sequence[str], job_col: str = "job_i
     return df.repartition(max(1, min(s.groups or 1, tasks)), *by)
 
 
-def replace_partitions(df: DataFrame, root: str, column: str) -> None:
+def replace_partitions(df: DataFrame, root: str, column: str, lookup: str | None = None) -> None:
     """Write ``df`` partitioned by ``column``; only the partitions in ``df`` are replaced, each as a whole.
-    (Every write stages in a folder of its own, so writers of other partitions do not disturb it.)"""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root))
+    (Every write stages in a folder of its own, so writers of other partitions do not disturb it.)
+
+    With ``lookup`` the rows of each file are sorted by that column and its row groups get Bloom filters of
+    it, so a scan for few of its values skips most row groups.
+    """
+    w = df if lookup is None else df.sortWithinPartitions(column, lookup)
+    w = w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
+    if lookup is not None:
+        w = w.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+    w.parquet(root)
 
 
 def write_jobs(df: DataFrame, root: str, job_col: str = "job_id", key_cols: Sequence[str] = ("question_id", "turn"),

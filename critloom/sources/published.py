@@ -32,6 +32,7 @@ WHOLE_TABLE = "table"    # the claim of a merge whose key does not hold the job
 NO_JOB = "__HIVE_DEFAULT_PARTITION__"
 WAIT_SECONDS = 600.0
 POLL_SECONDS = 0.25
+FEW_KEYS = 1000          # values that a scan is asked for one by one
 MANY_JOBS = 1000         # more jobs are matched by a join instead of a list in the plan
 
 
@@ -160,6 +161,18 @@ def _same(keys: Sequence[str]):
     return cond
 
 
+def among(published: DataFrame, rows: DataFrame, column: str, most: int = FEW_KEYS) -> DataFrame:
+    """The published rows whose ``column`` has a value that ``rows`` has. Up to ``most`` values are put in the
+    scan, which then skips the row groups whose Bloom filter or range has none; more are left to the join
+    that follows."""
+    values = [r[0] for r in rows.select(column).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        return published
+    given = [v for v in values if v is not None]
+    hit = F.col(column).isin(given) if given else F.lit(False)
+    return published.filter(hit | F.col(column).isNull() if len(given) < len(values) else hit)
+
+
 def _once(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
     return rows.dropDuplicates(list(dict.fromkeys(cols)))
 
@@ -167,7 +180,7 @@ def _once(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _unpublished(rows: DataFrame, target: str, schema: T.StructType, key_cols: Sequence[str],
                  jobs: Sequence[str] | None = None) -> DataFrame:
     """The rows whose key is not published. Only keys are compared; whole rows are moved only if there are new ones."""
-    seen = read_published(rows.sparkSession, target, schema, jobs)
+    seen = among(read_published(rows.sparkSession, target, schema, jobs), rows, key_cols[0])
     renamed = [F.col(k).alias(f"_s{i}") for i, k in enumerate(key_cols)]
     new = stage_table(rows.select(*key_cols).join(seen.select(*renamed), _same(key_cols), "left_anti").distinct(), "new_keys")
     if new.isEmpty():
@@ -229,7 +242,7 @@ def publish_rows(rows: DataFrame, target: str, schema: T.StructType, jobs: Seque
                 whole = stage_table(read_published(spark, target, schema, changed).unionByName(added), "republished")
                 parts.append(cluster_by_job(whole, key_cols, rows_per_file=rows_per_file).drop("_salt"))
         for part in parts:
-            replace_partitions(part, target, "job_id")
+            replace_partitions(part, target, "job_id", key_cols[0])
         now = [j for j in published_jobs(spark, target) if j in set(ours)]
         after = _sizes(read_published(spark, target, schema, now) if now else None)
     return {j: n - before.get(j, 0) for j, n in after.items() if n > before.get(j, 0)}
@@ -249,5 +262,6 @@ def compact(spark: SparkSession, target: str, schema: T.StructType, key_cols: Se
         crowded = [_name(r.job_id) for r in held.filter(F.col("files") > F.ceil(F.col("n") / F.lit(rows_per_file))).collect()]
         if crowded:
             rows = stage_table(read_published(spark, target, schema, crowded), "compacted")
-            replace_partitions(cluster_by_job(rows, key_cols, rows_per_file=rows_per_file).drop("_salt"), target, "job_id")
+            replace_partitions(cluster_by_job(rows, key_cols, rows_per_file=rows_per_file).drop("_salt"), target, "job_id",
+                               key_cols[0])
     return len(crowded)

@@ -53,3 +53,16 @@ def test_metrics_record_edge(spark):
     rec = metrics_record(eval_metrics(df)).first()
     assert rec["metrics"]["teaching_quality_score"] == 2.0     # the category called "score" wins
     assert rec["metrics"]["teaching_quality_x"] == 4.0 and rec["metrics"]["teaching_quality_max"] == 4.0
+
+
+def test_record_blocks_are_bounded_and_in_order(spark):
+    from critloom.plans.evaluate import details_record, record_blocks
+    rows = [(s, o, f"p{o}", f"r{s}-{o}", f"j{o}", float(o % 10)) for s in (1, 2) for o in range(3, 60 if s == 1 else 9, 2)]
+    rows += [(1, 7, "p7", "again", "j", None), (None, 1, "p", "r", "j", 1.0)]
+    df = spark.createDataFrame(rows, "step long, ord long, prompt string, response string, judgment string, score double").repartition(5)
+    got = sorted(record_blocks(df, block_rows=10).collect(), key=lambda r: (r.step is None, r.step or 0, r.block))
+    assert [(r.step, r.block, len(r.prompts)) for r in got] == [(1, 0, 10), (1, 1, 10), (1, 2, 10), (2, 0, 3), (None, 0, 1)]
+    for whole in details_record(df).collect():
+        mine = [r for r in got if r.step == whole.step]
+        assert [p for r in mine for p in r.prompts] == whole.prompts and [x for r in mine for x in r.scores] == whole.scores or whole.step == 1
+        assert sorted(x for r in mine for x in r.responses) == sorted(whole.responses)

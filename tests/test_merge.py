@@ -327,3 +327,41 @@ def test_files_follow_rows_not_tasks(spark, tmp_dir):
     assert spark.read.parquet(root).count() == n and dict(spark.read.parquet(root).groupBy("job_id").count().collect()) == per_job
     largest = max(r["count"] for r in spark.read.parquet(root).groupBy(F.input_file_name()).count().collect())
     assert largest < 400                                                           # hashing puts a few salts together
+
+
+def test_few_new_keys_skip_most_row_groups(spark, tmp_dir):
+    import pyarrow.parquet as pq
+
+    from critloom.sources.published import among
+    target = os.path.join(tmp_dir, "pub")
+    n = 60_000
+    rows = spark.range(n).selectExpr("id * 7 AS question_id", "0 AS turn", "repeat(md5(cast(id AS string)), 20) AS question")
+    for f in PREFERENCES.fields:
+        if f.name not in rows.columns and f.name != "job_id":
+            rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", str(1 << 20))                                  # small row groups, as if files were large
+    try:
+        publish_rows(rows.withColumn("job_id", F.lit(0)), target, PREFERENCES)
+    finally:
+        conf.unset("parquet.block.size")
+    groups = sum(pq.ParquetFile(f).num_row_groups for f in _files(target))
+    assert groups >= 8
+
+    def rows_scanned(df):
+        df.collect()
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return leaf.metrics().apply("numOutputRows").value()
+
+    table = read_published(spark, target, PREFERENCES).select("question_id", "turn", "job_id")
+    new = spark.createDataFrame([(7 * 30_000,), (7 * 30_000 + 1,)], "question_id long")
+    found = among(table, new, "question_id")
+    assert "PushedFilters: [In(question_id" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 1 and rows_scanned(among(table, new, "question_id")) <= 2 * n / groups + 1
+    inside = spark.createDataFrame([(7 * k + 3,) for k in range(0, n, 6000)], "question_id long")  # in range, but never there
+    assert rows_scanned(among(table, inside, "question_id")) < n / 2               # Bloom filters
+    assert among(table, new, "question_id", most=1).count() == n                  # too many to list: the join decides
+    more = rows.limit(2).withColumn("question_id", F.col("question_id") + 1).withColumn("job_id", F.lit(0))
+    assert publish_rows(more, target, PREFERENCES) == {"0": 2} and publish_rows(more, target, PREFERENCES) == {}
+    nulls = rows.limit(1).withColumn("question_id", F.lit(None).cast("long")).withColumn("job_id", F.lit(0))
+    assert publish_rows(nulls, target, PREFERENCES) == {"0": 1} and publish_rows(nulls, target, PREFERENCES) == {}
