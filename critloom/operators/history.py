@@ -91,39 +91,61 @@ def reply_pairs(turns: DataFrame, key: str = "conv_id", order: str = "turn", rol
     The message before is the one with the next lower turn, whatever the gap. All messages are
     numbered by (key, turn) and joined on that number, rather than by a ``lag`` window
     partitioned by conversation, so a conversation holding a third of all messages is spread
-    over the join's partitions instead of one task. Replies not preceded by a user message
+    over the join's partitions instead of one task. Only keys and hashes of texts are numbered and
+    stored; each text is moved once, to its finished pair. Messages that share a turn are taken in the
+    order of their roles and text hashes. Replies not preceded by a user message
     are left out (they answer nothing; see ``unanswered``).
     """
-    return _numbered_pairs(turns, key, order, role, content).drop("_pos")
+    return _with_texts(_pair_ids(turns, key, order, role, content), turns, key, order, role, content)
 
 
-def _numbered_pairs(turns: DataFrame, key: str, order: str, role: str, content: str) -> DataFrame:
-    rows = row_numbers(turns.select(F.col(key).alias("_k"), F.col(order).alias("_t"), F.col(role).alias("_r"),
-                                    F.coalesce(F.col(content), F.lit("")).alias("_c")),
-                       [F.col("_k"), F.col("_t"), F.col("_r"), F.col("_c")], "_pos")
-    replies = rows.filter(F.col("_r") == "assistant").select(
-        F.col("_k").alias(key), F.col("_t").alias("turn"), F.col("_c").alias("response"), (F.col("_pos") - 1).alias("_pos"))
-    asks = rows.filter(F.col("_r") == "user").select(F.col("_k").alias("_ask"), F.col("_c").alias("prompt"), "_pos")
-    return (replies.join(asks, "_pos").filter(F.col(key).eqNullSafe(F.col("_ask")))
-            .select(key, "turn", "prompt", "response", "_pos"))
+def _named(turns: DataFrame, key: str, order: str, role: str, content: str) -> DataFrame:
+    """Key, turn and role of each message and a hash of its text (md5: equal for equal texts only)."""
+    return turns.select(F.col(key).alias("_k"), F.col(order).alias("_t"), F.col(role).alias("_r"),
+                        F.md5(F.coalesce(F.col(content), F.lit(""))).alias("_h"))
+
+
+def _pair_ids(turns: DataFrame, key: str, order: str, role: str, content: str) -> DataFrame:
+    """Replies and the user messages right before them: key, both turns and text hashes, and the reply's number."""
+    rows = row_numbers(_named(turns, key, order, role, content), [F.col(c) for c in ("_k", "_t", "_r", "_h")], "_pos")
+    replies = rows.filter(F.col("_r") == "assistant").select("_k", "_t", "_h", (F.col("_pos") - 1).alias("_pos"))
+    asks = rows.filter(F.col("_r") == "user").select(F.col("_k").alias("_ak"), F.col("_t").alias("_at"), F.col("_h").alias("_ah"), "_pos")
+    return replies.join(asks, "_pos").filter(F.col("_k").eqNullSafe(F.col("_ak"))).drop("_ak")
+
+
+def _with_texts(pairs: DataFrame, turns: DataFrame, key: str, order: str, role: str, content: str) -> DataFrame:
+    """``(key, turn, prompt, response)`` of numbered pairs."""
+    texts = turns.select(F.col(key).alias("_tk"), F.col(order).alias("_tt"), F.col(role).alias("_tr"),
+                         F.coalesce(F.col(content), F.lit("")).alias("_text")).withColumn("_th", F.md5("_text"))
+
+    def put(df: DataFrame, who: str, turn: str, text_hash: str, name: str) -> DataFrame:
+        said = texts.filter(F.col("_tr") == who)
+        same = F.col("_k").eqNullSafe(F.col("_tk")) & F.col(turn).eqNullSafe(F.col("_tt")) & (F.col(text_hash) == F.col("_th"))
+        # Equal messages have equal texts: one of them is enough, and each pair keeps its own row.
+        return (df.join(said.dropDuplicates(["_tk", "_tt", "_th"]), same).withColumnRenamed("_text", name)
+                .drop("_tk", "_tt", "_tr", "_th"))
+
+    done = put(put(pairs, "assistant", "_t", "_h", "response"), "user", "_at", "_ah", "prompt")
+    return done.select(F.col("_k").alias(key), F.col("_t").alias("turn"), "prompt", "response")
 
 
 def last_reply_pair(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
                     content: str = "text") -> DataFrame:
     """Per conversation the latest reply that answers a user message: ``(key, turn, prompt, response)``.
 
-    The reply is found with a hash aggregate on row numbers and the texts are joined back, so
-    texts are never sorted or aggregated. Conversations without such a reply are not in the
+    The reply is found with a hash aggregate on row numbers, and texts are joined to the pairs found only.
+    Conversations without such a reply are not in the
     result (``unanswered`` lists them).
     """
-    pairs = stage_table(_numbered_pairs(turns, key, order, role, content), "reply_pairs")
-    return pairs.join(pairs.groupBy(key).agg(F.max("_pos").alias("_pos")).select("_pos"), "_pos", "left_semi").drop("_pos")
+    pairs = stage_table(_pair_ids(turns, key, order, role, content), "reply_pairs")
+    last = pairs.join(pairs.groupBy("_k").agg(F.max("_pos").alias("_pos")).select("_pos"), "_pos", "left_semi")
+    return _with_texts(last, turns, key, order, role, content)
 
 
 def unanswered(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
                content: str = "text") -> DataFrame:
     """Conversations in which no reply answers a user message: ``(key, n_messages, n_user, n_assistant)``."""
-    answered = reply_pairs(turns, key, order, role, content).select(key).distinct()
+    answered = _pair_ids(turns, key, order, role, content).select(F.col("_k").alias(key)).distinct()
     sizes = turns.groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"),
                                    F.count_if(F.coalesce(F.col(role) == "user", F.lit(False))).alias("n_user"),
                                    F.count_if(F.coalesce(F.col(role) == "assistant", F.lit(False))).alias("n_assistant"))

@@ -255,3 +255,16 @@ def test_later_examples_of_a_step_are_added(spark, tmp_dir):
     assert stamp == {f: os.path.getmtime(os.path.join(det, "step=400", f)) for f in os.listdir(os.path.join(det, "step=400"))}
     eval_history(first.filter("step = 200 AND ord = 1"), StubJudge(), det, met)  # judged again: replaced
     assert spark.read.parquet(det).count() == 7
+
+
+def test_reply_pairs_of_repeated_turns_and_null_keys(spark):
+    from critloom.operators.history import last_reply_pair, reply_pairs, unanswered
+    rows = [(1, 0, "user", "q"), (1, 3, "assistant", "a"), (1, 5, "user", "q2"), (1, 5, "user", "q2"), (1, 9, "assistant", "a2"),
+            (None, 0, "user", None), (None, 1, "assistant", "n"), (2, 0, "assistant", "alone"), (3, 0, "user", "q"), (4, 0, "user", "u"),
+            (4, 1, "assistant", "x"), (4, 1, "assistant", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    got = sorted(tuple(r) for r in reply_pairs(df).fillna(-1, ["conv_id"]).collect())
+    assert got == [(-1, 1, "", "n"), (1, 3, "q", "a"), (1, 9, "q2", "a2"), (4, 1, "u", "x")]
+    last = sorted(tuple(r) for r in last_reply_pair(df).fillna(-1, ["conv_id"]).collect())
+    assert last == [(-1, 1, "", "n"), (1, 9, "q2", "a2"), (4, 1, "u", "x")]
+    assert sorted(r.conv_id for r in unanswered(df).collect()) == [2, 3]
