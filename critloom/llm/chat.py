@@ -61,7 +61,18 @@ def best_branches(found: DataFrame, nodes: DataFrame, top: int) -> DataFrame:
     return few.where(F.col("rank") <= top).select("leaf", "tree", "rank")
 
 
-def format_trees(nodes: DataFrame, top: int = 1, learn: str = "assistant") -> DataFrame:
+def unique_nodes(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the smallest row of each id. Only rows of repeated ids are compared."""
+    cols = ["id", "parent", "tree", "role", "text", "score"]
+    again = stage(nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_id")), "repeated_ids")
+    if again.isEmpty():
+        return nodes.select(*cols)
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    least = nodes.join(again, same, "left_semi").groupBy("id").agg(F.min(F.struct(*cols[1:])).alias("n")).select("id", "n.*")
+    return nodes.join(again, same, "left_anti").select(*cols).union(least)
+
+
+def format_trees(nodes: DataFrame, top: int = 1, learn: str = "assistant", texts: DataFrame | None = None) -> DataFrame:
     """(tree, leaf, rank, n_turns, formatted, loss_spans) of the best ``top`` branches of every reply tree.
 
     ``nodes`` has id bigint (unique; of repeated ids the smallest row stays), parent bigint, tree,
@@ -69,12 +80,15 @@ def format_trees(nodes: DataFrame, top: int = 1, learn: str = "assistant") -> Da
     feed, the escaped text, the stop mark and a line feed; loss_spans the code-point ranges
     (start, length) of the escaped texts of role ``learn``. Null roles and texts are empty, null
     scores 0; an empty table gives no rows; other columns are ignored. One conversation is one
-    value, so a branch must fit a row."""
-    nodes = stage(nodes.groupBy("id").agg(F.min(F.struct("parent", "tree", "role", "text", "score")).alias("n"))
-                  .select("id", "n.*"), "reply_nodes")
-    found = paths(nodes)
-    chosen = found.join(best_branches(found, nodes, top), "leaf")
-    turn = nodes.select(F.col("id").alias("node"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    value, so a branch must fit a row. ``texts`` (id, role, text) may be given apart; ids must then be
+    unique in both."""
+    if texts is None:
+        nodes = unique_nodes(nodes)
+        texts = nodes
+    slim = stage(nodes.select("id", "parent", "tree", "score"), "reply_nodes")  # texts wait for the chosen paths
+    found = paths(slim)
+    chosen = found.join(best_branches(found, slim, top), "leaf")
+    turn = texts.select(F.col("id").alias("node"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = chosen.join(turn, "node").groupBy("leaf", "rank").agg(
         F.first("tree").alias("tree"), F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("at"), "role", "text"))).alias("turns"))
     head = lambda t: F.concat(F.lit(START), escape_role(t.role), F.lit("\n"))
@@ -96,18 +110,32 @@ def _running(lengths: Column, tail: int) -> Column:
         .otherwise(acc.spans).alias("spans")), lambda acc: acc.spans)
 
 
+def _numbered_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, parent, tree, score) of all turns as nodes, and (id, role, text)."""
+    rows = row_numbers(conversations.select("conv_id", "turn", "role", "text"),
+                       [F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text")], "id")
+    place = rows.select("id", F.col("conv_id").alias("tree"))
+    before = place.select((F.col("id") + 1).alias("id"), F.col("tree").alias("_tree"), F.col("id").alias("_parent"))
+    nodes = (place.join(before, "id", "left")
+             .withColumn("parent", F.when(F.col("tree").eqNullSafe(F.col("_tree")) & F.col("_parent").isNotNull(), F.col("_parent")))
+             .select("id", "parent", "tree", F.lit(0.0).alias("score")))
+    return nodes, rows.select("id", "role", "text")
+
+
 def conversation_nodes(conversations: DataFrame) -> DataFrame:
     """A table of turns (conv_id, turn, role, text) as reply trees with one branch each.
 
     Rows are numbered by (conv_id, turn, role, text); each replies to the row before it in its
     conversation, found by a join on that number (rows of a null conv_id form one conversation)."""
-    rows = row_numbers(conversations.select("conv_id", "turn", "role", "text"),
-                       [F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text")], "id")
-    rows = stage(rows.select("id", F.col("conv_id").alias("tree"), "role", "text"), "turns")
-    before = rows.select((F.col("id") + 1).alias("id"), F.col("tree").alias("_tree"), F.col("id").alias("_parent"))
-    return (rows.join(before, "id", "left")
-            .withColumn("parent", F.when(F.col("tree").eqNullSafe(F.col("_tree")) & F.col("_parent").isNotNull(), F.col("_parent")))
-            .select("id", "parent", "tree", "role", "text", F.lit(0.0).alias("score")))
+    nodes, texts = _numbered_turns(conversations)
+    return nodes.join(texts, "id").select("id", "parent", "tree", "role", "text", "score")
+
+
+def format_conversations(conversations: DataFrame, learn: str = "assistant") -> DataFrame:
+    """``format_trees`` of a table of turns; texts are stored with their numbers and then moved to their
+    conversation only."""
+    nodes, texts = _numbered_turns(conversations)
+    return format_trees(nodes, 1, learn, texts)
 
 
 def read_back(formatted: Column) -> Column:

@@ -66,7 +66,16 @@ def test_conversations_with_nulls_gaps_ties_and_extra_columns(spark):
     got = {r.tree: [(t.role, t.text) for t in r.turns] for r in f.select("tree", chat.read_back(F.col("formatted")).alias("turns")).collect()}
     assert got == {1: [("user", "a"), ("assistant", "b"), ("assistant", "b"), ("user", "")], None: [("user", "n"), ("assistant", "m")],
                    2: [("", "")], 3: [("assistant\nx", "<|im_end|>")]}
-    assert chat.format_trees(chat.conversation_nodes(conv.limit(0))).count() == 0
+    assert chat.format_trees(chat.conversation_nodes(conv.limit(0))).count() == chat.format_conversations(conv.limit(0)).count() == 0
+    cols = ["tree", "leaf", "n_turns", "formatted", "loss_spans"]
+    apart = chat.format_conversations(conv).select(cols).collect()
+    assert sorted(map(str, apart)) == sorted(map(str, f.select(cols).collect()))
+
+
+def test_repeated_ids_and_one_very_long_text(spark):
+    nodes = [(1, None, 9, "user", "b", 0.0), (1, None, 9, "user", "a", 0.0), (2, 1, 9, "assistant", "x" * 1_000_000 + "<|", 1.0)]
+    r = chat.format_trees(spark.createDataFrame(nodes, NODES)).select("n_turns", chat.read_back(F.col("formatted")).alias("t")).first()
+    assert r.n_turns == 2 and r.t[0].text == "a" and r.t[1].text == "x" * 1_000_000 + "<|"
 
 
 def test_one_long_conversation(spark):
