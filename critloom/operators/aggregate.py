@@ -29,6 +29,11 @@ def eval_metrics(details: DataFrame, step: str = "step", category: str = "catego
     g = (details.groupingSets([[step, category], [step]], step, category)
          .agg(F.avg(s).alias("_mean"), F.stddev_pop(s).alias("_std"), F.min(s).alias("_min"),
               F.max(s).alias("_max"), F.grouping_id().alias("_gid")))
+    return _long_metrics(g, step, category)
+
+
+def _long_metrics(g: DataFrame, step: str, category: str) -> DataFrame:
+    """Metric rows of aggregated steps (``_gid`` 1) and categories (0)."""
     overall = F.array(*[
         F.struct(F.lit(None).cast("string").alias("category"), F.lit(X.METRIC_PREFIX + name).alias("metric"),
                  F.col(c).cast("double").alias("value"))
@@ -44,6 +49,30 @@ def eval_metrics(details: DataFrame, step: str = "step", category: str = "catego
             .select("step", "_m.category", "_m.metric", "_m.value"))
 
 
+def score_counts(details: DataFrame, *by: str, category: str = "category", score: str = "score") -> DataFrame:
+    """How often each score occurs per category (and ``by``): a histogram that adds up, so the metrics of
+    parts of a step follow from those of the parts. Rows without a score are counted under null."""
+    return details.groupBy(*by, category, score).agg(F.count(F.lit(1)).alias("n"))
+
+
+def metrics_of_counts(counts: DataFrame, step: str = "step", category: str = "category", score: str = "score") -> DataFrame:
+    """``eval_metrics`` from histograms (``score_counts`` by step, several per step if they were counted in
+    parts): no graded row is read. Deviations are taken from the mean, not from sums of squares."""
+    both = F.array(F.struct(F.col(category).alias("_c"), F.lit(0).alias("_gid")),
+                   F.struct(F.lit(None).cast("string").alias("_c"), F.lit(1).alias("_gid")))
+    rows = counts.select(F.col(step).alias("_s"), F.explode(both).alias("_g"), F.col(score).alias("_x"), "n").select("_s", "_g.*", "_x", "n")
+    rows = rows.groupBy("_s", "_c", "_gid", "_x").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+    n = F.when(F.col("_x").isNotNull(), F.col("n"))
+    mean = rows.groupBy("_s", "_c", "_gid").agg((F.sum(F.col("_x") * n) / F.sum(n)).alias("_mean"), F.min("_x").alias("_min"),
+                                                F.max("_x").alias("_max"))
+    same = F.col("_s").eqNullSafe(F.col("_s2")) & F.col("_c").eqNullSafe(F.col("_c2")) & (F.col("_gid") == F.col("_gid2"))
+    apart = rows.join(mean.select(F.col("_s").alias("_s2"), F.col("_c").alias("_c2"), F.col("_gid").alias("_gid2"), "_mean"), same)
+    away = F.col("_x") - F.col("_mean")
+    std = apart.groupBy("_s2", "_c2", "_gid2").agg(F.sqrt(F.sum(away * away * n) / F.sum(n)).alias("_std"))
+    g = mean.join(std, same).select(F.col("_s").alias(step), F.col("_c").alias(category), "_gid", "_mean", "_std", "_min", "_max")
+    return _long_metrics(g, step, category)
+
+
 def metrics_record(metrics: DataFrame) -> DataFrame:
     """The flat record of each step, ``(step, metrics map<string,double>)``, for the edge only.
 

@@ -9,11 +9,12 @@ from ..functions.prompts import judge_prompt_parts, message
 from ..functions.scoring import with_score
 from ..functions.text import strip_echo
 from ..functions.texts import DEFAULT_KIT, PromptKit
-from ..operators.aggregate import eval_metrics
+from ..operators.aggregate import eval_metrics, metrics_of_counts, score_counts
 from ..operators.model import Backend, generate
 from ..operators.ranking import group_rank, slice_rows
+from ..schemas import COUNTS
 from ..session import stage_table
-from ..sources.jobs import append_metrics, read_steps, write_details
+from ..sources.jobs import append_metrics, read_steps, write_blocks
 
 
 def first_examples(examples: DataFrame, num_examples: int | None, order: str = "ord") -> DataFrame:
@@ -66,36 +67,64 @@ def judged_eval(examples: DataFrame, answer_backend: Backend, judge_backend: Bac
     return eval_metrics(details), details
 
 
-def add_details(judged: DataFrame, path: str) -> DataFrame:
+DETAIL_BLOCK = 10_000
+
+
+def add_details(judged: DataFrame, path: str, counts_path: str | None = None, block_rows: int = DETAIL_BLOCK) -> DataFrame:
     """K3: add judged rows to the step table at ``path`` and return the complete rows of their steps.
 
     Rows are merged on ``(step, ord)``: a row judged again replaces the earlier one, all others
-    of its step stay. Only the touched step partitions are read and rewritten, and the merged
-    rows are stored first, so nothing is overwritten while being read.
+    of its step stay. The table is partitioned by step and by block of ``block_rows`` consecutive ``ord``;
+    only the blocks that a new row falls in are read and rewritten, so a late row of a large step
+    costs a block. Merged rows are stored first, so nothing is overwritten while being read. With
+    ``counts_path`` the histogram of each rewritten block replaces the block's earlier one: the
+    metrics of a step are those of its blocks' histograms (``operators.aggregate.metrics_of_counts``).
+    Adding the same rows again changes nothing.
     """
-    merged, prior = judged, read_steps(judged.sparkSession, path, judged.schema)
+    spark, cols = judged.sparkSession, judged.columns
+    block = F.coalesce(F.floor(F.col("ord") / F.lit(block_rows)), F.lit(-1)).cast("bigint")
+    placed = judged.withColumn("block", block)
+    prior = read_steps(spark, path, placed.schema)
+    merged = placed
     if prior is not None:
-        touched = judged.select(F.col("step").alias("_t")).distinct()  # prunes the step partitions at run time
+        touched = placed.select(F.col("step").alias("_t"), F.col("block").alias("_b")).distinct()
         keys = judged.select(F.col("step").alias("_s"), F.col("ord").alias("_o"))
-        kept = (prior.join(F.broadcast(touched), F.col("step") == F.col("_t"), "left_semi")  # one row per step of this batch
+        # The partitions to read are known at run time: one row per block of this batch.
+        kept = (prior.join(F.broadcast(touched), F.col("step").eqNullSafe(F.col("_t")) & (F.col("block") == F.col("_b")), "left_semi")
                 .join(keys, F.col("step").eqNullSafe(F.col("_s")) & F.col("ord").eqNullSafe(F.col("_o")), "left_anti"))
-        merged = stage_table(judged.unionByName(kept.select(*judged.columns)), "merged_details")
-    write_details(merged, path)
-    return merged
+        merged = stage_table(placed.unionByName(kept.select(*placed.columns)), "merged_details")
+    write_blocks(merged, path)
+    if counts_path is not None:
+        write_blocks(score_counts(merged, "step", "block"), counts_path)
+    return _steps_of(spark.read.schema(placed.schema).parquet(path), judged).select(*cols)
+
+
+def _steps_of(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of a step table whose step is in ``rows`` (partitions are pruned at run time)."""
+    steps = rows.select(F.col("step").alias("_t")).distinct()
+    return table.join(F.broadcast(steps), F.col("step").eqNullSafe(F.col("_t")), "left_semi")  # one row per step
 
 
 def eval_history(answers: DataFrame, judge_backend: Backend, details_path: str | None = None,
-                 metrics_path: str | None = None, kit: PromptKit = DEFAULT_KIT) -> tuple[DataFrame, DataFrame]:
+                 metrics_path: str | None = None, kit: PromptKit = DEFAULT_KIT,
+                 counts_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Judge the answers of every step in one job, then add details (K3) and metrics (K4).
 
     ``answers``: ``(step, ord, prompt, category, response)``, optionally ``answer_error``. The
     judge runs once per row. Returns the metrics and detail rows of the steps in ``answers``
-    (complete, with rows judged earlier); metrics of other steps are neither read nor written.
+    (complete, with rows judged earlier); metrics of other steps are neither read nor written. With
+    ``counts_path`` (and ``details_path``) metrics come from stored histograms, so rows judged earlier
+    are read only where a new row is put among them.
     """
-    details = stage_table(judge(answers, judge_backend, kit=kit), "judged")
+    judged = stage_table(judge(answers, judge_backend, kit=kit), "judged")
+    details = judged
     if details_path is not None:
-        details = add_details(details, details_path)
-    metrics = eval_metrics(details)
+        details = add_details(judged, details_path, counts_path)
+    if details_path is not None and counts_path is not None:
+        counts = judged.sparkSession.read.schema(COUNTS).parquet(counts_path)
+        metrics = metrics_of_counts(_steps_of(counts, judged))
+    else:
+        metrics = eval_metrics(details)
     if metrics_path is not None:
         metrics = stage_table(metrics, "metrics")
         append_metrics(metrics, metrics_path)

@@ -69,6 +69,14 @@ METRICS = T.StructType([
     T.StructField("value", T.DoubleType()),
 ])
 
+COUNTS = T.StructType([
+    T.StructField("category", T.StringType()),
+    T.StructField("score", T.DoubleType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("step", T.LongType()),
+    T.StructField("block", T.LongType()),
+])
+
 GENERATED = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("error", T.StringType()),

@@ -85,15 +85,16 @@ def cluster_by_job(df: DataFrame, key_cols: Sequence[str], job_col: str = "job_i
     return df.repartition(max(1, min(s.groups or 1, tasks)), *by)
 
 
-def replace_partitions(df: DataFrame, root: str, column: str, lookup: str | None = None) -> None:
-    """Write ``df`` partitioned by ``column``; only the partitions in ``df`` are replaced, each as a whole.
+def replace_partitions(df: DataFrame, root: str, column: str | Sequence[str], lookup: str | None = None) -> None:
+    """Write ``df`` partitioned by ``column`` (or several); only the partitions in ``df`` are replaced, each as a whole.
     (Every write stages in a folder of its own, so writers of other partitions do not disturb it.)
 
     With ``lookup`` the rows of each file are sorted by that column and its row groups get Bloom filters of
     it, so a scan for few of its values skips most row groups.
     """
-    w = df if lookup is None else df.sortWithinPartitions(column, lookup)
-    w = w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
+    cols = [column] if isinstance(column, str) else list(column)
+    w = df if lookup is None else df.sortWithinPartitions(*cols, lookup)
+    w = w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
     if lookup is not None:
         w = w.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
     w.parquet(root)
@@ -200,21 +201,16 @@ def _plain(path: str) -> str:
 
 # ---- metric and detail tables (K3, K4) ----------------------------------------------------
 
-def _write_steps(df: DataFrame, path: str) -> None:
-    """Replace the steps in ``df`` of a step-partitioned table; other steps stay untouched."""
-    replace_partitions(df, path, "step")
-
-
 def read_steps(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A step table (``step`` is its partition column); None if there is none yet."""
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
-def write_details(details: DataFrame, path: str) -> None:
-    """K3: the complete graded rows of some steps, partitioned by step (see ``plans.evaluate.add_details``)."""
-    _write_steps(details, path)
+def write_blocks(rows: DataFrame, path: str) -> None:
+    """K3: the complete rows of some blocks of some steps (see ``plans.evaluate.add_details``)."""
+    replace_partitions(rows, path, ("step", "block"))
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
     """K4: long metrics rows, partitioned by step; a step written again is replaced."""
-    _write_steps(metrics, path)
+    replace_partitions(metrics, path, "step")

@@ -3,9 +3,9 @@
 Training writes answers as commit directories under ``answers_root`` (a step may arrive in
 several commits). The file stream picks up new files; each micro-batch is judged once and
 stored, merged into the step table on ``(step, ord)`` (``plans.evaluate.add_details``), and the
-metrics of the touched steps are recomputed from their complete rows. A micro-batch replayed
-after a failure replaces the same rows instead of duplicating them. Commits that hold many
-steps at once cost one pass; a late commit rewrites only its own steps.
+metrics of the touched steps are added up from the histograms of their blocks. A micro-batch replayed
+after a failure replaces the same rows and histograms instead of duplicating them. Commits that hold many
+steps at once cost one pass; a late commit reads and rewrites only the blocks that its rows fall in.
 """
 
 from __future__ import annotations
@@ -27,12 +27,14 @@ ANSWERS = T.StructType([
 
 
 def eval_history_stream(spark: SparkSession, answers_root: str, judge_backend: Backend, details_path: str,
-                        metrics_path: str, checkpoint: str, available_now: bool = True):
-    """Start (and with ``available_now`` run to completion) the streaming evaluation."""
+                        metrics_path: str, checkpoint: str, available_now: bool = True, counts_path: str | None = None):
+    """Start (and with ``available_now`` run to completion) the streaming evaluation. Histograms go to
+    ``counts_path`` (default: beside the details)."""
+    counts = counts_path or f"{details_path.rstrip('/')}-counts"
 
     def per_batch(batch: DataFrame, _batch_id: int) -> None:
         if not batch.isEmpty():
-            eval_history(batch, judge_backend, details_path, metrics_path)
+            eval_history(batch, judge_backend, details_path, metrics_path, counts_path=counts)
 
     # Each commit is a directory under the root (one level, any name).
     stream = spark.readStream.schema(ANSWERS).parquet(f"{answers_root.rstrip('/')}/*")

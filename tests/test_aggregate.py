@@ -66,3 +66,42 @@ def test_record_blocks_are_bounded_and_in_order(spark):
         mine = [r for r in got if r.step == whole.step]
         assert [p for r in mine for p in r.prompts] == whole.prompts and [x for r in mine for x in r.scores] == whole.scores or whole.step == 1
         assert sorted(x for r in mine for x in r.responses) == sorted(whole.responses)
+
+
+def test_metrics_of_histograms_equal_metrics_of_rows(spark):
+    from critloom.operators.aggregate import eval_metrics, metrics_of_counts, score_counts
+    rows = [(s, c, x) for s in (1, 2) for c, x in (("a", 4.0), ("a", 4.0), ("b", 9.5), (None, 1.0), ("", 3.0), ("c", None))]
+    rows += [(3, "a", None), (4, "a", 7.0), (4, "a", 7.0), (4, "a", 7.0)]
+    df = spark.createDataFrame(rows, "step long, category string, score double")
+    want = sorted((r.step, r.category or "", r.metric, r.value if r.value is None else round(r.value, 9)) for r in eval_metrics(df).collect())
+    parts = [score_counts(df.filter(f), "step") for f in ("score > 4 OR score IS NULL", "score <= 4")]  # counted apart, then added up
+    got = metrics_of_counts(parts[0].unionByName(parts[1])).collect()
+    assert sorted((r.step, r.category or "", r.metric, r.value if r.value is None else round(r.value, 9)) for r in got) == want
+
+
+def test_a_late_row_reads_its_block_only_and_replays_change_nothing(spark, tmp_dir):
+    import os
+
+    from critloom.operators.model import StubJudge
+    from critloom.plans import evaluate as E
+    det, met, cnt = (os.path.join(tmp_dir, d) for d in ("details", "metrics", "counts"))
+    schema = "step long, ord long, prompt string, category string, response string"
+    rows = [(1, o, f"q{o}", "ab"[o % 2], f"r{o}") for o in range(50)]
+    add = E.add_details.__defaults__
+    try:
+        E.add_details.__defaults__ = (None, 10)
+        E.eval_history(spark.createDataFrame(rows, schema), StubJudge(), det, met, counts_path=cnt)
+        before = {d: sorted(os.listdir(os.path.join(det, "step=1", d))) for d in os.listdir(os.path.join(det, "step=1"))}
+        assert len(before) == 5
+        late = [(1, 23, "q23", "b", "another answer"), (1, 51, "q51", None, "late")]
+        for _ in range(2):                                                        # the second time as a replay
+            m, d = E.eval_history(spark.createDataFrame(late, schema), StubJudge(), det, met, counts_path=cnt)
+        after = {d: sorted(os.listdir(os.path.join(det, "step=1", d))) for d in os.listdir(os.path.join(det, "step=1"))}
+        assert {k for k in before if after[k] != before[k]} == {"block=2"} and set(after) - set(before) == {"block=5"}
+        rows = [r for r in rows if r[1] != 23] + late
+        want, _ = E.eval_history(spark.createDataFrame(rows, schema), StubJudge())
+        flat = lambda x: sorted((r.step, r.category or "", r.metric, round(r.value, 9)) for r in x.collect())
+        assert flat(m) == flat(want) == flat(spark.read.parquet(met))
+        assert d.count() == 51 and d.filter("ord = 23").first().response == "another answer"
+    finally:
+        E.add_details.__defaults__ = add
