@@ -17,6 +17,7 @@ MAX_NODES = 4096     # contexts per depth of the small tree in memory (fit)
 CROWN = 2            # depth of the tree's top on the driver: at most 65,536 contexts
 TOP = 3 << 20        # grams that are broadcast with their logs; all others are joined
 HELD_GRAMS = 1 << 21  # distinct grams held by a counting task before it hands them on
+SLOTS = 256          # texts whose grams are sorted together: what a byte tells apart
 SUBTREES = 1 << 16   # grams weighted at once (a larger subtree stands alone)
 FREQUENT = 1 << 17   # tokens with at least 1/FREQUENT of all training tokens are broadcast
 FLUSH = 1 << 18      # distinct tokens held by a counting task before it hands them on
@@ -28,16 +29,16 @@ def tokens(raw: bytes) -> list[bytes]:
     return [*raw.lower().split(), END]
 
 
-def _pieces(raw: list[bytes], depth: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text number, code) of every byte, about ``limit`` bytes at a time: the code packs the
-    ``depth`` bytes before it (line feeds before the text) and the byte. Long texts come in parts."""
+def _pieces(raw: list[bytes], depth: int, limit: int = CHUNK_BYTES, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text number, code) of every byte, about ``limit`` bytes (and ``most`` parts of texts) at a time: the code
+    packs the ``depth`` bytes before it (line feeds before the text) and the byte. Long texts come in parts."""
     parts, held = [], 0
     for r, x in enumerate(raw):
         for i in range(0, len(x), limit):
             before = x[max(0, i - depth):i]
             parts.append((r, b"\n" * (depth - len(before)) + before + x[i:i + limit]))
             held += min(limit, len(x) - i)
-            if held >= limit:
+            if held >= limit or len(parts) == most:
                 yield _codes(parts, depth)
                 parts, held = [], 0
     if parts:
@@ -48,7 +49,8 @@ def _codes(parts: list[tuple[int, bytes]], depth: int) -> tuple[np.ndarray, np.n
     buf = np.frombuffer(b"".join(x for _, x in parts), np.uint8)
     code = np.zeros(len(buf) - depth, np.uint64)
     for j in range(depth + 1):
-        code = (code << np.uint64(8)) | buf[j:j + len(code)]
+        code <<= np.uint64(8)
+        code |= buf[j:j + len(code)]
     sizes = np.array([len(x) for _, x in parts])
     own = np.ones(len(buf), bool)  # the bytes that are not context
     for j in range(depth):
@@ -212,8 +214,12 @@ def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, max_nodes:
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    code, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    return code, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+    """One ascending (code, count) list of several."""
+    code = np.concatenate([c for c, _ in parts])
+    order = np.argsort(code, kind="stable")  # merges runs that are in order already
+    code, n = code[order], np.concatenate([n for _, n in parts])[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(n, first) if len(code) else n
 
 
 def gram_table(docs: DataFrame, train: Column, text_col: str, depth: int) -> DataFrame:
@@ -231,16 +237,19 @@ def gram_table(docs: DataFrame, train: Column, text_col: str, depth: int) -> Dat
                                                       pa.array(some)], ["code", "n", "m"])
                 parts.clear()
 
+        def size():
+            return sum(len(c) for parts in held.values() for c, _ in parts)
+
         for b in batches:
             raw, flags = raw_texts(b.column(0)), b.column(1).to_pylist()
             for own, parts in held.items():
-                for _, codes in _pieces([x for x, f in zip(raw, flags) if f == own], depth, 4 * CHUNK_BYTES):
+                for _, codes in _pieces([x for x, f in zip(raw, flags) if f == own], depth):
                     parts.append(np.unique(codes, return_counts=True))
-            if sum(len(c) for parts in held.values() for c, _ in parts) > HELD_GRAMS:
-                for parts in held.values():
-                    parts[:] = [_merge(parts)] if parts else []
-                if sum(len(c) for parts in held.values() for c, _ in parts) > HELD_GRAMS // 2:
-                    yield from out()
+                    if size() > HELD_GRAMS:
+                        for some in held.values():
+                            some[:] = [_merge(some)] if some else []
+                        if size() > HELD_GRAMS * 3 // 4:
+                            yield from out()
         yield from out()
 
     part = map_arrow(docs.select(F.col(text_col).alias("_t"), train.alias("_own")), run, "code bigint, n bigint, m bigint")
@@ -364,19 +373,28 @@ def gram_logs(docs: DataFrame, train: Column, text_col: str, depth: int) -> Data
 
 
 def _lookup(raw: list[bytes], depth: int, codes: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """log10 probability of each text's grams among ``codes`` (ascending), and the counts of its others."""
+    """log10 probability of each text's grams among ``codes`` (ascending), and the counts of its others.
+
+    Grams of at most SLOTS texts are sorted at once with the text in their free low byte, so equal grams of a
+    text meet, and each distinct gram is looked up once, in ascending order."""
     out, far = np.zeros(len(raw)), []
-    for who, code in _pieces(raw, depth, 4 * CHUNK_BYTES):
-        known, at = np.unique(code, return_inverse=True)
-        place = np.searchsorted(codes, known)
-        found = codes[np.minimum(place, len(codes) - 1)] == known if len(codes) else np.zeros(len(known), bool)
-        value = np.zeros(len(known))
-        value[found] = logs[place[found]]
-        out += np.bincount(who, value[at], len(raw))
+    for who, code in _pieces(raw, depth, CHUNK_BYTES, SLOTS):
+        texts = np.unique(who)
+        key = np.sort(code << np.uint64(8) | np.searchsorted(texts, who).astype(np.uint64))
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        n, key = np.diff(np.append(first, len(key))), key[first]
+        slot, gram = (key & np.uint64(255)).astype(np.int64), key >> np.uint64(8)
+        new = np.append(True, gram[1:] != gram[:-1])
+        known = gram[new]
+        place = np.minimum(np.searchsorted(codes, known), max(0, len(codes) - 1))
+        found = codes[place] == known if len(codes) else np.zeros(len(known), bool)
+        at = np.cumsum(new) - 1
+        value = np.where(found, logs[place] if len(codes) else 0.0, 0.0)[at]
+        np.add.at(out, texts, np.bincount(slot, value * n, len(texts)))
         if not found.all():
             miss = ~found[at]
-            pair, n = np.unique(who[miss] * len(known) + at[miss], return_counts=True)
-            far.append((pair // len(known), known[pair % len(known)].astype(np.int64), n))
+            order = np.argsort(slot[miss], kind="stable")
+            far.append((texts[slot[miss][order]], gram[miss][order].astype(np.int64), n[miss][order]))
     who, code, n = (np.concatenate([x[i] for x in far]) if far else np.zeros(0, np.int64) for i in range(3))
     ends = np.searchsorted(who, np.arange(len(raw) + 1)).astype(np.int32)
     pairs = pa.StructArray.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
