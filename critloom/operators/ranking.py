@@ -166,7 +166,8 @@ def assign_jobs(df: DataFrame, order_col: str, rows_per_job: int, column: str =
     Only the keys are numbered; the job is arithmetic on a key's number, so neither the plan
     nor the driver grows with the number of jobs. Rows that share a key share its job.
     """
-    keys = row_numbers(df.select(F.col(order_col).alias("_key")).filter("_key IS NOT NULL"), [F.col("_key")], "_pos")
+    keys = df.select(F.col(order_col).alias("_key"), F.monotonically_increasing_id().alias("_tie")).filter("_key IS NOT NULL")
+    keys = row_numbers(keys, [F.col("_key"), F.col("_tie")], "_pos")  # a key of very many rows is cut like any range
     job = F.floor((F.col("_pos") - F.lit(offset)) / F.lit(rows_per_job)).cast("int")
     jobs = (keys.groupBy("_key").agg(F.min("_pos").alias("_pos")).filter(F.col("_pos") >= F.lit(offset))
             .select("_key", job.alias(column)))

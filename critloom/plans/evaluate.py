@@ -68,6 +68,7 @@ def judged_eval(examples: DataFrame, answer_backend: Backend, judge_backend: Bac
 
 
 DETAIL_BLOCK = 10_000
+LISTED_PARTITIONS = 100_000
 
 
 def add_details(judged: DataFrame, path: str, counts_path: str | None = None, block_rows: int = DETAIL_BLOCK) -> DataFrame:
@@ -90,7 +91,7 @@ def add_details(judged: DataFrame, path: str, counts_path: str | None = None, bl
         touched = placed.select(F.col("step").alias("_t"), F.col("block").alias("_b")).distinct()
         keys = judged.select(F.col("step").alias("_s"), F.col("ord").alias("_o"))
         # The partitions to read are known at run time: one row per block of this batch.
-        kept = (prior.join(F.broadcast(touched), F.col("step").eqNullSafe(F.col("_t")) & (F.col("block") == F.col("_b")), "left_semi")
+        kept = (prior.join(_listed(touched), F.col("step").eqNullSafe(F.col("_t")) & (F.col("block") == F.col("_b")), "left_semi")
                 .join(keys, F.col("step").eqNullSafe(F.col("_s")) & F.col("ord").eqNullSafe(F.col("_o")), "left_anti"))
         merged = stage_table(placed.unionByName(kept.select(*placed.columns)), "merged_details")
     write_blocks(merged, path)
@@ -102,7 +103,12 @@ def add_details(judged: DataFrame, path: str, counts_path: str | None = None, bl
 def _steps_of(table: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows of a step table whose step is in ``rows`` (partitions are pruned at run time)."""
     steps = rows.select(F.col("step").alias("_t")).distinct()
-    return table.join(F.broadcast(steps), F.col("step").eqNullSafe(F.col("_t")), "left_semi")  # one row per step
+    return table.join(_listed(steps), F.col("step").eqNullSafe(F.col("_t")), "left_semi")  # one row per step
+
+
+def _listed(parts: DataFrame) -> DataFrame:
+    """Partition values, broadcast if they are few (then the scan reads no other partition)."""
+    return F.broadcast(parts) if parts.count() <= LISTED_PARTITIONS else parts
 
 
 def eval_history(answers: DataFrame, judge_backend: Backend, details_path: str | None = None,

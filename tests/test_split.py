@@ -138,3 +138,16 @@ def test_identical_rows_at_the_boundary_are_refused(spark):
     with pytest.raises(ValueError):
         exact_split(df, ["k"], 0.1, 42)
     assert exact_split(df, ["k"], 9, 42).filter("split = 'test'").count() == 9  # whole keys fit
+
+
+def test_jobs_of_a_hot_key_are_cut_without_one_task(spark):
+    """A third of all rows share a key: its rows are numbered in several partitions and share one job."""
+    from critloom.operators.ranking import assign_jobs
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 500 ELSE id END AS k", "id AS row").repartition(6)
+    got = assign_jobs(df, "k", 250).groupBy("k").agg(F.count_distinct("job_id").alias("jobs"), F.min("job_id").alias("j"), F.count("*").alias("n"))
+    rows = {r.k: (r.jobs, r.j, r.n) for r in got.collect()}
+    keys = sorted(r.k for r in df.select("k").collect())
+    first = {}
+    for i, k in enumerate(keys):
+        first.setdefault(k, i)
+    assert rows == {k: (1, i // 250, keys.count(k)) for k, i in first.items()}
