@@ -130,7 +130,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """The rows of ``docs`` (all columns) with one row kept of every component.
 
     The row with the smallest id stays; of rows that share it, the one with the smallest text
-    digest, and of equal rows one. Only ids, digests and fingerprints are searched; the texts are
+    digest, and of rows with equal ids and texts any one, even if other columns differ. Only ids, digests and fingerprints are searched; the texts are
     shuffled once, for the final semi-join."""
     key = F.md5(F.concat_ws("\x1f", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(id_col).isNull().cast("string"),
                             F.coalesce(text_col, F.lit(""))))

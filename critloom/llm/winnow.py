@@ -185,7 +185,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     their words (exact); ``windows`` holds the occurrences (first word, words), n_hit their union.
     Items of fewer words are looked up whole. Null texts have no words; an empty document or
     benchmark table gives no rows or no hits; repeated ids and null ids are kept as separate
-    rows (rows are tracked by a staged row number); only the named columns are read.
+    rows (rows are tracked by a staged row number); an item with a null id hits words but is not
+    listed in ``items``; only the named columns are read.
 
     At scale: the prefilter is a bitmap of fixed size, the join is on window text (documents side
     may be skewed: adaptive skew join), and what is gathered per document is bounded by its own
