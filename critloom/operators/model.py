@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ..functions.prompts import Prompt
 from ..functions.text import word_count
 from ..schemas import GENERATED
-from ..session import ship_package
+from ..session import bound_batches, ship_package
 
 _WORKER_CACHE: dict[str, object] = {}
 
@@ -331,6 +331,7 @@ def generate(messages, backend: Backend, blank_batch: bool = False) -> Column:
             yield _generated_array(*_run_rows(backend, arr.to_pylist(), prefix, blank_batch))
 
     ship_package()
+    bound_batches()
     # Always non-deterministic for the optimizer: a model call is expensive and must run
     # exactly once per row and stage; a deterministic UDF may be inlined into several
     # consumers (e.g. the text and the error field) and evaluated more than once.
@@ -358,6 +359,7 @@ def generate_map(df, messages, name: str, backend: Backend, blank_batch: bool =
             yield pa.RecordBatch.from_arrays(list(b.columns) + [out], names=list(b.schema.names) + [name])
 
     ship_package()
+    bound_batches()
     mapped = src.mapInArrow(_map, out_schema, profile=profile) if profile is not None \
         else src.mapInArrow(_map, out_schema)
     return mapped.drop(tmp)
@@ -401,6 +403,7 @@ def score(prompt: Column, response: Column, scorer: Scorer) -> Column:
             yield pa.array(out, pa.float64())
 
     ship_package()
+    bound_batches()
     fn = F.arrow_udf(_udf, T.DoubleType()).asNondeterministic()
     return fn(prompt, response)
 
@@ -451,6 +454,7 @@ def token_spans(text: Column, tokenizer: TokenSpans) -> Column:
             yield pa.array(out, kind)
 
     ship_package()
+    bound_batches()
     return F.arrow_udf(_udf, "array<struct<s:int,e:int>>")(text)
 
 
@@ -470,4 +474,5 @@ def token_count(text: Column, counter: TokenCounter | None = None) -> Column:
             yield pa.array(out, pa.int64())
 
     ship_package()
+    bound_batches()
     return F.arrow_udf(_udf, T.LongType())(text)

@@ -103,6 +103,16 @@ def stage_table(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MODEL_BATCH_BYTES = 4 << 20  # of an Arrow batch that goes to a model, scorer or counter (a longer single row stands alone)
+
+
+def bound_batches(spark: SparkSession | None = None) -> None:
+    """Limit the session's Arrow batches by bytes too: a batch of whole texts is bounded however long they are."""
+    spark = spark or SparkSession.getActiveSession() or getattr(SparkSession, "_instantiatedSession", None)
+    if spark is not None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(MODEL_BATCH_BYTES))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -61,3 +61,11 @@ def test_one_python_evaluation_per_stage(spark):
     out = g.select(F.col("g.text").alias("a"), F.col("g.error").alias("b"), F.upper("g.text").alias("c"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_batches_of_long_texts_are_bounded_by_bytes(spark):
+    rows = FunctionBackend(lambda b: [str(len(b))] * len(b), batch_size=10_000)
+    df = spark.range(0, 48, 1, 1).select(F.array(message("user", F.repeat(F.lit("x"), 1 << 20))).alias("m"))
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    sizes = [int(r.t) for r in df.select(generate(F.col("m"), rows).getField("text").alias("t")).collect()]
+    assert len(sizes) == 48 and max(sizes) <= 8
