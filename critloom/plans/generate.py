@@ -5,8 +5,9 @@ answer, critiques, rewrite) and appends a struct to an ``_turns`` array that is
 once at the end. Turns are never unioned: a union would re-run every earlier turn in each
 branch and, with a sampling model, pair answers from different runs.
 
-Two execution modes give the same rows. For a deterministic model the stages are fused:
-with no shuffle between them a task computes a row's whole conversation at once. For a real
+Two execution modes give the same rows. For a deterministic model the stages are fused: a task
+computes a round, or a question and its answer, at once, and hands the rows on by a shuffle, as every
+model stage of a task has a Python worker of its own for as long as the task runs. For a real
 (sampling) model every stage is stored before the next reads it, as a narrow Parquet table
 ``(keys, text, error)``: replies are never computed twice, and a run that is started again
 with the same ``stage_dir`` makes no second call for a finished stage. What is known of each
@@ -116,14 +117,23 @@ def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def _settled(df: DataFrame, backend: Backend, cfg: GenerationConfig, label: str) -> DataFrame:
+def _handed_on(df: DataFrame, cfg: GenerationConfig, key_cols: tuple[str, ...], label: str) -> DataFrame:
+    """``df`` shuffled by its keys, which no model makes, so that later model stages run in tasks of their own.
+    The label is hashed too: Spark drops a shuffle by what the rows are shuffled by already."""
+    by = F.xxhash64(*key_cols, F.lit(label))
+    return df.repartition(cfg.model_partitions, by) if cfg.model_partitions else df.repartition(by)
+
+
+def _settled(df: DataFrame, backend: Backend, cfg: GenerationConfig, label: str, key_cols: tuple[str, ...] = (),
+             more: bool = False) -> DataFrame:
     """The conversations so far, stored under ``<stage_dir>/_state`` if the config stores stages.
 
     Settled after every answer and every round, so a stage joins the one or two stage tables since then
-    and not all earlier ones: reading grows with the number of stages, not with its square.
+    and not all earlier ones: reading grows with the number of stages, not with its square. Fused stages
+    are parted by a shuffle if ``more`` follow.
     """
     if not _stores(backend, cfg):
-        return df
+        return _handed_on(df, cfg, key_cols, label) if more else df
     path = f"{cfg.stage_dir.rstrip('/')}/_state/{label}"
     if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
         _write(df, path)
@@ -136,14 +146,14 @@ def _errors(*gens: str) -> Column:
 
 def critique_revise(df: DataFrame, history_col: str, initial_col: str, backend: Backend,
                     cfg: GenerationConfig = GenerationConfig(), key_cols: tuple[str, ...] = ("question_id",),
-                    turn: Column | int = 0) -> DataFrame:
+                    turn: Column | int = 0, more: bool = False) -> DataFrame:
     """``num_revisions`` rounds of principle → critique → rewrite.
 
     Adds ``critique_requests``, ``critiques``, ``revision_requests``, ``revisions`` (one entry
     per round), ``revised_response`` (last rewrite; null after 0 rounds) and ``_errors``.
     Each round critiques the first answer unless ``cfg.chain``. Principles are picked from
     ``md5(seed:keys:turn:round)``, so a retried task picks the same one. ``key_cols`` must
-    identify a row (stored stages are joined back on them).
+    identify a row (stored stages are joined back on them). ``more`` says that model stages follow.
     """
     t = F.lit(turn) if isinstance(turn, int) else turn
     cfg = _with_dir(df, backend, cfg)
@@ -170,7 +180,7 @@ def critique_revise(df: DataFrame, history_col: str, initial_col: str, backend:
             "revised_response": F.col("_rev.text"),
             "_errors": F.concat("_errors", _errors("_crit", "_rev")),
         }).drop("_p", "_base", "_crit", "_rev")
-        df = _settled(df, backend, cfg, f"turn{at}-round{r}")
+        df = _settled(df, backend, cfg, f"turn{at}-round{r}", key_cols, more or r + 1 < cfg.num_revisions)
     return df
 
 
@@ -211,8 +221,8 @@ def generate_preferences(questions: DataFrame, backend: Backend, cfg: Generation
                    .drop("_sq")
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("user", F.col("_q")))))
         df = _stage(df, "_init", P.teacher_prompt_parts("_hist", cfg.kit), backend, cfg, keys, f"turn{t}-answer")
-        df = _settled(df, backend, cfg, f"turn{t}-answer")
-        df = critique_revise(df, "_hist", "_init.text", backend, cfg, turn=t)
+        df = _settled(df, backend, cfg, f"turn{t}-answer", keys, cfg.num_revisions > 0 or t + 1 < cfg.num_turns)
+        df = critique_revise(df, "_hist", "_init.text", backend, cfg, turn=t, more=t + 1 < cfg.num_turns)
         df = df.withColumn("_hist", F.concat("_hist", F.array(P.message("assistant", F.col("revised_response")))))
         row = F.struct(
             F.lit(t).alias("turn"), F.col("_q").alias("question"),

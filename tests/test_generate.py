@@ -211,3 +211,12 @@ def test_a_job_clusters_its_files_and_leaves_no_stage_tables(spark, tmp_dir):
     files = {j: [f for f in os.listdir(os.path.join(tmp_dir, "jobs", f"job={j}")) if f.endswith(".parquet")] for j in range(6)}
     assert 2 <= len(files[0]) <= 3 and all(len(files[j]) == 1 for j in range(1, 6))
     assert {d for d in os.listdir(base) if d.startswith("model-stages")} == before
+
+
+def test_fused_stages_of_one_task_are_few(spark):
+    out = generate_preferences(_questions(spark), StubModel(), GenerationConfig(num_turns=3, num_revisions=2))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert max(part.count("ArrowEvalPython") for part in plan.split("Exchange hashpartitioning(xxhash64(")) <= 2  # a worker each
+    twins = _questions(spark).unionByName(_questions(spark)).unionByName(_questions(spark).withColumn("question_id", F.lit(None).cast("bigint")))
+    got = generate_preferences(twins, StubModel(), GenerationConfig(num_turns=2)).groupBy("question_id", "turn").count().collect()
+    assert sorted(r["count"] for r in got) == [2] * 6  # repeated and null ids stay rows of their own
