@@ -255,13 +255,15 @@ def generation_job(questions: DataFrame, out_dir: str, backend: Backend,
                    cfg: GenerationConfig = GenerationConfig(), rows_per_file: int = ROWS_PER_FILE) -> dict:
     """Generate for every job slice (``job_id`` column) and write each slice to its own
     directory ``<out_dir>/job=<j>`` (K1, dynamic overwrite: re-running a job replaces only its
-    directory). How many rows a job will have is known before any model call, so rows are clustered
-    by job and the number of files follows from it. Stage tables in a folder of the run's own are
+    directory). How many rows a job will have is known before any model call, and so are the bytes of
+    its questions: rows are clustered by job and the number of files follows from both. Stage tables in a folder of the run's own are
     removed at its end. Returns the job summary (A4): datapoints, rounds, seconds."""
     t0 = time.perf_counter()
     own = cfg.stage_dir is None and _stores(backend, cfg)
     cfg = _with_dir(questions, backend, cfg)
-    counts = questions.groupBy("job_id").agg((F.count(F.lit(1)) * F.lit(cfg.num_turns)).alias("n"))
+    # Of their bytes only the question's are known: every turn's history holds it, the first one's row twice.
+    known = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))) * F.lit(cfg.num_turns + 1)
+    counts = questions.groupBy("job_id").agg((F.count(F.lit(1)) * F.lit(cfg.num_turns)).alias("n"), known.alias("bytes"))
     prefs = generate_preferences(questions, backend, cfg)
     obs = Observation(f"generation_job-{uuid.uuid4().hex[:8]}")
     observed = prefs.observe(obs, F.count(F.lit(1)).alias("datapoints"),

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,7 @@ def list_dirs(spark: SparkSession, pattern: str) -> list[str]:
 
 
 ROWS_PER_FILE = 100_000
+BYTES_PER_FILE = 64 << 20  # of a file's values before encoding: a task sorts its rows in several times that
 
 
 def write_job(df: DataFrame, root: str, job_id: int) -> str:
@@ -58,30 +59,54 @@ def write_job(df: DataFrame, root: str, job_id: int) -> str:
     return path
 
 
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    zero = F.lit(0).cast("bigint")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value).cast("bigint"), zero)
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(value, zero, lambda held, x: held + _value_bytes(x, kind.elementType)), zero)
+    if isinstance(kind, T.StructType):
+        return sum((_value_bytes(value.getField(f.name), f.dataType) for f in kind), zero)
+    return F.lit(8).cast("bigint")
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes the values of a row hold."""
+    return sum((_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0).cast("bigint"))
+
+
+def files_of(n: Column, size: Column, rows_per_file: int) -> Column:
+    """How many files n rows of ``size`` bytes in all make: as many as keep each within both limits."""
+    return F.greatest(F.ceil(n / F.lit(rows_per_file)), F.ceil(size / F.lit(BYTES_PER_FILE))).cast("bigint")
+
+
 def cluster_by_job(df: DataFrame, key_cols: Sequence[str], job_col: str = "job_id", rows_per_file: int = ROWS_PER_FILE,
                    counts: DataFrame | None = None, salt: str = "_salt") -> DataFrame:
     """``df`` shuffled on (job, salt), with the salt as a column: a job of n rows has
-    ``n / rows_per_file`` salts, so a write partitioned by job makes about that many files of it (one
-    at least, never more) however many tasks there are, and a hot job is spread over as many tasks.
-
-    The salt is a hash of the key, so equal keys stay together. ``counts`` (job, n) says how many
-    rows each job will have; by default ``df`` is counted, so a model-made ``df`` must be stored or
-    its counts given. Only jobs with several salts are broadcast: one row per ``rows_per_file`` rows
-    at most.
+    ``n / rows_per_file`` salts, or more if its rows hold more than ``BYTES_PER_FILE`` each, so a write
+    partitioned by job makes about that many files of it (one at least, never more) however many tasks there
+    are, and a hot job or one of long texts is spread over as many tasks.
+
+    The salt is a hash of the key, so equal keys stay together. ``counts`` (job, n and, if known, bytes) says
+    how many rows each job will have; by default ``df`` is counted, so a model-made ``df`` must be stored or
+    its counts given. Only jobs with several salts are broadcast: one row per ``rows_per_file`` rows or
+    ``BYTES_PER_FILE`` bytes at most.
     """
     if counts is None:
-        counts = df.groupBy(job_col).agg(F.count(F.lit(1)).alias("n"))
-    salts = F.ceil(F.col("n") / F.lit(rows_per_file)).cast("bigint")
-    s = counts.agg(F.sum(salts).alias("groups"), F.sum("n").alias("rows"), F.max("n").alias("top")).first()
-    if (s.top or 0) > rows_per_file:
-        big = counts.filter(F.col("n") > rows_per_file).select(F.col(job_col).alias("_job"), salts.alias("_salts"))
+        counts = df.groupBy(job_col).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("bytes"))
+    size = F.coalesce("bytes", F.lit(0)) if "bytes" in counts.columns else F.lit(0)
+    salts = files_of(F.col("n"), size, rows_per_file)
+    s = counts.agg(F.sum(salts).alias("groups"), F.sum("n").alias("rows"), F.sum(size).alias("size"), F.max(salts).alias("top")).first()
+    if (s.top or 0) > 1:
+        big = counts.filter(salts > 1).select(F.col(job_col).alias("_job"), salts.alias("_salts"))
         spread = F.pmod(F.xxhash64(*key_cols), F.coalesce(F.col("_salts"), F.lit(1).cast("bigint")))
         df = (df.join(F.broadcast(big), F.col(job_col).eqNullSafe(F.col("_job")), "left")
               .withColumn(salt, spread).drop("_job", "_salts"))
         by = [F.col(job_col), F.col(salt)]
     else:
         df, by = df.withColumn(salt, F.lit(0).cast("bigint")), [F.col(job_col)]
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * (s.rows or 0) // rows_per_file))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * (s.rows or 0) // rows_per_file),
+                -(-2 * (s.size or 0) // BYTES_PER_FILE))
     return df.repartition(max(1, min(s.groups or 1, tasks)), *by)
 
 
@@ -104,7 +129,7 @@ def write_jobs(df: DataFrame, root: str, job_col: str = "job_id", key_cols: Sequ
                rows_per_file: int = ROWS_PER_FILE, counts: DataFrame | None = None) -> None:
     """K1 for many jobs in one pass: each ``job=<j>`` directory (with ``job_id`` kept in the
     files) is replaced by its rows; directories of jobs not in ``df`` are left alone. The number of
-    files follows from the rows of a job (see ``cluster_by_job``), not from the number of tasks."""
+    files follows from the rows and bytes of a job (see ``cluster_by_job``), not from the number of tasks."""
     rows = cluster_by_job(df, key_cols, job_col, rows_per_file, counts).drop("_salt")
     replace_partitions(rows.withColumn("job", F.col(job_col)), root, "job")
 

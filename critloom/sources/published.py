@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage_table
-from .jobs import ROWS_PER_FILE, _fs, cluster_by_job, list_dirs, replace_partitions
+from .jobs import ROWS_PER_FILE, _fs, cluster_by_job, files_of, list_dirs, replace_partitions, row_bytes
 
 DEFAULT_KEY = ("question_id", "turn", "job_id")
 CLAIMS = "_claims"
@@ -259,7 +259,13 @@ def compact(spark: SparkSession, target: str, schema: T.StructType, key_cols: Se
         # Hashing leaves a file of a partition empty now and then, and never makes more than are asked for.
         held = (table.select("job_id", F.input_file_name().alias("_f")).groupBy("job_id")
                 .agg(F.count_distinct("_f").alias("files"), F.count(F.lit(1)).alias("n")))
-        crowded = [_name(r.job_id) for r in held.filter(F.col("files") > F.ceil(F.col("n") / F.lit(rows_per_file))).collect()]
+        held = held.filter(F.col("files") > F.ceil(F.col("n") / F.lit(rows_per_file))).collect()
+        crowded = [_name(r.job_id) for r in held]
+        if crowded:  # by rows; jobs of long texts may need that many
+            files = {_name(r.job_id): r.files for r in held}
+            table = read_published(spark, target, schema, crowded)
+            needed = table.groupBy("job_id").agg(files_of(F.count(F.lit(1)), F.sum(row_bytes(table)), rows_per_file).alias("k")).collect()
+            crowded = [_name(r.job_id) for r in needed if files[_name(r.job_id)] > r.k]
         if crowded:
             rows = stage_table(read_published(spark, target, schema, crowded), "compacted")
             replace_partitions(cluster_by_job(rows, key_cols, rows_per_file=rows_per_file).drop("_salt"), target, "job_id",

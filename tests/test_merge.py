@@ -365,3 +365,16 @@ def test_few_new_keys_skip_most_row_groups(spark, tmp_dir):
     assert publish_rows(more, target, PREFERENCES) == {"0": 2} and publish_rows(more, target, PREFERENCES) == {}
     nulls = rows.limit(1).withColumn("question_id", F.lit(None).cast("long")).withColumn("job_id", F.lit(0))
     assert publish_rows(nulls, target, PREFERENCES) == {"0": 1} and publish_rows(nulls, target, PREFERENCES) == {}
+
+
+def test_jobs_of_long_texts_are_spread_by_bytes(spark, tmp_dir, monkeypatch):
+    from critloom.sources import jobs
+    from critloom.sources.published import compact
+    monkeypatch.setattr(jobs, "BYTES_PER_FILE", 1 << 20)
+    long = _rows(spark, list(range(40))).withColumns({"job_id": F.lit(0), "chosen": F.repeat(F.lit("x"), 1 << 18)})  # 10 MB
+    target = os.path.join(tmp_dir, "pub")
+    assert publish_rows(long, target, PREFERENCES) == {"0": 40}
+    assert 4 <= len(_files(target)) <= 11 and compact(spark, target, PREFERENCES) == 0
+    jobs.write_jobs(long, os.path.join(tmp_dir, "jobs"))
+    assert 4 <= len(_files(os.path.join(tmp_dir, "jobs"))) <= 11
+    assert publish_rows(long, target, PREFERENCES) == {} and read_published(spark, target, PREFERENCES).count() == 40
