@@ -371,7 +371,8 @@ def test_jobs_of_long_texts_are_spread_by_bytes(spark, tmp_dir, monkeypatch):
     from critloom.sources import jobs
     from critloom.sources.published import compact
     monkeypatch.setattr(jobs, "BYTES_PER_FILE", 1 << 20)
-    long = _rows(spark, list(range(40))).withColumns({"job_id": F.lit(0), "chosen": F.repeat(F.lit("x"), 1 << 18)})  # 10 MB
+    long = _rows(spark, list(range(40))).withColumn("job_id", (F.col("question_id") * 0).cast("int")) \
+        .withColumn("chosen", F.repeat(F.lit("x"), 1 << 18))  # 10 MB
     target = os.path.join(tmp_dir, "pub")
     assert publish_rows(long, target, PREFERENCES) == {"0": 40}
     assert 4 <= len(_files(target)) <= 11 and compact(spark, target, PREFERENCES) == 0
