@@ -10,7 +10,7 @@ from __future__ import annotations
 import codecs
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -108,7 +108,9 @@ class Vocabulary:
         self.together = {p[i:i + 2] for p in self.scores for i in range(len(p) - 1)}
         cut = not any(x[0] != SPACE and x[1] == SPACE for x in self.together)
         self.word = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if cut else r"[\s\S]+")
-        self.held: dict[str, list[int]] = {}
+        # Remembered ids are tuples of the same numbers: small, near each other, and no work for the collector.
+        self.held: dict[str, tuple[int, ...]] = {}
+        self.numbers = list(range(len(self.pieces)))
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.wrong: set[str] = set()  # words that the library encodes otherwise
 
@@ -220,26 +222,29 @@ class Vocabulary:
             ids.extend([known] if known is not None else self.char_ids(s))
         return ids
 
-    def learn(self, words: set[str]) -> dict[str, list[int]]:
+    def shared(self, ids: Iterable[int]) -> tuple[int, ...]:
+        return tuple(map(self.numbers.__getitem__, ids))
+
+    def learn(self, words: set[str]) -> dict[str, tuple[int, ...]]:
         """Remembers the ids of short words; returns those of long ones, whose parts share one agenda if short."""
         short = [w for w in words if len(w) <= SHORT]
-        self.held.update(zip(short, self.merge_all(short) if short else []))
+        self.held.update(zip(short, map(self.shared, self.merge_all(short) if short else [])))
         cuts = {w: self.cut(w) for w in words if len(w) > SHORT}
         parts = {p for cut in cuts.values() for p in cut}
         ids = {p: self.long_ids(p) for p in parts if len(p) > SHORT}
         short = [p for p in parts if len(p) <= SHORT]
         ids.update(zip(short, self.merge_all(short) if short else []))
-        found = {w: list(chain.from_iterable([ids[p] for p in cut])) for w, cut in cuts.items()}
+        found = {w: self.shared(chain.from_iterable([ids[p] for p in cut])) for w, cut in cuts.items()}
         self.check(list(words), found)
         return found
 
-    def check(self, words: list[str], found: dict[str, list[int]]) -> None:
+    def check(self, words: list[str], found: dict[str, tuple[int, ...]]) -> None:
         """Holds the ids of words against the library's. No merge crosses the start of a word, so a text's
         ids are those of its words; the blank that a text is given in front is the word's own."""
-        lone = [self.library.piece_to_id(SPACE)]  # a blank that ends a text; alone it would be an empty text
+        lone = (self.library.piece_to_id(SPACE),)  # a blank that ends a text; alone it would be an empty text
         theirs = self.library.encode([w[self.prefix:].replace(SPACE, " ") for w in words], num_threads=1)
         for w, ids in zip(words, theirs):
-            if (found[w] if w in found else self.held[w]) != (ids if w != SPACE else lone):
+            if (found[w] if w in found else self.held[w]) != (tuple(ids) if w != SPACE else lone):
                 self.wrong.add(w)
 
     def split(self, texts: list[str]) -> list[list[str]]:
@@ -255,9 +260,11 @@ class Vocabulary:
         held, split = self.held, self.split(texts)
         new = set(chain.from_iterable(split)) - held.keys()
         found = self.learn(new) if new else {}
-        ids = (lambda w: held.get(w) or found[w]) if found else held.__getitem__
-        return ([list(chain.from_iterable(map(ids, words))) for words in split],
-                [not self.wrong or self.wrong.isdisjoint(words) for words in split])
+        held.update(found)  # for this call only: long words are not remembered
+        ids = [list(chain.from_iterable(map(held.__getitem__, words))) for words in split]
+        for w in found:
+            del held[w]
+        return ids, [not self.wrong or self.wrong.isdisjoint(words) for words in split]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; each byte that is no UTF-8 becomes a replacement character."""
@@ -282,6 +289,17 @@ class Vocabulary:
         return text.replace(SPACE, " ")
 
 
+_OWN: dict[bytes, Vocabulary] = {}
+
+
+def own_vocabulary(model: bytes) -> Vocabulary:
+    """This worker's vocabulary of a model, kept with the words that it remembers from task to task (one model's)."""
+    if model not in _OWN:
+        _OWN.clear()
+        _OWN[model] = Vocabulary(model)
+    return _OWN[model]
+
+
 def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text",
            carried: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: ``(<id>, carried, ids array<int>, decoded string, agrees boolean)``.
@@ -294,7 +312,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a vocabulary file: some hundred KB
 
     def run(batches):
-        own = Vocabulary(sent.value)
+        own = own_vocabulary(sent.value)
         for b in batches:
             texts = [x or "" for x in b.column(0).to_pylist()]
             for i, j in chunks(texts):

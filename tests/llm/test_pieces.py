@@ -77,6 +77,16 @@ def test_bytes_that_are_no_text_are_replaced(vocabulary):
         assert vocabulary.decode(ids) == LIBRARY.decode(ids)
 
 
+def test_a_worker_keeps_its_words_from_task_to_task():
+    v = pieces.own_vocabulary(MODEL)
+    texts = [*random_texts(300, 60, 7), "x" * 100]
+    want = LIBRARY.encode(texts)
+    assert v.encode(texts)[0] == want and pieces.own_vocabulary(MODEL) is v
+    held = dict(v.held)
+    assert v.encode(texts[::-1])[0] == want[::-1]
+    assert v.held == held and max(map(len, held)) <= pieces.SHORT  # nothing new, and long words are not remembered
+
+
 def test_other_models_are_refused():
     word_model = b"\x12\x02\x18\x01"  # a unigram model
     with pytest.raises(ValueError):
