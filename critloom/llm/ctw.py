@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,10 @@ DEPTH = 6            # bytes of context (a code of 7 bytes)
 MAX_NODES = 4096     # contexts per depth of the small tree in memory (fit)
 CROWN = 2            # depth of the tree's top on the driver: at most 65,536 contexts
 TOP = 3 << 20        # grams that are broadcast with their logs; all others are joined
-HELD_GRAMS = 1 << 21  # distinct grams held by a counting task before it hands them on
+HELD_GRAMS = 1 << 22  # distinct grams held by a counting task before it hands them on, and bytes sorted together
+SPREAD = 0x9E3779B97F4A7C15  # odd: an id times it, modulo 2**64, is a key that begins with the id's bucket
+GATHER = pow(SPREAD, -1, 1 << 64)  # leads from the key back to the id
+BUCKET_BITS = 12     # grams and rows are shuffled in blocks, 2**BUCKET_BITS from a task, not one by one
 SLOTS = 256          # texts whose grams are sorted together: what a byte tells apart
 SUBTREES = 1 << 16   # grams weighted at once (a larger subtree stands alone)
 FREQUENT = 1 << 17   # tokens with at least 1/FREQUENT of all training tokens are broadcast
@@ -46,13 +50,10 @@ def _pieces(raw: list[bytes], depth: int, limit: int = CHUNK_BYTES, most: int |
 
 
 def _codes(parts: list[tuple[int, bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    buf = np.frombuffer(b"".join(x for _, x in parts), np.uint8)
-    code = np.zeros(len(buf) - depth, np.uint64)
-    for j in range(depth + 1):
-        code <<= np.uint64(8)
-        code |= buf[j:j + len(code)]
     sizes = np.array([len(x) for _, x in parts])
-    own = np.ones(len(buf), bool)  # the bytes that are not context
+    raw = b"".join(x for _, x in parts) + bytes(7 - depth)  # the last code is read as eight bytes, too
+    code = np.ndarray(int(sizes.sum()) - depth, ">u8", raw, strides=(1,)).astype(np.uint64) >> np.uint64(8 * (7 - depth))
+    own = np.ones(len(code) + depth, bool)  # the bytes that are not context
     for j in range(depth):
         own[np.cumsum(sizes) - sizes + j] = False
     return np.repeat([r for r, _ in parts], sizes - depth), code[own[depth:]]
@@ -213,47 +214,121 @@ def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, max_nodes:
     return ContextTree(levels)
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """One ascending (code, count) list of several."""
-    code = np.concatenate([c for c, _ in parts])
-    order = np.argsort(code, kind="stable")  # merges runs that are in order already
-    code, n = code[order], np.concatenate([n for _, n in parts])[order]
-    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
-    return code[first], np.add.reduceat(n, first) if len(code) else n
+def _spread(ids: np.ndarray) -> np.ndarray:
+    return ids.astype(np.uint64, copy=False) * np.uint64(SPREAD)
+
+
+def _gather(keys: np.ndarray) -> np.ndarray:
+    return keys * np.uint64(GATHER)
+
+
+def _bucket(keys):
+    return keys >> np.uint64(64 - BUCKET_BITS)
+
+
+def _sum(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each of some ascending keys once, with the sums of its values."""
+    if not len(key):
+        return key, *values
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[first], *(np.add.reduceat(v, first) for v in values)
+
+
+def _sorted(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """One ascending list of keys with their values, of several, which are let go."""
+    key, *values = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
+    order = np.argsort(key)
+    return key[order], *(v[order] for v in values)
+
+
+def _merge(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    return _sum(*_sorted(parts))
+
+
+def _blocks(key: np.ndarray, **values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(bucket int, key array, values arrays) of ascending keys: a row for each bucket that has any."""
+    values = {"key": key.view(np.int64), **values}
+    starts = np.searchsorted(_bucket(key), np.arange((1 << BUCKET_BITS) + 1, dtype=np.uint64))
+    for i in range(0, 1 << BUCKET_BITS, 256):  # so many buckets a batch
+        at = starts[i:i + 257]
+        here = np.flatnonzero(at[1:] > at[:-1])
+        if len(here):
+            offsets = pa.array(np.append(at[here], at[-1]) - at[0], pa.int32())
+            arrays = [pa.ListArray.from_arrays(offsets, pa.array(x[at[0]:at[-1]])) for x in values.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(here + i, pa.int32()), *arrays], ["bucket", *values])
+
+
+def _flat(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _sums(batches, value: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys ascending, sums of ``value``) of whole buckets, some at a time; blocks come sorted by bucket."""
+    held, size, limit = [], 0, HELD_GRAMS
+    for b in batches:
+        held.append((_flat(b.column("key")).view(np.uint64), _flat(b.column(value))))
+        size += len(held[-1][0])
+        if size > limit:
+            key, v = _merge(held)
+            cut = int(np.searchsorted(_bucket(key), np.uint64(b.column("bucket")[-1].as_py())))  # the last bucket may go on
+            yield key[:cut], v[:cut]
+            held, size = [(key[cut:], v[cut:])], len(key) - cut
+            limit = max(HELD_GRAMS, 2 * size)
+    if size:
+        yield _merge(held)
+
+
+def _rows(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(next(iter(columns.values()))), FLUSH):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i:i + FLUSH]) for x in columns.values()], [*columns])
 
 
 def gram_table(docs: DataFrame, train: Column, text_col: str, depth: int) -> DataFrame:
     """(code bigint, n bigint, m bigint): every gram of any text, how often training texts hold it
-    (0: never) and all texts; tasks count before the shuffle; staged."""
-    def run(batches):
-        held: dict[bool, list] = {True: [], False: []}
+    (0: never) and all texts; staged.
 
-        def out():
-            for own, parts in held.items():
-                code, m = _merge(parts) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-                for i in range(0, len(code), FLUSH):
-                    some = m[i:i + FLUSH]
-                    yield pa.RecordBatch.from_arrays([pa.array(code[i:i + FLUSH].astype(np.int64)), pa.array(some if own else 0 * some),
-                                                      pa.array(some)], ["code", "n", "m"])
-                parts.clear()
+    Tasks count before the shuffle and hand on their grams in blocks, so a shuffled row is an array of
+    grams; the key's last byte is 1 for counts of training texts. A bucket's blocks meet in one task."""
+    def run(batches):
+        fresh, parts = [], []
 
-        def size():
-            return sum(len(c) for parts in held.values() for c, _ in parts)
+        def count():
+            parts.append(np.unique(np.concatenate(fresh), return_counts=True))
+            fresh.clear()
 
         for b in batches:
             raw, flags = raw_texts(b.column(0)), b.column(1).to_pylist()
-            for own, parts in held.items():
+            for own in (True, False):
                 for _, codes in _pieces([x for x, f in zip(raw, flags) if f == own], depth):
-                    parts.append(np.unique(codes, return_counts=True))
-                    if size() > HELD_GRAMS:
-                        for some in held.values():
-                            some[:] = [_merge(some)] if some else []
-                        if size() > HELD_GRAMS * 3 // 4:
-                            yield from out()
-        yield from out()
-
-    part = map_arrow(docs.select(F.col(text_col).alias("_t"), train.alias("_own")), run, "code bigint, n bigint, m bigint")
-    return stage(part.groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "grams")
+                    fresh.append(_spread(codes << np.uint64(8)) | np.uint64(own))
+                    if sum(map(len, fresh)) <= HELD_GRAMS:
+                        continue
+                    count()
+                    if sum(len(k) for k, _ in parts) > HELD_GRAMS:
+                        parts[:] = [_merge(parts)]
+                        if len(parts[0][0]) > HELD_GRAMS * 3 // 4:
+                            yield from _blocks(parts[0][0], m=parts[0][1])
+                            parts.clear()
+        if fresh:
+            count()
+        if parts:
+            key, m = _merge(parts)
+            yield from _blocks(key, m=m)
+
+    def add(batches):
+        for key, m in _sums(batches, "m"):
+            gram, n, m = _sum(key >> np.uint64(8), m * (key & np.uint64(1)).astype(np.int64), m)
+            code = (_gather(gram << np.uint64(8)) >> np.uint64(8)).astype(np.int64)
+            yield from _rows(code=code, n=n, m=m)
+
+    part = map_arrow(docs.select(F.col(text_col).alias("_t"), train.alias("_own")), run,
+                     "bucket int, key array<bigint>, m array<bigint>")
+    return stage(map_arrow(_by_bucket(part), add, "code bigint, n bigint, m bigint"), "grams")
+
+
+def _by_bucket(blocks: DataFrame, *then: Column) -> DataFrame:
+    return blocks.repartition("bucket").sortWithinPartitions("bucket", *then)
 
 
 def _decisions(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -379,8 +454,9 @@ def _lookup(raw: list[bytes], depth: int, codes: np.ndarray, logs: np.ndarray) -
     text meet, and each distinct gram is looked up once, in ascending order."""
     out, far = np.zeros(len(raw)), []
     for who, code in _pieces(raw, depth, CHUNK_BYTES, SLOTS):
-        texts = np.unique(who)
-        key = np.sort(code << np.uint64(8) | np.searchsorted(texts, who).astype(np.uint64))
+        begin = np.append(True, who[1:] != who[:-1])
+        texts = who[begin]
+        key = np.sort(code << np.uint64(8) | (np.cumsum(begin) - 1).astype(np.uint64))
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         n, key = np.diff(np.append(first, len(key))), key[first]
         slot, gram = (key & np.uint64(255)).astype(np.int64), key >> np.uint64(8)
@@ -401,6 +477,59 @@ def _lookup(raw: list[bytes], depth: int, codes: np.ndarray, logs: np.ndarray) -
     return out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
 
+def _far_scores(scored: DataFrame, logs: DataFrame) -> DataFrame:
+    """(_row bigint, l double): log10 probability of the grams in each row's ``far``, by ``logs`` (code, logp).
+
+    Both sides are dealt out by gram in blocks, the logs of a bucket before the rows that look there;
+    the sums of a task's rows are dealt out by row, in blocks again."""
+    def ask(batches):
+        for b in batches:
+            far, row = b.column(1), b.column(0).to_numpy()
+            pairs = far.flatten()
+            key = _spread(pairs.field("code").to_numpy().astype(np.uint64) << np.uint64(8))
+            key, row, n = _sorted([(key, np.repeat(row, far.value_lengths().to_numpy()), pairs.field("n").to_numpy())])
+            for x in _blocks(key, row=row, n=n):
+                yield x.append_column("logp", pa.nulls(x.num_rows, pa.list_(pa.float32())))
+
+    def tell(batches):
+        for b in batches:
+            key, logp = _sorted([(_spread(b.column(0).to_numpy().astype(np.uint64) << np.uint64(8)), b.column(1).to_numpy())])
+            for x in _blocks(key, logp=logp):
+                none = pa.nulls(x.num_rows, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*x.columns[:2], none, none, x.column(2)], ["bucket", "key", "row", "n", "logp"])
+
+    def meet(batches):
+        known, values = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        held, size = [], 0
+        for b in batches:
+            told = b.column("logp").is_valid()
+            new, asked = b.filter(told), b.filter(pc.invert(told))
+            on = np.searchsorted(_bucket(known), np.uint64(b.column("bucket")[0].as_py()))  # buckets before it are over
+            known, values = _sorted([(known[on:], values[on:]), (_flat(new.column("key")).view(np.uint64), _flat(new.column("logp")))])
+            key = _flat(asked.column("key")).view(np.uint64)
+            at = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
+            hit = known[at] == key if len(known) else np.zeros(len(key), bool)
+            held.append((_spread(_flat(asked.column("row"))[hit]), _flat(asked.column("n"))[hit] * values[at[hit]].astype(np.float64)))
+            size += len(held[-1][0])
+            if size > HELD_GRAMS:
+                key, l = _merge(held)
+                yield from _blocks(key, l=l)
+                held, size = [], 0
+        if size:
+            key, l = _merge(held)
+            yield from _blocks(key, l=l)
+
+    def add(batches):
+        for key, l in _sums(batches, "l"):
+            yield from _rows(_row=_gather(key).astype(np.int64), l=l)
+
+    kind = "bucket int, key array<bigint>, row array<bigint>, n array<bigint>, logp array<float>"
+    asked = map_arrow(scored.where(F.size("far") > 0).select("_row", "far"), ask, kind)
+    told = map_arrow(logs.select("code", "logp"), tell, kind)
+    met = map_arrow(_by_bucket(asked.union(told), F.col("logp").isNull()), meet, "bucket int, key array<bigint>, l array<double>")
+    return map_arrow(_by_bucket(met), add, "_row bigint, l double")
+
+
 def _often(logs: DataFrame, top: int) -> Column:
     """The most frequent grams, at most ``top`` of them: those from some eighth of a power of two on."""
     eighth = F.floor(F.log2("m") * 8)
@@ -426,12 +555,12 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
 
     The tree holds every context of ``depth`` bytes (six at most) of every training text. The ``top``
     most frequent grams are broadcast with their logs and summed where the text is; the others,
-    counted per text, go through one join on the gram (any of them is rarer than those broadcast,
-    so none is hot).
+    counted per text, meet their logs in blocks dealt out by gram (any of them is rarer than those
+    broadcast, so none is hot).
 
     Tokens with at least 1/FREQUENT of all training tokens (at most FREQUENT of them) are
     broadcast and summed where the text is; the rest, counted per text, go through one join on
-    the token, so no vocabulary is held whole anywhere."""
+    the token, so no vocabulary is held whole anywhere: a task of the join has its partition's tokens."""
     if not 1 <= depth <= 6:
         raise ValueError("depth must be 1 to 6: a gram is packed into a bigint")
     spark = docs.sparkSession
@@ -454,19 +583,22 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         for b in batches:
             raw = raw_texts(b.column(0))
             scores, far = _lookup(raw, depth, codes, log_values)
-            n_tokens, known, base, rare = [], [], [], []
+            n_tokens, known, base, rare, times, ends = [], [], [], [], [], [0]
             for x in raw:
                 words = tokens(x)
-                got = [p for p in map(log_p.get, words) if p is not None]
+                got = [*filter(None, map(log_p.get, words))]  # every log is below 0
                 rest = Counter(w for w in words if w not in log_p) if len(got) < len(words) else {}
                 n_tokens.append(len(words))
                 known.append(len(got))
                 base.append(float(sum(got)) + unseen * (len(words) - len(got)))
-                rare.append([{"token": w, "n": n} for w, n in rest.items()])
-            kind = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
+                rare.extend(rest)
+                times.extend(rest.values())
+                ends.append(len(rare))
+            rest = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["token", "n"])
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], pa.array([len(x) for x in raw], pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rare, kind), far],
+                 pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest), far],
                 [*b.schema.names[1:], "n_bytes", "score", "n_tokens", "known", "base", "rare", "far"])
 
     picked = docs.select(F.col(text_col).alias("_t"), F.col(id_col).alias("_id"))
@@ -476,10 +608,10 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                                           "far array<struct<code:bigint,n:bigint>>")
                    .withColumn("_row", F.monotonically_increasing_id()), "scored")
     rest = scored.where(F.size("rare") > 0).select("_row", F.explode("rare").alias("r")).select("_row", "r.token", "r.n")
-    rest = (rest.join(vocab.where(F.col("c") * FREQUENT < n_train), "token").groupBy("_row")
-            .agg(F.sum("n").alias("k"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("s")))  # on top of an unseen token
-    far = scored.where(F.size("far") > 0).select("_row", F.explode("far").alias("r")).select("_row", "r.code", "r.n")
-    far = (far.join(logs.where(~near), "code").groupBy("_row").agg(F.sum(F.col("n") * F.col("logp").cast("double")).alias("l")))
+    gain = vocab.where(F.col("c") * FREQUENT < n_train).select("token", F.log10(F.col("c") + 1).alias("g"))  # on top of an unseen token
+    rest = (rest.join(gain.hint("shuffle_hash"), "token").groupBy("_row")  # the texts' tokens, many more, need no sort
+            .agg(F.sum("n").alias("k"), F.sum(F.col("n") * F.col("g")).alias("s")))
+    far = _far_scores(scored, logs.where(~near))
     total = scored.drop("rare", "far").join(far, "_row", "left").withColumn("score", F.col("score") + F.coalesce("l", F.lit(0.0)))
     return total.join(rest, "_row", "left").select(
         F.col("_id").alias(id_col), "n_bytes", "score",

@@ -112,3 +112,28 @@ def test_deep_contexts_equal_the_weighting_by_definition(spark, docs):
         padded = b"\n" * ctw.DEPTH + text.encode()
         want = sum(brute_log10(raw, padded[k:k + ctw.DEPTH], padded[k + ctw.DEPTH], ctw.DEPTH) for k in range(len(text.encode())))
         assert got[i] == pytest.approx(want, rel=1e-4)
+
+
+def test_grams_are_shuffled_in_blocks(spark, monkeypatch):
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").coalesce(1)
+    frames, plain = [], ctw.map_arrow
+    monkeypatch.setattr(ctw, "map_arrow", lambda *a: frames.append(plain(*a)) or frames[-1])
+    got = {r.code: (r.n, r.m) for r in ctw.gram_table(d, F.col("doc_id") % 5 != 0, "text", 6).collect()}
+    want = {True: Counter(), False: Counter()}
+    for r in d.collect():
+        padded = b"\n" * 6 + (r.text or "").encode()
+        want[r.doc_id % 5 != 0].update(int.from_bytes(padded[i:i + 7]) for i in range(len(padded) - 6))
+    assert got == {c: (want[True][c], want[True][c] + want[False][c]) for c in want[True] | want[False]}
+    assert frames[0].count() <= 2 ** 12 < len(got)  # rows that one counting task hands to the shuffle
+
+
+def test_blocks_keep_buckets_whole_over_batches(monkeypatch):
+    monkeypatch.setattr(ctw, "HELD_GRAMS", 100)
+    ids = np.random.default_rng(1).integers(0, 3000, 20_000)
+    key, n = ctw._merge([(ctw._spread(ids[i::4]), np.ones(5000, np.int64)) for i in range(4)])
+    once = [b for b in ctw._blocks(key, n=n)]
+    rows = sorted((b.slice(i, 1) for b in [*once, *once] for i in range(b.num_rows)), key=lambda r: r["bucket"][0].as_py())
+    sums = [*ctw._sums(rows, "n")]
+    assert len(sums) > 1
+    got = [(int(i), int(k)) for part, v in sums for i, k in zip(ctw._gather(part), v)]
+    assert len(got) == len(dict(got)) and dict(got) == {i: 2 * k for i, k in Counter(ids.tolist()).items()}
