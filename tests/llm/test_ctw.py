@@ -114,8 +114,9 @@ def test_deep_contexts_equal_the_weighting_by_definition(spark, docs):
         assert got[i] == pytest.approx(want, rel=1e-4)
 
 
-def test_grams_are_shuffled_in_blocks(spark, monkeypatch):
-    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").coalesce(1)
+def test_grams_are_shuffled_in_blocks(spark, docs, monkeypatch):
+    letters = np.random.default_rng(2).choice([*"abcdefgh é"], (40, 400))
+    d = docs([(-1, None), (-2, ""), *enumerate("".join(x) for x in letters)]).coalesce(1)
     frames, plain = [], ctw.map_arrow
     monkeypatch.setattr(ctw, "map_arrow", lambda *a: frames.append(plain(*a)) or frames[-1])
     got = {r.code: (r.n, r.m) for r in ctw.gram_table(d, F.col("doc_id") % 5 != 0, "text", 6).collect()}
